@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reports are batch jobs over bounded tables; there is no stream source, watermark, window
+or state to reproduce.  Every operator in :mod:`dialstat.operators` is a plain DataFrame
+function and could be applied to a micro-batch by a caller, but nothing streaming-specific is
+offered here.
+"""
