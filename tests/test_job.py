@@ -1,0 +1,101 @@
+import glob
+import os
+
+import pytest
+
+from dialstat.operators import GateError
+from dialstat.plans import run_report
+from dialstat.session import shared_scratch_path
+from dialstat.sources import read_table, write_result
+
+CALLS = "id int, area string, calls_made int, calls_successful int"
+PEOPLE = "id int, name string, address string, sales_amount double"
+
+
+def _csv_rows(folder):
+    folder = folder.removeprefix("file:")
+    files = glob.glob(os.path.join(folder, "part-*.csv"))
+    lines = []
+    for f in files:
+        with open(f) as fh:
+            lines.append(fh.read().splitlines())
+    return files, lines
+
+
+def test_run_report_writes_one_sorted_file(spark, frames):
+    calls = frames([(i, "IT", 10, 5) for i in range(1, 8)], CALLS)
+    people = frames([(i, f"N{i}", f"Street {i}, 123{i} AB", float(i * 10)) for i in range(1, 8)], PEOPLE)
+    out = shared_scratch_path(spark, "r1")
+    result = run_report(spark, "segment_top_k", {"calls": calls, "people": people}, out, {"k": 5})
+    assert result.count() == 5
+    files, lines = _csv_rows(out)
+    assert len(files) == 1
+    header, *body = lines[0]
+    assert header == "id,area,name,address,sales_amount"
+    assert [b.split(",")[0] for b in body] == ["7", "6", "5", "4", "3"]
+
+
+def test_failed_gate_keeps_previous_output(spark, frames):
+    calls = frames([(1, "IT", 10, 5), (2, "IT", 10, 5)], CALLS)
+    good = frames([(1, "A", "x", 1.0), (2, "B", "y", 2.0)], PEOPLE)
+    bad = frames([(1, "A", "x", -1.0), (2, "B", "y", 2.0)], PEOPLE)
+    out = shared_scratch_path(spark, "r1-gate")
+    run_report(spark, "segment_top_k", {"calls": calls, "people": good}, out)
+    before = _csv_rows(out)
+    with pytest.raises(GateError, match="negative sales_amount"):
+        run_report(spark, "segment_top_k", {"calls": calls, "people": bad}, out)
+    assert _csv_rows(out) == before
+
+
+def test_breakdown_gated_on_numbers_before_formatting(spark, frames):
+    calls = frames([(1, "IT", 10, 5)], CALLS)
+    people = frames([(1, "A", "x", -1234567.5)], PEOPLE)
+    with pytest.raises(GateError, match="negative total_sales_amount"):
+        run_report(spark, "segment_breakdown", {"calls": calls, "people": people}, write=False)
+
+
+def test_duplicate_key_gate_in_job(spark, frames):
+    calls = frames([(1, "IT", 10, 5)], CALLS)
+    people = frames([(1, "A", "x", 1.0), (1, "A2", "y", 2.0)], PEOPLE)
+    with pytest.raises(GateError, match="duplicate"):
+        run_report(spark, "postcodes", {"calls": calls, "people": people}, params={"area": "IT"}, write=False)
+
+
+def test_unknown_parameter_and_missing_input(spark, frames):
+    calls = frames([(1, "IT", 10, 5)], CALLS)
+    with pytest.raises(ValueError, match="unknown parameters"):
+        run_report(spark, "segment_top_k", {"calls": calls, "people": calls}, params={"top": 3}, write=False)
+    with pytest.raises(ValueError, match="missing"):
+        run_report(spark, "segment_top_k", {"calls": calls}, write=False)
+
+
+def test_run_report_reads_csv_paths(spark, frames):
+    folder = shared_scratch_path(spark, "inputs")
+    calls = frames([(1, "Marketing", 10, 5), (2, "IT", 3, 1)], CALLS)
+    people = frames([(1, "A", "Weg 1, 1234 AB, X", 1.0), (2, "B", "no code", 2.0)], PEOPLE)
+    write_result(calls, f"{folder}/calls", single_file=True)
+    write_result(people, f"{folder}/people", single_file=True)
+    out = run_report(
+        spark,
+        "postcodes",
+        {"calls": f"{folder}/calls", "people": f"{folder}/people"},
+        write=False,
+    )
+    assert [(r["id"], r["zip_code"]) for r in out.collect()] == [(1, "1234 AB")]
+
+
+def test_csv_round_trip_semantics(spark, frames):
+    df = frames(
+        [(1, ""), (2, None), (3, 'has, comma and "quotes"'), (4, "  padded  ")],
+        "id int, text string",
+    )
+    path = shared_scratch_path(spark, "roundtrip")
+    write_result(df, path, single_file=True, order=["id"])
+    back = {r["id"]: r["text"] for r in read_table(spark, path, {"id": "int", "text": "string"}).collect()}
+    assert back == {1: None, 2: None, 3: 'has, comma and "quotes"', 4: "padded"}
+
+
+def test_single_file_guard(frames):
+    df = frames([(1,)], "id int")
+    with pytest.raises(ValueError, match="too many"):
+        write_result(df, "/nonexistent", single_file=True, row_count=10**9)
