@@ -109,7 +109,8 @@ SQL_TOP_PERFORMERS = _WITH + f"""
   WHERE {_rate_sql('c.calls_made', 'c.calls_successful')} > 75
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY area ORDER BY sales_amount DESC NULLS LAST,
-            rate ASC NULLS FIRST, id ASC NULLS FIRST, name ASC NULLS FIRST) AS rn
+            rate ASC NULLS FIRST, id ASC NULLS FIRST, name ASC NULLS FIRST,
+            calls_made ASC NULLS FIRST, calls_successful ASC NULLS FIRST) AS rn
   FROM eligible
 ), units AS (
   SELECT caller_id, SUM(quantity) AS count_products_sold FROM sales GROUP BY caller_id
@@ -286,10 +287,13 @@ WHERE {_rate_sql('c.calls_made', 'c.calls_successful')} > 75
 
 def q_left_to_aggregate(spark: SparkSession, sf: str) -> DataFrame:
     customer = driver_table(spark, sf, "customer").select("c_custkey", "c_name")
-    orders = driver_table(spark, sf, "orders").filter(
+    orders = driver_table(spark, sf, "orders")
+    # Literals of the column's own type, so the range reaches the parquet scan as is.
+    date_type = orders.schema["o_orderdate"].dataType
+    orders = orders.filter(
         (F.col("o_orderstatus") == "F")
-        & (F.col("o_orderdate") >= F.lit(MONTH_START).cast("timestamp"))
-        & (F.col("o_orderdate") < F.lit(MONTH_END).cast("timestamp"))
+        & (F.col("o_orderdate") >= F.lit(MONTH_START).cast(date_type))
+        & (F.col("o_orderdate") < F.lit(MONTH_END).cast(date_type))
     )
     month = sums_by(
         orders,

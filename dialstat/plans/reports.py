@@ -97,18 +97,18 @@ def top_performers(
     """Per department the ``n`` best sellers among callers whose rounded success rate is
     above ``threshold``, with the units they sold.
 
-    Order: sales amount descending, then rate ascending, then id.  Units do not affect the
-    ranking, so they are summed only for the ranked callers: the sales table is semi-joined
-    to them first (Catalyst pushes that filter below the sales joins) instead of aggregating
-    every caller's units.
+    Order: sales amount descending, then rate ascending, then id (and the remaining columns).
+    Units do not affect the ranking, so they are summed only for the ranked callers: the
+    sales table is semi-joined to them first (Catalyst pushes that filter below the sales
+    joins) instead of aggregating every caller's units.
     Columns: id, name, sales_amount, area, calls_made, calls_successful,
     percentage_of_successful_calls, caller_id, count_products_sold.
     """
     eligible_calls = with_success_rate(calls).filter(F.col(RATE) > threshold)
     eligible = lookup(people.select("id", "name", "sales_amount"), eligible_calls, "id", how="inner")
-    ranked = top_n_per_group(
-        eligible, "area", ["-sales_amount", RATE], n, tie_break=["id", "name"]
-    )
+    # Tie-break on every remaining column: both uses of ``ranked`` below then need the same
+    # columns under the window, so Spark reuses its shuffle instead of running it twice.
+    ranked = top_n_per_group(eligible, "area", ["-sales_amount", RATE], n)
     ranked_ids = ranked.select(F.col("id").alias("caller_id"))
     units = sums_by(
         sales.select("caller_id", "quantity").join(ranked_ids, "caller_id", "left_semi"),
