@@ -3,8 +3,13 @@
 The join method is left to Catalyst and adaptive execution: a side whose size is known to be
 under ``spark.sql.autoBroadcastJoinThreshold`` (from file statistics before the run, or from
 the measured shuffle output during it) is broadcast, anything larger is joined by shuffle.
-So no side is broadcast without a size check, and a hot key on the large side is split by
-the adaptive skew-join rule.
+So no side is broadcast without a size check.
+
+Hot keys: the adaptive skew-join rule splits an oversized shuffle partition into several
+tasks, but for a LEFT OUTER join only on the left side.  When the lookup table itself may
+hold many copies of one key (a third of its rows, say), ``split_hot_keys=True`` writes the
+left join as the inner join (both sides splittable) plus the unmatched left rows (a left
+anti join on the keys, padded with nulls).  The result is exactly the left join's.
 """
 
 from __future__ import annotations
@@ -28,6 +33,7 @@ def lookup(
     how: str = "left",
     columns: Sequence[str] | None = None,
     keep_right_key: bool = False,
+    split_hot_keys: bool = False,
 ) -> DataFrame:
     """Join ``right``'s columns onto ``left`` by key.
 
@@ -37,6 +43,8 @@ def lookup(
         matched rows only (J3, J5); ``left_semi`` / ``left_anti`` filter ``left``
     :param columns: the ``right`` columns to bring along (default: all but the key)
     :param keep_right_key: keep ``right``'s key columns as well (J4 keeps ``caller_id``)
+    :param split_hot_keys: ``how="left"`` only: plan the join so a key with many copies in
+        ``right`` is spread over several tasks (see the module notes)
     :return: ``left``'s columns, then the brought columns; one key column unless kept
     """
     left_keys = _as_list(on)
@@ -60,4 +68,11 @@ def lookup(
         return out.select(*[left[c] for c in left.columns], *renamed, *wanted)
 
     side = right.select(*[F.col(r).alias(lk) for r, lk in zip(right_keys, left_keys)], *wanted)
+    if split_hot_keys and how == "left":
+        matched = left.join(side, on=left_keys, how="inner")
+        unmatched = left.join(side.select(*left_keys), on=left_keys, how="left_anti")
+        padded = unmatched.select(
+            *unmatched.columns, *[F.lit(None).cast(side.schema[c].dataType).alias(c) for c in wanted]
+        )
+        return matched.unionByName(padded)
     return left.join(side, on=left_keys, how=how)

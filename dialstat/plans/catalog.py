@@ -257,7 +257,13 @@ def q_left_lookup_orphans(spark: SparkSession, sf: str) -> DataFrame:
     orders = driver_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     customer = driver_table(spark, sf, "customer").filter(F.col("c_mktsegment").isin(*LOOKUP_SEGMENTS))
     return lookup(
-        orders, customer, "o_custkey", right_on="c_custkey", how="left", columns=["c_name", "c_mktsegment"]
+        orders,
+        customer,
+        "o_custkey",
+        right_on="c_custkey",
+        how="left",
+        columns=["c_name", "c_mktsegment"],
+        split_hot_keys=True,
     )
 
 
@@ -323,8 +329,7 @@ def q_join_of_aggregates(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("agents"), F.sum("calls_made").alias("calls")
     )
     amounts = (
-        calls.select("id", "area")
-        .join(people.select("id", "sales_amount"), "id", "left")
+        lookup(calls.select("id", "area"), people, "id", how="left", columns=["sales_amount"], split_hot_keys=True)
         .drop("id")
         .groupBy("area")
         .agg(money_sum("sales_amount").cast("double").alias("sales_total"))

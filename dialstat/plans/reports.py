@@ -35,11 +35,14 @@ def with_success_rate(calls: DataFrame, digits: int = 2) -> DataFrame:
 def segment_top_k(calls: DataFrame, people: DataFrame, area: str = "IT", k: int = 100) -> DataFrame:
     """The ``k`` best sellers of one department, with their person data.
 
-    Callers without a person row stay, with nulls, and sort last.
+    Callers without a person row stay, with nulls, and sort last.  The person lookup is
+    planned so that many copies of one person id are spread over several tasks.
     Columns: id, area, name, address, sales_amount.
     """
     staff = calls.filter(F.col("area") == area).select("id", "area")
-    enriched = lookup(staff, people, "id", how="left", columns=["name", "address", "sales_amount"])
+    enriched = lookup(
+        staff, people, "id", how="left", columns=["name", "address", "sales_amount"], split_hot_keys=True
+    )
     return top_k(enriched, ["-sales_amount"], k, tie_break=["id", "name", "address"])
 
 
@@ -50,7 +53,7 @@ def postcodes(calls: DataFrame, people: DataFrame, area: str = "Marketing") -> D
     is no address).
     """
     staff = calls.filter(F.col("area") == area).select("id")
-    enriched = lookup(staff, people, "id", how="left", columns=["address"])
+    enriched = lookup(staff, people, "id", how="left", columns=["address"], split_hot_keys=True)
     return enriched.withColumn("zip_code", postcode("address"))
 
 
@@ -129,7 +132,9 @@ def top_products_in_country(calls: DataFrame, sales: DataFrame, country: str = "
     local = sums_by(
         sales.filter(F.col("country") == country), ["caller_id", "product_sold"], {"units": "quantity"}
     )
-    with_area = lookup(local, calls, "caller_id", right_on="id", how="left", columns=["area"])
+    with_area = lookup(
+        local, calls, "caller_id", right_on="id", how="left", columns=["area"], split_hot_keys=True
+    )
     per_area = sums_by(with_area, ["area", "product_sold"], {"total_products_sold": "units"})
     return top_n_per_group(per_area, "area", ["-total_products_sold"], n, tie_break=["product_sold"])
 

@@ -157,3 +157,22 @@ def test_filter_reaches_the_scan(spark, tmp_path):
     df = spark.read.parquet(path).filter(F.col("area") == "3").select("id")
     plan = _plan(df)
     assert "PushedFilters: [IsNotNull(area), EqualTo(area,3)]" in plan
+
+
+def test_split_hot_keys_equals_left_join(frames):
+    left = frames([(1, "a"), (2, "b"), (None, "c"), (4, "d"), (1, "e")], "id int, tag string")
+    right = frames([(1, 10.0)] * 50 + [(2, None), (3, 30.0)], "id int, amount double")
+    plain = lookup(left, right, "id", how="left")
+    split = lookup(left, right, "id", how="left", split_hot_keys=True)
+    assert split.columns == plain.columns
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    assert sorted(map(tuple, split.collect()), key=key) == sorted(map(tuple, plain.collect()), key=key)
+    assert split.count() == 103
+
+
+def test_split_hot_keys_with_renamed_keys(frames):
+    sales = frames([(7, 1), (8, 2)], "caller_id int, units int")
+    calls = frames([(7, "IT"), (7, "IT"), (9, "HR")], "id int, area string")
+    out = lookup(sales, calls, "caller_id", right_on="id", how="left", columns=["area"], split_hot_keys=True)
+    assert out.columns == ["caller_id", "units", "area"]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(7, 1, "IT"), (7, 1, "IT"), (8, 2, None)], key=str)
