@@ -394,8 +394,8 @@ def q_violations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SQL_VIOLATIONS = """
-SELECT COUNT(*) AS rows_checked, COUNT_IF(c_acctbal < 0) AS negative_balance,
-       COUNT_IF(c_mktsegment IS NULL) AS missing_segment
+SELECT COUNT(*) AS rows_checked, CAST(COUNT_IF(c_acctbal < 0) AS BIGINT) AS negative_balance,
+       CAST(COUNT_IF(c_mktsegment IS NULL) AS BIGINT) AS missing_segment
 FROM customer
 """
 

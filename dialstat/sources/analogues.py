@@ -150,7 +150,7 @@ SELECT c.c_custkey AS id, c.c_mktsegment AS area,
        COALESCE(o.calls_successful, 0) AS calls_successful
 FROM customer c
 LEFT JOIN (SELECT o_custkey, COUNT(o_orderkey) AS calls_made,
-                  COUNT_IF(o_orderstatus <> 'F') AS calls_successful
+                  CAST(COUNT_IF(o_orderstatus <> 'F') AS BIGINT) AS calls_successful
            FROM orders GROUP BY o_custkey) o
   ON c.c_custkey = o.o_custkey
 """
