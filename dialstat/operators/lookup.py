@@ -55,24 +55,35 @@ def lookup(
     clash = [c for c in wanted if c in left.columns]
     if clash:
         raise ValueError(f"columns {clash} exist on both sides; select or rename first")
+    if how in ("left_semi", "left_anti"):
+        keys_only = right.select(*[F.col(r).alias(lk) for r, lk in zip(right_keys, left_keys)])
+        return left.join(keys_only, on=left_keys, how=how)
 
     if keep_right_key:
         # Rename the right keys apart so the condition never depends on column lineage.
         tmp = [f"__rk{i}" for i in range(len(right_keys))]
         side = right.select(*[F.col(r).alias(t) for r, t in zip(right_keys, tmp)], *wanted)
         cond = reduce(lambda a, b: a & b, [left[lk] == side[t] for lk, t in zip(left_keys, tmp)])
-        out = left.join(side, cond, how)
-        if how in ("left_semi", "left_anti"):
-            return out
-        renamed = [F.col(t).alias(r) for t, r in zip(tmp, right_keys)]
-        return out.select(*[left[c] for c in left.columns], *renamed, *wanted)
+        brought = tmp + wanted
+
+        def join(kind: str) -> DataFrame:
+            return left.join(side, cond, kind)
+    else:
+        side = right.select(*[F.col(r).alias(lk) for r, lk in zip(right_keys, left_keys)], *wanted)
+        brought = wanted
+
+        def join(kind: str) -> DataFrame:
+            return left.join(side, on=left_keys, how=kind)
 
-    side = right.select(*[F.col(r).alias(lk) for r, lk in zip(right_keys, left_keys)], *wanted)
     if split_hot_keys and how == "left":
-        matched = left.join(side, on=left_keys, how="inner")
-        unmatched = left.join(side.select(*left_keys), on=left_keys, how="left_anti")
+        unmatched = join("left_anti")
         padded = unmatched.select(
-            *unmatched.columns, *[F.lit(None).cast(side.schema[c].dataType).alias(c) for c in wanted]
+            *unmatched.columns, *[F.lit(None).cast(side.schema[c].dataType).alias(c) for c in brought]
         )
-        return matched.unionByName(padded)
-    return left.join(side, on=left_keys, how=how)
+        out = join("inner").unionByName(padded)
+    else:
+        out = join(how)
+    if keep_right_key:
+        renamed = [F.col(t).alias(r) for t, r in zip(tmp, right_keys)]
+        return out.select(*left.columns, *renamed, *wanted)
+    return out

@@ -176,3 +176,18 @@ def test_split_hot_keys_with_renamed_keys(frames):
     out = lookup(sales, calls, "caller_id", right_on="id", how="left", columns=["area"], split_hot_keys=True)
     assert out.columns == ["caller_id", "units", "area"]
     assert sorted(map(tuple, out.collect()), key=str) == sorted([(7, 1, "IT"), (7, 1, "IT"), (8, 2, None)], key=str)
+
+
+def test_split_hot_keys_with_kept_right_key(frames):
+    people = frames([(1, "A"), (2, "B")], "id int, name string")
+    units = frames([(1, 5), (1, 6)], "caller_id int, units int")
+    plain = lookup(people, units, "id", right_on="caller_id", how="left", keep_right_key=True)
+    split = lookup(people, units, "id", right_on="caller_id", how="left", keep_right_key=True, split_hot_keys=True)
+    assert split.columns == plain.columns == ["id", "name", "caller_id", "units"]
+    assert sorted(map(tuple, split.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_semi_and_anti_lookups(frames, people):
+    calls = frames([(1, "IT"), (4, "IT")], "id int, area string")
+    assert [r["id"] for r in lookup(calls, people, "id", how="left_semi").collect()] == [1]
+    assert [r["id"] for r in lookup(calls, people, "id", how="left_anti").collect()] == [4]
