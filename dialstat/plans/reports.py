@@ -126,16 +126,18 @@ def top_products_in_country(calls: DataFrame, sales: DataFrame, country: str = "
 
     Sales by callers without a department land in a null department with its own top n.
     Sales are summed per (caller, product) before the join with ``calls``, so the join sees
-    one row per pair instead of one per sale.
+    one row per pair instead of one per sale.  ``calls`` is reduced to one row per (id, area)
+    with the number of copies, and units are weighted by it: the same totals as joining
+    every copy, but a caller id repeated many times in ``calls`` cannot fan out in one task.
     Columns: area, product_sold, total_products_sold.
     """
     local = sums_by(
         sales.filter(F.col("country") == country), ["caller_id", "product_sold"], {"units": "quantity"}
     )
-    with_area = lookup(
-        local, calls, "caller_id", right_on="id", how="left", columns=["area"], split_hot_keys=True
-    )
-    per_area = sums_by(with_area, ["area", "product_sold"], {"total_products_sold": "units"})
+    copies = calls.groupBy("id", "area").agg(F.count(F.lit(1)).alias("copies"))
+    with_area = lookup(local, copies, "caller_id", right_on="id", how="left")
+    weighted = F.col("units") * F.coalesce(F.col("copies"), F.lit(1))
+    per_area = sums_by(with_area, ["area", "product_sold"], {"total_products_sold": F.sum(weighted)})
     return top_n_per_group(per_area, "area", ["-total_products_sold"], n, tie_break=["product_sold"])
 
 

@@ -156,3 +156,16 @@ def test_report_columns(calls, people, sales):
     ]
     assert top_products_in_country(calls, sales, "NL").columns == ["area", "product_sold", "total_products_sold"]
     assert postcodes(calls, people, "IT").columns == ["id", "address", "zip_code"]
+
+
+def test_top_products_counts_every_copy_of_a_caller(frames, sales):
+    calls = frames([(5, "IT", 1, 1), (5, "IT", 1, 1), (5, "HR", 1, 1), (6, "IT", 1, 1)], CALLS)
+    out = {
+        (r["area"], r["product_sold"]): r["total_products_sold"]
+        for r in top_products_in_country(calls, sales, country="NL", n=5).collect()
+    }
+    # Caller 5 appears twice in IT and once in HR: its units count twice in IT, once in HR.
+    assert out[("IT", "p1")] == 2 * 10 + 4
+    assert out[("IT", "p2")] == 2 * 3
+    assert out[("HR", "p1")] == 10
+    assert out[(None, "p1")] == 7 and out[(None, "p3")] == 20
