@@ -99,3 +99,32 @@ def test_single_file_guard(frames):
     df = frames([(1,)], "id int")
     with pytest.raises(ValueError, match="too many"):
         write_result(df, "/nonexistent", single_file=True, row_count=10**9)
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="driver tables not present")
+def test_all_reports_on_driver_tables(spark):
+    from dialstat.sources.analogues import report_inputs
+
+    inputs = report_inputs(spark, SMALL)
+    params = {
+        "segment_top_k": {"area": "MACHINERY"},
+        "postcodes": {"area": "BUILDING"},
+        "top_products_in_country": {"country": "NATION_3"},
+    }
+    rows = {}
+    failed = {}
+    for name in ["segment_top_k", "postcodes", "segment_breakdown", "top_performers",
+                 "top_products_in_country", "best_seller_by_country"]:
+        out = shared_scratch_path(spark, name)
+        try:
+            rows[name] = run_report(spark, name, inputs, out, params.get(name)).count()
+        except GateError as err:
+            failed[name] = str(err)
+            assert not os.path.exists(out.removeprefix("file:"))
+    assert rows == {"postcodes": 34, "segment_breakdown": 5, "top_performers": 15, "top_products_in_country": 15}
+    # Customers with negative balances reach these two results, so the gate stops them.
+    assert set(failed) == {"segment_top_k", "best_seller_by_country"}
+    assert all("negative sales_amount" in msg for msg in failed.values())
