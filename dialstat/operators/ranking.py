@@ -13,7 +13,9 @@ Plans at scale:
   holding a third of all rows is cut down where it is read.  Spark applies that rule up to
   ``spark.sql.optimizer.windowGroupLimitThreshold``; for larger n we first keep the top n
   inside salted sub-groups (an exact superset of the group's top n), so no single task has
-  to sort a hot group whole.
+  to sort a hot group whole.  The salt mixes the input partition into a hash of the row, so
+  even identical rows spread out, over as many buckets as the session has shuffle
+  partitions (at least ``SALT_BUCKETS``): sub-groups shrink as the cluster grows.
 """
 
 from __future__ import annotations
@@ -85,8 +87,9 @@ def top_n_per_group(
     by = [by] if isinstance(by, str) else list(by)
     sort = ordering(df, order, tie_break, exclude=by)
     if n > _group_limit_threshold(df):
-        salt_source = [F.col(c) for c in df.columns if c not in by] or [F.lit(0)]
-        salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*salt_source), F.lit(SALT_BUCKETS)))
+        buckets = max(SALT_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        salt_source = [F.col(c) for c in df.columns if c not in by] + [F.spark_partition_id()]
+        salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*salt_source), F.lit(buckets)))
         inner = Window.partitionBy(*by, _SALT).orderBy(*sort)
         df = (
             salted.withColumn(_RANK, F.row_number().over(inner))

@@ -191,3 +191,17 @@ def test_semi_and_anti_lookups(frames, people):
     calls = frames([(1, "IT"), (4, "IT")], "id int, area string")
     assert [r["id"] for r in lookup(calls, people, "id", how="left_semi").collect()] == [1]
     assert [r["id"] for r in lookup(calls, people, "id", how="left_anti").collect()] == [4]
+
+
+def test_salted_top_n_with_identical_rows_in_hot_group(spark, frames):
+    rows = [("hot", 1.0)] * 1500 + [("hot", float(i)) for i in range(30)] + [("cold", 2.0)] * 5
+    df = frames(rows, "g string, v double").repartition(6)
+    want = sorted(tuple(r) for r in top_n_per_group(df, "g", ["-v"], 12).collect())
+    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "5")
+    try:
+        got = sorted(tuple(r) for r in top_n_per_group(df, "g", ["-v"], 12).collect())
+    finally:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
+    assert got == want
+    assert len(got) == 17
