@@ -56,4 +56,6 @@ def read_table(
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"{path}: missing columns {missing}; found {df.columns}")
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in columns.items()])
+    # As in Spark's PERMISSIVE CSV mode: a value that does not parse as the declared type
+    # becomes null instead of failing the job.
+    return df.select(*[F.col(c).try_cast(t).alias(c) for c, t in columns.items()])

@@ -128,3 +128,19 @@ def test_all_reports_on_driver_tables(spark):
     # Customers with negative balances reach these two results, so the gate stops them.
     assert set(failed) == {"segment_top_k", "best_seller_by_country"}
     assert all("negative sales_amount" in msg for msg in failed.values())
+
+
+def test_read_table_by_name_with_extra_columns_and_bad_values(spark, frames):
+    path = shared_scratch_path(spark, "sales-csv")
+    df = frames(
+        [("x", "NL", 7, "p1", "3"), ("y", "BE", 8, "p2", "lots")],
+        "company string, country string, caller_id int, product_sold string, quantity string",
+    )
+    write_result(df, path, single_file=True)
+    from dialstat.sources import SALES_COLUMNS
+
+    back = read_table(spark, path, SALES_COLUMNS)
+    assert back.columns == ["caller_id", "country", "product_sold", "quantity"]
+    assert sorted(map(tuple, back.collect())) == [(7, "NL", "p1", 3), (8, "BE", "p2", None)]
+    with pytest.raises(ValueError, match="missing columns"):
+        read_table(spark, path, {"id": "int"})
