@@ -7,7 +7,7 @@ from dialstat.operators.aggregate import (
     row_counts,
     sums_by,
 )
-from dialstat.operators.lookup import lookup
+from dialstat.operators.lookup import broadcast_if_small, lookup
 from dialstat.operators.quality import (
     Gate,
     GateError,
@@ -20,6 +20,7 @@ from dialstat.operators.ranking import ordering, top_k, top_n_per_group
 
 __all__ = [
     "Gate",
+    "broadcast_if_small",
     "GateError",
     "check",
     "distinct_values",

@@ -87,3 +87,16 @@ def lookup(
         renamed = [F.col(t).alias(r) for t, r in zip(tmp, right_keys)]
         return out.select(*left.columns, *renamed, *wanted)
     return out
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Mark ``df`` for broadcast only after checking it holds at most ``max_rows`` rows.
+
+    For a small dimension table joined on a key of few values (a nation, a department),
+    where a shuffle join would put the whole large side into as many tasks as there are
+    key values.  The check reads at most ``max_rows + 1`` rows; above the bound the table
+    is returned as is and the planner chooses the join by size.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -16,6 +16,13 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dialstat.operators.lookup import broadcast_if_small
+
+# Nations are a fixed, tiny dimension; joined on a key of few values, a shuffle join would
+# put all line items into as many tasks as there are nations, so it is broadcast once its
+# size is checked.
+NATION_MAX_ROWS = 10_000
+
 _MEMO: dict[tuple, DataFrame] = {}
 
 
@@ -49,6 +56,17 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _memo(spark, ("table", path), lambda: spark.read.parquet(path))
 
 
+def nation_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nation table, marked for broadcast when its size check passes."""
+    return _memo(
+        spark,
+        ("nation", sf_dir),
+        lambda: broadcast_if_small(
+            driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), NATION_MAX_ROWS
+        ),
+    )
+
+
 @_per_session
 def calls_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer: orders count as calls, orders not in status F as successful calls.
@@ -84,7 +102,7 @@ def people_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = driver_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal"
     )
-    nation = driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nation = nation_table(spark, sf_dir)
     key = F.col("c_custkey")
     postcode = F.concat(
         (F.lit(1000) + key % 9000).cast("string"),
@@ -114,7 +132,7 @@ def sales_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity"
     )
     supplier = driver_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    nation = driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nation = nation_table(spark, sf_dir)
     part = driver_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     orders = driver_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
 

@@ -1,7 +1,8 @@
 """Print a compact final physical plan (operators only) for registered queries.
 
-Usage: python scripts/plan_digest.py [sf_dir] [query ...]
-Runs each query once so the adaptive plan is final, then prints its operator tree.
+Usage: python scripts/plan_digest.py [--no-auto-broadcast] [sf_dir] [query ...]
+Runs each query once so the adaptive plan is final, then prints its operator tree; with
+``--no-auto-broadcast`` it lists only the shuffles, as planned when no side is small.
 """
 
 from __future__ import annotations
@@ -18,6 +19,30 @@ from dialstat.session import local_session  # noqa: E402
 _DETAIL = re.compile(r"\s*(\[.*|\(.*|isFinalPlan.*|#\d+.*)$")
 
 
+def _strip_ids(text: str) -> str:
+    return re.sub(r"#\d+L?", "", text)
+
+
+def _summarise(body: str) -> str:
+    join = re.match(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin) \[(.*?)\], \[(.*?)\], (\w+)(?:, (Build\w+))?", body)
+    if join:
+        name, lk, rk, kind, build = join.groups()
+        return f"{name} {kind}{' ' + build if build else ''} on {_strip_ids(lk)} = {_strip_ids(rk)}"
+    exch = re.match(r"Exchange (hashpartitioning|SinglePartition|rangepartitioning)\(?(.*?)(?:, \d+)?\)?, ", body)
+    if exch:
+        return f"Exchange {exch.group(1)}({_strip_ids(exch.group(2))})"
+    agg = re.match(r"HashAggregate\(keys=\[(.*?)\], functions=\[(.*?)\]", body)
+    if agg:
+        return f"HashAggregate keys=[{_strip_ids(agg.group(1))}] fns=[{_strip_ids(agg.group(2))[:60]}]"
+    wgl = re.match(r"WindowGroupLimit \[(.*?)\].*?(\d+), (Partial|Final)", body)
+    if wgl:
+        return f"WindowGroupLimit by [{_strip_ids(wgl.group(1))}] n={wgl.group(2)} {wgl.group(3)}"
+    if body.startswith("TakeOrderedAndProject"):
+        lim = re.search(r"limit=(\d+)", body)
+        return "TakeOrderedAndProject" + (f" limit={lim.group(1)}" if lim else "")
+    return _DETAIL.sub("", body)
+
+
 def digest(plan: str) -> list[str]:
     out = []
     for line in plan.split("\n"):
@@ -35,8 +60,7 @@ def digest(plan: str) -> list[str]:
                 f" pushed=[{pushed.group(1)}]" if pushed and pushed.group(1) else ""
             )
         else:
-            body = _DETAIL.sub("", body)
-            body = re.sub(r"(Exchange hashpartitioning\([^)]*\)).*", r"\1", body)
+            body = _summarise(body)
         if body in ("ColumnarToRow", "InputAdapter", "WholeStageCodegen"):
             continue
         out.append(prefix + body)
@@ -44,15 +68,28 @@ def digest(plan: str) -> list[str]:
 
 
 def main() -> None:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    names = sys.argv[2:] or list(HEADLINE)
+    args = sys.argv[1:]
+    shuffles_only = "--no-auto-broadcast" in args
+    args = [a for a in args if a != "--no-auto-broadcast"]
+    sf_dir = args[0] if args else "/root/testdata/sf0.1"
+    names = args[1:] or list(HEADLINE)
     spark = local_session(8)
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    if shuffles_only:
+        # The shape at scale: no side is small enough for the planner to broadcast, so only
+        # explicit, size-checked broadcasts remain.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     for name in names:
         df = QUERIES[name][0](spark, sf_dir)
         df.collect()
+        lines = digest(df._jdf.queryExecution().executedPlan().toString())
+        if shuffles_only:
+            keys = [ln.strip(" :|+-") for ln in lines if "Exchange hashpartitioning" in ln or "ReusedExchange" in ln]
+            print(f"- `{name}`: {len(keys)} shuffles: " + ", ".join(k.replace("Exchange hashpartitioning", "") for k in keys))
+            continue
         print(f"### {name}\n```")
-        print("\n".join(digest(df._jdf.queryExecution().executedPlan().toString())))
+        print("\n".join(lines))
         print("```\n")
     spark.stop()
 

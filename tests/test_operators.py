@@ -205,3 +205,14 @@ def test_salted_top_n_with_identical_rows_in_hot_group(spark, frames):
         spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
     assert got == want
     assert len(got) == 17
+
+
+def test_broadcast_if_small_checks_size(frames):
+    from dialstat.operators import broadcast_if_small
+
+    small = frames([(i,) for i in range(5)], "k int")
+    big = frames([(i,) for i in range(50)], "k int")
+    fact = frames([(i % 5, i) for i in range(100)], "k int, v int")
+    hinted = fact.join(broadcast_if_small(small, 10), "k")
+    assert "BroadcastHashJoin" in _plan(hinted)
+    assert broadcast_if_small(big, 10) is big
