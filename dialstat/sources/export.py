@@ -4,7 +4,8 @@ A bounded result (a top-k, a per-group breakdown) goes out as exactly one CSV fi
 header, as the reports require.  ``repartition(1)`` moves only the final rows to one task, so
 everything upstream stays parallel (``coalesce(1)`` would pull the whole plan into one task).
 A result that grows with the input is written in parallel, one file per task, optionally
-partitioned by columns.
+partitioned by columns.  Staged inputs can be written as parquet partitioned by a filter
+column (the sales table by country): a report filtering on it then reads one folder.
 """
 
 from __future__ import annotations
@@ -27,13 +28,16 @@ def write_result(
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
     row_count: int | None = None,
+    fmt: str = "csv",
 ) -> None:
-    """Write ``df`` as CSV with a header.
+    """Write ``df`` as CSV with a header (or as parquet).
 
     :param single_file: one part file; refused when ``row_count`` exceeds ``SINGLE_FILE_MAX_ROWS``
     :param order: sort order of the rows inside the single file (``"x"``, ``"-x"`` or Columns)
     :param partition_by: folder columns for a parallel write
     :param row_count: known size of ``df`` (e.g. from a gate), used to guard the single file
+    :param fmt: ``csv`` (reports) or ``parquet`` (staged inputs; with ``partition_by`` a
+        later filter on those columns reads only the matching folders)
     """
     if single_file:
         if partition_by:
@@ -47,7 +51,12 @@ def write_result(
             out = out.sortWithinPartitions(*[sort_expr(o) for o in order])
     else:
         out = df
-    writer = out.write.mode(mode).option("header", True)
+    writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.csv(path)
+    if fmt == "csv":
+        writer.option("header", True).csv(path)
+    elif fmt == "parquet":
+        writer.parquet(path)
+    else:
+        raise ValueError(f"unsupported format {fmt!r}")

@@ -1,6 +1,9 @@
+import os
 import sys
 from pathlib import Path
 
+os.environ.setdefault("PYARROW_IGNORE_TIMEZONE", "1")
+
 import pytest
 
 ROOT = Path(__file__).resolve().parents[1]

@@ -144,3 +144,23 @@ def test_read_table_by_name_with_extra_columns_and_bad_values(spark, frames):
     assert sorted(map(tuple, back.collect())) == [(7, "NL", "p1", 3), (8, "BE", "p2", None)]
     with pytest.raises(ValueError, match="missing columns"):
         read_table(spark, path, {"id": "int"})
+
+
+def test_sales_staged_by_country_prunes_partitions(spark, frames):
+    from pyspark.sql import functions as F
+
+    from dialstat.plans import top_products_in_country
+    from dialstat.sources import SALES_COLUMNS
+
+    sales = frames(
+        [(1, "NL", "p1", 3), (2, "BE", "p2", 4), (1, "NL", "p2", 5)],
+        "caller_id int, country string, product_sold string, quantity int",
+    )
+    calls = frames([(1, "IT", 1, 1), (2, "HR", 1, 1)], "id int, area string, calls_made int, calls_successful int")
+    path = shared_scratch_path(spark, "sales-by-country")
+    write_result(sales, path, single_file=False, partition_by=["country"], fmt="parquet")
+    staged = read_table(spark, path, SALES_COLUMNS, fmt="parquet")
+    plan = staged.filter(F.col("country") == "NL")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(country" in plan and "(country" in plan
+    out = top_products_in_country(calls, staged, country="NL").collect()
+    assert sorted((r["area"], r["product_sold"], r["total_products_sold"]) for r in out) == [("IT", "p1", 3), ("IT", "p2", 5)]

@@ -169,3 +169,25 @@ def test_top_products_counts_every_copy_of_a_caller(frames, sales):
     assert out[("IT", "p2")] == 2 * 3
     assert out[("HR", "p1")] == 10
     assert out[(None, "p1")] == 7 and out[(None, "p3")] == 20
+
+
+def test_whole_frames_with_assert_dataframe_equal(spark, calls, people, sales):
+    from pyspark.testing import assertDataFrameEqual
+
+    expected_r6 = spark.createDataFrame(
+        [(4, "NL", 20, "D", 50.0), (9, "DE", 2, "I", 90.0), (9, "DE", 2, "I2", 10.0)],
+        "caller_id int, country string, total_products_sold bigint, name string, sales_amount double",
+    )
+    assertDataFrameEqual(best_seller_by_country(people, sales), expected_r6)
+
+    expected_r5 = spark.createDataFrame(
+        [(None, "p1", 7), ("IT", "p3", 20), ("IT", "p1", 14), ("IT", "p2", 3)],
+        "area string, product_sold string, total_products_sold bigint",
+    )
+    assertDataFrameEqual(top_products_in_country(calls, sales, country="NL"), expected_r5)
+
+    expected_r2 = spark.createDataFrame(
+        [(7, None, None), (9, "Laan 4, 1111 AA, Q", "1111 AA"), (9, "Laan 5, 2222 BB, Q", "2222 BB")],
+        "id int, address string, zip_code string",
+    )
+    assertDataFrameEqual(postcodes(calls, people, area="HR"), expected_r2)
