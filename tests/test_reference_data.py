@@ -42,9 +42,33 @@ def test_breakdown_matches_golden_calls_and_rates(spark, calls):
     assert got == GOLDEN_BREAKDOWN
 
 
-def test_marketing_has_198_callers_and_threshold_leaves_golden_rates(calls):
+# The golden top-performer rows as far as the calls table decides them
+# (id, area, calls made, successful calls, rate).
+GOLDEN_TOP_PERFORMERS = [
+    (103, "Finance", 91, 85, 93.41),
+    (777, "Finance", 14, 11, 78.57),
+    (357, "Finance", 71, 55, 77.46),
+    (168, "Games", 10, 9, 90.0),
+    (912, "Games", 78, 74, 94.87),
+    (183, "Games", 5, 4, 80.0),
+    (290, "HR", 85, 73, 85.88),
+    (701, "HR", 61, 50, 81.97),
+    (92, "HR", 83, 63, 75.9),
+    (39, "IT", 70, 54, 77.14),
+    (982, "IT", 60, 57, 95.0),
+    (194, "IT", 64, 50, 78.13),
+    (798, "Marketing", 79, 68, 86.08),
+    (410, "Marketing", 68, 61, 89.71),
+    (651, "Marketing", 98, 91, 92.86),
+]
+
+
+def test_marketing_has_198_callers(calls):
     assert calls.filter(F.col("area") == "Marketing").count() == 198
-    rates = {r["id"]: r["percentage_of_successful_calls"] for r in with_success_rate(calls).collect()}
-    # Fixed values: (id, rate) of golden top-performer rows.
-    for caller, rate in [(103, 93.41), (777, 78.57), (357, 77.46), (168, 90.0)]:
-        assert rates[caller] == rate
+
+
+def test_golden_top_performers_pass_the_threshold_with_their_rates(calls):
+    eligible = with_success_rate(calls).filter(F.col("percentage_of_successful_calls") > 75)
+    rows = {r["id"]: tuple(r) for r in eligible.collect()}
+    for row in GOLDEN_TOP_PERFORMERS:
+        assert rows[row[0]] == row
