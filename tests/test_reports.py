@@ -191,3 +191,10 @@ def test_whole_frames_with_assert_dataframe_equal(spark, calls, people, sales):
         "id int, address string, zip_code string",
     )
     assertDataFrameEqual(postcodes(calls, people, area="HR"), expected_r2)
+
+
+def test_top_performer_without_sales_keeps_null_units(frames, people):
+    calls = frames([(1, "IT", 10, 9), (2, "IT", 10, 9)], CALLS)
+    sales = frames([(2, "NL", "p1", 5)], SALES)
+    out = {r["id"]: (r["caller_id"], r["count_products_sold"]) for r in top_performers(calls, people, sales).collect()}
+    assert out == {1: (None, None), 2: (2, 5)}
