@@ -9,7 +9,9 @@ Hot keys: the adaptive skew-join rule splits an oversized shuffle partition into
 tasks, but for a LEFT OUTER join only on the left side.  When the lookup table itself may
 hold many copies of one key (a third of its rows, say), ``split_hot_keys=True`` writes the
 left join as the inner join (both sides splittable) plus the unmatched left rows (a left
-anti join on the keys, padded with nulls).  The result is exactly the left join's.
+anti join on the distinct keys, padded with nulls).  The result is exactly the left join's.
+Semi and anti lookups also use distinct keys: deduplicated map-side, a key with many copies
+reaches the join as at most one row per task.
 """
 
 from __future__ import annotations
@@ -56,33 +58,37 @@ def lookup(
     if clash:
         raise ValueError(f"columns {clash} exist on both sides; select or rename first")
     if how in ("left_semi", "left_anti"):
-        keys_only = right.select(*[F.col(r).alias(lk) for r, lk in zip(right_keys, left_keys)])
+        # Only key existence matters: distinct keys (deduplicated map-side) cannot be hot.
+        keys_only = right.select(*[F.col(r).alias(lk) for r, lk in zip(right_keys, left_keys)]).distinct()
         return left.join(keys_only, on=left_keys, how=how)
 
     if keep_right_key:
         # Rename the right keys apart so the condition never depends on column lineage.
         tmp = [f"__rk{i}" for i in range(len(right_keys))]
         side = right.select(*[F.col(r).alias(t) for r, t in zip(right_keys, tmp)], *wanted)
-        cond = reduce(lambda a, b: a & b, [left[lk] == side[t] for lk, t in zip(left_keys, tmp)])
+        key_cols = tmp
         brought = tmp + wanted
 
-        def join(kind: str) -> DataFrame:
-            return left.join(side, cond, kind)
+        def join(other: DataFrame, kind: str) -> DataFrame:
+            cond = reduce(lambda a, b: a & b, [left[lk] == other[t] for lk, t in zip(left_keys, tmp)])
+            return left.join(other, cond, kind)
     else:
         side = right.select(*[F.col(r).alias(lk) for r, lk in zip(right_keys, left_keys)], *wanted)
+        key_cols = left_keys
         brought = wanted
 
-        def join(kind: str) -> DataFrame:
-            return left.join(side, on=left_keys, how=kind)
+        def join(other: DataFrame, kind: str) -> DataFrame:
+            return left.join(other, on=left_keys, how=kind)
 
     if split_hot_keys and how == "left":
-        unmatched = join("left_anti")
+        # Unmatched rows: an anti join against the distinct keys, padded with nulls.
+        unmatched = join(side.select(*key_cols).distinct(), "left_anti")
         padded = unmatched.select(
             *unmatched.columns, *[F.lit(None).cast(side.schema[c].dataType).alias(c) for c in brought]
         )
-        out = join("inner").unionByName(padded)
+        out = join(side, "inner").unionByName(padded)
     else:
-        out = join(how)
+        out = join(side, how)
     if keep_right_key:
         renamed = [F.col(t).alias(r) for t, r in zip(tmp, right_keys)]
         return out.select(*left.columns, *renamed, *wanted)
