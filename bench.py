@@ -35,25 +35,33 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     spark = local_session(cpus, app="dialstat-bench")
 
-    warm, cold, rows = {}, {}, {}
+    warm, cold, rows, errors = {}, {}, {}, {}
     for name, (fn, _) in QUERIES.items():
-        cold[name], rows[name] = _time(spark, fn, sf_dir)
-        warm[name] = min(_time(spark, fn, sf_dir)[0] for _ in range(repeats))
+        try:
+            cold[name], rows[name] = _time(spark, fn, sf_dir)
+            warm[name] = min(_time(spark, fn, sf_dir)[0] for _ in range(repeats))
+        except Exception as err:  # keep timing the others; report the failure
+            errors[name] = f"{type(err).__name__}: {str(err)[:200]}"
 
-    headline = {q: round(warm[q], 3) for q in HEADLINE}
-    others = {q: round(warm[q], 3) for q in QUERIES if q not in HEADLINE}
+    def rounded(names):
+        return {q: (round(warm[q], 3) if q in warm else None) for q in names}
+
+    headline = rounded(HEADLINE)
+    others = rounded([q for q in QUERIES if q not in HEADLINE])
     sf_name = Path(sf_dir).name
     out = {
         "metric": "sum of best warm seconds over the six report queries",
-        "value": round(sum(headline.values()), 3),
+        "value": None if errors.keys() & set(HEADLINE) else round(sum(headline.values()), 3),
         "unit": "sec",
         "queries": headline,
         "other_queries": others,
-        "cold": {q: round(cold[q], 3) for q in QUERIES},
+        "cold": {q: round(v, 3) for q, v in cold.items()},
         "rows": rows,
         "sf": sf_name[2:] if sf_name.startswith("sf") else sf_name,
         "cpus": cpus,
     }
+    if errors:
+        out["errors"] = errors
     spark.stop()
     print(json.dumps(out))
 
