@@ -56,16 +56,20 @@ def q_segment_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return R.segment_top_k(calls_table(spark, sf), people_table(spark, sf), area=TOP_K_AREA, k=100)
 
 
-SQL_SEGMENT_TOP_K = _WITH + f"""
+def _segment_top_k_sql(area: str, k: int) -> str:
+    return _WITH + f"""
 SELECT c.id, c.area, p.name, p.address, p.sales_amount
 FROM calls c LEFT JOIN people p ON c.id = p.id
-WHERE c.area = '{TOP_K_AREA}'
+WHERE c.area = '{area}'
 ORDER BY p.sales_amount DESC NULLS LAST, c.id ASC NULLS FIRST, p.name ASC NULLS FIRST,
          p.address ASC NULLS FIRST
-LIMIT 100
+LIMIT {k}
 """
 
 
+SQL_SEGMENT_TOP_K = _segment_top_k_sql(TOP_K_AREA, 100)
+
+
 def q_postcode_extract(spark: SparkSession, sf: str) -> DataFrame:
     return R.postcodes(calls_table(spark, sf), people_table(spark, sf), area=POSTCODE_AREA)
 
@@ -101,12 +105,13 @@ def q_top_performers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-SQL_TOP_PERFORMERS = _WITH + f"""
+def _top_performers_sql(n: int, threshold: float) -> str:
+    return _WITH + f"""
 , eligible AS (
   SELECT p.id, p.name, p.sales_amount, c.area, c.calls_made, c.calls_successful,
          {_rate_sql('c.calls_made', 'c.calls_successful')} AS rate
   FROM people p JOIN calls c ON p.id = c.id
-  WHERE {_rate_sql('c.calls_made', 'c.calls_successful')} > 75
+  WHERE {_rate_sql('c.calls_made', 'c.calls_successful')} > {threshold}
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY area ORDER BY sales_amount DESC NULLS LAST,
             rate ASC NULLS FIRST, id ASC NULLS FIRST, name ASC NULLS FIRST,
@@ -118,30 +123,37 @@ SQL_TOP_PERFORMERS = _WITH + f"""
 SELECT r.id, r.name, r.sales_amount, r.area, r.calls_made, r.calls_successful,
        r.rate AS percentage_of_successful_calls, u.caller_id, u.count_products_sold
 FROM ranked r LEFT JOIN units u ON r.id = u.caller_id
-WHERE r.rn <= 3
+WHERE r.rn <= {n}
 """
 
 
+SQL_TOP_PERFORMERS = _top_performers_sql(3, 75)
+
+
 def q_top_products_in_country(spark: SparkSession, sf: str) -> DataFrame:
     return R.top_products_in_country(calls_table(spark, sf), sales_table(spark, sf), country=COUNTRY, n=3)
 
 
-SQL_TOP_PRODUCTS_IN_COUNTRY = _WITH + f"""
+def _top_products_sql(country: str, n: int) -> str:
+    return _WITH + f"""
 , per_area AS (
   SELECT c.area, s.product_sold, SUM(s.quantity) AS total_products_sold
   FROM sales s LEFT JOIN calls c ON s.caller_id = c.id
-  WHERE s.country = '{COUNTRY}'
+  WHERE s.country = '{country}'
   GROUP BY c.area, s.product_sold
 )
 SELECT area, product_sold, total_products_sold FROM (
   SELECT *, row_number() OVER (PARTITION BY area ORDER BY total_products_sold DESC NULLS LAST,
             product_sold ASC NULLS FIRST) AS rn
   FROM per_area) t
-WHERE rn <= 3
+WHERE rn <= {n}
 """
 
 
-def _best_seller_sql(people_filter: str) -> str:
+SQL_TOP_PRODUCTS_IN_COUNTRY = _top_products_sql(COUNTRY, 3)
+
+
+def _best_seller_sql(people_filter: str, n: int = 1) -> str:
     return _WITH + f"""
 , per_caller AS (
   SELECT caller_id, country, SUM(quantity) AS total_products_sold
@@ -151,7 +163,7 @@ def _best_seller_sql(people_filter: str) -> str:
     SELECT *, row_number() OVER (PARTITION BY country ORDER BY total_products_sold DESC NULLS LAST,
               caller_id ASC NULLS FIRST) AS rn
     FROM per_caller) t
-  WHERE rn <= 1
+  WHERE rn <= {n}
 )
 SELECT b.caller_id, b.country, b.total_products_sold, p.name, p.sales_amount
 FROM best b JOIN (SELECT * FROM people WHERE {people_filter}) p ON b.caller_id = p.id
@@ -165,6 +177,25 @@ def q_best_seller_by_country(spark: SparkSession, sf: str) -> DataFrame:
 SQL_BEST_SELLER_BY_COUNTRY = _best_seller_sql("TRUE")
 
 
+# Report parameters other than the defaults, checked against the same SQL.
+def q_segment_top_k_ten(spark: SparkSession, sf: str) -> DataFrame:
+    return R.segment_top_k(calls_table(spark, sf), people_table(spark, sf), area="HOUSEHOLD", k=10)
+
+
+def q_top_performer_each(spark: SparkSession, sf: str) -> DataFrame:
+    return R.top_performers(
+        calls_table(spark, sf), people_table(spark, sf), sales_table(spark, sf), n=1, threshold=80
+    )
+
+
+def q_top_products_other_country(spark: SparkSession, sf: str) -> DataFrame:
+    return R.top_products_in_country(calls_table(spark, sf), sales_table(spark, sf), country="NATION_7", n=2)
+
+
+def q_best_sellers_top_three(spark: SparkSession, sf: str) -> DataFrame:
+    return R.best_seller_by_country(people_table(spark, sf), sales_table(spark, sf), n=3)
+
+
 # --- single operators ----------------------------------------------------------------------
 
 
@@ -484,6 +515,10 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "row_gate": (q_row_gate, SQL_ROW_GATE),
     "distinct_values": (q_distinct_values, SQL_DISTINCT_VALUES),
     "csv_round_trip": (q_csv_round_trip, SQL_CSV_ROUND_TRIP),
+    "segment_top_k_ten": (q_segment_top_k_ten, _segment_top_k_sql("HOUSEHOLD", 10)),
+    "top_performer_each": (q_top_performer_each, _top_performers_sql(1, 80)),
+    "top_products_other_country": (q_top_products_other_country, _top_products_sql("NATION_7", 2)),
+    "best_sellers_top_three": (q_best_sellers_top_three, _best_seller_sql("TRUE", 3)),
 }
 
 # The headline queries timed by bench.py: the six reports.
