@@ -1,6 +1,6 @@
 """Report compositions (R1-R6), the report job (B1) and the driver's query catalogue."""
 
-from dialstat.plans.job import load_inputs, run_report
+from dialstat.plans.job import load_inputs, run_report, run_reports
 from dialstat.plans.reports import (
     REPORTS,
     Report,
@@ -22,6 +22,7 @@ __all__ = [
     "load_inputs",
     "postcodes",
     "run_report",
+    "run_reports",
     "segment_breakdown",
     "segment_top_k",
     "top_performers",

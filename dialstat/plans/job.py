@@ -19,7 +19,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dialstat.operators.quality import check
+from dialstat.operators.quality import GateError, check
 from dialstat.plans.reports import REPORTS
 from dialstat.session import ensure_checkpoint_dir
 from dialstat.sources.export import write_result
@@ -79,3 +79,38 @@ def run_report(
         write_result(final, output, single_file=one_file, order=report.order, row_count=counts["rows"])
         log.info("%s: written to %s", name, output)
     return final
+
+
+def run_reports(
+    spark: SparkSession,
+    inputs: Mapping[str, DataFrame | str],
+    output_root: str | None,
+    names: list[str] | None = None,
+    params: Mapping[str, Mapping[str, object]] | None = None,
+    write: bool = True,
+) -> dict[str, DataFrame]:
+    """Run several reports over the same inputs, each into ``<output_root>/<report folder>``
+    (``it_data``, ``marketing_address_info``, ``department_breakdown``, ``top_3``,
+    ``top_3_most_sold_per_department_netherlands``, ``best_salesperson``).
+
+    Each report is gated and written on its own, so one failing gate does not stop the
+    others; the failures are raised together at the end.
+    """
+    loaded = {
+        key: read_table(spark, value, INPUT_COLUMNS[key]) if isinstance(value, str) else value
+        for key, value in inputs.items()
+    }
+    results, failures = {}, []
+    for name in names or list(REPORTS):
+        report = REPORTS[name]
+        output = f"{output_root.rstrip('/')}/{report.output}" if output_root else None
+        try:
+            results[name] = run_report(
+                spark, name, loaded, output, (params or {}).get(name), write=write
+            )
+        except GateError as err:
+            log.error("%s", err)
+            failures.append(str(err))
+    if failures:
+        raise GateError("; ".join(failures))
+    return results

@@ -164,3 +164,29 @@ def test_sales_staged_by_country_prunes_partitions(spark, frames):
     assert "PartitionFilters: [isnotnull(country" in plan and "(country" in plan
     out = top_products_in_country(calls, staged, country="NL").collect()
     assert sorted((r["area"], r["product_sold"], r["total_products_sold"]) for r in out) == [("IT", "p1", 3), ("IT", "p2", 5)]
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="driver tables not present")
+def test_run_reports_writes_reference_folders_and_collects_failures(spark):
+    from dialstat.plans import run_reports
+    from dialstat.sources.analogues import report_inputs
+
+    root = shared_scratch_path(spark, "all-reports")
+    params = {
+        "segment_top_k": {"area": "MACHINERY"},
+        "postcodes": {"area": "BUILDING"},
+        "top_products_in_country": {"country": "NATION_3"},
+    }
+    with pytest.raises(GateError) as err:
+        run_reports(spark, report_inputs(spark, SMALL), root, params=params)
+    assert "segment_top_k" in str(err.value) and "best_seller_by_country" in str(err.value)
+    local = root.removeprefix("file:")
+    written = sorted(os.listdir(local))
+    assert written == [
+        "department_breakdown",
+        "marketing_address_info",
+        "top_3",
+        "top_3_most_sold_per_department_netherlands",
+    ]
+    ok = run_reports(spark, report_inputs(spark, SMALL), None, names=["segment_breakdown", "top_performers"], write=False)
+    assert {k: v.count() for k, v in ok.items()} == {"segment_breakdown": 5, "top_performers": 15}
