@@ -153,6 +153,26 @@ def best_seller_by_country(people: DataFrame, sales: DataFrame, n: int = 1) -> D
     return lookup(best, people, "caller_id", right_on="id", how="inner", columns=["name", "sales_amount"])
 
 
+# Fixed values that must equal the reference's: each report's output folder and default
+# parameters.
+OUTPUT_FOLDERS = {
+    "segment_top_k": "it_data",
+    "postcodes": "marketing_address_info",
+    "segment_breakdown": "department_breakdown",
+    "top_performers": "top_3",
+    "top_products_in_country": "top_3_most_sold_per_department_netherlands",
+    "best_seller_by_country": "best_salesperson",
+}
+DEFAULT_PARAMS = {
+    "segment_top_k": {"area": "IT", "k": 100},
+    "postcodes": {"area": "Marketing"},
+    "segment_breakdown": {},
+    "top_performers": {"n": 3, "threshold": 75},
+    "top_products_in_country": {"country": "Netherlands", "n": 3},
+    "best_seller_by_country": {"n": 1},
+}
+
+
 @dataclass(frozen=True)
 class Report:
     """How to build, check and write one report."""
@@ -173,59 +193,60 @@ REPORTS: dict[str, Report] = {
     for r in [
         Report(
             "segment_top_k",
-            "it_data",
+            OUTPUT_FOLDERS["segment_top_k"],
             ("calls", "people"),
             segment_top_k,
             lambda p: Gate(bad={"negative sales_amount": "sales_amount < 0"}, unique=[["id"]]),
-            {"area": "IT", "k": 100},
+            DEFAULT_PARAMS["segment_top_k"],
             order=("-sales_amount", "id"),
         ),
         Report(
             "postcodes",
-            "marketing_address_info",
+            OUTPUT_FOLDERS["postcodes"],
             ("calls", "people"),
             postcodes,
             lambda p: Gate(unique=[["id"]]),
-            {"area": "Marketing"},
+            DEFAULT_PARAMS["postcodes"],
             single_file=False,
         ),
         Report(
             "segment_breakdown",
-            "department_breakdown",
+            OUTPUT_FOLDERS["segment_breakdown"],
             ("calls", "people"),
             segment_breakdown,
             lambda p: Gate(bad={"negative total_sales_amount": "total_sales_amount < 0"}, unique=[["area"]]),
+            DEFAULT_PARAMS["segment_breakdown"],
             present=format_breakdown,
         ),
         Report(
             "top_performers",
-            "top_3",
+            OUTPUT_FOLDERS["top_performers"],
             ("calls", "people", "sales"),
             top_performers,
             lambda p: Gate(
                 bad={"rate under threshold": F.col(RATE) < F.lit(p["threshold"])},
                 unique=[["id", "area"]],
             ),
-            {"n": 3, "threshold": 75},
+            DEFAULT_PARAMS["top_performers"],
         ),
         Report(
             "top_products_in_country",
-            "top_3_most_sold_per_department_netherlands",
+            OUTPUT_FOLDERS["top_products_in_country"],
             ("calls", "sales"),
             top_products_in_country,
             lambda p: Gate(
                 bad={"negative total_products_sold": "total_products_sold < 0"},
                 unique=[["area", "product_sold"]],
             ),
-            {"country": "Netherlands", "n": 3},
+            DEFAULT_PARAMS["top_products_in_country"],
         ),
         Report(
             "best_seller_by_country",
-            "best_salesperson",
+            OUTPUT_FOLDERS["best_seller_by_country"],
             ("people", "sales"),
             best_seller_by_country,
             lambda p: Gate(bad={"negative sales_amount": "sales_amount < 0"}, unique=[["caller_id", "country"]]),
-            {"n": 1},
+            DEFAULT_PARAMS["best_seller_by_country"],
         ),
     ]
 }
