@@ -12,8 +12,10 @@ report filters (a country, an area) down to the scans.
 from __future__ import annotations
 
 import functools
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from dialstat.operators.lookup import broadcast_if_small
@@ -23,44 +25,43 @@ from dialstat.operators.lookup import broadcast_if_small
 # size is checked.
 NATION_MAX_ROWS = 10_000
 
-_MEMO: dict[tuple, DataFrame] = {}
+def _view(spark: SparkSession, kind: str, sf_dir: str, build) -> DataFrame:
+    """A session temp view of ``build()``, created on first use.
 
-
-def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """Build a lazy DataFrame once per session.
-
-    Only the plan is kept (the file listing and the parquet footers behind it), never data:
+    The view keeps the plan (the file listing and parquet footers behind it), never data:
     every action still reads the files.  The driver tables are immutable, so the listing
-    stays valid.
+    stays valid; other sessions do not see the view.
     """
-    full = (id(spark), spark.sparkContext.applicationId, *key)
-    df = _MEMO.get(full)
-    if df is None:
-        df = build()
-        _MEMO[full] = df
-    return df
+    digest = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    name = f"dialstat_{kind}_{digest}"
+    try:
+        return spark.table(name)
+    except AnalysisException:
+        build().createOrReplaceTempView(name)
+        return spark.table(name)
 
 
 def _per_session(fn):
-    """Memoise a ``(spark, sf_dir) -> DataFrame`` builder per session and folder."""
+    """Expose a ``(spark, sf_dir) -> DataFrame`` builder as a session temp view."""
 
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _memo(spark, (fn.__name__, sf_dir), lambda: fn(spark, sf_dir))
+        return _view(spark, fn.__name__, sf_dir, lambda: fn(spark, sf_dir))
 
     return wrapper
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return _memo(spark, ("table", path), lambda: spark.read.parquet(path))
+    return _view(spark, name, sf_dir, lambda: spark.read.parquet(path))
 
 
 def nation_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nation table, marked for broadcast when its size check passes."""
-    return _memo(
+    return _view(
         spark,
-        ("nation", sf_dir),
+        "nation_checked",
+        sf_dir,
         lambda: broadcast_if_small(
             driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), NATION_MAX_ROWS
         ),
