@@ -26,7 +26,8 @@ def percentage(part: Column | str, whole: Column | str, digits: int = 2) -> Colu
     A zero or null ``whole`` gives null rather than an error, also under ANSI mode, so a
     caller without calls has no rate (and fails any threshold on it).
     """
-    return F.round(F.try_divide(F.lit(100) * _col(part), _col(whole)), digits)
+    hundred = F.lit(100).cast("bigint")  # int counts are widened before the product
+    return F.round(F.try_divide(hundred * _col(part), _col(whole)), digits)
 
 
 def money_sum(c: Column | str) -> Column:

@@ -40,3 +40,8 @@ def test_predicate_from_sql_text_and_column(frames):
     df = frames([(-1.0,), (2.0,), (None,)], "sales_amount double")
     assert df.filter(predicate("sales_amount < 0")).count() == 1
     assert df.filter(predicate(F.col("sales_amount") > 0)).count() == 1
+
+
+def test_percentage_does_not_overflow_int_counts(frames):
+    df = frames([(2_000_000_000, 2_100_000_000)], "s int, m int")
+    assert df.select(percentage("s", "m")).first()[0] == 95.24
