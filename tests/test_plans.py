@@ -121,3 +121,40 @@ def test_sales_pre_aggregated_before_department_join(spark):
 def test_fact_table_scanned_at_most_once(spark, name):
     plan = _planned(QUERIES[name][0](spark, SF))
     assert len(re.findall(r"FileScan parquet [^\n]*lineitem\.parquet", plan)) <= 1
+
+
+def test_hot_lookup_key_is_split_only_in_split_form(spark):
+    from pyspark.sql import functions as F
+
+    from dialstat.operators import lookup
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        staff = spark.range(0, 20000).select(F.col("id"), F.lit("IT").alias("area"))
+        # One person id holds most rows of the lookup table.
+        people = spark.range(0, 300000).select(
+            F.when(F.col("id") < 200000, F.lit(7)).otherwise(F.col("id")).alias("id"),
+            F.concat(F.lit("street "), F.col("id").cast("string")).alias("address"),
+        )
+        plain = lookup(staff, people, "id", how="left")
+        split = lookup(staff, people, "id", how="left", split_hot_keys=True)
+        plain_rows, split_rows = plain.collect(), split.collect()
+        assert len(plain_rows) == len(split_rows) == 200000 + 19999
+        assert "skew=true" not in plain._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in split._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
