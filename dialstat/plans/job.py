@@ -30,9 +30,13 @@ log = logging.getLogger(__name__)
 INPUT_COLUMNS = {"calls": CALLS_COLUMNS, "people": PEOPLE_COLUMNS, "sales": SALES_COLUMNS}
 
 
-def load_inputs(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    """Read the named report inputs (``calls``, ``people``, ``sales``) from CSV or parquet."""
-    return {name: read_table(spark, path, INPUT_COLUMNS[name]) for name, path in paths.items()}
+def load_inputs(spark: SparkSession, inputs: Mapping[str, DataFrame | str]) -> dict[str, DataFrame]:
+    """The named report inputs (``calls``, ``people``, ``sales``): paths are read from CSV or
+    parquet with declared types, DataFrames are used as given."""
+    return {
+        name: read_table(spark, value, INPUT_COLUMNS[name]) if isinstance(value, str) else value
+        for name, value in inputs.items()
+    }
 
 
 def run_report(
@@ -59,12 +63,10 @@ def run_report(
     unknown = set(merged) - set(report.defaults)
     if unknown:
         raise ValueError(f"{name}: unknown parameters {sorted(unknown)}")
-    tables = {}
-    for key in report.inputs:
-        if key not in inputs:
-            raise ValueError(f"{name}: input {key!r} missing")
-        value = inputs[key]
-        tables[key] = read_table(spark, value, INPUT_COLUMNS[key]) if isinstance(value, str) else value
+    missing = [key for key in report.inputs if key not in inputs]
+    if missing:
+        raise ValueError(f"{name}: inputs {missing} missing")
+    tables = load_inputs(spark, {key: inputs[key] for key in report.inputs})
 
     ensure_checkpoint_dir(spark)
     result = report.build(**tables, **merged).checkpoint(eager=True)
@@ -96,10 +98,7 @@ def run_reports(
     Each report is gated and written on its own, so one failing gate does not stop the
     others; the failures are raised together at the end.
     """
-    loaded = {
-        key: read_table(spark, value, INPUT_COLUMNS[key]) if isinstance(value, str) else value
-        for key, value in inputs.items()
-    }
+    loaded = load_inputs(spark, inputs)
     results, failures = {}, []
     for name in names or list(REPORTS):
         report = REPORTS[name]
