@@ -37,8 +37,8 @@ def test_existing_checkpoint_dir_is_used():
 
 
 def test_configured_checkpoint_dir_is_applied():
-    s = _Session("yarn", conf={"spark.checkpoint.dir": "s3a://bucket-of-our-own/ckpt"})
-    assert ensure_checkpoint_dir(s).startswith("file:s3a://bucket-of-our-own/ckpt")
+    s = _Session("yarn", conf={"spark.checkpoint.dir": "hdfs://shared/checkpoints"})
+    assert ensure_checkpoint_dir(s).startswith("file:hdfs://shared/checkpoints")
 
 
 def test_cluster_without_checkpoint_dir_is_an_error():
