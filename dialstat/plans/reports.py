@@ -26,6 +26,9 @@ from dialstat.operators.ranking import top_k, top_n_per_group
 
 RATE = "percentage_of_successful_calls"
 
+# Largest ranked-id set R4 broadcasts (n x departments, known before the run).
+RANKED_BROADCAST_ROWS = 1_000_000
+
 
 def with_success_rate(calls: DataFrame, digits: int = 2) -> DataFrame:
     """Add the rounded success rate of each caller (X1, X2, P4); null for zero calls."""
@@ -113,6 +116,11 @@ def top_performers(
     # columns under the window, so Spark reuses its shuffle instead of running it twice.
     ranked = top_n_per_group(eligible, "area", ["-sales_amount", RATE], n)
     ranked_ids = ranked.select(F.col("id").alias("caller_id"))
+    # At most n ranked rows per department: a proven bound.  Counting the departments is a
+    # scan of one column; under the bound the ids are broadcast, so the sales side is
+    # filtered where it is read instead of being shuffled to meet them.
+    if n * calls.select("area").distinct().count() <= RANKED_BROADCAST_ROWS:
+        ranked_ids = F.broadcast(ranked_ids)
     units = sums_by(
         sales.select("caller_id", "quantity").join(ranked_ids, "caller_id", "left_semi"),
         "caller_id",

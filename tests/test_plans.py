@@ -158,3 +158,13 @@ def test_hot_lookup_key_is_split_only_in_split_form(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_ranked_ids_broadcast_by_proven_bound(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _planned(QUERIES["top_performers"][0](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert re.search(r"BroadcastHashJoin \[o_custkey[^\]]*\], \[caller_id[^\]]*\], LeftSemi", plan)
