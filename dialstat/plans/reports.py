@@ -26,7 +26,7 @@ from dialstat.operators.ranking import top_k, top_n_per_group
 
 RATE = "percentage_of_successful_calls"
 
-# Largest ranked-id set R4 broadcasts (n x departments, known before the run).
+# Largest ranked set R4 and R6 broadcast (n x departments or countries, bounded before the run).
 RANKED_BROADCAST_ROWS = 1_000_000
 
 
@@ -149,15 +149,22 @@ def top_products_in_country(calls: DataFrame, sales: DataFrame, country: str = "
     return top_n_per_group(per_area, "area", ["-total_products_sold"], n, tie_break=["product_sold"])
 
 
-def best_seller_by_country(people: DataFrame, sales: DataFrame, n: int = 1) -> DataFrame:
+def best_seller_by_country(
+    people: DataFrame, sales: DataFrame, n: int = 1, max_countries: int | None = None
+) -> DataFrame:
     """Per country the ``n`` callers with the most units sold, with name and amount.
 
     Ranking comes first and the person lookup after (an inner join): a best seller without a
-    person row removes its country rather than promoting the runner-up.
+    person row removes its country rather than promoting the runner-up.  When the caller can
+    bound the number of countries (``max_countries``), the ranked rows (at most n per
+    country) are broadcast and the people table is only streamed, never shuffled; otherwise
+    adaptive execution decides after measuring them.
     Columns: caller_id, country, total_products_sold, name, sales_amount.
     """
     per_caller = sums_by(sales, ["caller_id", "country"], {"total_products_sold": "quantity"})
     best = top_n_per_group(per_caller, "country", ["-total_products_sold"], n, tie_break=["caller_id"])
+    if max_countries is not None and n * max_countries <= RANKED_BROADCAST_ROWS:
+        best = F.broadcast(best)
     return lookup(best, people, "caller_id", right_on="id", how="inner", columns=["name", "sales_amount"])
 
 

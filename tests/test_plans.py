@@ -168,3 +168,13 @@ def test_ranked_ids_broadcast_by_proven_bound(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert re.search(r"BroadcastHashJoin \[o_custkey[^\]]*\], \[caller_id[^\]]*\], LeftSemi", plan)
+
+
+def test_best_sellers_broadcast_by_country_bound(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _planned(QUERIES["best_seller_by_country"][0](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert re.search(r"BroadcastHashJoin \[caller_id[^\]]*\], \[caller_id[^\]]*\], Inner, BuildLeft", plan)
