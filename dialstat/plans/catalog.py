@@ -9,6 +9,7 @@ keep the same rows.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -170,9 +171,10 @@ FROM best b JOIN (SELECT * FROM people WHERE {people_filter}) p ON b.caller_id =
 """
 
 
+@functools.lru_cache(maxsize=None)
 def _country_bound(spark: SparkSession, sf: str) -> int:
     """Countries of the sales table are nation names (an inner join), so the nation table's
-    row count bounds them."""
+    row count bounds them; counted once per session and folder."""
     return driver_table(spark, sf, "nation").count()
 
 
