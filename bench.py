@@ -33,6 +33,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    load_before = [round(x, 2) for x in os.getloadavg()]
     spark = local_session(cpus, app="dialstat-bench")
 
     warm, cold, rows, errors = {}, {}, {}, {}
@@ -59,6 +60,7 @@ def main() -> None:
         "rows": rows,
         "sf": sf_name[2:] if sf_name.startswith("sf") else sf_name,
         "cpus": cpus,
+        "loadavg_before": load_before,  # host load visibly moves these timings
     }
     if errors:
         out["errors"] = errors
