@@ -83,3 +83,44 @@ def test_percentage_rounds_half_up_like_exact_arithmetic(frames, pairs):
         exact = Fraction(100 * s, m)
         rounded = Decimal(exact.numerator) / Decimal(exact.denominator)
         assert value == float(rounded.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+
+
+@SETTINGS
+@given(
+    calls=st.lists(
+        st.tuples(
+            st.integers(min_value=0, max_value=6),
+            st.sampled_from(["IT", "HR", None]),
+            st.integers(min_value=0, max_value=9),
+            st.integers(min_value=0, max_value=9),
+        ),
+        max_size=15,
+    ),
+    people=st.lists(
+        st.tuples(st.integers(min_value=0, max_value=6), st.one_of(st.none(), st.sampled_from([-3.5, 0.25, 10.0]))),
+        max_size=15,
+    ),
+)
+def test_one_pass_breakdown_equals_join_of_two_aggregates(frames, calls, people):
+    from pyspark.sql import functions as F
+
+    from dialstat.functions import money_sum
+    from dialstat.operators import join_aggregates, ratio_of_sums
+    from dialstat.plans import segment_breakdown
+
+    calls_df = frames([(i, a, max(m, s), min(m, s)) for i, a, m, s in calls], "id int, area string, calls_made int, calls_successful int")
+    people_df = frames(people, "id int, sales_amount double")
+    one_pass = segment_breakdown(calls_df, people_df.withColumn("name", F.lit("n")).withColumn("address", F.lit("a")))
+    per_area_calls = ratio_of_sums(
+        calls_df, "area", "calls_successful", "calls_made", "percentage_of_successful_calls",
+        "total_calls_successful", "total_calls_made",
+    )
+    per_area_sales = (
+        calls_df.select("id", "area").join(people_df, "id", "left").drop("id")
+        .groupBy("area").agg(money_sum("sales_amount").alias("total_sales_amount"))
+    )
+    two_aggregates = join_aggregates(per_area_calls, per_area_sales, "area")
+    cols = sorted(one_pass.columns)
+    assert cols == sorted(two_aggregates.columns)
+    norm = lambda df: sorted((tuple(r[c] for c in cols) for r in df.collect()), key=str)
+    assert norm(one_pass) == norm(two_aggregates)
