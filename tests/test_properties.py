@@ -124,3 +124,34 @@ def test_one_pass_breakdown_equals_join_of_two_aggregates(frames, calls, people)
     assert cols == sorted(two_aggregates.columns)
     norm = lambda df: sorted((tuple(r[c] for c in cols) for r in df.collect()), key=str)
     assert norm(one_pass) == norm(two_aggregates)
+
+
+@SETTINGS
+@given(
+    calls=st.lists(st.tuples(st.integers(min_value=0, max_value=5), st.sampled_from(["IT", "HR", None])), max_size=12),
+    sales=st.lists(
+        st.tuples(
+            st.integers(min_value=0, max_value=7),
+            st.sampled_from(["NL", "BE"]),
+            st.sampled_from(["p1", "p2", "p3"]),
+            st.integers(min_value=0, max_value=9),
+        ),
+        max_size=20,
+    ),
+)
+def test_copy_weighted_products_equal_plain_left_join(frames, calls, sales):
+    from pyspark.sql import functions as F
+
+    from dialstat.plans import top_products_in_country
+
+    calls_df = frames([(i, a, 1, 1) for i, a in calls], "id int, area string, calls_made int, calls_successful int")
+    sales_df = frames(sales, "caller_id int, country string, product_sold string, quantity int")
+    got = top_products_in_country(calls_df, sales_df, country="NL", n=100)
+    plain = (
+        sales_df.filter(F.col("country") == "NL")
+        .join(calls_df.select(F.col("id").alias("caller_id"), "area"), "caller_id", "left")
+        .groupBy("area", "product_sold")
+        .agg(F.sum("quantity").alias("total_products_sold"))
+    )
+    norm = lambda df: sorted((tuple(r) for r in df.select("area", "product_sold", "total_products_sold").collect()), key=str)
+    assert norm(got) == norm(plain)
