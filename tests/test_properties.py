@@ -155,3 +155,38 @@ def test_copy_weighted_products_equal_plain_left_join(frames, calls, sales):
     )
     norm = lambda df: sorted((tuple(r) for r in df.select("area", "product_sold", "total_products_sold").collect()), key=str)
     assert norm(got) == norm(plain)
+
+
+@SETTINGS
+@given(
+    calls=st.lists(
+        st.tuples(st.integers(min_value=0, max_value=6), st.sampled_from(["IT", "HR", None]),
+                  st.integers(min_value=0, max_value=8), st.integers(min_value=0, max_value=8)),
+        max_size=12,
+    ),
+    people=st.lists(st.tuples(st.integers(min_value=0, max_value=6), st.sampled_from([1.0, 5.0, 9.5, None])), max_size=12),
+    sales=st.lists(st.tuples(st.integers(min_value=0, max_value=8), st.integers(min_value=0, max_value=5)), max_size=15),
+    n=st.integers(min_value=1, max_value=3),
+)
+def test_rank_then_units_equals_units_for_everyone(frames, calls, people, sales, n):
+    from pyspark.sql import functions as F
+
+    from dialstat.operators import lookup, sums_by, top_n_per_group
+    from dialstat.plans import top_performers, with_success_rate
+
+    calls_df = frames([(i, a, max(m, s), min(m, s)) for i, a, m, s in calls], "id int, area string, calls_made int, calls_successful int")
+    people_df = frames([(i, f"p{i}", "addr", v) for i, v in people], "id int, name string, address string, sales_amount double")
+    sales_df = frames([(c, "NL", "p", q) for c, q in sales], "caller_id int, country string, product_sold string, quantity int")
+    got = top_performers(calls_df, people_df, sales_df, n=n, threshold=50)
+
+    eligible = lookup(
+        people_df.select("id", "name", "sales_amount"),
+        with_success_rate(calls_df).filter(F.col("percentage_of_successful_calls") > 50),
+        "id",
+        how="inner",
+    )
+    ranked = top_n_per_group(eligible, "area", ["-sales_amount", "percentage_of_successful_calls"], n)
+    units = sums_by(sales_df, "caller_id", {"count_products_sold": "quantity"})
+    want = lookup(ranked, units, "id", right_on="caller_id", how="left", keep_right_key=True)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
