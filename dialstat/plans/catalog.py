@@ -100,9 +100,20 @@ GROUP BY c.area
 """
 
 
+@functools.lru_cache(maxsize=None)
+def _department_bound(spark: SparkSession, sf: str) -> int:
+    """Departments are market segments; counted once per session and folder."""
+    return calls_table(spark, sf).select("area").distinct().count()
+
+
 def q_top_performers(spark: SparkSession, sf: str) -> DataFrame:
     return R.top_performers(
-        calls_table(spark, sf), people_table(spark, sf), sales_table(spark, sf), n=3, threshold=75
+        calls_table(spark, sf),
+        people_table(spark, sf),
+        sales_table(spark, sf),
+        n=3,
+        threshold=75,
+        max_departments=_department_bound(spark, sf),
     )
 
 
@@ -194,7 +205,12 @@ def q_segment_top_k_ten(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_top_performer_each(spark: SparkSession, sf: str) -> DataFrame:
     return R.top_performers(
-        calls_table(spark, sf), people_table(spark, sf), sales_table(spark, sf), n=1, threshold=80
+        calls_table(spark, sf),
+        people_table(spark, sf),
+        sales_table(spark, sf),
+        n=1,
+        threshold=80,
+        max_departments=_department_bound(spark, sf),
     )
 
 

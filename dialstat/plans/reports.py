@@ -99,9 +99,11 @@ def top_performers(
     sales: DataFrame,
     n: int = 3,
     threshold: float = 75,
+    max_departments: int | None = None,
 ) -> DataFrame:
     """Per department the ``n`` best sellers among callers whose rounded success rate is
-    above ``threshold``, with the units they sold.
+    above ``threshold``, with the units they sold.  ``max_departments`` bounds the number of
+    departments when the caller knows it; otherwise they are counted.
 
     Order: sales amount descending, then rate ascending, then id (and the remaining columns).
     Units do not affect the ranking, so they are summed only for the ranked callers: the
@@ -119,7 +121,9 @@ def top_performers(
     # At most n ranked rows per department: a proven bound.  Counting the departments is a
     # scan of one column; under the bound the ids are broadcast, so the sales side is
     # filtered where it is read instead of being shuffled to meet them.
-    if n * calls.select("area").distinct().count() <= RANKED_BROADCAST_ROWS:
+    if max_departments is None:
+        max_departments = calls.select("area").distinct().count()
+    if n * max_departments <= RANKED_BROADCAST_ROWS:
         ranked_ids = F.broadcast(ranked_ids)
     units = sums_by(
         sales.select("caller_id", "quantity").join(ranked_ids, "caller_id", "left_semi"),
