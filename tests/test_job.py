@@ -190,3 +190,15 @@ def test_run_reports_writes_reference_folders_and_collects_failures(spark):
     ]
     ok = run_reports(spark, report_inputs(spark, SMALL), None, names=["segment_breakdown", "top_performers"], write=False)
     assert {k: v.count() for k, v in ok.items()} == {"segment_breakdown": 5, "top_performers": 15}
+
+
+def test_partitioned_csv_write_keeps_every_row(spark, frames):
+    df = frames([(i, "IT" if i % 2 else "HR", f"a{i}") for i in range(20)], "id int, area string, address string")
+    path = shared_scratch_path(spark, "by-area")
+    write_result(df, path, single_file=False, partition_by=["area"])
+    local = path.removeprefix("file:")
+    assert sorted(d for d in os.listdir(local) if d.startswith("area=")) == ["area=HR", "area=IT"]
+    back = spark.read.option("header", True).csv(path)
+    assert back.count() == 20 and back.filter("area = 'IT'").count() == 10
+    with pytest.raises(ValueError, match="exclude each other"):
+        write_result(df, path, single_file=True, partition_by=["area"])
