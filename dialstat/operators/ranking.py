@@ -57,7 +57,12 @@ def ordering(
 
 
 def top_k(df: DataFrame, order: Sequence[Column | str], k: int, tie_break: Sequence[str] | None = None) -> DataFrame:
-    """The first ``k`` rows by ``order`` (O1), e.g. ``top_k(df, ["-sales_amount"], 100)``."""
+    """The first ``k`` rows by ``order`` (O1), e.g. ``top_k(df, ["-sales_amount"], 100)``.
+
+    Each task keeps a heap of ``k`` rows, so ``k`` should be a report size, not a table size;
+    for a very large ``k`` lower ``spark.sql.execution.topKSortFallbackThreshold`` and Spark
+    sorts and spills instead.
+    """
     if k < 0:
         raise ValueError("k must be >= 0")
     return df.orderBy(*ordering(df, order, tie_break)).limit(k)
