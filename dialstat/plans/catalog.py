@@ -518,6 +518,23 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
 """
 
 
+REPORT_R1_COLUMNS = {
+    "id": "bigint",
+    "area": "string",
+    "name": "string",
+    "address": "string",
+    "sales_amount": "double",
+}
+
+
+def q_single_file_export(spark: SparkSession, sf: str) -> DataFrame:
+    """R1 written as exactly one sorted CSV file in a fresh shared folder, read back."""
+    path = shared_scratch_path(spark, "single_file_export")
+    report = q_segment_top_k(spark, sf)
+    write_result(report, path, single_file=True, order=["-sales_amount", "id"])
+    return read_table(spark, path, REPORT_R1_COLUMNS, fmt="csv")
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "segment_top_k": (q_segment_top_k, SQL_SEGMENT_TOP_K),
     "postcode_extract": (q_postcode_extract, SQL_POSTCODE_EXTRACT),
@@ -543,6 +560,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "row_gate": (q_row_gate, SQL_ROW_GATE),
     "distinct_values": (q_distinct_values, SQL_DISTINCT_VALUES),
     "csv_round_trip": (q_csv_round_trip, SQL_CSV_ROUND_TRIP),
+    "single_file_export": (q_single_file_export, SQL_SEGMENT_TOP_K),
     "segment_top_k_ten": (q_segment_top_k_ten, _segment_top_k_sql("HOUSEHOLD", 10)),
     "top_performer_each": (q_top_performer_each, _top_performers_sql(1, 80)),
     "top_products_other_country": (q_top_products_other_country, _top_products_sql("NATION_7", 2)),
