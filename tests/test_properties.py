@@ -190,3 +190,23 @@ def test_rank_then_units_equals_units_for_everyone(frames, calls, people, sales,
     want = lookup(ranked, units, "id", right_on="caller_id", how="left", keep_right_key=True)
     assert got.columns == want.columns
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+@SETTINGS
+@given(
+    left=st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(min_value=0, max_value=9)), max_size=10),
+    right=st.lists(st.tuples(st.sampled_from(["a", "c", None]), st.integers(min_value=0, max_value=9)), max_size=10),
+)
+def test_join_aggregates_matches_brute_force(frames, left, right):
+    from dialstat.operators import join_aggregates, sums_by
+
+    lsum = sums_by(frames(left, "k string, v int"), "k", {"lv": "v"})
+    rsum = sums_by(frames(right, "k string, v int"), "k", {"rv": "v"})
+    got = sorted(map(tuple, join_aggregates(lsum, rsum, "k").collect()), key=str)
+    ltot, rtot = {}, {}
+    for k, v in left:
+        ltot[k] = ltot.get(k, 0) + v
+    for k, v in right:
+        rtot[k] = rtot.get(k, 0) + v
+    want = sorted(((k, v, rtot.get(k) if k is not None else None) for k, v in ltot.items()), key=str)
+    assert got == want
