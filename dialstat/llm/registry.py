@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from dialstat.llm.decontaminate import OP8_SQL, op8_decontaminate
 from dialstat.llm.jaccard_join import OP1_SQL, op1_jaccard_join
 
 QUERIES = {
     "op1_jaccard_join": (op1_jaccard_join, OP1_SQL),
+    "op8_decontaminate": (op8_decontaminate, OP8_SQL),
 }
