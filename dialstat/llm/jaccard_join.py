@@ -10,16 +10,18 @@ its run of elements there.  A key of about nine consecutive elements is shared b
 and by little else, so a line, passage or phrase that many texts share gathers nobody.  Equal
 sets are one node from the start, within each task and then by digest.
 
-Sets that share a key meet in a prefix tree (:func:`trie_links`): members are stored by their
-ordered elements, a probe walks the tree once, overlap counted on a shared prefix is counted
-once for all members below it, and a subtree is left as soon as the elements that remain on
-either side cannot lift the overlap to the bound.
-
-1. every key's smallest node probes the key's other members, in blocks bounded by their size;
-2. components of these links;
-3. keys whose members are still in different components: all their members, in blocks, skipping
-   pairs already connected.  A group of near copies is settled by step 1, so no step writes all
-   pairs of a group.
+Sets meet in prefix trees (:func:`trie_links`): members are stored by their ordered elements, a
+probe walks the tree once, overlap counted on a shared prefix is counted once for all members
+below it, and a subtree is left as soon as the elements that remain on either side cannot lift
+the overlap to the bound.
+
+1. Sets that share keys, directly or through others, form clusters: components of the pairs
+   (smallest node of a key, other node of the key).  Links lie inside clusters.
+2. A cluster of up to ``BLOCK_ELEMENTS`` elements is one prefix tree in one task; a set travels
+   once.  Pairs that other links connect already are skipped.
+3. Larger clusters are taken key by key: a key's smallest node probes the key's others, in
+   blocks of bounded size; then, for keys whose members are still in different components, all
+   members in pairs of blocks, skipping connected pairs.  No step writes all pairs of a group.
 
 Defined results for odd rows: a null or wordless text has an empty set and links with nothing;
 a text of one or two words has its whole word sequence as its one shingle; rows whose sets are
@@ -161,15 +163,17 @@ def _wanted_sets(n: int):
     return run
 
 
-def trie_links(probe: np.ndarray, members: list[np.ndarray], num: int, den: int) -> list[int]:
-    """Positions of the members that link with the probe.
+def tree_order(members: list[np.ndarray]) -> list[int]:
+    """The order of a prefix tree's leaves: lexicographic in the sets' elements."""
+    return sorted(range(len(members)), key=lambda i: members[i].astype(">u8").tobytes())
+
 
-    ``members`` are sorted arrays; the tree over them is walked as ranges of their lexicographic
-    order: a node is a range of members with a common prefix, its segment the part that they
-    share beyond their parent.
+def trie_links(probe: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> list[int]:
+    """Positions of the sets that link with the probe.
+
+    ``sets`` are sorted arrays in tree order.  A node of the tree is a range of sets with a
+    common prefix, its segment the part that they share beyond their parent.
     """
-    order = sorted(range(len(members)), key=lambda i: members[i].astype(">u8").tobytes())
-    sets = [members[i] for i in order]
     sizes = np.array([len(s) for s in sets])
     size, total = len(probe), num + den
     found = []
@@ -194,7 +198,7 @@ def trie_links(probe: np.ndarray, members: list[np.ndarray], num: int, den: int)
             continue
         while lo < hi and len(sets[lo]) == end:  # members that end here come first
             if total * overlap >= num * (size + end):
-                found.append(order[lo])
+                found.append(lo)
             lo += 1
         while lo < hi:
             branch = sets[lo][end]
@@ -211,23 +215,29 @@ def _as_set(values) -> np.ndarray:
 
 
 def _probe_block(num: int, den: int):
+    """One probe against the members of its block."""
+
     def run(block: pd.DataFrame) -> pd.DataFrame:
         probe = block[block["node"] == block["probe"]]
         others = block[block["node"] != block["probe"]]
-        hits = trie_links(_as_set(probe["elements"].iloc[0]), [_as_set(e) for e in others["elements"]], num, den)
-        return pd.DataFrame({"a": [block["probe"].iloc[0]] * len(hits), "b": others["node"].to_numpy()[hits]}, dtype=object)
+        sets = [_as_set(e) for e in others["elements"]]
+        order = tree_order(sets)
+        hits = trie_links(_as_set(probe["elements"].iloc[0]), [sets[i] for i in order], num, den)
+        linked = others["node"].to_numpy()[[order[h] for h in hits]]
+        return pd.DataFrame({"a": [block["probe"].iloc[0]] * len(hits), "b": linked}, dtype=object)
 
     return run
 
 
 def _meet_block(num: int, den: int):
-    """All members of a block pair against each other, but for pairs already connected."""
+    """All members of a block, or of two blocks, but for pairs already connected."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("node")
-        nodes, labels = block["node"].tolist(), block["label"].tolist()
-        home, sides = block["home"].tolist(), (int(block["i"].iloc[0]), int(block["j"].iloc[0]))
+        i, j = int(block["i"].iloc[0]), int(block["j"].iloc[0])
         sets = [_as_set(e) for e in block["elements"]]
+        order = tree_order(sets)
+        sets = [sets[k] for k in order]
+        nodes, labels, home = (block[c].to_numpy()[order].tolist() for c in ("node", "label", "home"))
         parent = {label: label for label in labels}
 
         def root(x):
@@ -238,18 +248,27 @@ def _meet_block(num: int, den: int):
 
         out = []
         for p in range(len(nodes)):
-            if sides[0] != sides[1] and home[p] != sides[0]:
+            if home[p] != i:
                 continue
-            later = range(p + 1, len(nodes)) if sides[0] == sides[1] else range(len(nodes))
-            others = [q for q in later if (sides[0] == sides[1] or home[q] == sides[1]) and root(labels[q]) != root(labels[p])]
+            own = root(labels[p])
+            others = [q for q in range(p + 1 if i == j else 0, len(nodes)) if home[q] == j and root(labels[q]) != own]
             for hit in trie_links(sets[p], [sets[q] for q in others], num, den):
                 out.append((nodes[p], nodes[others[hit]]))
-                parent[root(labels[others[hit]])] = root(labels[p])
+                parent[root(labels[others[hit]])] = root(own)
         return pd.DataFrame(out, columns=["a", "b"], dtype=object)
 
     return run
 
 
+def _cluster_links(clusters: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links inside the clusters of ``clusters(node, label)``, each met in one task."""
+    members = clusters.join(sets, "node").select(
+        "label", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("home"), "node", "elements"
+    )
+    own = members.withColumn("cluster", F.col("label")).withColumn("label", F.col("node"))
+    return own.groupBy("cluster").applyInPandas(_meet_block(num, den), "a binary, b binary")
+
+
 def _first_round(shared: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     pairs = shared.filter(F.col("node") != F.col("center")).select(F.col("center").alias("probe"), "node").distinct()
     members = pairs.join(sets, "node").withColumn("size", F.size("elements"))
@@ -347,12 +366,17 @@ def jaccard_components(
         .dropDuplicates(["node"]),
         "sets",
     )
-    first = stage(_first_round(shared, sets, num, den), "links")
-    labels = connected_components(first)
-    second = stage(_second_round(shared, labels, sets, num, den), "more_links")
-    links = first.union(second)
-    if second.limit(1).count():
-        labels = connected_components(links)
+    clusters = connected_components(shared.select(F.col("center").alias("a"), F.col("node").alias("b")))
+    sized = clusters.join(sets.select("node", F.size("elements").alias("size")), "node")
+    large = sized.groupBy("label").agg(F.sum("size").alias("size")).filter(F.col("size") > BLOCK_ELEMENTS).select("label")
+    large = stage(clusters.join(large, "label").select("node", "label"), "large")
+    links = stage(_cluster_links(clusters.join(large.select("node"), "node", "left_anti"), sets, num, den), "links")
+    if large.limit(1).count():
+        hot = shared.join(large.select("node"), "node", "left_semi")
+        first = stage(_first_round(hot, sets, num, den), "hot_links")
+        second = _second_round(hot, connected_components(first), sets, num, den)
+        links = stage(links.union(first).union(second), "all_links")
+    labels = connected_components(links)
     named = prof.select("doc_id", "n", "node").join(labels, "node", "left")
     label = F.coalesce("label", "node")
     smallest = named.groupBy(label.alias("label")).agg(F.min("doc_id").alias("component_id"))
