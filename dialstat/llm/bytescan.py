@@ -132,6 +132,14 @@ def lowered_words(raw: np.ndarray, bounds: np.ndarray, is_word: np.ndarray) -> t
     return span_hashes(low, starts, ends), per_row
 
 
+def word_tails(raw: np.ndarray, bounds: np.ndarray, is_word: np.ndarray, buckets: int) -> np.ndarray:
+    """A bucket number for every word after lower-casing A-Z, from its last two bytes."""
+    low = LOWER[raw]
+    starts, ends, _ = word_spans(low, bounds, is_word)
+    last, before = low[ends - 1].astype(np.int64), low[np.maximum(ends - 2, starts)].astype(np.int64)
+    return (last * 131 + before * 31) % buckets
+
+
 _GRAM = np.cumprod(np.full(64, 0xD6E8FEB86659FD93, dtype=np.uint64), dtype=np.uint64)
 
 
