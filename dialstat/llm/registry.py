@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from dialstat.llm.bpe import op7_bpe
 from dialstat.llm.decontaminate import OP8_SQL, op8_decontaminate
 from dialstat.llm.jaccard_join import OP1_SQL, op1_jaccard_join
 from dialstat.llm.language_model import op5_language_model
 from dialstat.llm.licenses import op4_licenses
+from dialstat.llm.token_files import op10_token_files
 
 QUERIES = {
     "op1_jaccard_join": (op1_jaccard_join, OP1_SQL),
     "op4_licenses": (op4_licenses, None),
     "op5_language_model": (op5_language_model, None),
+    "op7_bpe": (op7_bpe, None),
     "op8_decontaminate": (op8_decontaminate, OP8_SQL),
+    "op10_token_files": (op10_token_files, None),
 }
