@@ -5,6 +5,7 @@ from __future__ import annotations
 from dialstat.llm.bpe import op7_bpe
 from dialstat.llm.decontaminate import OP8_SQL, op8_decontaminate
 from dialstat.llm.jaccard_join import OP1_SQL, op1_jaccard_join
+from dialstat.llm.language_id import op9_language_id
 from dialstat.llm.language_model import op5_language_model
 from dialstat.llm.licenses import op4_licenses
 from dialstat.llm.token_files import op10_token_files
@@ -15,5 +16,6 @@ QUERIES = {
     "op5_language_model": (op5_language_model, None),
     "op7_bpe": (op7_bpe, None),
     "op8_decontaminate": (op8_decontaminate, OP8_SQL),
+    "op9_language_id": (op9_language_id, None),
     "op10_token_files": (op10_token_files, None),
 }
