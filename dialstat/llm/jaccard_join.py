@@ -18,7 +18,8 @@ the overlap to the bound.
 1. Sets that share keys, directly or through others, form clusters: components of the pairs
    (smallest node of a key, other node of the key).  Links lie inside clusters.
 2. A cluster of up to ``BLOCK_ELEMENTS`` elements is one prefix tree in one task; a set travels
-   once.  Pairs that other links connect already are skipped.
+   once.  Pairs that other links connect already are skipped, and so are pairs that differ in
+   more ranges than linked sets can (:class:`Agreement`, one numpy comparison per probe).
 3. Larger clusters are taken key by key: a key's smallest node probes the key's others, in
    blocks of bounded size; then, for keys whose members are still in different components, all
    members in pairs of blocks, skipping connected pairs.  No step writes all pairs of a group.
@@ -45,7 +46,7 @@ from dialstat.llm.components import connected_components
 from dialstat.llm.staging import rows_within, stage
 
 SPARE = 3  # ranges beyond D: linked sets agree on at least this many
-BLOCK_ELEMENTS = 200_000  # elements of the sets that meet in one prefix tree
+BLOCK_ELEMENTS = 4_000_000  # elements of the sets that meet in one task: 32 MB
 BROADCAST_IDS = 1_000_000  # ids of candidate texts: 8 MB at most
 _U = np.uint64
 
@@ -229,8 +230,53 @@ def _probe_block(num: int, den: int):
     return run
 
 
+class Agreement:
+    """Which members of a block may link, from hashes of the runs in ranges of the order.
+
+    For each size class the universe is cut into twice as many ranges as linked sets may differ
+    in elements; sets that differ in more ranges than that cannot link.
+    """
+
+    def __init__(self, sets: list[np.ndarray], classes: tuple[np.ndarray, np.ndarray], num: int, den: int):
+        self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        self.num, self.den = num, den
+        self.own = np.searchsorted(classes[0], self.sizes, side="right") - 1
+        self.schemes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for c in set(self.own.tolist()) | set((self.own - 1).tolist()):
+            rows = np.flatnonzero((self.own == c) | (self.own == c + 1))
+            m = 2 * int(classes[1][c]) if c >= 0 else 0
+            if m and len(rows) > 1:
+                self.schemes[c] = (rows, np.stack([range_hashes(sets[r], m) for r in rows.tolist()]))
+
+    def candidates(self, p: int) -> np.ndarray:
+        """Members, in ascending order, that are not ruled out against member p."""
+        found = []
+        own = int(self.own[p])
+        for c in (own, own - 1):
+            rows, matrix = self.schemes.get(c, (None, None))
+            if rows is None:
+                continue
+            differ = (matrix != matrix[np.searchsorted(rows, p)]).sum(1)
+            both = self.sizes[rows] + self.sizes[p]
+            may = differ <= both - 2 * -(-self.num * both // (self.num + self.den))
+            # the scheme of a class serves pairs whose smaller set lies in it
+            may &= (self.own[rows] >= own) if c == own else (self.own[rows] == c)
+            found.append(rows[may])
+        out = np.concatenate(found) if found else np.zeros(0, np.int64)
+        return np.sort(out[out != p])
+
+
+def range_hashes(elements: np.ndarray, m: int) -> np.ndarray:
+    """32-bit hash of the elements in each of m equal ranges of the universe."""
+    sums = np.zeros(len(elements) + 1, dtype=np.uint64)
+    np.cumsum(B.mix(elements + _U(0x632BE59BD9B4E019)), out=sums[1:])
+    edges = np.append(elements.searchsorted(np.arange(m, dtype=np.uint64) * _U(2**64 // m)), len(elements))
+    return (B.mix(sums[edges[1:]] - sums[edges[:-1]]) >> _U(32)).astype(np.uint32)
+
+
 def _meet_block(num: int, den: int):
     """All members of a block, or of two blocks, but for pairs already connected."""
+    classes = size_classes(num, den)
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
         i, j = int(block["i"].iloc[0]), int(block["j"].iloc[0])
@@ -246,15 +292,23 @@ def _meet_block(num: int, den: int):
                 x = parent[x]
             return x
 
-        out = []
+        out, apart = [], len(parent)
+        near = Agreement(sets, classes, num, den)
         for p in range(len(nodes)):
+            if apart == 1:
+                break
             if home[p] != i:
                 continue
             own = root(labels[p])
-            others = [q for q in range(p + 1 if i == j else 0, len(nodes)) if home[q] == j and root(labels[q]) != own]
+            others = [
+                q for q in near.candidates(p).tolist() if (q > p or i != j) and home[q] == j and root(labels[q]) != own
+            ]
             for hit in trie_links(sets[p], [sets[q] for q in others], num, den):
                 out.append((nodes[p], nodes[others[hit]]))
-                parent[root(labels[others[hit]])] = root(own)
+                met = root(labels[others[hit]])
+                if met != own:
+                    parent[met] = own
+                    apart -= 1
         return pd.DataFrame(out, columns=["a", "b"], dtype=object)
 
     return run
