@@ -9,9 +9,11 @@ from dialstat.llm.language_id import op9_language_id
 from dialstat.llm.language_model import op5_language_model
 from dialstat.llm.licenses import op4_licenses
 from dialstat.llm.token_files import op10_token_files
+from dialstat.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
     "op1_jaccard_join": (op1_jaccard_join, OP1_SQL),
+    "op3_warc": (op3_warc, OP3_SQL),
     "op4_licenses": (op4_licenses, None),
     "op5_language_model": (op5_language_model, None),
     "op7_bpe": (op7_bpe, None),

@@ -55,7 +55,8 @@ CONTAINERS_PER_FILE = 8  # a file is read whole: about 16 MB, or one very long d
 KEPT_PIECES = 1_000_000
 MAGIC = b"DACTOK1\n"
 END_MARK = "\nDACTOK-END\n"
-_HEAD = struct.Struct("<8s6Q")
+_HEAD = "<8s6Q"
+_HEAD_BYTES = struct.calcsize(_HEAD)
 
 
 def pack_levels(ids: np.ndarray) -> list[bytes]:
@@ -80,17 +81,17 @@ def pack_container(part: int, first: int, doc_ids: list[int | None], counts: np.
     keys = np.array([0 if d is None else d for d in doc_ids], dtype="<i8")
     valid = np.packbits([d is not None for d in doc_ids], bitorder="little")
     body = b"".join([keys.tobytes(), valid.tobytes(), counts.astype("<u8").tobytes(), *levels])
-    return _HEAD.pack(MAGIC, _HEAD.size + len(body), part, first, len(keys), len(ids), len(levels)) + body
+    return struct.pack(_HEAD, MAGIC, _HEAD_BYTES + len(body), part, first, len(keys), len(ids), len(levels)) + body
 
 
 class Container:
     """One container over a buffer; nothing is decoded until it is asked for."""
 
     def __init__(self, data: memoryview):
-        magic, self.length, self.part, self.first, docs, self.tokens, levels = _HEAD.unpack_from(data, 0)
+        magic, self.length, self.part, self.first, docs, self.tokens, levels = struct.unpack_from(_HEAD, data)
         if magic != MAGIC or self.length > len(data):
             raise ValueError("not a token container, or cut off")
-        self._data, self._at = data, _HEAD.size
+        self._data, self._at = data, _HEAD_BYTES
         keys, valid = self._take("<i8", docs), self._take("u1", (docs + 7) // 8)
         valid = np.unpackbits(valid, count=docs, bitorder="little")
         self.doc_ids = [k if v else None for k, v in zip(keys.tolist(), valid.tolist())]
