@@ -121,6 +121,7 @@ class WordEncoder:
         self.ids_text: list[str] = []
         self.tokens_text: list[str] = []
         self.counts: list[int] = []
+        self.pool: list[np.ndarray] = []  # ids of all words, one after the other
         self.number_of: list[int] = []  # plain piece number -> word number
 
     def _add(self, words: list[str]) -> list[int]:
@@ -131,6 +132,7 @@ class WordEncoder:
             self.ids_text.append(" ".join(digits[a:b]))
             self.tokens_text.append(" ".join(names[a:b]))
         self.counts += np.diff(bounds).tolist()
+        self.pool.append(ids)
         return list(range(first, len(self.counts)))
 
     def _odd_numbers(self, text: str) -> list[int]:
@@ -156,6 +158,7 @@ class WordEncoder:
                     self.ids_text.append(str(self.special[m[0]]))
                     self.tokens_text.append(m[0])
                     self.counts.append(1)
+                    self.pool.append(np.array([self.special[m[0]]]))
                 out.append(self.odd[key])
                 at = m.end()
         return out
@@ -178,6 +181,19 @@ class WordEncoder:
             for t, e, a, b in zip(texts, easy.tolist(), at[:-1].tolist(), at[1:].tolist())
         ]
 
+    def flat_ids(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows in one array, row bounds) for rows of word numbers."""
+        counts = np.array(self.counts, dtype=np.int64)
+        begins = np.concatenate([[0], np.cumsum(counts)])
+        self.pool = [np.concatenate(self.pool)] if self.pool else []
+        words = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        sizes = counts[words] if len(words) else words
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        if not total[-1]:
+            return np.zeros(0, np.int64), np.zeros(len(rows) + 1, np.int64)
+        ids = self.pool[0][np.arange(total[-1]) - np.repeat(total[:-1] - begins[words], sizes)]
+        return ids, total[np.concatenate([[0], np.cumsum([len(r) for r in rows])])]
+
 
 _DDL = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -223,12 +239,12 @@ def _encodings(source):
         for batch in batches:
             for first, texts in text_groups(batch, 1):
                 rows = coder.encode(texts)
-                ids = [[int(i) for n in r.tolist() for i in coder.ids_text[n].split()] for r in rows]
+                ids, cuts = coder.flat_ids(rows)
                 yield pa.record_batch(
                     [
                         batch.column(0).slice(first, len(texts)),
-                        pa.array(ids, pa.list_(pa.int32())),
-                        pa.array([" ".join(coder.tokens_text[n] for n in r.tolist()) for r in rows]),
+                        pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids.astype(np.int32))),
+                        pa.array([" ".join(coder.tokens_text[n] for n in r.tolist()) for r in rows], pa.string()),
                     ],
                     names=["doc_id", "ids", "decoded"],
                 )

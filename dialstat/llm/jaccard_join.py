@@ -4,10 +4,11 @@ A text's set is its distinct 3-word shingles as 64-bit hashes; the hash value is
 order.  Texts link when ``den * |A and B| >= num * |A or B|``, by default a Jaccard of 0.9.
 
 How the sets are dealt out without losing a link: two linked sets differ in at most D elements
-(D follows from their sizes).  The ordered universe is cut into D + 3 ranges, so linked sets
-agree *wholly* on at least three of them; every set is sent to one key per range, the hash of
-its run of elements there.  A key of about nine consecutive elements is shared by near copies
-and by little else, so a line, passage or phrase that many texts share gathers nobody.  Equal
+(D follows from their sizes).  The ordered universe is cut into D + s ranges, so linked sets
+agree *wholly* on at least s of them (s is larger than the empty ranges that a set of this size
+has, but for rare sets, whose empty ranges are keys too); every set is sent to one key per range,
+the hash of its run of elements there.  A key of several consecutive elements is shared by near
+copies and by little else, so a line, passage or phrase that many texts share gathers nobody.  Equal
 sets are one node from the start, within each task and then by digest.
 
 Sets meet in prefix trees (:func:`trie_links`): members are stored by their ordered elements, a
@@ -45,7 +46,6 @@ from dialstat.llm import bytescan as B
 from dialstat.llm.components import connected_components
 from dialstat.llm.staging import rows_within, stage
 
-SPARE = 3  # ranges beyond D: linked sets agree on at least this many
 BLOCK_ELEMENTS = 4_000_000  # elements of the sets that meet in one task: 32 MB
 BROADCAST_IDS = 1_000_000  # ids of candidate texts: 8 MB at most
 _U = np.uint64
@@ -60,8 +60,9 @@ PROFILE = pa.schema(
 )
 
 
-def size_classes(num: int, den: int, upto: int = 1 << 26) -> tuple[np.ndarray, np.ndarray]:
-    """(lower size of each class, number of ranges of each class; 0: only equal sets link).
+def size_classes(num: int, den: int, upto: int = 1 << 26) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lower size, number of ranges, ranges that linked sets agree on) of each class; a class
+    without ranges has only equal sets that link.
 
     Sets that link have sizes in one class or in two neighbouring ones.  The ranges of a class
     serve pairs whose smaller set lies in it.
@@ -74,7 +75,12 @@ def size_classes(num: int, den: int, upto: int = 1 << 26) -> tuple[np.ndarray, n
     both = largest + den * largest // num
     # overlap >= num * (x + y) / (num + den), so they differ in x + y - 2 * overlap at most
     differ = (den - num) * both // (num + den)
-    return lows, np.where(differ > 0, differ + SPARE, 0)
+    spare = np.full(len(differ), 3)
+    for _ in range(8):  # more than the empty ranges of nearly every set: mean and six deviations
+        ranges = differ + spare
+        empty = ranges * np.exp(-lows[:-1] / ranges)
+        spare = np.clip(np.ceil(empty + 6 * np.sqrt(empty) + 2), 3, 10 + differ // 20).astype(np.int64)
+    return lows, np.where(differ > 0, differ + spare, 0), spare
 
 
 def shingle_sets(raw: np.ndarray, bounds: np.ndarray, n: int) -> list[np.ndarray]:
@@ -99,9 +105,9 @@ def set_digest(elements: np.ndarray) -> bytes:
     return one.to_bytes(8, "big") + (two >> 32).to_bytes(4, "big")
 
 
-def range_keys(elements: np.ndarray, classes: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+def range_keys(elements: np.ndarray, classes: tuple[np.ndarray, ...]) -> np.ndarray:
     """One key per range of the set's own class and of the class below."""
-    lows, ranges = classes
+    lows, ranges, spare = classes
     own = int(np.searchsorted(lows, len(elements), side="right")) - 1
     sums = np.zeros(len(elements) + 1, dtype=np.uint64)
     np.cumsum(B.mix(elements + _U(0x632BE59BD9B4E019)), out=sums[1:])
@@ -116,8 +122,8 @@ def range_keys(elements: np.ndarray, classes: tuple[np.ndarray, np.ndarray]) ->
         counts = np.diff(edges)
         tags = B.mix(np.arange(m, dtype=np.uint64) * _U(0x9E3779B97F4A7C15) + _U(c + 1))
         key = B.mix(sums[edges[1:]] - sums[edges[:-1]] + tags + counts.astype(np.uint64))
-        # Agreeing ranges may all be empty only if a set has SPARE empty ones.
-        keys.append(key if (counts == 0).sum() >= SPARE else key[counts > 0])
+        # The ranges that linked sets agree on may all be empty only if a set has that many.
+        keys.append(key if (counts == 0).sum() >= spare[c] else key[counts > 0])
     return np.concatenate(keys) if keys else elements[:0]
 
 
@@ -237,7 +243,7 @@ class Agreement:
     in elements; sets that differ in more ranges than that cannot link.
     """
 
-    def __init__(self, sets: list[np.ndarray], classes: tuple[np.ndarray, np.ndarray], num: int, den: int):
+    def __init__(self, sets: list[np.ndarray], classes: tuple[np.ndarray, ...], num: int, den: int):
         self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
         self.num, self.den = num, den
         self.own = np.searchsorted(classes[0], self.sizes, side="right") - 1
