@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialstat.llm.bytescan import CHUNK_BYTES
 from dialstat.llm.pretokens import PieceTable, byte_characters, code_points, seal_odd_rows, split_words, worker_keeps
 
-KEPT_WORDS = 800_000
+KEPT_WORDS = 300_000  # words whose tokens a worker keeps: about 100 MB
+GROUP_CHARS = 1 << 20
 _NONE = np.int64(1 << 40)  # rank of a pair that does not merge
 
 
@@ -198,7 +198,7 @@ class WordEncoder:
 _DDL = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def text_groups(batch: pa.RecordBatch, column: int, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[str]]]:
+def text_groups(batch: pa.RecordBatch, column: int, limit: int = GROUP_CHARS) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) groups of a batch near ``limit`` characters; a null text is empty."""
     first, held, size = 0, [], 0
     for row, value in enumerate(batch.column(column)):

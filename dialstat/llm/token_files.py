@@ -52,7 +52,7 @@ CHUNK_BITS = 8
 RANK_BITS = 512
 CONTAINER_TOKENS = 1 << 20
 CONTAINERS_PER_FILE = 8  # a file is read whole: about 16 MB, or one very long document
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 500_000  # pieces whose ids a worker keeps: about 100 MB
 MAGIC = b"DACTOK1\n"
 END_MARK = "\nDACTOK-END\n"
 _HEAD = "<8s6Q"
