@@ -151,16 +151,20 @@ def write_warc(
 
     :param least_revisit: payloads of fewer bytes are always responses
     """
-    # The row number tells equal rows apart; it follows from the scan's own order.
+    # A row number tells equal rows apart.  It is written with the rows: another run of the
+    # plan behind ``pages`` may number them anew.
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    rows = pages.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(id_col).cast("long").alias("page_id"),
-        F.col(url_col).cast("string").alias("url"),
-        html.alias("html"),
-        F.sha1(html.cast("binary")).alias("sha1"),
+    rows = stage(
+        pages.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.col(id_col).cast("long").alias("page_id"),
+            F.col(url_col).cast("string").alias("url"),
+            html.alias("html"),
+            F.sha1(html.cast("binary")).alias("sha1"),
+        ),
+        "pages",
     )
-    keys = stage(rows.select("row", "page_id", "sha1", F.octet_length("html").alias("bytes")), "page_keys")
+    keys = rows.select("row", "page_id", "sha1", F.octet_length("html").alias("bytes"))
     order = F.struct(F.col("page_id").isNull().alias("last"), "page_id", "row")
     first = (
         keys.filter(F.col("bytes") >= least_revisit)
