@@ -21,7 +21,7 @@ from dialstat.llm.quality import judge_quality
 from dialstat.llm.staging import rows_within, stage
 
 BROADCAST_IDS = 1_000_000  # 8 MB
-LEAST_SCORE = 0.35  # language scores below are no language that was learned
+LEAST_SCORE = 0.3  # language scores below are no language that was learned
 
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:

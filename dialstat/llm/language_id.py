@@ -38,7 +38,7 @@ EMBEDDING = 8
 PER_LANGUAGE = 400  # sampled rows of each language
 WINDOWS_PER_TEXT = 6
 BROADCAST_ROWS = 1_000_000
-EPOCHS, BATCH, RATE = 6, 64, 0.004
+STEPS, BATCH, RATE = 900, 64, 0.004
 UNKNOWN = "und"
 
 
@@ -110,16 +110,15 @@ class Network:
         rng = np.random.default_rng(seed)
         mean = {k: np.zeros_like(v) for k, v in self.p.items()}
         square = {k: np.zeros_like(v) for k, v in self.p.items()}
-        step = 0
-        for _ in range(EPOCHS):
-            order = rng.permutation(len(x))
-            for lo in range(0, len(x), BATCH):
-                part = order[lo : lo + BATCH]
-                step += 1
-                for k, g in self.gradients(x[part], y[part]).items():
-                    mean[k] += 0.1 * (g - mean[k])
-                    square[k] += 0.001 * (g * g - square[k])
-                    self.p[k] -= RATE * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
+        order = np.zeros(0, dtype=np.int64)
+        for step in range(1, STEPS + 1):
+            if len(order) < BATCH:  # the rows again and again, in a new order each time
+                order = np.concatenate([order, rng.permutation(len(x))])
+            part, order = order[:BATCH], order[BATCH:]
+            for k, g in self.gradients(x[part], y[part]).items():
+                mean[k] += 0.1 * (g - mean[k])
+                square[k] += 0.001 * (g * g - square[k])
+                self.p[k] -= RATE * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
 
 
 class Predictor:

@@ -45,6 +45,8 @@ FEATURES = [
 ]
 NAMES = [f[0] for f in FEATURES]
 FLOORS = [f[2] for f in FEATURES]
+STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words")
+_WORKING = ("words", "lines", "bits", "packed", "pairs", "maybe", "keyed", "starts")
 SHARE = 0.75
 STEPS = 4
 LEAST_ROWS = 50
@@ -87,9 +89,9 @@ def _neighbours(sorted_items: Column, same) -> Column:
 
 
 def text_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` without its text, with n_words, word_chars, n_symbols, n_dup_lines, n_lines and
-    n_repeat_words (all long)."""
-    others = [c for c in docs.columns if c != text_col]
+    """``docs`` without its text, with :data:`STATISTICS` (all long); columns of ``docs`` that have
+    the name of a statistic or of a working column are left out."""
+    others = [c for c in docs.columns if c not in (text_col, *STATISTICS, *_WORKING)]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     split = docs.select(

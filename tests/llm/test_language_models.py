@@ -1,0 +1,163 @@
+"""The log-bilinear scorer (counts, normalisation, gain) and the byte network (accuracy)."""
+
+import collections
+import math
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from dialstat.llm import language_id as I
+from dialstat.llm import language_model as M
+from odd import odd_documents, rows_of
+
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def tokens(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER)) + [None]  # None: the end
+
+
+def held(doc_id, folds=10, fold=0):
+    return doc_id is None or zlib.crc32(str(doc_id).encode()) % folds == fold
+
+
+def expected(rows):
+    counts = collections.Counter(t for i, text in rows if not held(i) for t in tokens(text))
+    n, mass = sum(counts.values()), sum(counts.values()) + 0.1 * (len(counts) + 1)
+    out = []
+    for i, text in rows:
+        own = tokens(text)
+        base = sum(math.log10((counts[t] + 0.1) / mass) for t in own)
+        out.append((i, held(i), len(own), sum(counts[t] > 0 for t in own), n, base))
+    return out
+
+
+def same(got, want):
+    assert len(got) == len(want)
+    key = lambda r: (str(r[0]), r[2], round(r[5], 6))
+    for a, b in zip(sorted(got, key=key), sorted(want, key=key)):
+        assert tuple(a[:5]) == tuple(b[:5]) and a[5] == pytest.approx(b[5], rel=1e-9, abs=1e-9)
+
+
+@pytest.mark.parametrize("head", [M.HEAD, 100, 0])
+def test_counts_and_base_scores(spark, documents, head):
+    """Also when most words, or all, are joined and not sent to the tasks."""
+    rows = [(r[0], r[1]) for r in documents]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [tuple(r.values()) for r in rows_of(M.score_documents(df, head=head))]
+    same(got, expected(rows))
+    if head == M.HEAD:
+        out = [r for r in got if r[1]]
+        assert sum(r[6] for r in out) > sum(r[5] for r in out)  # better than the base on held-out text
+        assert all(r[6] < 0 for r in got)
+
+
+def test_class_probabilities_sum_to_one_after_every_context():
+    rng = np.random.default_rng(1)
+    k = 40
+    q = rng.random(k)
+    trainer = M.Trainer(q / q.sum(), 3)
+    trainer.learn(rng.integers(0, k, 5000), np.arange(100, 5001, 100))
+    scorer = M.Scorer(trainer.r, trainer.c, trainer.b)
+    one, two, w = np.meshgrid(np.arange(k), np.arange(k), np.arange(k), indexing="ij")
+    total = (10 ** scorer.log10(one.ravel(), two.ravel(), w.ravel())).reshape(k * k, k).sum(1)
+    assert np.allclose(total, 1, atol=1e-4)
+    # the direct softmax of one context
+    logits = (trainer.c[0] * trainer.r[3] + trainer.c[1] * trainer.r[5]) @ trainer.r.T + trainer.b
+    direct = logits - np.log(np.exp(logits.astype(float)).sum())
+    assert np.allclose(scorer.log10(np.full(k, 3), np.full(k, 5), np.arange(k)) * np.log(10), direct, atol=1e-4)
+
+
+def test_training_learns_a_rule():
+    rng = np.random.default_rng(2)
+    start = rng.integers(0, 10, 3000)
+    classes = np.stack([start, start + 10], 1).ravel()  # class c is always followed by c + 10
+    trainer = M.Trainer(np.full(20, 0.05), 3)
+    for _ in range(30):
+        trainer.learn(classes, np.array([len(classes)]))
+    scorer = M.Scorer(trainer.r, trainer.c, trainer.b)
+    follow = 10 ** scorer.log10(np.arange(10), np.full(10, 12), np.arange(10, 20))
+    assert follow.mean() > 0.2  # 0.05 by chance
+
+
+def test_contexts_stop_at_row_ends():
+    classes, ends = np.array([5, 6, 7, 0, 0, 8, 0]), np.array([4, 5, 7])
+    one, two = M.contexts(classes, ends)
+    assert one.tolist() == [0, 5, 6, 7, 0, 0, 8] and two.tolist() == [0, 0, 5, 6, 0, 0, 0]
+
+
+def test_odd_rows_model(spark, odd, nothing):
+    got = [tuple(r.values()) for r in rows_of(M.score_documents(odd))]
+    same(got, expected([(r[0], r[1]) for r in odd_documents()]))
+    assert M.score_documents(nothing).count() == 0
+    only_held = odd.filter("doc_id IS NULL")
+    got = rows_of(M.score_documents(only_held))
+    assert {(r["train_tokens"], r["n_known"]) for r in got} == {(0, 0)} and all(math.isfinite(r["score"]) for r in got)
+
+
+def test_languages_of_held_out_documents(spark, documents):
+    df = spark.createDataFrame(documents, "doc_id long, text string, lang string, source string").repartition(3)
+    got = {r["doc_id"]: r for r in rows_of(I.identify_languages(df))}
+    assert {i: r["held_out"] for i, r in got.items()} == {d[0]: held(d[0], 3, 1) for d in documents}
+    out = [(got[d[0]]["lang_pred"], d[2]) for d in documents if held(d[0], 3, 1)]
+    assert sum(a == b for a, b in out) >= 0.95 * len(out)
+    # the language of a document and its source change nothing for documents that are not learned from
+    blind = df.withColumns({"lang": I.F.when(I.F.crc32(I.F.col("doc_id").cast("string")) % 3 != 1, I.F.col("lang")), "source": I.F.lit("x")})
+    assert {r["doc_id"]: r["lang_pred"] for r in rows_of(I.identify_languages(blind))} == {i: r["lang_pred"] for i, r in got.items()}
+
+
+def test_pair_tables_equal_the_filters():
+    network = I.Network(4, 1)
+    x = np.random.default_rng(0).integers(0, 256, (70, I.WINDOW)).astype(np.uint8)
+    _, pooled, _ = network._forward(x)
+    direct = network.softmax(pooled @ network.p["dense"] + network.p["offset"])
+    assert np.allclose(I.Predictor(network.p).probabilities(x), direct, atol=1e-5)
+
+
+def test_gradients_match_differences():
+    network = I.Network(3, 2)
+    network.p = {k: v.astype(np.float64) for k, v in network.p.items()}
+    rng = np.random.default_rng(1)
+    x, y = rng.integers(0, 256, (5, 40)), rng.integers(0, 3, 5)
+
+    def loss():
+        _, pooled, _ = network._forward(x)
+        return -np.log(network.softmax(pooled @ network.p["dense"] + network.p["offset"])[np.arange(5), y]).mean()
+
+    found = network.gradients(x, y)
+    for name, p in network.p.items():
+        flat, grad = p.reshape(-1), found[name].reshape(-1)
+        for i in np.argsort(-np.abs(grad))[:3]:
+            old, h = flat[i], 1e-5
+            flat[i] = old + h
+            up = loss()
+            flat[i] = old - h
+            down = loss()
+            flat[i] = old
+            assert (up - down) / (2 * h) == pytest.approx(grad[i], rel=1e-3, abs=1e-6)
+
+
+def test_windows_cover_every_byte():
+    sizes = [0, 1, 3, 255, 256, 257, 600]
+    raw = np.random.default_rng(4).integers(1, 256, sum(sizes)).astype(np.uint8)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    windows, row, left = I.cut_windows(raw, bounds)
+    for k, size in enumerate(sizes):
+        own = windows[row == k]
+        joined = b"".join(w[:n].tobytes()[: I.STEP] for w, n in zip(own[:-1], left[row == k][:-1]))
+        joined += own[-1][: left[row == k][-1]].tobytes() if len(own) else b""
+        assert joined == raw[bounds[k] : bounds[k + 1]].tobytes()
+
+
+def test_odd_rows_languages(spark, odd, nothing):
+    got = rows_of(I.identify_languages(odd))
+    assert len(got) == len(odd_documents()) and all(0 <= r["score"] <= 1 for r in got)
+    by_id = {r["doc_id"]: r["lang_pred"] for r in got if r["doc_id"] is not None}
+    assert [by_id[i] for i in (4, 5, 6, 9)] == ["und", "und", "und", "und"][:3] + [by_id[9]]
+    assert by_id[9] == "und" and by_id[1] != "und"
+    assert set(by_id.values()) <= {"und", "en", "de", "fr", "ja"}
+    unlabelled = odd.withColumn("lang", I.F.lit(None).cast("string"))
+    assert {(r["lang_pred"], r["score"]) for r in rows_of(I.identify_languages(unlabelled))} == {("und", 0.0)}
+    assert I.identify_languages(nothing).count() == 0
