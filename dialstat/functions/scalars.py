@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 # match in the text is the postcode, an address without one gives the empty string.
 POSTCODE_PATTERN = r"(\d{4}\s?[A-Z]{2})"
 
-# Money is summed as an exact decimal so totals do not depend on partition order.
-MONEY_TYPE = "decimal(18,2)"
+# Amounts are added as decimals with ten decimals, so totals do not depend on partition order
+# and no amount is rounded to cents before it is added.  A sum has room for 28 whole digits.
+MONEY_TYPE = "decimal(28,10)"
 
 
 def _col(c: Column | str) -> Column:
@@ -30,9 +31,22 @@ def percentage(part: Column | str, whole: Column | str, digits: int = 2) -> Colu
     return F.round(F.try_divide(hundred * _col(part), _col(whole)), digits)
 
 
+def exact_money(c: Column | str) -> Column:
+    """An amount as a decimal, to ten decimals.
+
+    NaN and infinities raise: they are no amounts, and leaving them out would change a total
+    in silence.  So does an amount of 1e18 or more.
+    """
+    amount = _col(c).cast("double")
+    odd = F.isnan(amount) | (F.abs(amount) >= F.lit(1e18))
+    return F.when(odd, F.raise_error(F.concat(F.lit("not an amount: "), amount.cast("string")))).otherwise(
+        _col(c).cast(MONEY_TYPE)
+    )
+
+
 def money_sum(c: Column | str) -> Column:
-    """Exact sum of an amount with two decimals; null when every input is null."""
-    return F.sum(_col(c).cast(MONEY_TYPE))
+    """Exact sum of an amount; null when every input is null.  Round once, when it is shown."""
+    return F.sum(exact_money(c))
 
 
 def money_text(c: Column | str, digits: int = 2) -> Column:

@@ -7,6 +7,7 @@ rows is already reduced to one row per task before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,11 +59,11 @@ def join_aggregates(left: DataFrame, right: DataFrame, on: str | Sequence[str],
     keeps its row with nulls from ``right``.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    if not keys:
+        raise ValueError("no key to join on")
     tmp = [f"__jk{i}" for i in range(len(keys))]
     side = right.select(*[F.col(k).alias(t) for k, t in zip(keys, tmp)], *[c for c in right.columns if c not in keys])
-    cond = F.lit(True)
-    for k, t in zip(keys, tmp):
-        cond = cond & (left[k] == side[t])
+    cond = reduce(lambda a, b: a & b, [left[k] == side[t] for k, t in zip(keys, tmp)])
     return left.join(side, cond, how).drop(*tmp)
 
 

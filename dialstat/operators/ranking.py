@@ -11,11 +11,13 @@ Plans at scale:
 * ``top_n_per_group``: ``row_number() <= n`` lets Catalyst insert a partial group limit
   (WindowGroupLimit) before the shuffle, so each task ships at most n rows per group; a group
   holding a third of all rows is cut down where it is read.  Spark applies that rule up to
-  ``spark.sql.optimizer.windowGroupLimitThreshold``; for larger n we first keep the top n
-  inside salted sub-groups (an exact superset of the group's top n), so no single task has
-  to sort a hot group whole.  The salt mixes the input partition into a hash of the row, so
-  even identical rows spread out, over as many buckets as the session has shuffle
-  partitions (at least ``SALT_BUCKETS``): sub-groups shrink as the cluster grows.
+  ``spark.sql.optimizer.windowGroupLimitThreshold``; raise it where n is larger and n rows per
+  group and task are still few.  Above it we keep the top n level by level: first inside
+  salted sub-groups, then inside ever fewer sub-groups, each made of ``FAN_IN`` of those below.
+  Every level is an exact superset of the group's top n, and no task sorts more than a
+  sub-group's share of the rows or ``FAN_IN`` x n rows of a group.  The salt mixes the input
+  partition into a hash of the row, so even identical rows spread out; there are at least as
+  many sub-groups as the session has shuffle partitions.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALT_BUCKETS = 64
+FAN_IN = 8
+SALT_BUCKETS = 64  # at least so many sub-groups on the first level; a power of the fan-in
 _RANK = "__rank"
 _SALT = "__salt"
 
@@ -92,15 +95,17 @@ def top_n_per_group(
     by = [by] if isinstance(by, str) else list(by)
     sort = ordering(df, order, tie_break, exclude=by)
     if n > _group_limit_threshold(df):
-        buckets = max(SALT_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        buckets = SALT_BUCKETS
+        while buckets < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+            buckets *= FAN_IN
         salt_source = [F.col(c) for c in df.columns if c not in by] + [F.spark_partition_id()]
-        salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*salt_source), F.lit(buckets)))
-        inner = Window.partitionBy(*by, _SALT).orderBy(*sort)
-        df = (
-            salted.withColumn(_RANK, F.row_number().over(inner))
-            .filter(F.col(_RANK) <= n)
-            .drop(_RANK, _SALT)
-        )
+        df = df.withColumn(_SALT, F.pmod(F.xxhash64(*salt_source), F.lit(buckets)))
+        while buckets > 1:
+            level = Window.partitionBy(*by, _SALT).orderBy(*sort)
+            df = df.withColumn(_RANK, F.row_number().over(level)).filter(F.col(_RANK) <= n).drop(_RANK)
+            buckets //= FAN_IN
+            df = df.withColumn(_SALT, F.col(_SALT) % buckets)
+        df = df.drop(_SALT)
     window = Window.partitionBy(*by).orderBy(*sort)
     ranked = df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) <= n)
     if rank_column:

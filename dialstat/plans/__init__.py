@@ -1,6 +1,6 @@
 """Report compositions (R1-R6), the report job (B1) and the driver's query catalogue."""
 
-from dialstat.plans.job import load_inputs, run_report, run_reports
+from dialstat.plans.job import ReportsError, load_inputs, run_report, run_reports
 from dialstat.plans.reports import (
     REPORTS,
     Report,
@@ -17,6 +17,7 @@ from dialstat.plans.reports import (
 __all__ = [
     "REPORTS",
     "Report",
+    "ReportsError",
     "best_seller_by_country",
     "format_breakdown",
     "load_inputs",

@@ -9,18 +9,18 @@ keep the same rows.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialstat.functions.scalars import money_sum, money_text
+from dialstat.functions.scalars import MONEY_TYPE, POSTCODE_PATTERN, money_sum, money_text
 from dialstat.operators.aggregate import distinct_values, join_aggregates, ratio_of_sums, sums_by
 from dialstat.operators.lookup import lookup
 from dialstat.operators.quality import duplicate_keys, violation_counts
 from dialstat.operators.ranking import top_n_per_group
 from dialstat.plans import reports as R
+from dialstat.plans.job import run_report
 from dialstat.session import shared_scratch_path
 from dialstat.sources.analogues import (
     CALLS_SQL,
@@ -32,14 +32,13 @@ from dialstat.sources.analogues import (
     sales_table,
 )
 from dialstat.sources.export import write_result
-from dialstat.sources.tables import read_table
+from dialstat.sources.tables import SALES_COLUMNS, read_table
 
 # Report parameters on the driver data.
 TOP_K_AREA = "MACHINERY"
 POSTCODE_AREA = "BUILDING"
 COUNTRY = "NATION_3"
 LOOKUP_SEGMENTS = ("AUTOMOBILE", "BUILDING", "MACHINERY")
-MONTH_START, MONTH_END = "1996-03-01", "1996-04-01"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,7 +75,7 @@ def q_postcode_extract(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SQL_POSTCODE_EXTRACT = _WITH + rf"""
-SELECT c.id, p.address, regexp_extract(p.address, '(\d{{4}}\s?[A-Z]{{2}})', 1) AS zip_code
+SELECT c.id, p.address, regexp_extract(p.address, '{POSTCODE_PATTERN}', 1) AS zip_code
 FROM calls c LEFT JOIN people p ON c.id = p.id
 WHERE c.area = '{POSTCODE_AREA}'
 """
@@ -94,18 +93,12 @@ SELECT c.area,
        CASE WHEN c.area IS NULL THEN NULL
             ELSE format('{{:,.2f}}', CAST(SUM(p.person_sales) AS DOUBLE)) END AS total_sales_amount
 FROM calls c
-LEFT JOIN (SELECT id, SUM(CAST(sales_amount AS DECIMAL(18,2))) AS person_sales
+LEFT JOIN (SELECT id, SUM(CAST(sales_amount AS {MONEY_TYPE})) AS person_sales
            FROM people GROUP BY id) p ON c.id = p.id
 GROUP BY c.area
 """
 
 
-@functools.lru_cache(maxsize=None)
-def _department_bound(spark: SparkSession, sf: str) -> int:
-    """Departments are market segments; counted once per session and folder."""
-    return calls_table(spark, sf).select("area").distinct().count()
-
-
 def q_top_performers(spark: SparkSession, sf: str) -> DataFrame:
     return R.top_performers(
         calls_table(spark, sf),
@@ -113,7 +106,6 @@ def q_top_performers(spark: SparkSession, sf: str) -> DataFrame:
         sales_table(spark, sf),
         n=3,
         threshold=75,
-        max_departments=_department_bound(spark, sf),
     )
 
 
@@ -182,17 +174,8 @@ FROM best b JOIN (SELECT * FROM people WHERE {people_filter}) p ON b.caller_id =
 """
 
 
-@functools.lru_cache(maxsize=None)
-def _country_bound(spark: SparkSession, sf: str) -> int:
-    """Countries of the sales table are nation names (an inner join), so the nation table's
-    row count bounds them; counted once per session and folder."""
-    return driver_table(spark, sf, "nation").count()
-
-
 def q_best_seller_by_country(spark: SparkSession, sf: str) -> DataFrame:
-    return R.best_seller_by_country(
-        people_table(spark, sf), sales_table(spark, sf), n=1, max_countries=_country_bound(spark, sf)
-    )
+    return R.best_seller_by_country(people_table(spark, sf), sales_table(spark, sf), n=1)
 
 
 SQL_BEST_SELLER_BY_COUNTRY = _best_seller_sql("TRUE")
@@ -210,7 +193,6 @@ def q_top_performer_each(spark: SparkSession, sf: str) -> DataFrame:
         sales_table(spark, sf),
         n=1,
         threshold=80,
-        max_departments=_department_bound(spark, sf),
     )
 
 
@@ -219,9 +201,7 @@ def q_top_products_other_country(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_best_sellers_top_three(spark: SparkSession, sf: str) -> DataFrame:
-    return R.best_seller_by_country(
-        people_table(spark, sf), sales_table(spark, sf), n=3, max_countries=_country_bound(spark, sf)
-    )
+    return R.best_seller_by_country(people_table(spark, sf), sales_table(spark, sf), n=3)
 
 
 # --- single operators ----------------------------------------------------------------------
@@ -262,9 +242,9 @@ def q_sums_by_key(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-SQL_SUMS_BY_KEY = """
+SQL_SUMS_BY_KEY = f"""
 SELECT o_orderpriority,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price,
+       CAST(SUM(CAST(o_totalprice AS {MONEY_TYPE})) AS DOUBLE) AS total_price,
        COUNT(*) AS order_count,
        CAST(SUM(o_custkey) AS BIGINT) AS customer_key_sum
 FROM orders GROUP BY o_orderpriority
@@ -306,8 +286,8 @@ def q_money_text(spark: SparkSession, sf: str) -> DataFrame:
     return customer.groupBy("c_nationkey").agg(money_text(money_sum("c_acctbal")).alias("total_balance"))
 
 
-SQL_MONEY_TEXT = """
-SELECT c_nationkey, format('{:,.2f}', CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE)) AS total_balance
+SQL_MONEY_TEXT = f"""
+SELECT c_nationkey, format('{{:,.2f}}', CAST(SUM(CAST(c_acctbal AS {MONEY_TYPE})) AS DOUBLE)) AS total_balance
 FROM customer GROUP BY c_nationkey
 """
 
@@ -351,55 +331,47 @@ WHERE {_rate_sql('c.calls_made', 'c.calls_successful')} > 75
 
 
 def q_left_to_aggregate(spark: SparkSession, sf: str) -> DataFrame:
-    customer = driver_table(spark, sf, "customer").select("c_custkey", "c_name")
-    orders = driver_table(spark, sf, "orders")
-    # Literals of the column's own type, so the range reaches the parquet scan as is.
-    date_type = orders.schema["o_orderdate"].dataType
-    orders = orders.filter(
-        (F.col("o_orderstatus") == "F")
-        & (F.col("o_orderdate") >= F.lit(MONTH_START).cast(date_type))
-        & (F.col("o_orderdate") < F.lit(MONTH_END).cast(date_type))
+    """Every order with the totals of all its line items; some orders have none."""
+    orders = driver_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    per_order = sums_by(
+        driver_table(spark, sf, "lineitem"),
+        "l_orderkey",
+        {"line_total": money_sum("l_extendedprice").cast("double"), "line_count": F.count(F.lit(1))},
     )
-    month = sums_by(
-        orders,
-        "o_custkey",
-        {"f_total": money_sum("o_totalprice").cast("double"), "f_orders": F.count(F.lit(1))},
-    )
-    return lookup(customer, month, "c_custkey", right_on="o_custkey", how="left", keep_right_key=True)
+    return lookup(orders, per_order, "o_orderkey", right_on="l_orderkey", how="left", keep_right_key=True)
 
 
 SQL_LEFT_TO_AGGREGATE = f"""
-SELECT c.c_custkey, c.c_name, m.o_custkey, m.f_total, m.f_orders
-FROM customer c
-LEFT JOIN (SELECT o_custkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS f_total,
-                  COUNT(*) AS f_orders
-           FROM orders
-           WHERE o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '{MONTH_START}'
-             AND o_orderdate < TIMESTAMP '{MONTH_END}'
-           GROUP BY o_custkey) m
-  ON c.c_custkey = m.o_custkey
+SELECT o.o_orderkey, o.o_custkey, m.l_orderkey, m.line_total, m.line_count
+FROM orders o
+LEFT JOIN (SELECT l_orderkey, CAST(SUM(CAST(l_extendedprice AS {MONEY_TYPE})) AS DOUBLE) AS line_total,
+                  COUNT(*) AS line_count
+           FROM lineitem GROUP BY l_orderkey) m
+  ON o.o_orderkey = m.l_orderkey
 """
 
 
 def q_join_of_aggregates(spark: SparkSession, sf: str) -> DataFrame:
+    """Calls per department joined with sales per department; people are summed per id first,
+    so the lookup behind the second aggregate has no hot id."""
     calls = calls_table(spark, sf)
-    people = people_table(spark, sf)
+    per_person = sums_by(people_table(spark, sf), "id", {"person_sales": money_sum("sales_amount")})
     counts = calls.groupBy("area").agg(
         F.count(F.lit(1)).alias("agents"), F.sum("calls_made").alias("calls")
     )
+    staff = driver_table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("area"))
     amounts = (
-        lookup(calls.select("id", "area"), people, "id", how="left", columns=["sales_amount"], split_hot_keys=True)
-        .drop("id")
+        lookup(staff, per_person, "id", how="left")
         .groupBy("area")
-        .agg(money_sum("sales_amount").cast("double").alias("sales_total"))
+        .agg(F.sum("person_sales").cast("double").alias("sales_total"))
     )
     return join_aggregates(counts, amounts, "area", "left")
 
 
-SQL_JOIN_OF_AGGREGATES = _WITH + """
+SQL_JOIN_OF_AGGREGATES = _WITH + f"""
 , counts AS (SELECT area, COUNT(*) AS agents, CAST(SUM(calls_made) AS BIGINT) AS calls
              FROM calls GROUP BY area),
-  amounts AS (SELECT c.area, CAST(SUM(CAST(p.sales_amount AS DECIMAL(18,2))) AS DOUBLE) AS sales_total
+  amounts AS (SELECT c.area, CAST(SUM(CAST(p.sales_amount AS {MONEY_TYPE})) AS DOUBLE) AS sales_total
               FROM calls c LEFT JOIN people p ON c.id = p.id GROUP BY c.area)
 SELECT k.area, k.agents, k.calls, a.sales_total
 FROM counts k LEFT JOIN amounts a ON k.area = a.area
@@ -408,7 +380,7 @@ FROM counts k LEFT JOIN amounts a ON k.area = a.area
 
 def q_rank_then_lookup(spark: SparkSession, sf: str) -> DataFrame:
     people = people_table(spark, sf).filter(F.col("sales_amount") >= 0)
-    return R.best_seller_by_country(people, sales_table(spark, sf), n=1, max_countries=_country_bound(spark, sf))
+    return R.best_seller_by_country(people, sales_table(spark, sf), n=1)
 
 
 SQL_RANK_THEN_LOOKUP = _best_seller_sql("sales_amount >= 0")
@@ -445,6 +417,22 @@ WHERE rn <= 5
 """
 
 
+def q_top_n_large(spark: SparkSession, sf: str) -> DataFrame:
+    """More rows per group than Spark's map-side group limit takes: level by level."""
+    orders = driver_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return top_n_per_group(orders, "o_orderstatus", ["-o_totalprice"], 1200)
+
+
+SQL_TOP_N_LARGE = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+         row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC NULLS LAST,
+           o_orderkey ASC NULLS FIRST, o_custkey ASC NULLS FIRST) AS rn
+  FROM orders) t
+WHERE rn <= 1200
+"""
+
+
 def q_violations(spark: SparkSession, sf: str) -> DataFrame:
     customer = driver_table(spark, sf, "customer")
     return violation_counts(
@@ -509,7 +497,7 @@ def q_csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Write the customer table as CSV into a fresh folder on shared storage, read it back."""
     path = shared_scratch_path(spark, "csv_round_trip")
     customer = driver_table(spark, sf, "customer").select(*CUSTOMER_COLUMNS)
-    write_result(customer, path, single_file=False)
+    write_result(customer, path)
     return read_table(spark, path, CUSTOMER_COLUMNS, fmt="csv")
 
 
@@ -518,6 +506,35 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
 """
 
 
+def q_wide_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as a sales table in CSV, with ids beyond 32 bits, fractional quantities and a
+    header in other letter case and order, read back by declared types and summed."""
+    path = shared_scratch_path(spark, "wide_values")
+    lines = driver_table(spark, sf, "lineitem").select(
+        (F.col("l_quantity") + F.lit(0.5)).alias("Quantity"),
+        F.lit("NL").alias("COUNTRY"),
+        (F.col("l_orderkey") + F.lit(3_000_000_000)).alias("Caller_ID"),
+        F.col("l_partkey").cast("string").alias("Product_Sold"),
+        F.col("l_linenumber").alias("extra"),
+    )
+    write_result(lines, path)
+    sales = read_table(spark, path, SALES_COLUMNS, fmt="csv")
+    return sums_by(sales, ["caller_id", "country"], {"units": "quantity", "lines": F.count("product_sold")})
+
+
+SQL_WIDE_VALUES = """
+SELECT l_orderkey + 3000000000 AS caller_id, 'NL' AS country, SUM(l_quantity + 0.5e0) AS units, COUNT(*) AS lines
+FROM lineitem GROUP BY l_orderkey
+"""
+
+
+def q_report_job(spark: SparkSession, sf: str) -> DataFrame:
+    """R4 as a job (B1): built, staged, gated, written, and the written files read back."""
+    inputs = {"calls": calls_table(spark, sf), "people": people_table(spark, sf), "sales": sales_table(spark, sf)}
+    path = shared_scratch_path(spark, "report_job")
+    return run_report(spark, "top_performers", inputs, path, {"n": 3, "threshold": 75}, write=True)
+
+
 REPORT_R1_COLUMNS = {
     "id": "bigint",
     "area": "string",
@@ -561,6 +578,9 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "distinct_values": (q_distinct_values, SQL_DISTINCT_VALUES),
     "csv_round_trip": (q_csv_round_trip, SQL_CSV_ROUND_TRIP),
     "single_file_export": (q_single_file_export, SQL_SEGMENT_TOP_K),
+    "top_n_large": (q_top_n_large, SQL_TOP_N_LARGE),
+    "wide_values": (q_wide_values, SQL_WIDE_VALUES),
+    "report_job": (q_report_job, SQL_TOP_PERFORMERS),
     "segment_top_k_ten": (q_segment_top_k_ten, _segment_top_k_sql("HOUSEHOLD", 10)),
     "top_performer_each": (q_top_performer_each, _top_performers_sql(1, 80)),
     "top_products_other_country": (q_top_products_other_country, _top_products_sql("NATION_7", 2)),

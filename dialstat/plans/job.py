@@ -3,13 +3,14 @@
 Order of work, chosen so a failure leaves the previous output untouched and so the report's
 plan runs once:
 
-1. read inputs with declared types (no inference pass);
+1. read inputs with declared types; a value that does not fit raises before anything is built;
 2. build the report plan;
-3. ``checkpoint()`` the result into the session's shared checkpoint folder: later steps read
-   the materialised rows, and a lost executor costs a re-read, not a re-run of the plan;
+3. write the result to the session's shared scratch folder: later steps read the written rows,
+   and a lost executor costs a re-read, not a re-run of the plan;
 4. gates: one aggregate for emptiness and all bad-row predicates, one grouped scan per key
-   list; any failure raises ``GateError`` before anything is written;
-5. presentation (money as text) and the write, one file for bounded reports.
+   list; any failure raises ``GateError`` before anything is written to the output;
+5. presentation (money as text) and the write, one file where the report's parameters bound its
+   rows; then the staged rows are deleted.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dialstat.operators.quality import GateError, check
 from dialstat.plans.reports import REPORTS
-from dialstat.session import ensure_checkpoint_dir
+from dialstat.session import delete_path, shared_scratch_path
 from dialstat.sources.export import write_result
 from dialstat.sources.tables import CALLS_COLUMNS, PEOPLE_COLUMNS, SALES_COLUMNS, read_table
 
@@ -30,11 +31,25 @@ log = logging.getLogger(__name__)
 INPUT_COLUMNS = {"calls": CALLS_COLUMNS, "people": PEOPLE_COLUMNS, "sales": SALES_COLUMNS}
 
 
-def load_inputs(spark: SparkSession, inputs: Mapping[str, DataFrame | str]) -> dict[str, DataFrame]:
+class ReportsError(GateError):
+    """One or more reports of a run failed; ``errors`` has each report's own exception and
+    ``results`` the reports that went well."""
+
+    def __init__(self, errors: Mapping[str, Exception], results: Mapping[str, DataFrame]):
+        super().__init__("; ".join(f"{name}: {err}" if name not in str(err) else str(err) for name, err in errors.items()))
+        self.errors, self.results = dict(errors), dict(results)
+
+
+def load_inputs(
+    spark: SparkSession, inputs: Mapping[str, DataFrame | str], formats: Mapping[str, str] | None = None
+) -> dict[str, DataFrame]:
     """The named report inputs (``calls``, ``people``, ``sales``): paths are read from CSV or
-    parquet with declared types, DataFrames are used as given."""
+    parquet with declared types, DataFrames are used as given.
+
+    :param formats: ``csv`` or ``parquet`` by input name, where the files' names do not tell
+    """
     return {
-        name: read_table(spark, value, INPUT_COLUMNS[name]) if isinstance(value, str) else value
+        name: read_table(spark, value, INPUT_COLUMNS[name], (formats or {}).get(name)) if isinstance(value, str) else value
         for name, value in inputs.items()
     }
 
@@ -47,6 +62,7 @@ def run_report(
     params: Mapping[str, object] | None = None,
     write: bool = True,
     single_file: bool | None = None,
+    formats: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Build, gate and (optionally) write one report.
 
@@ -55,8 +71,11 @@ def run_report(
     :param output: output folder (overwritten); required when ``write``
     :param params: report parameters, e.g. ``{"n": 3, "threshold": 75}``
     :param write: ``False`` is a dry run: build and gate only
-    :param single_file: override the report's default file layout
-    :return: the checked, presented result (backed by the checkpoint)
+    :param single_file: ``False`` writes a bounded report in parallel; ``True`` is refused for a
+        report whose rows grow with its input
+    :param formats: see ``load_inputs``
+    :return: the presented result: the written files, or for a dry run the staged rows (which
+        stay until ``release_scratch``)
     """
     report = REPORTS[name]
     merged = {**report.defaults, **(params or {})}
@@ -66,21 +85,32 @@ def run_report(
     missing = [key for key in report.inputs if key not in inputs]
     if missing:
         raise ValueError(f"{name}: inputs {missing} missing")
-    tables = load_inputs(spark, {key: inputs[key] for key in report.inputs})
-
-    ensure_checkpoint_dir(spark)
-    result = report.build(**tables, **merged).checkpoint(eager=True)
-    counts = check(result, report.gate(merged), what=name)
+    if write and not output:
+        raise ValueError("output folder required when write=True")
+    if single_file and not report.single_file:
+        raise ValueError(f"{name}: its rows grow with the input; it is not written as one file")
+    tables = load_inputs(spark, {key: inputs[key] for key in report.inputs}, formats)
+
+    staged = shared_scratch_path(spark, f"report-{name}")
+    built = report.build(**tables, **merged)
+    built.write.parquet(staged)
+    result = spark.read.schema(built.schema).parquet(staged)
+    try:
+        counts = check(result, report.gate(merged), what=name)
+    except GateError:
+        delete_path(spark, staged)
+        raise
     log.info("%s: %d rows passed the gates", name, counts["rows"])
 
     final = report.present(result) if report.present else result
-    if write:
-        if not output:
-            raise ValueError("output folder required when write=True")
-        one_file = report.single_file if single_file is None else single_file
-        write_result(final, output, single_file=one_file, order=report.order, row_count=counts["rows"])
-        log.info("%s: written to %s", name, output)
-    return final
+    if not write:
+        return final
+    one_file = report.single_file if single_file is None else single_file
+    write_result(final, output, single_file=one_file, order=report.order)
+    delete_path(spark, staged)
+    log.info("%s: written to %s", name, output)
+    types = {f.name: f.dataType.simpleString() for f in final.schema}
+    return read_table(spark, output, types, fmt="csv")
 
 
 def run_reports(
@@ -90,16 +120,18 @@ def run_reports(
     names: list[str] | None = None,
     params: Mapping[str, Mapping[str, object]] | None = None,
     write: bool = True,
+    formats: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """Run several reports over the same inputs, each into ``<output_root>/<report folder>``
     (``it_data``, ``marketing_address_info``, ``department_breakdown``, ``top_3``,
     ``top_3_most_sold_per_department_netherlands``, ``best_salesperson``).
 
-    Each report is gated and written on its own, so one failing gate does not stop the
-    others; the failures are raised together at the end.
+    Each report is gated and written on its own: whatever stops one report, the others run, and
+    the failures are raised together at the end as ``ReportsError``.
     """
-    loaded = load_inputs(spark, inputs)
-    results, failures = {}, []
+    loaded = load_inputs(spark, inputs, formats)
+    results: dict[str, DataFrame] = {}
+    errors: dict[str, Exception] = {}
     for name in names or list(REPORTS):
         report = REPORTS[name]
         output = f"{output_root.rstrip('/')}/{report.output}" if output_root else None
@@ -107,9 +139,9 @@ def run_reports(
             results[name] = run_report(
                 spark, name, loaded, output, (params or {}).get(name), write=write
             )
-        except GateError as err:
-            log.error("%s", err)
-            failures.append(str(err))
-    if failures:
-        raise GateError("; ".join(failures))
+        except Exception as err:  # kept and raised below, with the other reports' errors
+            log.error("%s: %s", name, err)
+            errors[name] = err
+    if errors:
+        raise ReportsError(errors, results)
     return results

@@ -26,7 +26,7 @@ from dialstat.operators.ranking import top_k, top_n_per_group
 
 RATE = "percentage_of_successful_calls"
 
-# Largest ranked set R4 and R6 broadcast (n x departments or countries, bounded before the run).
+# Most ids that R4 broadcasts: 8 MB.
 RANKED_BROADCAST_ROWS = 1_000_000
 
 
@@ -38,15 +38,25 @@ def with_success_rate(calls: DataFrame, digits: int = 2) -> DataFrame:
 def segment_top_k(calls: DataFrame, people: DataFrame, area: str = "IT", k: int = 100) -> DataFrame:
     """The ``k`` best sellers of one department, with their person data.
 
-    Callers without a person row stay, with nulls, and sort last.  The person lookup is
-    planned so that many copies of one person id are spread over several tasks.
+    Callers without a person row stay, with nulls, and sort last.  Rows of one id differ only
+    in their person data, so an id's ``k`` best person rows and ``k`` copies of a caller are all
+    that can reach the result: both sides are cut to that before the join (where they are read,
+    for any ``k`` under the group limit threshold), each is read once and no id is hot.
     Columns: id, area, name, address, sales_amount.
     """
-    staff = calls.filter(F.col("area") == area).select("id", "area")
-    enriched = lookup(
-        staff, people, "id", how="left", columns=["name", "address", "sales_amount"], split_hot_keys=True
+    staff = (
+        calls.filter(F.col("area") == area)
+        .groupBy("id", "area")
+        .agg(F.least(F.count(F.lit(1)), F.lit(k).cast("long")).cast("int").alias("copies"))
     )
-    return top_k(enriched, ["-sales_amount"], k, tie_break=["id", "name", "address"])
+    persons = top_n_per_group(
+        people.select("id", "name", "address", "sales_amount"), "id", ["-sales_amount"], max(k, 1), ["name", "address"]
+    )
+    enriched = lookup(staff, persons, "id", how="left")
+    # The first k of the joined rows hold the first k of their copies.
+    best = top_k(enriched, ["-sales_amount"], k, tie_break=["id", "name", "address"])
+    copied = best.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies", "copy")
+    return top_k(copied, ["-sales_amount"], k, tie_break=["id", "name", "address"])
 
 
 def postcodes(calls: DataFrame, people: DataFrame, area: str = "Marketing") -> DataFrame:
@@ -68,7 +78,7 @@ def segment_breakdown(calls: DataFrame, people: DataFrame) -> DataFrame:
     cannot fan out.  One pass over ``calls``, one join on ``id``, one aggregate.  A null
     department keeps its own row but gets no sales total (it matches no department).
     Columns: area, total_calls_made, total_calls_successful, percentage_of_successful_calls,
-    total_sales_amount (exact decimal; see ``format_breakdown``).
+    total_sales_amount (exact decimal with ten decimals; see ``format_breakdown``).
     """
     per_person = sums_by(people, "id", {"person_sales": money_sum("sales_amount")})
     rows = lookup(
@@ -89,7 +99,8 @@ def segment_breakdown(calls: DataFrame, people: DataFrame) -> DataFrame:
 
 
 def format_breakdown(df: DataFrame) -> DataFrame:
-    """R3 presentation: the sales total as text with thousands separators."""
+    """R3 presentation: the sales total, rounded here for the first time (half to even), as text
+    with thousands separators (X3)."""
     return df.withColumn("total_sales_amount", money_text("total_sales_amount", 2))
 
 
@@ -99,11 +110,9 @@ def top_performers(
     sales: DataFrame,
     n: int = 3,
     threshold: float = 75,
-    max_departments: int | None = None,
 ) -> DataFrame:
     """Per department the ``n`` best sellers among callers whose rounded success rate is
-    above ``threshold``, with the units they sold.  ``max_departments`` bounds the number of
-    departments when the caller knows it; otherwise they are counted.
+    above ``threshold``, with the units they sold.
 
     Order: sales amount descending, then rate ascending, then id (and the remaining columns).
     Units do not affect the ranking, so they are summed only for the ranked callers: the
@@ -118,12 +127,11 @@ def top_performers(
     # columns under the window, so Spark reuses its shuffle instead of running it twice.
     ranked = top_n_per_group(eligible, "area", ["-sales_amount", RATE], n)
     ranked_ids = ranked.select(F.col("id").alias("caller_id"))
-    # At most n ranked rows per department: a proven bound.  Counting the departments is a
-    # scan of one column; under the bound the ids are broadcast, so the sales side is
-    # filtered where it is read instead of being shuffled to meet them.
-    if max_departments is None:
-        max_departments = calls.select("area").distinct().count()
-    if n * max_departments <= RANKED_BROADCAST_ROWS:
+    # At most n ranked rows per department.  Departments are counted here, for every report
+    # anew (a scan of one column), and nobody can claim fewer; under the bound the ids (8 bytes
+    # each) are broadcast, so the sales side is filtered where it is read instead of being
+    # shuffled to meet them.  Beyond it Spark joins by shuffle.
+    if n * calls.select("area").distinct().count() <= RANKED_BROADCAST_ROWS:
         ranked_ids = F.broadcast(ranked_ids)
     units = sums_by(
         sales.select("caller_id", "quantity").join(ranked_ids, "caller_id", "left_semi"),
@@ -153,22 +161,16 @@ def top_products_in_country(calls: DataFrame, sales: DataFrame, country: str = "
     return top_n_per_group(per_area, "area", ["-total_products_sold"], n, tie_break=["product_sold"])
 
 
-def best_seller_by_country(
-    people: DataFrame, sales: DataFrame, n: int = 1, max_countries: int | None = None
-) -> DataFrame:
+def best_seller_by_country(people: DataFrame, sales: DataFrame, n: int = 1) -> DataFrame:
     """Per country the ``n`` callers with the most units sold, with name and amount.
 
     Ranking comes first and the person lookup after (an inner join): a best seller without a
-    person row removes its country rather than promoting the runner-up.  When the caller can
-    bound the number of countries (``max_countries``), the ranked rows (at most n per
-    country) are broadcast and the people table is only streamed, never shuffled; otherwise
-    adaptive execution decides after measuring them.
+    person row removes its country rather than promoting the runner-up.  No side is hinted for
+    broadcast: adaptive execution decides after it has measured the ranked rows.
     Columns: caller_id, country, total_products_sold, name, sales_amount.
     """
     per_caller = sums_by(sales, ["caller_id", "country"], {"total_products_sold": "quantity"})
     best = top_n_per_group(per_caller, "country", ["-total_products_sold"], n, tie_break=["caller_id"])
-    if max_countries is not None and n * max_countries <= RANKED_BROADCAST_ROWS:
-        best = F.broadcast(best)
     return lookup(best, people, "caller_id", right_on="id", how="inner", columns=["name", "sales_amount"])
 
 
@@ -194,7 +196,10 @@ DEFAULT_PARAMS = {
 
 @dataclass(frozen=True)
 class Report:
-    """How to build, check and write one report."""
+    """How to build, check and write one report.
+
+    ``single_file``: the report's parameters bound its rows (a top-k, or n rows per group).
+    """
 
     name: str
     output: str

@@ -11,11 +11,7 @@ report filters (a country, an area) down to the scans.
 
 from __future__ import annotations
 
-import functools
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from dialstat.operators.lookup import broadcast_if_small
@@ -25,50 +21,19 @@ from dialstat.operators.lookup import broadcast_if_small
 # size is checked.
 NATION_MAX_ROWS = 10_000
 
-def _view(spark: SparkSession, kind: str, sf_dir: str, build) -> DataFrame:
-    """A session temp view of ``build()``, created on first use.
-
-    The view keeps the plan (the file listing and parquet footers behind it), never data:
-    every action still reads the files.  The driver tables are immutable, so the listing
-    stays valid; other sessions do not see the view.
-    """
-    digest = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    name = f"dialstat_{kind}_{digest}"
-    try:
-        return spark.table(name)
-    except AnalysisException:
-        build().createOrReplaceTempView(name)
-        return spark.table(name)
-
-
-def _per_session(fn):
-    """Expose a ``(spark, sf_dir) -> DataFrame`` builder as a session temp view."""
-
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _view(spark, fn.__name__, sf_dir, lambda: fn(spark, sf_dir))
-
-    return wrapper
-
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return _view(spark, name, sf_dir, lambda: spark.read.parquet(path))
+    """A driver table as it is now: files are listed anew for every query."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def nation_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nation table, marked for broadcast when its size check passes."""
-    return _view(
-        spark,
-        "nation_checked",
-        sf_dir,
-        lambda: broadcast_if_small(
-            driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), NATION_MAX_ROWS
-        ),
+    return broadcast_if_small(
+        driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), NATION_MAX_ROWS
     )
 
 
-@_per_session
 def calls_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer: orders count as calls, orders not in status F as successful calls.
 
@@ -93,7 +58,6 @@ def calls_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session
 def people_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer with a made-up street address.
 
@@ -121,7 +85,6 @@ def people_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session
 def sales_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item: who sold it (the order's customer), where (the supplier's
     nation), what (the part type) and how many.

@@ -1,29 +1,102 @@
 """Reading input tables.
 
-CSV inputs are read with their header row and *declared* column types, so no extra pass is
-spent on type inference.  Columns are matched by header name, not by position, so a file may
-carry extra columns (the sales table does) in any order.  Inference stays available for
-ad-hoc files.
+Inputs are read with *declared* column types, wide ones: ids and counts as ``bigint``, amounts as
+``double``, and quantities as ``number``, which is ``bigint`` if every value is a whole number and
+``double`` otherwise.  Columns are matched by name, without regard to case, as Spark does; other
+columns of the file are skipped.
+
+Nothing is lost in reading: one pass over the wanted columns counts the values that do not fit
+their declared type, and any such value raises :class:`InputError` with the counts.  The header of
+every CSV file of a folder is compared with that of the first: a file with other columns or
+another order of columns fails the read instead of being read by position.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from dialstat.session import file_names
+
+# Declared types of the three report inputs (column -> Spark SQL type or ``number``).
+CALLS_COLUMNS = {"id": "bigint", "area": "string", "calls_made": "bigint", "calls_successful": "bigint"}
+PEOPLE_COLUMNS = {"id": "bigint", "name": "string", "address": "string", "sales_amount": "double"}
+SALES_COLUMNS = {"caller_id": "bigint", "country": "string", "product_sold": "string", "quantity": "number"}
+
+NUMBER = "number"
 
-# Declared types of the three report inputs (column -> Spark SQL type).
-CALLS_COLUMNS = {"id": "int", "area": "string", "calls_made": "int", "calls_successful": "int"}
-PEOPLE_COLUMNS = {"id": "int", "name": "string", "address": "string", "sales_amount": "double"}
-SALES_COLUMNS = {"caller_id": "int", "country": "string", "product_sold": "string", "quantity": "int"}
 
+class InputError(ValueError):
+    """Input values that do not fit the declared types."""
 
-def _format_of(path: str, fmt: str | None) -> str:
+
+def format_of(spark: SparkSession, path: str, fmt: str | None = None) -> str:
+    """``csv`` or ``parquet``: as given, by the path's ending, or by the files below it."""
     if fmt:
         return fmt
-    lowered = path.rstrip("/").lower()
-    return "parquet" if lowered.endswith(".parquet") else "csv"
+    if path.rstrip("/").lower().endswith(".parquet"):
+        return "parquet"
+    return "parquet" if any(name.endswith(".parquet") for name in file_names(spark, path)) else "csv"
+
+
+def _resolve(columns: Mapping[str, str], found: list[str], path: str) -> dict[str, str]:
+    """Wanted column -> the table's own spelling of it."""
+    names: dict[str, list[str]] = {}
+    for c in found:
+        names.setdefault(c.lower(), []).append(c)
+    missing = [c for c in columns if c.lower() not in names]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}; found {found}")
+    doubled = [c for c in columns if len(names[c.lower()]) > 1]
+    if doubled:
+        raise ValueError(f"{path}: columns {doubled} occur more than once; found {found}")
+    return {c: names[c.lower()][0] for c in columns}
+
+
+def _lost(source: Column, kind: T.DataType, target: str) -> Column:
+    """Whether a value of ``kind`` is lost or changed by reading it as ``target``."""
+    cast = source.try_cast(target)
+    changed = F.lit(False)
+    if isinstance(kind, T.NumericType) and target in ("tinyint", "smallint", "int", "bigint"):
+        changed = cast.cast(kind) != source  # a fraction, or wrapped around
+    return source.isNotNull() & (cast.isNull() | changed)
+
+
+def _as_whole(c: str) -> Column:
+    """A number or its text as ``bigint``, null unless it is whole (``4.0E9`` is)."""
+    number = F.col(c).try_cast("double")
+    exact = (F.abs(number) < F.lit(2.0**53)) & (number == F.floor(number))
+    return F.coalesce(F.when(exact, number.try_cast("bigint")), F.col(c).cast("string").try_cast("bigint"))
+
+
+def _typed(df: DataFrame, columns: Mapping[str, str], path: str) -> DataFrame:
+    """``df``'s columns (already named as wanted) as the declared types; raises on loss."""
+    kinds = {c: df.schema[c].dataType for c in columns}
+    whole = ("tinyint", "smallint", "int", "bigint")
+    counts = {}
+    for c, target in columns.items():
+        same = kinds[c].simpleString() == target or (target == NUMBER and kinds[c].simpleString() in whole)
+        if not same:
+            counts[f"{c} as {target}"] = F.count_if(_lost(F.col(c), kinds[c], "double" if target == NUMBER else target))
+            if target == NUMBER:
+                counts[f"{c} not whole"] = F.count_if(_as_whole(c).isNull() & F.col(c).isNotNull())
+    found = df.agg(*[e.alias(n) for n, e in counts.items()]).first().asDict() if counts else {}
+    lost = {n: k for n, k in found.items() if k and not n.endswith(" not whole")}
+    if lost:
+        raise InputError(f"{path}: values that do not fit: " + ", ".join(f"{k} of {n}" for n, k in lost.items()))
+    final = {
+        c: ("double" if found.get(f"{c} not whole") else "bigint") if target == NUMBER else target
+        for c, target in columns.items()
+    }
+    return df.select(
+        *[
+            (_as_whole(c) if columns[c] == NUMBER and t == "bigint" else F.col(c).cast(t)).alias(c)
+            for c, t in final.items()
+        ]
+    )
 
 
 def read_table(
@@ -35,13 +108,13 @@ def read_table(
 ) -> DataFrame:
     """Read one input table.
 
-    :param path: file or folder; ``.parquet`` paths are read as parquet, the rest as CSV
+    :param path: file or folder; see ``format_of``
     :param columns: wanted columns and their types; other columns in the file are skipped
     :param fmt: force ``csv`` or ``parquet``
-    :param infer: CSV only: infer types from the data (an extra pass) when no columns are given
+    :param infer: CSV only: infer types from the data when no columns are given
     :return: DataFrame with the wanted columns, in the given order
     """
-    kind = _format_of(path, fmt)
+    kind = format_of(spark, path, fmt)
     if kind == "parquet":
         df = spark.read.parquet(path)
     elif kind == "csv":
@@ -49,13 +122,13 @@ def read_table(
         if infer and columns is None:
             reader = reader.option("inferSchema", True)
         df = reader.csv(path)
+        if columns is not None:
+            # Read again as text columns under the first file's header, checked in every file.
+            names = T.StructType([T.StructField(c, T.StringType()) for c in df.columns])
+            df = spark.read.option("header", True).option("enforceSchema", False).schema(names).csv(path)
     else:
         raise ValueError(f"unsupported format {kind!r}")
     if columns is None:
         return df
-    missing = [c for c in columns if c not in df.columns]
-    if missing:
-        raise ValueError(f"{path}: missing columns {missing}; found {df.columns}")
-    # As in Spark's PERMISSIVE CSV mode: a value that does not parse as the declared type
-    # becomes null instead of failing the job.
-    return df.select(*[F.col(c).try_cast(t).alias(c) for c, t in columns.items()])
+    spelled = _resolve(columns, df.columns, path)
+    return _typed(df.select(*[F.col(f"`{s}`").alias(c) for c, s in spelled.items()]), columns, path)

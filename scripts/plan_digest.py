@@ -28,9 +28,9 @@ def _summarise(body: str) -> str:
     if join:
         name, lk, rk, kind, build = join.groups()
         return f"{name} {kind}{' ' + build if build else ''} on {_strip_ids(lk)} = {_strip_ids(rk)}"
-    exch = re.match(r"Exchange (hashpartitioning|SinglePartition|rangepartitioning)\(?(.*?)(?:, \d+)?\)?, ", body)
+    exch = re.match(r"Exchange (hashpartitioning|SinglePartition|rangepartitioning)(?:\((.*), \d+\))?, ", body)
     if exch:
-        return f"Exchange {exch.group(1)}({_strip_ids(exch.group(2))})"
+        return f"Exchange {exch.group(1)}({_strip_ids(exch.group(2) or "")})"
     agg = re.match(r"HashAggregate\(keys=\[(.*?)\], functions=\[(.*?)\]", body)
     if agg:
         return f"HashAggregate keys=[{_strip_ids(agg.group(1))}] fns=[{_strip_ids(agg.group(2))[:60]}]"

@@ -24,7 +24,7 @@ def test_money_text_rounds_half_even_and_groups_thousands(frames):
 def test_money_sum_is_exact(frames):
     df = frames([(0.1,), (0.2,), (None,)], "x double")
     total = df.agg(money_sum("x").alias("t")).first()["t"]
-    assert str(total) == "0.30"
+    assert str(total) == "0.3000000000"
 
 
 def test_postcode_cases(frames):

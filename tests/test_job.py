@@ -73,8 +73,8 @@ def test_run_report_reads_csv_paths(spark, frames):
     folder = shared_scratch_path(spark, "inputs")
     calls = frames([(1, "Marketing", 10, 5), (2, "IT", 3, 1)], CALLS)
     people = frames([(1, "A", "Weg 1, 1234 AB, X", 1.0), (2, "B", "no code", 2.0)], PEOPLE)
-    write_result(calls, f"{folder}/calls", single_file=True)
-    write_result(people, f"{folder}/people", single_file=True)
+    write_result(calls, f"{folder}/calls")
+    write_result(people, f"{folder}/people")
     out = run_report(
         spark,
         "postcodes",
@@ -95,10 +95,36 @@ def test_csv_round_trip_semantics(spark, frames):
     assert back == {1: None, 2: None, 3: 'has, comma and "quotes"', 4: "padded"}
 
 
-def test_single_file_guard(frames):
-    df = frames([(1,)], "id int")
-    with pytest.raises(ValueError, match="too many"):
-        write_result(df, "/nonexistent", single_file=True, row_count=10**9)
+def test_a_growing_report_is_not_one_file(spark, frames):
+    calls = frames([(1, "Marketing", 10, 5)], CALLS)
+    people = frames([(1, "A", "x", 1.0)], PEOPLE)
+    with pytest.raises(ValueError, match="grow"):
+        run_report(spark, "postcodes", {"calls": calls, "people": people}, "/nonexistent", single_file=True)
+
+
+def test_parallel_write_in_ranges_is_sorted_by_file_name(spark, frames):
+    path = shared_scratch_path(spark, "ranges")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_result(spark.range(0, 5000).repartition(7), path, order=["-id"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files, lines = _csv_rows(path)
+    rows = [int(x) for _, body in sorted(zip(files, lines)) for x in body[1:]]
+    assert len(files) > 1 and rows == list(range(4999, -1, -1))
+
+
+def test_nothing_is_left_behind(spark, frames):
+    calls = frames([(1, "IT", 10, 5)], CALLS)
+    people = frames([(1, "A", "x", 1.0)], PEOPLE)
+    out, base = shared_scratch_path(spark, "kept"), spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(base))
+    result = run_report(spark, "segment_top_k", {"calls": calls, "people": people}, out)
+    assert set(os.listdir(base)) - before == {os.path.basename(out)}
+    assert [tuple(r) for r in result.collect()] == [(1, "IT", "A", "x", 1.0)]
+    with pytest.raises(GateError):
+        run_report(spark, "segment_top_k", {"calls": calls, "people": people.withColumn("sales_amount", -people.sales_amount)}, out)
+    assert set(os.listdir(base)) - before == {os.path.basename(out)}
 
 
 SMALL = "/root/testdata/sf0.001"
@@ -133,7 +159,7 @@ def test_all_reports_on_driver_tables(spark):
 def test_read_table_by_name_with_extra_columns_and_bad_values(spark, frames):
     path = shared_scratch_path(spark, "sales-csv")
     df = frames(
-        [("x", "NL", 7, "p1", "3"), ("y", "BE", 8, "p2", "lots")],
+        [("x", "NL", 7, "p1", "3"), ("y", "BE", 8, "p2", "5")],
         "company string, country string, caller_id int, product_sold string, quantity string",
     )
     write_result(df, path, single_file=True)
@@ -141,9 +167,81 @@ def test_read_table_by_name_with_extra_columns_and_bad_values(spark, frames):
 
     back = read_table(spark, path, SALES_COLUMNS)
     assert back.columns == ["caller_id", "country", "product_sold", "quantity"]
-    assert sorted(map(tuple, back.collect())) == [(7, "NL", "p1", 3), (8, "BE", "p2", None)]
+    assert sorted(map(tuple, back.collect())) == [(7, "NL", "p1", 3), (8, "BE", "p2", 5)]
     with pytest.raises(ValueError, match="missing columns"):
         read_table(spark, path, {"id": "int"})
+    write_result(df.withColumn("quantity", df.company), path)
+    with pytest.raises(ValueError, match="2 of quantity as number"):
+        read_table(spark, path, SALES_COLUMNS)
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_wide_values_survive_reading(spark, frames, fmt):
+    from dialstat.sources import SALES_COLUMNS
+
+    path = shared_scratch_path(spark, "wide")
+    df = frames([(3_000_000_000, "NL", "p", 2.5), (1, "NL", "p", 4e9), (2, "NL", None, None)], "CALLER_ID bigint, Country string, product_sold string, quantity double")
+    write_result(df, path, fmt=fmt)
+    back = read_table(spark, path, SALES_COLUMNS)
+    assert back.dtypes == [("caller_id", "bigint"), ("country", "string"), ("product_sold", "string"), ("quantity", "double")]
+    assert sorted(map(tuple, back.collect()), key=str) == [(1, "NL", "p", 4e9), (2, "NL", None, None), (3_000_000_000, "NL", "p", 2.5)]
+    write_result(df.filter("quantity = 4e9"), path, fmt=fmt)
+    assert read_table(spark, path, SALES_COLUMNS).dtypes[3] == ("quantity", "bigint")
+    assert read_table(spark, path, SALES_COLUMNS).first()["quantity"] == 4_000_000_000
+
+
+def test_values_that_do_not_fit_raise(spark, frames):
+    from dialstat.sources import CALLS_COLUMNS, InputError
+
+    path = shared_scratch_path(spark, "unfit")
+    rows = [("1", "IT", "10", "5"), ("2.5", "IT", "x", "5"), ("99999999999999999999", "IT", None, "5")]
+    write_result(frames(rows, "id string, area string, calls_made string, calls_successful string"), path)
+    with pytest.raises(InputError, match="2 of id as bigint, 1 of calls_made as bigint"):
+        read_table(spark, path, CALLS_COLUMNS)
+    write_result(frames([(1.5, "IT", 1, 1)], "id double, area string, calls_made int, calls_successful int"), path, fmt="parquet")
+    with pytest.raises(InputError, match="1 of id as bigint"):
+        read_table(spark, path, CALLS_COLUMNS, fmt="parquet")
+
+
+def test_a_file_with_another_header_is_not_read_by_position(spark, tmp_path):
+    from dialstat.sources import CALLS_COLUMNS
+
+    (tmp_path / "a.csv").write_text("id,area,calls_made,calls_successful\n1,IT,10,5\n")
+    (tmp_path / "b.csv").write_text("ID,Area,calls_made,calls_successful\n2,IT,10,5\n")
+    assert read_table(spark, str(tmp_path), CALLS_COLUMNS).count() == 2
+    (tmp_path / "c.csv").write_text("area,calls_made,calls_successful,id\nIT,20,5,11\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_table(spark, str(tmp_path), CALLS_COLUMNS).collect()
+
+
+def test_columns_that_differ_in_case_only_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,ID,area\n1,2,IT\n")
+    with pytest.raises(Exception, match="(?i)more than once|ambiguous|missing columns"):
+        read_table(spark, str(tmp_path), {"id": "bigint", "area": "string"}).collect()
+
+
+def test_parquet_folder_is_recognised_by_its_files(spark, frames):
+    path = shared_scratch_path(spark, "staged-calls")
+    write_result(frames([(1, "IT", 10, 5)], CALLS), path, fmt="parquet")
+    people = shared_scratch_path(spark, "staged-people")
+    write_result(frames([(1, "A", "x", 1.0)], PEOPLE), people, fmt="parquet")
+    out = run_report(spark, "segment_top_k", {"calls": path, "people": people}, write=False)
+    assert [r["name"] for r in out.collect()] == ["A"]
+    out = run_report(spark, "segment_top_k", {"calls": path, "people": people}, write=False, formats={"calls": "parquet"})
+    assert out.count() == 1
+
+
+def test_every_error_of_a_run_is_kept(spark, frames):
+    from dialstat.plans import ReportsError, run_reports
+
+    calls = frames([(1, "IT", 10, 9)], CALLS)
+    people = frames([(1, "A", "x", float("nan"))], PEOPLE)
+    with pytest.raises(ReportsError) as err:
+        run_reports(spark, {"calls": calls, "people": people}, None, write=False, params={"postcodes": {"area": "IT"}})
+    assert set(err.value.errors) == {"segment_breakdown", "top_performers", "top_products_in_country", "best_seller_by_country"}
+    assert "not an amount" in str(err.value.errors["segment_breakdown"])
+    assert "missing" in str(err.value.errors["top_performers"])
+    assert set(err.value.results) == {"segment_top_k", "postcodes"}
 
 
 def test_sales_staged_by_country_prunes_partitions(spark, frames):

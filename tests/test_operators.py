@@ -61,7 +61,7 @@ def test_sums_and_counts(frames):
         "k1 string, k2 string, n int, amount double",
     )
     one = {r["k1"]: (r["n"], r["amount"]) for r in sums_by(df, "k1", {"n": "n", "amount": money_sum("amount")}).collect()}
-    assert one["a"][0] == 3 and str(one["a"][1]) == "3.00"
+    assert one["a"][0] == 3 and one["a"][1] == 3
     assert one["b"] == (3, None)
     two = sums_by(df, ["k1", "k2"], {"n": "n"})
     assert two.count() == 3

@@ -1,7 +1,7 @@
 """Golden results that depend on the calls table alone (calls, rates and ids).
 
-Point ``DIALSTAT_CALLS_CSV`` at the calls table that comes with the original reports
-(1,000 callers) to run these; they are skipped otherwise."""
+The fifteen golden top performers are built as a frame here.  Point ``DIALSTAT_CALLS_CSV`` at the
+whole calls table that comes with the original reports (1,000 callers) to check its totals too."""
 
 import os
 
@@ -13,7 +13,7 @@ from dialstat.sources import CALLS_COLUMNS, PEOPLE_COLUMNS, read_table
 
 CALLS_CSV = os.environ.get("DIALSTAT_CALLS_CSV", "")
 
-pytestmark = pytest.mark.skipif(not os.path.isfile(CALLS_CSV), reason="set DIALSTAT_CALLS_CSV to the calls table")
+whole_table = pytest.mark.skipif(not os.path.isfile(CALLS_CSV), reason="set DIALSTAT_CALLS_CSV to the calls table")
 
 # Golden department totals (calls made, successful calls, rate).
 GOLDEN_BREAKDOWN = {
@@ -30,11 +30,13 @@ def calls(spark):
     return read_table(spark, CALLS_CSV, CALLS_COLUMNS)
 
 
+@whole_table
 def test_declared_types(calls):
-    assert [f.dataType.simpleString() for f in calls.schema] == ["int", "string", "int", "int"]
+    assert [f.dataType.simpleString() for f in calls.schema] == ["bigint", "string", "bigint", "bigint"]
     assert calls.count() == 1000
 
 
+@whole_table
 def test_breakdown_matches_golden_calls_and_rates(spark, calls):
     people = spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in PEOPLE_COLUMNS.items()))
     got = {
@@ -65,12 +67,41 @@ GOLDEN_TOP_PERFORMERS = [
 ]
 
 
+@whole_table
 def test_marketing_has_198_callers(calls):
     assert calls.filter(F.col("area") == "Marketing").count() == 198
 
 
+@whole_table
 def test_golden_top_performers_pass_the_threshold_with_their_rates(calls):
     eligible = with_success_rate(calls).filter(F.col("percentage_of_successful_calls") > 75)
     rows = {r["id"]: tuple(r) for r in eligible.collect()}
     for row in GOLDEN_TOP_PERFORMERS:
         assert rows[row[0]] == row
+
+
+def test_golden_rates_and_departments_from_the_golden_rows(spark):
+    """The golden rows themselves: their rates, and all of them pass the threshold."""
+    calls = spark.createDataFrame([r[:4] for r in GOLDEN_TOP_PERFORMERS], "id bigint, area string, calls_made bigint, calls_successful bigint")
+    eligible = with_success_rate(calls).filter(F.col("percentage_of_successful_calls") > 75)
+    assert {r["id"]: tuple(r) for r in eligible.collect()} == {r[0]: r for r in GOLDEN_TOP_PERFORMERS}
+
+
+def test_golden_rows_are_the_top_three_of_each_department(spark):
+    """Three rows per department in order of their amounts, which fall down the golden list."""
+    from dialstat.plans import top_performers
+
+    calls = spark.createDataFrame([r[:4] for r in GOLDEN_TOP_PERFORMERS], "id bigint, area string, calls_made bigint, calls_successful bigint")
+    people = spark.createDataFrame([(r[0], f"p{r[0]}", 100.0 - i) for i, r in enumerate(GOLDEN_TOP_PERFORMERS)], "id bigint, name string, sales_amount double")
+    sales = spark.createDataFrame([(103, "Netherlands", "x", 4)], "caller_id bigint, country string, product_sold string, quantity bigint")
+    got = top_performers(calls, people, sales).collect()
+    assert sorted((r["id"], r["area"], r["calls_made"], r["calls_successful"], r["percentage_of_successful_calls"]) for r in got) == sorted(GOLDEN_TOP_PERFORMERS)
+
+
+def test_golden_rates_of_the_breakdown(spark):
+    """Department totals as one row each give the golden rates."""
+    rows = [(i, area, made, good) for i, (area, (made, good, _)) in enumerate(GOLDEN_BREAKDOWN.items())]
+    calls = spark.createDataFrame(rows, "id bigint, area string, calls_made bigint, calls_successful bigint")
+    people = spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in PEOPLE_COLUMNS.items()))
+    got = {r["area"]: r["percentage_of_successful_calls"] for r in segment_breakdown(calls, people).collect()}
+    assert got == {area: rate for area, (_, _, rate) in GOLDEN_BREAKDOWN.items()}

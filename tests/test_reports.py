@@ -97,7 +97,7 @@ def test_segment_breakdown_null_area_and_duplicate_person(calls, people):
     # id 9 has two person rows: its calls count once, its amounts twice.
     assert (hr["total_calls_made"], hr["total_calls_successful"]) == (20, 19)
     assert hr["percentage_of_successful_calls"] == 95.0
-    assert str(hr["total_sales_amount"]) == "100.00"
+    assert hr["total_sales_amount"] == 100
     assert rows[None]["total_calls_made"] == 5 and rows[None]["total_sales_amount"] is None
     text = {r["area"]: r["total_sales_amount"] for r in format_breakdown(segment_breakdown(calls, people)).collect()}
     assert text["IT"] == "1,650.00" and text[None] is None
@@ -198,3 +198,27 @@ def test_top_performer_without_sales_keeps_null_units(frames, people):
     sales = frames([(2, "NL", "p1", 5)], SALES)
     out = {r["id"]: (r["caller_id"], r["count_products_sold"]) for r in top_performers(calls, people, sales).collect()}
     assert out == {1: (None, None), 2: (2, 5)}
+
+
+def test_amounts_are_rounded_once(frames):
+    calls = frames([(1, "IT", 1, 1), (2, "IT", 1, 1), (3, "HR", 1, 1)], CALLS)
+    people = frames([(1, "A", "x", 0.125), (2, "B", "x", 0.125), (3, "C", "x", 1e17)], PEOPLE)
+    text = {r["area"]: r["total_sales_amount"] for r in format_breakdown(segment_breakdown(calls, people)).collect()}
+    assert text == {"IT": "0.25", "HR": "100,000,000,000,000,000.00"}
+
+
+@pytest.mark.parametrize("amount", [float("nan"), float("inf"), 1e18])
+def test_what_is_no_amount_raises(frames, amount):
+    calls = frames([(1, "IT", 1, 1)], CALLS)
+    people = frames([(1, "A", "x", amount)], PEOPLE)
+    with pytest.raises(Exception, match="not an amount"):
+        segment_breakdown(calls, people).collect()
+
+
+def test_top_k_counts_every_copy_on_either_side(frames):
+    calls = frames([(1, "IT", 1, 1)] * 3 + [(2, "IT", 1, 1), (None, "IT", 1, 1)], CALLS)
+    people = frames([(1, "A", "x", 5.0), (1, "A", "x", 5.0), (1, "B", "x", None), (2, "C", "y", 7.0)], PEOPLE)
+    for k in (0, 1, 3, 5, 20):
+        got = [(r["id"], r["name"], r["sales_amount"]) for r in segment_top_k(calls, people, k=k).collect()]
+        want = [(2, "C", 7.0)] + [(1, "A", 5.0)] * 6 + [(None, None, None)] + [(1, "B", None)] * 3
+        assert got == want[:k]
