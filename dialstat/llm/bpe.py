@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialstat.llm.pretokens import PieceTable, byte_characters, code_points, seal_odd_rows, split_words, worker_keeps
+from dialstat.llm.pretokens import PieceTable, byte_characters, code_points, joined_lines, seal_odd_rows, split_words, worker_keeps
 
 KEPT_WORDS = 300_000  # words whose tokens a worker keeps: about 100 MB
 GROUP_CHARS = 1 << 20
@@ -172,8 +172,9 @@ class WordEncoder:
         easy = seal_odd_rows(points, bounds, [self.cut.search(t) is not None for t in texts])
         begin, end = split_words(points)
         numbers, new = self.pieces.number(points, begin, end)
-        if new:
-            self.number_of += self._add(new)
+        if len(new):
+            text, _ = joined_lines(points, begin[new], end[new])
+            self.number_of += self._add(text[:-1].split("\n"))
         words = np.array(self.number_of, dtype=np.int64)[numbers] if len(numbers) else numbers
         at = np.searchsorted(begin, bounds)
         return [

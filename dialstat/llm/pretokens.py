@@ -130,21 +130,69 @@ def split_words(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _pieces(begins, kind, (SPACE, BREAK))
 
 
+class KeyNumbers:
+    """Numbers of 64-bit keys in an open-addressing table of numpy arrays."""
+
+    def __init__(self, bits: int = 16):
+        self.size, self._bits = 0, bits
+        self._keys = np.zeros(1 << bits, dtype=np.uint64)  # 0: empty
+        self._numbers = np.zeros(1 << bits, dtype=np.int32)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _U(0x9E3779B97F4A7C15)) >> _U(64 - self._bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Numbers of distinct keys (not 0), -1 for unknown ones."""
+        out = np.full(len(keys), -1, dtype=np.int64)
+        todo, slots, last = np.arange(len(keys)), self._slots(keys), (1 << self._bits) - 1
+        while len(todo):
+            held = self._keys[slots]
+            hit = held == keys[todo]
+            out[todo[hit]] = self._numbers[slots[hit]]
+            on = ~hit & (held != 0)
+            todo, slots = todo[on], (slots[on] + 1) & last
+        return out
+
+    def add(self, keys: np.ndarray) -> np.ndarray:
+        """Number keys that are distinct and unknown, from the table's size on."""
+        numbers = self.size + np.arange(len(keys))
+        self.size += len(keys)
+        while 2 * self.size > 1 << self._bits:
+            held = np.flatnonzero(self._keys)
+            old_keys, old_numbers = self._keys[held], self._numbers[held]
+            self._bits += 1
+            self._keys = np.zeros(1 << self._bits, dtype=np.uint64)
+            self._numbers = np.zeros(1 << self._bits, dtype=np.int32)
+            self._place(old_keys, old_numbers)
+        self._place(keys, numbers)
+        return numbers
+
+    def _place(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        todo, slots, last = np.arange(len(keys)), self._slots(keys), (1 << self._bits) - 1
+        while len(todo):
+            free = self._keys[slots] == 0
+            self._keys[slots[free]] = keys[todo[free]]  # of several keys for a slot one stays
+            placed = self._keys[slots] == keys[todo]
+            self._numbers[slots[placed]] = numbers[todo[placed]]
+            todo, slots = todo[~placed], (slots[~placed] + 1) & last
+
+
 class PieceTable:
-    """Distinct pieces of a task, numbered as they are met; numbers stand for pieces."""
+    """Distinct pieces of a worker, numbered as they are met; numbers stand for pieces."""
 
     def __init__(self):
-        self._numbers: dict[int, int] = {}
+        self._table = KeyNumbers()
         self._up = self._down = np.ones(1, dtype=np.uint64)
 
     def __len__(self) -> int:
-        return len(self._numbers)
+        return self._table.size
 
     def clear(self) -> None:
-        self._numbers = {}
+        self._table = KeyNumbers()
 
-    def number(self, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, list[str]]:
-        """(number of every piece, the pieces that are new, in the order of their numbers)."""
+    def number(self, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of every piece, places in ``begin`` of the pieces that are new, in the order of
+        their numbers)."""
         if len(self._up) <= len(points):
             size = max(len(points) + 1, 1 << 20)
             for name, base in (("_up", _BASE), ("_down", pow(_BASE, -1, 2**64))):
@@ -156,19 +204,26 @@ class PieceTable:
         keys = (sums[end] - sums[begin]) * self._down[begin] + (end - begin).astype(np.uint64)
         keys ^= keys >> _U(31)
         keys *= _U(0x9FB21C651E98DF25)
+        keys |= _U(1)  # never the empty key
         codes, distinct = pd.factorize(keys)
-        known, keys = self._numbers, distinct.tolist()
-        numbers = np.fromiter((known.get(k, -1) for k in keys), dtype=np.int64, count=len(keys))
+        numbers = self._table.find(distinct)
         new = np.flatnonzero(numbers < 0)
         if not len(new):
-            return numbers[codes], []
-        numbers[new] = len(known) + np.arange(len(new))
-        known.update((keys[i], n) for i, n in zip(new.tolist(), numbers[new].tolist()))
+            return numbers[codes], new
+        numbers[new] = self._table.add(distinct[new])
         first = np.empty(len(distinct), dtype=np.int64)
         first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-        spans = zip(begin[first[new]].tolist(), end[first[new]].tolist())
-        raw = points.astype("<u4").tobytes()
-        return numbers[codes], [raw[4 * a : 4 * b].decode("utf-32-le") for a, b in spans]
+        return numbers[codes], first[new]
+
+
+def joined_lines(points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[str, np.ndarray]:
+    """(pieces as one text, a line break after each, bounds of the lines)."""
+    sizes = end - begin + 1
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.arange(bounds[-1]) - np.repeat(bounds[:-1] - begin, sizes)
+    out = points[np.minimum(at, len(points) - 1)] if len(points) else points
+    out[bounds[1:] - 1] = ord("\n")
+    return out.astype("<u4").tobytes().decode("utf-32-le"), bounds
 
 
 # Byte-level tokenizers write a byte as a printable character: printable Latin-1 stands for

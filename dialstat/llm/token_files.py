@@ -45,14 +45,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialstat.llm.bpe import text_groups, tokenizer_source
-from dialstat.llm.pretokens import PieceTable, code_points, seal_odd_rows, split_blank_prefixed, worker_keeps
+from dialstat.llm.pretokens import (
+    CLASS,
+    SPACE,
+    PieceTable,
+    code_points,
+    joined_lines,
+    seal_odd_rows,
+    split_blank_prefixed,
+    worker_keeps,
+)
 from dialstat.llm.staging import stage, stage_path
 
 CHUNK_BITS = 8
 RANK_BITS = 512
 CONTAINER_TOKENS = 1 << 20
 CONTAINERS_PER_FILE = 8  # a file is read whole: about 16 MB, or one very long document
-KEPT_PIECES = 500_000  # pieces whose ids a worker keeps: about 100 MB
+KEPT_PIECES = 2_000_000  # pieces whose ids a worker keeps: about 100 MB
+JOINED_PIECES = 4096
 MAGIC = b"DACTOK1\n"
 END_MARK = "\nDACTOK-END\n"
 _HEAD = "<8s6Q"
@@ -175,21 +185,24 @@ class TextEncoder:
         self.pool = np.zeros(0, dtype=np.uint32)
         self.bounds = np.zeros(1, dtype=np.int64)
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
         """Encode new pieces, most of them as lines of larger texts.
 
         A line break after a piece is a piece of its own if the next one has no white space but a
         leading blank; such pieces go to the library joined and are told apart by its id.
         """
-        simple = np.array([p[-1] != " " and not p.lstrip(" ").isspace() and p.split() != [] for p in new])
-        lone = [p for p, s in zip(new, simple) if not s]
-        lines = [p for p, s in zip(new, simple) if s]
-        joined = ["\n".join(lines[k : k + 4096]) for k in range(0, len(lines), 4096)]
+        simple = CLASS[points[end - 1]] != SPACE
+        text, cuts = joined_lines(points, begin[simple], end[simple])
+        lines = len(cuts) - 1
+        edges = [*range(0, lines, JOINED_PIECES), lines]
+        joined = [text[cuts[a] : cuts[b] - 1] for a, b in zip(edges, edges[1:])]
+        rest, ends_at = joined_lines(points, begin[~simple], end[~simple])
+        lone = [rest[a : b - 1] for a, b in zip(ends_at.tolist(), ends_at[1:].tolist())]
         parts = [np.array(e.ids, dtype=np.uint32) for e in self.library.encode_batch_fast(joined + lone, add_special_tokens=False)]
-        sizes = np.zeros(len(new), dtype=np.int64)
+        sizes = np.zeros(len(begin), dtype=np.int64)
         seam = np.concatenate([np.append(p, self.line_break) for p in parts[: len(joined)]] or [np.zeros(0, np.uint32)])
         ends = np.flatnonzero(seam == self.line_break)
-        if len(ends) != len(lines):
+        if len(ends) != lines:
             raise ValueError("the tokenizer does not keep a line break apart")
         sizes[simple] = np.diff(np.concatenate([[-1], ends])) - 1
         sizes[~simple] = [len(p) for p in parts[len(joined) :]]
@@ -208,8 +221,8 @@ class TextEncoder:
         easy = seal_odd_rows(points, bounds, [self.cut.search(t) is not None for t in texts])
         begin, stop = split_blank_prefixed(points)
         numbers, new = self.pieces.number(points, begin, stop)
-        if new:
-            self._learn(new)
+        if len(new):
+            self._learn(points, begin[new], stop[new])
         sizes = (self.bounds[1:] - self.bounds[:-1])[numbers]
         total = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.pool[np.arange(total[-1]) - np.repeat(total[:-1] - self.bounds[numbers], sizes)]

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from dialstat.llm import bytescan as B
-from dialstat.llm.pretokens import PieceTable, code_points, seal_odd_rows
+from dialstat.llm.pretokens import KeyNumbers, PieceTable, code_points, joined_lines, seal_odd_rows
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 TEXTS = st.lists(st.text(alphabet="aBcé ß\t\n\x0b\x85\x1f'-.0日", max_size=40), max_size=8)
@@ -61,7 +61,19 @@ def test_piece_numbers_survive_batches():
         assert seal_odd_rows(points, bounds, [False] * 9).all()
         begin, end = split_blank_prefixed(points)
         numbers, new = table.number(points, begin, end)
-        names += new
+        names += [joined_lines(points, begin[[k]], end[[k]])[0][:-1] for k in new]
         joined = "\x00".join(texts) + "\x00"
         assert [names[n] for n in numbers] == [joined[a:b] for a, b in zip(begin, end)]
     assert len(set(names)) == len(names)
+    assert joined_lines(np.zeros(0, np.uint32), np.zeros(0, int), np.zeros(0, int))[0] == ""
+
+
+def test_key_numbers_grow_and_keep_their_numbers():
+    rng, table, known = np.random.default_rng(1), KeyNumbers(bits=3), {}
+    for _ in range(40):
+        keys = np.unique(np.concatenate([rng.integers(1, 2**64, 50, dtype=np.uint64), rng.integers(1, 30, 5, dtype=np.uint64)]))
+        found = table.find(keys)
+        assert found.tolist() == [known.get(k, -1) for k in keys.tolist()]
+        new = keys[found < 0]
+        known.update(zip(new.tolist(), table.add(new).tolist()))
+    assert sorted(known.values()) == list(range(len(known))) and table.size == len(known)
