@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dialstat.llm import bytescan as B
@@ -203,11 +203,15 @@ def fit_languages(
     """(languages, parameters) learned from the bounded sample; empty without labelled rows."""
     held = F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == held_fold, F.lit(True))
     learnable = docs.filter(~held & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    ranked = learnable.select(
-        F.col(id_col).alias("doc_id"),
-        F.expr(f"row_number() OVER (PARTITION BY `{lang_col}` ORDER BY xxhash64(`{id_col}`), `{id_col}`)").alias("nth"),
+    # The first of each language in order of hash, level by level: ever fewer ranges of the hash,
+    # so no task ranks more than a range's rows or 64 times the sample.
+    chosen = learnable.select(
+        F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("hash")
     )
-    chosen = ranked.filter(F.col("nth") <= per_language).select("doc_id").distinct()
+    for salts in (4096, 64, 1):
+        rank = F.row_number().over(Window.partitionBy("lang", F.pmod("hash", F.lit(salts))).orderBy("hash", "doc_id"))
+        chosen = chosen.withColumn("nth", rank).filter(F.col("nth") <= per_language).drop("nth")
+    chosen = chosen.select("doc_id").distinct()
     if rows_within(chosen, BROADCAST_ROWS):
         chosen = F.broadcast(chosen)
     sample = learnable.join(chosen, learnable[id_col] == chosen["doc_id"], "left_semi")

@@ -33,7 +33,7 @@ import itertools
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialstat.llm.staging import stage
+from dialstat.llm.staging import broadcast_within, stage
 
 # Feature name, expression over the base statistics, floor.
 FEATURES = [
@@ -50,6 +50,7 @@ _WORKING = ("words", "lines", "bits", "packed", "pairs", "maybe", "keyed", "star
 SHARE = 0.75
 STEPS = 4
 LEAST_ROWS = 50
+BROADCAST_GROUPS = 50_000  # rows of estimates, 200 bytes each: 10 MB; beyond, joins by shuffle
 # Fixed values for five features: the covariance of the nearest 75 % of normal data is smaller
 # than that of all by this factor; the bound is the chi-square quantile of 1 - 1e-9.
 CONSISTENCY = 1.41
@@ -218,8 +219,7 @@ def _start_medians(rows: DataFrame) -> DataFrame:
 
 def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     """One concentration step for every (group, start): estimates from the nearest SHARE of rows."""
-    # a few rows per group; Spark broadcasts it while its written size is small, else shuffles
-    near = rows.join(estimates, "grp").withColumn(
+    near = rows.join(broadcast_within(estimates, BROADCAST_GROUPS), "grp").withColumn(
         "bin", F.floor(F.log2(_distance() + 1e-6) * _BINS_PER_OCTAVE).cast("long")
     )
     binned = near.groupBy("grp", "start", "bin").agg(*_moments())
@@ -271,12 +271,13 @@ def judge_quality(
     stats = stage(stats.withColumns({name: F.when(passed, F.expr(e)) for name, e, _ in FEATURES}), "quality")
     # Groups that are too small are judged together.
     large = stats.filter(passed).groupBy("own_group").count().filter(F.col("count") >= LEAST_ROWS).select("own_group")
-    large = stage(large.withColumn("grp", F.col("own_group")), "groups")
+    large = broadcast_within(stage(large.withColumn("grp", F.col("own_group")), "groups"), BROADCAST_GROUPS)
     grouped = stats.join(large, "own_group", "left").withColumn("grp", F.coalesce("grp", F.lit("pooled")))
     rows = grouped.filter(passed).select("grp", *NAMES)
     estimates = stage(robust_estimates(rows), "robust")
     pool = rows.groupBy("grp").count().filter(F.col("count") >= LEAST_ROWS).select("grp")
-    judged = grouped.join(estimates.join(pool, "grp", "left_semi"), "grp", "left").withColumn("distance", _distance())
+    trusted = stage(estimates.join(pool, "grp", "left_semi"), "trusted")
+    judged = grouped.join(broadcast_within(trusted, BROADCAST_GROUPS), "grp", "left").withColumn("distance", _distance())
     return judged.select(
         F.col("doc_id").alias(id_col),
         "n_words",

@@ -9,6 +9,7 @@ session when their results have been written.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dialstat.session import shared_scratch_path
 
@@ -39,6 +40,11 @@ def release(spark: SparkSession) -> int:
     return len(paths)
 
 
+def broadcast_within(df: DataFrame, bound: int) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``bound`` rows; else as it is."""
+    return F.broadcast(df) if rows_within(df, bound) else df
+
+
 def rows_within(df: DataFrame, bound: int) -> bool:
     """Whether ``df`` has at most ``bound`` rows; stops counting beyond it."""
     return df.limit(bound + 1).count() <= bound
