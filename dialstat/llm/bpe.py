@@ -29,9 +29,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialstat.llm.pretokens import PieceTable, byte_characters, code_points, joined_lines, seal_odd_rows, split_words, worker_keeps
-
-KEPT_WORDS = 300_000  # words whose tokens a worker keeps: about 100 MB
+from dialstat.llm.pretokens import (
+    IdPool,
+    PieceTable,
+    byte_characters,
+    code_points,
+    joined_lines,
+    seal_odd_rows,
+    split_words,
+    worker_keeps,
+)
+
+KEPT_WORDS = 1_000_000  # words whose ids a worker keeps: about 50 MB
 GROUP_CHARS = 1 << 20
 _NONE = np.int64(1 << 40)  # rank of a pair that does not merge
 
@@ -99,7 +108,7 @@ class MergeTable:
 
 
 class WordEncoder:
-    """Texts to word numbers; every word's ids and tokens as strings."""
+    """Texts to token ids; a worker keeps the ids of the words that it has met."""
 
     def __init__(self, source: str):
         spec = json.loads(source)
@@ -111,89 +120,55 @@ class WordEncoder:
         self.names = np.array([names.get(i, "") for i in range(max(names) + 1)], dtype=object)
         self.digits = np.array([str(i) for i in range(len(self.names))], dtype=object)
         self.cut = re.compile("|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) or r"(?!)")
-        self.pieces = PieceTable()
         self._library = None
         self._clear()
 
     def _clear(self) -> None:
-        self.pieces.clear()
-        self.odd: dict[str, int] = {}  # words of texts beyond the plain range
-        self.ids_text: list[str] = []
-        self.tokens_text: list[str] = []
-        self.counts: list[int] = []
-        self.pool: list[np.ndarray] = []  # ids of all words, one after the other
-        self.number_of: list[int] = []  # plain piece number -> word number
-
-    def _add(self, words: list[str]) -> list[int]:
-        first = len(self.counts)
-        ids, bounds = self.table.encode([w.encode("utf-8") for w in words])
-        digits, names, cuts = self.digits[ids].tolist(), self.names[ids].tolist(), bounds.tolist()
-        for a, b in zip(cuts, cuts[1:]):
-            self.ids_text.append(" ".join(digits[a:b]))
-            self.tokens_text.append(" ".join(names[a:b]))
-        self.counts += np.diff(bounds).tolist()
-        self.pool.append(ids)
-        return list(range(first, len(self.counts)))
-
-    def _odd_numbers(self, text: str) -> list[int]:
-        """Word numbers of a text outside the plain range or with special tokens, cut up by the
-        tokenizer library's normaliser and splitter."""
+        self.pieces, self.pool = PieceTable(), IdPool()
+
+    def _odd_ids(self, text: str) -> np.ndarray:
+        """Ids of a text outside the plain range or with special tokens, cut up by the tokenizer
+        library's normaliser and splitter."""
         if self._library is None:
             from tokenizers import Tokenizer
 
             self._library = Tokenizer.from_str(self.source)
             self._bytes = {c: b for b, c in enumerate(byte_characters())}
-        out, at = [], 0
+        out, at = [np.zeros(0, dtype=np.int64)], 0
         for m in [*self.cut.finditer(text), None]:
             plain = text[at : m.start() if m else len(text)]
             split = self._library.pre_tokenizer.pre_tokenize_str(self._library.normalizer.normalize_str(plain)) if plain else []
-            words = [bytes(self._bytes[c] for c in shown).decode("utf-8") for shown, _ in split]
-            missing = list(dict.fromkeys(w for w in words if w not in self.odd))
-            self.odd.update(zip(missing, self._add(missing)))
-            out += [self.odd[w] for w in words]
+            words = [bytes(self._bytes[c] for c in shown) for shown, _ in split]
+            if words:
+                out.append(self.table.encode(words)[0])
             if m:
-                key = ("special", m[0])
-                if key not in self.odd:
-                    self.odd[key] = len(self.counts)
-                    self.ids_text.append(str(self.special[m[0]]))
-                    self.tokens_text.append(m[0])
-                    self.counts.append(1)
-                    self.pool.append(np.array([self.special[m[0]]]))
-                out.append(self.odd[key])
+                out.append(np.array([self.special[m[0]]]))
                 at = m.end()
-        return out
+        return np.concatenate(out)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Word numbers of every text; valid until the next call."""
-        if len(self.counts) > KEPT_WORDS:
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in one array, bounds per text)."""
+        if len(self.pieces) > KEPT_WORDS:
             self._clear()
-        lowered = [t.lower() for t in texts]
-        points, bounds = code_points(lowered)
+        points, bounds = code_points([t.lower() for t in texts])
         easy = seal_odd_rows(points, bounds, [self.cut.search(t) is not None for t in texts])
         begin, end = split_words(points)
         numbers, new = self.pieces.number(points, begin, end)
         if len(new):
             text, _ = joined_lines(points, begin[new], end[new])
-            self.number_of += self._add(text[:-1].split("\n"))
-        words = np.array(self.number_of, dtype=np.int64)[numbers] if len(numbers) else numbers
-        at = np.searchsorted(begin, bounds)
-        return [
-            words[a:b] if e else np.array(self._odd_numbers(t), dtype=np.int64)
-            for t, e, a, b in zip(texts, easy.tolist(), at[:-1].tolist(), at[1:].tolist())
-        ]
-
-    def flat_ids(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all rows in one array, row bounds) for rows of word numbers."""
-        counts = np.array(self.counts, dtype=np.int64)
-        begins = np.concatenate([[0], np.cumsum(counts)])
-        self.pool = [np.concatenate(self.pool)] if self.pool else []
-        words = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-        sizes = counts[words] if len(words) else words
-        total = np.concatenate([[0], np.cumsum(sizes)])
-        if not total[-1]:
-            return np.zeros(0, np.int64), np.zeros(len(rows) + 1, np.int64)
-        ids = self.pool[0][np.arange(total[-1]) - np.repeat(total[:-1] - begins[words], sizes)]
-        return ids, total[np.concatenate([[0], np.cumsum([len(r) for r in rows])])]
+            ids, cuts = self.table.encode([w.encode("utf-8") for w in text[:-1].split("\n")])
+            self.pool.add(ids, np.diff(cuts))
+        ids, total = self.pool.gather(numbers)
+        at = total[np.searchsorted(begin, bounds)]
+        if easy.all():
+            return ids, at
+        cuts = at.tolist()
+        parts = [ids[a:b] if e else self._odd_ids(t) for t, e, a, b in zip(texts, easy.tolist(), cuts, cuts[1:])]
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+
+    def decode(self, ids: np.ndarray) -> str:
+        """The tokens joined by blanks, as a file without a decoder asks for."""
+        return " ".join(self.names[ids].tolist())
 
 
 _DDL = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -217,16 +192,15 @@ def _digests(source):
         coder = worker_keeps("word encoder", source.value, WordEncoder)
         for batch in batches:
             for first, texts in text_groups(batch, 1):
-                rows = coder.encode(texts)
-                counts = np.array(coder.counts, dtype=np.int64)
-                ids_text, tokens_text = np.array(coder.ids_text, dtype=object), np.array(coder.tokens_text, dtype=object)
-                sha = lambda parts: hashlib.sha256(" ".join(parts.tolist()).encode("utf-8")).hexdigest()
+                ids, cuts = coder.encode(texts)
+                sha = lambda text: hashlib.sha256(text.encode("utf-8")).hexdigest()
+                spans = list(zip(cuts.tolist(), cuts[1:].tolist()))
                 yield pa.record_batch(
                     [
                         batch.column(0).slice(first, len(texts)),
-                        pa.array([int(counts[r].sum()) if len(r) else 0 for r in rows], pa.int64()),
-                        pa.array([sha(ids_text[r]) if len(r) else sha(r) for r in rows]),
-                        pa.array([sha(tokens_text[r]) if len(r) else sha(r) for r in rows]),
+                        pa.array(np.diff(cuts)),
+                        pa.array([sha(" ".join(coder.digits[ids[a:b]].tolist())) for a, b in spans]),
+                        pa.array([sha(coder.decode(ids[a:b])) for a, b in spans]),
                     ],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
@@ -239,13 +213,12 @@ def _encodings(source):
         coder = worker_keeps("word encoder", source.value, WordEncoder)
         for batch in batches:
             for first, texts in text_groups(batch, 1):
-                rows = coder.encode(texts)
-                ids, cuts = coder.flat_ids(rows)
+                ids, cuts = coder.encode(texts)
                 yield pa.record_batch(
                     [
                         batch.column(0).slice(first, len(texts)),
                         pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids.astype(np.int32))),
-                        pa.array([" ".join(coder.tokens_text[n] for n in r.tolist()) for r in rows], pa.string()),
+                        pa.array([coder.decode(ids[a:b]) for a, b in zip(cuts.tolist(), cuts[1:].tolist())], pa.string()),
                     ],
                     names=["doc_id", "ids", "decoded"],
                 )

@@ -216,6 +216,39 @@ class PieceTable:
         return numbers[codes], first[new]
 
 
+class IdPool:
+    """Token ids of numbered pieces, in one growing array."""
+
+    def __init__(self):
+        self._ids, self._bounds = np.zeros(1 << 12, dtype=np.uint32), np.zeros(1 << 12, dtype=np.int64)
+        self.pieces = 0
+
+    @staticmethod
+    def _room(array: np.ndarray, used: int, more: int) -> np.ndarray:
+        if used + more <= len(array):
+            return array
+        grown = np.zeros(max(2 * len(array), used + more), dtype=array.dtype)
+        grown[:used] = array[:used]
+        return grown
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Append pieces; returns their numbers."""
+        numbers, used = self.pieces + np.arange(len(sizes)), int(self._bounds[self.pieces])
+        self._ids = self._room(self._ids, used, len(ids))
+        self._bounds = self._room(self._bounds, self.pieces + 1, len(sizes))
+        self._ids[used : used + len(ids)] = ids
+        self._bounds[self.pieces + 1 : self.pieces + 1 + len(sizes)] = used + np.cumsum(sizes)
+        self.pieces += len(sizes)
+        return numbers
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the pieces one after the other, bounds per piece)."""
+        begin = self._bounds[numbers]
+        sizes = self._bounds[numbers + 1] - begin
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        return self._ids[np.arange(total[-1]) - np.repeat(total[:-1] - begin, sizes)], total
+
+
 def joined_lines(points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[str, np.ndarray]:
     """(pieces as one text, a line break after each, bounds of the lines)."""
     sizes = end - begin + 1

@@ -48,6 +48,7 @@ from dialstat.llm.bpe import text_groups, tokenizer_source
 from dialstat.llm.pretokens import (
     CLASS,
     SPACE,
+    IdPool,
     PieceTable,
     code_points,
     joined_lines,
@@ -61,7 +62,7 @@ CHUNK_BITS = 8
 RANK_BITS = 512
 CONTAINER_TOKENS = 1 << 20
 CONTAINERS_PER_FILE = 8  # a file is read whole: about 16 MB, or one very long document
-KEPT_PIECES = 2_000_000  # pieces whose ids a worker keeps: about 100 MB
+KEPT_PIECES = 1_000_000  # pieces whose ids a worker keeps: about 50 MB
 JOINED_PIECES = 4096
 MAGIC = b"DACTOK1\n"
 END_MARK = "\nDACTOK-END\n"
@@ -182,8 +183,7 @@ class TextEncoder:
 
     def _clear(self) -> None:
         self.pieces.clear()
-        self.pool = np.zeros(0, dtype=np.uint32)
-        self.bounds = np.zeros(1, dtype=np.int64)
+        self.pool = IdPool()
 
     def _learn(self, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
         """Encode new pieces, most of them as lines of larger texts.
@@ -210,8 +210,7 @@ class TextEncoder:
         from_lines = np.repeat(simple, sizes)
         ids[from_lines] = seam[seam != self.line_break]
         ids[~from_lines] = np.concatenate(parts[len(joined) :] or [np.zeros(0, np.uint32)])
-        self.pool = np.concatenate([self.pool, ids])
-        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
+        self.pool.add(ids, sizes)
 
     def encode(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in one array, ids per text), ``end`` after each text if given."""
@@ -223,9 +222,7 @@ class TextEncoder:
         numbers, new = self.pieces.number(points, begin, stop)
         if len(new):
             self._learn(points, begin[new], stop[new])
-        sizes = (self.bounds[1:] - self.bounds[:-1])[numbers]
-        total = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.pool[np.arange(total[-1]) - np.repeat(total[:-1] - self.bounds[numbers], sizes)]
+        ids, total = self.pool.gather(numbers)
         at = total[np.searchsorted(begin, bounds)].tolist()
         tail = np.array([] if end is None else [end], dtype=np.uint32)
         parts = []
