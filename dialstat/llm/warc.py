@@ -4,16 +4,19 @@ Writing.  Every page is one record.  Of pages with equal payloads the one with t
 is a ``response``, the others are ``revisit`` records that name it.  A response holds an HTTP
 message whose body is in chunked transfer framing; a message longer than ``SEGMENT_BYTES`` goes
 on in ``continuation`` records (segment numbers from 1, origin id, total length on the last).
-Records are built by the tasks and written by Spark's text writer, whose row end is the blank
-lines that end a record, so any store that Spark writes to will do and a lost task's file is
-discarded.  A file has at most ``RECORDS_PER_FILE`` records of a segment each, so its size is
-bounded, and it is read whole.
+Records are built by the tasks and written, gzipped, by Spark's text writer, whose row end is the
+blank lines that end a record, so any store that Spark writes to will do and a lost task's file
+is discarded.  A file has at most ``RECORDS_PER_FILE`` records of a segment each, so its size is
+bounded, and it is read whole.  Only payload digests that occur more than once are gathered (a
+partial aggregate over narrow rows); pages meet them by a size-checked broadcast, so in general
+no payload is shuffled.
 
 Reading.  Records are found by their content length.  Segments are grouped by the identifier of
 their origin, ordered by number and joined; numbers must run from 1 without a gap and the total
 length must hold.  Then the HTTP message is cut, chunked framing is decoded and the payload is
 checked against the record's digest.  Unsegmented records need no shuffle.  Revisits take their
 payload's size from the record they refer to.  A record that fails has its ``problem`` named.
+A response's record id follows from its digest, so revisits can name it; the others are random.
 
 Defined results for odd rows: a null payload is empty; a null id counts as larger than every id;
 of equal rows one is the response and the others refer to its id; a url is written with blanks
@@ -24,6 +27,7 @@ empty table writes no record and reads as an empty result.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -33,11 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialstat.llm.staging import stage, stage_path
+from dialstat.llm.staging import broadcast_within, stage, stage_path
 
 SEGMENT_BYTES = 32 << 10
 CHUNK_BYTES = 8 << 10
 RECORDS_PER_FILE = 4096
+BROADCAST_PAYLOADS = 500_000  # digests that occur more than once: 60 bytes each, 30 MB
 RECORD_END = "\r\n\r\n"
 DATE = "2000-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -50,8 +55,10 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode("ascii")
 
 
-def record_id(row: int, page_id) -> str:
-    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.md5(f'{row}/{page_id}'.encode()).digest())}>"
+def record_id(digest: str | None) -> str:
+    """The identifier of the response with a payload digest; a random one for None."""
+    own = uuid.uuid4() if digest is None else uuid.uuid5(uuid.NAMESPACE_URL, f"sha1:{digest}")
+    return f"<urn:uuid:{own}>"
 
 
 def chunked(payload: bytes, size: int = CHUNK_BYTES) -> bytes:
@@ -82,12 +89,13 @@ def _record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return f"WARC/1.1\r\n{lines}Content-Length: {len(block)}\r\n\r\n".encode() + block
 
 
-def page_records(row: int, page_id, url, payload: bytes | None, digest: str, refers: tuple | None, segment: int) -> list[bytes]:
+def page_records(page_id, url, payload: bytes | None, digest: str, revisit: bool, named: bool, segment: int) -> list[bytes]:
     """The records of one page, without the blank lines after each.
 
-    :param refers: (row, page id) of the response that a revisit refers to, None for a response
+    :param revisit: the payload is that of the response with the same digest
+    :param named: a response that revisits may refer to
     """
-    own = record_id(row, page_id)
+    own = record_id(digest if named and not revisit else None)
     headers = [
         ("WARC-Record-ID", own),
         ("WARC-Date", DATE),
@@ -97,8 +105,8 @@ def page_records(row: int, page_id, url, payload: bytes | None, digest: str, ref
     ]
     if page_id is not None:
         headers.insert(1, ("WARC-Page-ID", str(page_id)))
-    if refers is not None:
-        more = [("WARC-Refers-To", record_id(*refers)), ("WARC-Profile", REVISIT_PROFILE)]
+    if revisit:
+        more = [("WARC-Refers-To", record_id(digest)), ("WARC-Profile", REVISIT_PROFILE)]
         return [_record([("WARC-Type", "revisit"), *headers, *more], _HTTP + b"\r\n")]
     block = _HTTP + b"Transfer-Encoding: chunked\r\n\r\n" + chunked(payload or b"")
     if len(block) <= segment:
@@ -130,9 +138,8 @@ def _records(segment: int):
                 out = []
                 for r in batch.slice(lo, _BUILD_ROWS).to_pylist():
                     payload = (r["html"] or "").encode("utf-8")
-                    refers = None if r["row"] == r["first_row"] else (r["first_row"], r["first_page"])
                     digest = base64.b32encode(bytes.fromhex(r["sha1"])).decode("ascii")
-                    out += page_records(r["row"], r["page_id"], r["url"], payload, digest, refers, segment)
+                    out += page_records(r["page_id"], r["url"], payload, digest, r["revisit"], r["named"], segment)
                 yield pa.record_batch([pa.array(out, pa.binary())], names=["record"])
 
     return run
@@ -151,46 +158,61 @@ def write_warc(
 
     :param least_revisit: payloads of fewer bytes are always responses
     """
-    # A row number tells equal rows apart.  It is written with the rows: another run of the
-    # plan behind ``pages`` may number them anew.
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    rows = stage(
-        pages.select(
-            F.monotonically_increasing_id().alias("row"),
-            F.col(id_col).cast("long").alias("page_id"),
-            F.col(url_col).cast("string").alias("url"),
-            html.alias("html"),
-            F.sha1(html.cast("binary")).alias("sha1"),
-        ),
-        "pages",
+    rows = pages.select(
+        F.col(id_col).cast("long").alias("page_id"),
+        F.col(url_col).cast("string").alias("url"),
+        html.alias("html"),
+        F.sha1(html.cast("binary")).alias("sha1"),
+        (F.octet_length(html) >= least_revisit).alias("named"),
     )
-    keys = rows.select("row", "page_id", "sha1", F.octet_length("html").alias("bytes"))
-    order = F.struct(F.col("page_id").isNull().alias("last"), "page_id", "row")
-    first = (
-        keys.filter(F.col("bytes") >= least_revisit)
-        .groupBy("sha1")
-        .agg(F.min(order).alias("first"), F.count("*").alias("many"))
-        .filter("many > 1")
-        .select("sha1", F.col("first.row").alias("first_row"), F.col("first.page_id").alias("first_page"))
+    # Payloads that occur more than once: the smallest id and how many rows have it.
+    per_page = rows.filter("named").groupBy("sha1", "page_id").agg(F.count("*").alias("n"))
+    order = F.struct(F.col("page_id").isNull().alias("last"), "page_id", "n")
+    shared = per_page.groupBy("sha1").agg(F.min(order).alias("first"), F.sum("n").alias("many")).filter("many > 1")
+    shared = stage(
+        shared.select("sha1", F.col("first.page_id").alias("first_page"), F.col("first.n").alias("twins")), "shared_payloads"
     )
-    # Only revisits are named; every other row is a response and joins with nothing.
-    revisits = (
-        keys.join(first, "sha1").filter((F.col("row") != F.col("first_row")) & (F.col("bytes") >= least_revisit))
-        .select("row", "first_row", "first_page")
-    )
-    joined = rows.join(revisits, "row", "left")
-    named = joined.withColumn("first_row", F.coalesce("first_row", "row")).withColumn(
-        "html", F.when(F.col("row") == F.col("first_row"), F.col("html"))
+    joined = rows.join(broadcast_within(shared, BROADCAST_PAYLOADS), "sha1", "left").withColumns(
+        {"in_group": F.col("named") & F.col("twins").isNotNull(), "is_first": F.col("page_id").eqNullSafe(F.col("first_page"))}
     )
+    twin = F.col("in_group") & F.col("is_first") & (F.col("twins") > 1)
+    revisit = F.col("in_group") & ~F.col("is_first")
+    body = F.when(~F.col("revisit"), F.col("html")).alias("html")
+    out = joined.filter(~twin).withColumn("revisit", revisit).select("page_id", "url", body, "sha1", "named", "revisit")
+    if shared.filter("twins > 1").limit(1).count():
+        out = out.union(_twin_records(joined.filter(twin)))
     (
-        named.mapInArrow(_records(segment), "record binary")
+        out.mapInArrow(_records(segment), "record binary")
         .select(F.col("record").cast("string"))
         .write.option("lineSep", RECORD_END)
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        .option("compression", "gzip")
         .text(path)
     )
 
 
+def _twin_records(twins: DataFrame) -> DataFrame:
+    """Rows with one payload and one id, the smallest: one of them is the response.
+
+    Equal rows are counted map-side, so many of them are one row per task.
+    """
+    link = F.struct(F.col("url").isNull().alias("no_url"), "url")
+    heads = twins.groupBy("sha1", "page_id").agg(F.min(link).alias("head"), F.first("html").alias("html"))
+    counts = twins.groupBy("sha1", "page_id", "url").agg(F.count("*").alias("n"))
+    first = F.col("head.url").eqNullSafe(F.col("url"))
+    rest = (
+        counts.join(heads.select("sha1", "head"), "sha1")
+        .withColumn("n", F.col("n") - F.when(first, 1).otherwise(0))
+        .filter("n > 0")
+        .select("page_id", "url", "sha1", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("nth"))
+    )
+    yes, no = F.lit(True), F.lit(False)
+    return heads.select(
+        "page_id", F.col("head.url").alias("url"), "html", "sha1", yes.alias("named"), no.alias("revisit")
+    ).union(rest.select("page_id", "url", F.lit(None).cast("string"), "sha1", yes, yes))
+
+
 def records_of(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers by lower-case name, block) of the records of one archive."""
     at = 0
@@ -285,7 +307,7 @@ def _parsed(keep: bool):
         for batch in batches:
             for content in batch.column(0):
                 held = []
-                for headers, block in records_of(content.as_buffer().to_pybytes()):
+                for headers, block in records_of(gzip.decompress(content.as_buffer())):
                     held.append(_found(headers, block, keep))
                     if len(held) == _BUILD_ROWS:
                         yield pa.RecordBatch.from_pylist(held, schema=_FOUND)

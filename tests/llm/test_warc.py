@@ -1,6 +1,7 @@
 """WARC writing and reading, segment reassembly, transfer framing."""
 
 import base64
+import gzip
 import hashlib
 import random
 
@@ -34,6 +35,8 @@ def test_pages_come_back(spark):
         (7, "http://d/ü?q=1", "<p>once</p>", 0, ""),
         (6, "http://e/", "twice", 0, ""),
         (6, "http://e/", "twice", 0, ""),  # a repeated row
+        (6, None, "twice", 0, ""),  # the id and payload again, with another url
+        (10, "http://f/", "twice", 0, ""),
         (None, None, "only a null id", 0, ""),
     ]
     _, got = round_trip(spark, pages)
@@ -48,6 +51,8 @@ def test_pages_come_back(spark):
         (7, "response", None, b32("<p>once</p>")),
         (6, "response", None, b32("twice")),
         (6, "revisit", 6, b32("twice")),
+        (6, "revisit", 6, b32("twice")),
+        (10, "revisit", 6, b32("twice")),
         (None, "response", None, b32("only a null id")),
     ]
     assert sorted(((r["page_id"], r["type"], r["refers_page"], r["payload_digest"]) for r in got), key=key) == sorted(want, key=key)
@@ -70,7 +75,7 @@ def test_small_segments_are_continuations(spark):
     html = "x" * 5000
     path, got = round_trip(spark, [(1, "u", html, 0, "")], segment=512)
     assert got[0]["payload"] == html.encode() and got[0]["problem"] is None
-    raw = b"".join(r["content"] for r in rows_of(spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)))
+    raw = b"".join(gzip.decompress(r["content"]) for r in rows_of(spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)))
     records = list(W.records_of(raw))
     assert [h["warc-type"] for h, _ in records] == ["response"] + ["continuation"] * (len(records) - 1)
     assert [h["warc-segment-number"] for h, _ in records] == [str(i + 1) for i in range(len(records))]
@@ -83,20 +88,20 @@ def _archive(spark, records):
     path = stage_path(spark, "foreign")
     rows = [(i // 2, r) for i, r in enumerate(records)]
     df = spark.createDataFrame(rows, "f int, record binary").repartition(5, "f").sortWithinPartitions("f")
-    df.selectExpr("cast(record as string)").write.option("lineSep", W.RECORD_END).text(path)
+    df.selectExpr("cast(record as string)").write.option("lineSep", W.RECORD_END).option("compression", "gzip").text(path)
     return rows_of(W.read_warc(spark, path, keep_payload=True))
 
 
 def test_segments_from_any_file_in_any_order_and_what_is_wrong_with_them(spark):
     def page(n, html):
-        return W.page_records(n, n, "u", html, W.payload_digest(html), None, 64)
+        return W.page_records(n, "u", html, W.payload_digest(html), False, True, 64)
 
     whole, gap, headless, tailless, long = (page(n, bytes([65 + n]) * 300) for n in range(5))
     assert len(whole) > 4
     long[-1] = long[-1].replace(b"Total-Length: ", b"Total-Length: 9")
-    forged = W.page_records(7, 7, "u", b"abc", W.payload_digest(b"abd"), None, 10_000)
-    broken = [W.page_records(8, 8, "u", b"abc", W.payload_digest(b"abc"), None, 10_000)[0].replace(b"3\r\nabc", b"9\r\nabc")]
-    orphan = W.page_records(9, 9, "u", None, W.payload_digest(b"q"), (1, 77), 100)
+    forged = W.page_records(7, "u", b"abc", W.payload_digest(b"abd"), False, True, 10_000)
+    broken = [W.page_records(8, "u", b"abc", W.payload_digest(b"abc"), False, True, 10_000)[0].replace(b"3\r\nabc", b"9\r\nabc")]
+    orphan = W.page_records(9, "u", None, W.payload_digest(b"q"), True, True, 100)
     records = whole + gap[:2] + gap[3:] + headless[1:] + tailless[:-1] + long + forged + broken + orphan
     random.Random(2).shuffle(records)
     got = {(r["type"], r["page_id"]): r for r in _archive(spark, records)}
