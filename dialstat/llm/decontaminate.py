@@ -10,7 +10,7 @@ The benchmark is reduced to distinct windows, each with a *set number*: windows
 the same items share one, so a passage of many items is one entry and a document carries set
 numbers, not items.  Item lists are made once per distinct combination of set numbers.
 
-Up to ``BROADCAST_WINDOWS`` windows (16 bytes each) the table goes to every task and a document
+Up to ``BROADCAST_WINDOWS`` windows the table goes to every task and a document
 is decided where it is read, without a shuffle.  Beyond that the tasks keep a bit map of the
 benchmark's hashes (fixed size) and emit the windows that pass; these are joined with the window
 table by hash and merged per document.
@@ -35,7 +35,7 @@ from dialstat.llm.staging import rows_within, stage
 
 GRAM, SPAN = 5, 9  # GRAM + SPAN - 1 = 13 words: the shortest shared span that is always found
 WINDOW = GRAM + SPAN - 1
-BROADCAST_WINDOWS = 4_000_000  # 64 MB
+BROADCAST_WINDOWS = 2_000_000  # 24 bytes each: 48 MB
 MAP_BITS = 26  # the bit map of the join path: 8 MB, whatever the benchmark's size
 _U = np.uint64
 _NO = _U(0xFFFFFFFFFFFFFFFF)

@@ -7,8 +7,9 @@ How the sets are dealt out without losing a link: two linked sets differ in at m
 (D follows from their sizes).  The ordered universe is cut into D + s ranges, so linked sets
 agree *wholly* on at least s of them (s is larger than the empty ranges that a set of this size
 has, but for rare sets, whose empty ranges are keys too); every set is sent to one key per range,
-the hash of its run of elements there.  A key of several consecutive elements is shared by near
-copies and by little else, so a line, passage or phrase that many texts share gathers nobody.  Equal
+the hash of its run of elements there.  A set that shares fewer keys than s less its empty ranges
+has no link and leaves, and so on until few do (:func:`_pruned`).  What stays is near copies and
+little else, so a line, passage or phrase that many texts share gathers nobody.  Equal
 sets are one node from the start, within each task and then by digest.
 
 Sets meet in prefix trees (:func:`trie_links`): members are stored by their ordered elements, a
@@ -55,7 +56,10 @@ PROFILE = pa.schema(
         ("doc_id", pa.int64()),
         ("n", pa.int64()),
         ("node", pa.binary()),
-        ("keys", pa.list_(pa.int64())),
+        ("keys0", pa.list_(pa.int64())),
+        ("keys1", pa.list_(pa.int64())),
+        ("need0", pa.int32()),
+        ("need1", pa.int32()),
     ]
 )
 
@@ -80,6 +84,7 @@ def size_classes(num: int, den: int, upto: int = 1 << 26) -> tuple[np.ndarray, n
         ranges = differ + spare
         empty = ranges * np.exp(-lows[:-1] / ranges)
         spare = np.clip(np.ceil(empty + 6 * np.sqrt(empty) + 2), 3, 10 + differ // 20).astype(np.int64)
+        spare = np.maximum(spare, 3 + differ * 3 // 20)
     return lows, np.where(differ > 0, differ + spare, 0), spare
 
 
@@ -105,16 +110,18 @@ def set_digest(elements: np.ndarray) -> bytes:
     return one.to_bytes(8, "big") + (two >> 32).to_bytes(4, "big")
 
 
-def range_keys(elements: np.ndarray, classes: tuple[np.ndarray, ...]) -> np.ndarray:
-    """One key per range of the set's own class and of the class below."""
+def range_keys(elements: np.ndarray, classes: tuple[np.ndarray, ...]) -> list[tuple[np.ndarray, int]]:
+    """(keys, keys that a linked set has in common with this one at least) of the set's own class
+    and of the class below."""
     lows, ranges, spare = classes
     own = int(np.searchsorted(lows, len(elements), side="right")) - 1
     sums = np.zeros(len(elements) + 1, dtype=np.uint64)
     np.cumsum(B.mix(elements + _U(0x632BE59BD9B4E019)), out=sums[1:])
-    keys = []
+    out = []
     for c in (own, own - 1):
         m = int(ranges[c]) if c >= 0 else 0
-        if not m:
+        if not m or not len(elements):
+            out.append((elements[:0], 0))
             continue
         edges = np.append(
             elements.searchsorted((np.arange(m, dtype=np.uint64)) * _U(2**64 // m)), len(elements)
@@ -122,9 +129,13 @@ def range_keys(elements: np.ndarray, classes: tuple[np.ndarray, ...]) -> np.ndar
         counts = np.diff(edges)
         tags = B.mix(np.arange(m, dtype=np.uint64) * _U(0x9E3779B97F4A7C15) + _U(c + 1))
         key = B.mix(sums[edges[1:]] - sums[edges[:-1]] + tags + counts.astype(np.uint64))
+        empty = int((counts == 0).sum())
         # The ranges that linked sets agree on may all be empty only if a set has that many.
-        keys.append(key if (counts == 0).sum() >= spare[c] else key[counts > 0])
-    return np.concatenate(keys) if keys else elements[:0]
+        if empty >= spare[c]:
+            out.append((key, 1))  # a partner with fewer empty ranges does not give them
+        else:
+            out.append((key[counts > 0], int(spare[c]) - empty))
+    return out
 
 
 def _profiles(n: int, num: int, den: int):
@@ -135,19 +146,18 @@ def _profiles(n: int, num: int, den: int):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for lo, hi, raw, bounds in B.chunks(texts):
-                sizes, nodes, keys = [], [], []
+                columns = {name: [] for name in PROFILE.names[1:]}
                 for elements in shingle_sets(raw, bounds, n):
                     node = set_digest(elements)
-                    first = node not in seen
+                    columns["n"].append(len(elements))
+                    columns["node"].append(node)
+                    found = [(None, None)] * 2 if node in seen else range_keys(elements, classes)
                     seen.add(node)
-                    sizes.append(len(elements))
-                    nodes.append(node)
-                    own = range_keys(elements, classes) if first and len(elements) else elements[:0]
-                    keys.append(own.view(np.int64) if len(own) else None)
-                yield pa.record_batch(
-                    [ids.slice(lo, hi - lo), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(keys, PROFILE.field("keys").type)],
-                    schema=PROFILE,
-                )
+                    for side, (keys, need) in enumerate(found):
+                        columns[f"keys{side}"].append(keys.view(np.int64) if need else None)
+                        columns[f"need{side}"].append(need or None)
+                arrays = [pa.array(v, PROFILE.field(k).type) for k, v in columns.items()]
+                yield pa.record_batch([ids.slice(lo, hi - lo), *arrays], schema=PROFILE)
 
     return run
 
@@ -329,6 +339,32 @@ def _cluster_links(clusters: DataFrame, sets: DataFrame, num: int, den: int) ->
     return own.groupBy("cluster").applyInPandas(_meet_block(num, den), "a binary, b binary")
 
 
+def _pruned(keyed: DataFrame, needs: DataFrame, rounds: int = 2) -> DataFrame:
+    """keyed(key, node, side) -> (key, node, side, center): keys of two nodes and more, without
+    the nodes that share too few of them to have a link.
+
+    :param needs: (node, side, need): the keys that a node shares with any linked one, at least
+    """
+    low = F.expr("min(node) OVER (PARTITION BY key)")
+    high = F.expr("max(node) OVER (PARTITION BY key)")
+
+    def shared(rows: DataFrame) -> DataFrame:
+        met = rows.select("key", "node", "side", low.alias("center"), high.alias("top"))
+        return met.filter("center <> top").drop("top")
+
+    rows = stage(shared(keyed).distinct(), "shared")
+    for _ in range(rounds):
+        enough = (
+            rows.groupBy("node", "side")
+            .agg(F.count("*").alias("keys"))
+            .join(needs, ["node", "side"])
+            .filter("keys >= need")
+            .select("node", "side")
+        )
+        rows = stage(shared(rows.drop("center").join(enough, ["node", "side"])), "pruned")
+    return rows
+
+
 def _first_round(shared: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     pairs = shared.filter(F.col("node") != F.col("center")).select(F.col("center").alias("probe"), "node").distinct()
     members = pairs.join(sets, "node").withColumn("size", F.size("elements"))
@@ -398,18 +434,20 @@ def jaccard_components(
         raise ValueError("the similarity must be above 1/2 and below 1")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     prof = stage(
-        texts.mapInArrow(_profiles(n, num, den), "doc_id long, n long, node binary, keys array<bigint>"), "profiles"
+        texts.mapInArrow(
+            _profiles(n, num, den),
+            "doc_id long, n long, node binary, keys0 array<bigint>, keys1 array<bigint>, need0 int, need1 int",
+        ),
+        "profiles",
     )
-    # A key is worth keeping if two different sets have it.
-    keyed = prof.select(F.explode("keys").alias("key"), "node")
-    per_key = "(PARTITION BY key)"
-    shared = stage(
-        keyed.select("key", "node", F.expr(f"min(node) OVER {per_key}").alias("center"), F.expr(f"max(node) OVER {per_key}").alias("top"))
-        .filter("center <> top")
-        .select("key", "node", "center")
-        .distinct(),
-        "shared",
+    sides = [
+        prof.filter(f"need{side} IS NOT NULL").withColumn("side", F.lit(side).cast("byte")) for side in (0, 1)
+    ]
+    keyed = sides[0].select(F.explode("keys0").alias("key"), "node", "side").union(
+        sides[1].select(F.explode("keys1").alias("key"), "node", "side")
     )
+    needs = sides[0].select("node", "side", F.col("need0").alias("need")).union(sides[1].select("node", "side", "need1"))
+    shared = _pruned(keyed, needs.dropDuplicates(["node", "side"])).drop("side")
     wanted = shared.select("node").distinct()
     # One row of every such set names the text to read again.
     ids = prof.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("id"), F.count_if(F.col("doc_id").isNull()).alias("nulls"))
