@@ -2,8 +2,8 @@
 
 A staged table is Parquet below the session's ``spark.checkpoint.dir``: every executor can read
 it, so a lost executor costs a re-read and never a re-run of what came before.  Staged tables
-live as long as the DataFrames built on them may be read; :func:`release` deletes those of a
-session when their results have been written.
+live as long as the DataFrames built on them may be read: until :func:`release` or the end of
+Spark's process.
 """
 
 from __future__ import annotations
@@ -11,16 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialstat.session import shared_scratch_path
-
-_STAGED: dict[str, list[str]] = {}
+from dialstat.session import release_scratch, shared_scratch_path
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, remembered for :func:`release`."""
-    path = shared_scratch_path(spark, name)
-    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return path
+    """A fresh path below the shared folder."""
+    return shared_scratch_path(spark, name)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -32,12 +28,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def release(spark: SparkSession) -> int:
     """Delete every staged table of this session; returns how many there were."""
-    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for path in paths:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(conf).delete(target, True)
-    return len(paths)
+    return release_scratch(spark)
 
 
 def broadcast_within(df: DataFrame, bound: int) -> DataFrame:
@@ -46,5 +37,5 @@ def broadcast_within(df: DataFrame, bound: int) -> DataFrame:
 
 
 def rows_within(df: DataFrame, bound: int) -> bool:
-    """Whether ``df`` has at most ``bound`` rows; stops counting beyond it."""
-    return df.limit(bound + 1).count() <= bound
+    """Whether ``df`` has at most ``bound`` rows (for a staged table its files' footers tell)."""
+    return df.count() <= bound
