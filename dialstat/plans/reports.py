@@ -46,8 +46,8 @@ def segment_top_k(calls: DataFrame, people: DataFrame, area: str = "IT", k: int
     """
     staff = (
         calls.filter(F.col("area") == area)
-        .groupBy("id", "area")
-        .agg(F.least(F.count(F.lit(1)), F.lit(k).cast("long")).cast("int").alias("copies"))
+        .groupBy("id")
+        .agg(F.lit(area).alias("area"), F.least(F.count(F.lit(1)), F.lit(k).cast("long")).cast("int").alias("copies"))
     )
     persons = top_n_per_group(
         people.select("id", "name", "address", "sales_amount"), "id", ["-sales_amount"], max(k, 1), ["name", "address"]
