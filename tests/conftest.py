@@ -13,8 +13,9 @@ from dialstat.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, shuffle_partitions=8, app="dialstat-tests")
+def spark(tmp_path_factory):
+    scratch = str(tmp_path_factory.mktemp("checkpoints"))
+    session = local_session(8, shuffle_partitions=8, app="dialstat-tests", checkpoint_dir=scratch)
     yield session
     session.stop()
 
