@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialstat.llm.pretokens import (
+    COMPOSED,
     IdPool,
     PieceTable,
     byte_characters,
@@ -127,7 +128,7 @@ class WordEncoder:
         self.pieces, self.pool = PieceTable(), IdPool()
 
     def _odd_ids(self, text: str) -> np.ndarray:
-        """Ids of a text outside the plain range or with special tokens, cut up by the tokenizer
+        """Ids of a text that is not served by the vectorised splitter, cut up by the tokenizer
         library's normaliser and splitter."""
         if self._library is None:
             from tokenizers import Tokenizer
@@ -151,7 +152,8 @@ class WordEncoder:
         if len(self.pieces) > KEPT_WORDS:
             self._clear()
         points, bounds = code_points([t.lower() for t in texts])
-        easy = seal_odd_rows(points, bounds, [self.cut.search(t) is not None for t in texts])
+        # a capital sigma is lower-cased by its place in the word here, but not by the library
+        easy = seal_odd_rows(points, bounds, [self.cut.search(t) is not None or "Σ" in t for t in texts], COMPOSED)
         begin, end = split_words(points)
         numbers, new = self.pieces.number(points, begin, end)
         if len(new):

@@ -1,10 +1,11 @@
 """Vectorised splitting of texts into the pieces that byte-pair merges never cross.
 
 Both tokenizer files split a text by a regular expression over letters, numbers, white space and
-other characters before merging.  For texts whose characters all lie below ``PLAIN_LIMIT``
-(Latin scripts) the pieces follow from runs of character classes, found here with numpy over the
-code points of many texts at once.  Other texts are left to the tokenizer's own splitter by the
-callers (``plain`` marks the rows that are served here).
+other characters before merging.  The pieces follow from runs of character classes, found here
+with numpy over the code points of many texts at once.  That serves texts of characters of the
+basic plane that Unicode has had since 3.2, so every library agrees on their classes, and, where
+a tokenizer normalises, that stay what they are (:data:`SETTLED`, :data:`COMPOSED`).  Other
+texts are left to the tokenizer's own splitter by the callers.
 
 Pieces are identified by a 64-bit hash, so a batch needs each distinct piece once.
 """
@@ -18,7 +19,7 @@ import unicodedata
 import numpy as np
 import pandas as pd
 
-PLAIN_LIMIT = 0x250
+PLAIN_LIMIT = 0x10000
 LETTER, NUMBER, SPACE, OTHER, BREAK = range(5)  # BREAK: the seam between two texts
 _U = np.uint64
 _SEED = np.random.default_rng(0xB9E)
@@ -32,7 +33,29 @@ def _class_of(c: str) -> int:
     return {"L": LETTER, "N": NUMBER}.get(unicodedata.category(c)[0], OTHER)
 
 
-CLASS = np.array([_class_of(chr(c)) for c in range(PLAIN_LIMIT)] + [BREAK], dtype=np.uint8)
+def _settled(c: str) -> bool:
+    return unicodedata.ucd_3_2_0.category(c) not in ("Cn", "Cs", "Co")
+
+
+def _seconds() -> set[str]:
+    """Characters that compose with the one before them."""
+    pairs = (unicodedata.decomposition(chr(c)) for c in range(PLAIN_LIMIT))
+    split = (p.split() for p in pairs if p and not p.startswith("<"))
+    return {chr(int(p[1], 16)) for p in split if len(p) == 2} | {chr(c) for c in range(0x1100, 0x1200)}
+
+
+_CHARS = [chr(c) for c in range(PLAIN_LIMIT)]
+_SECONDS = _seconds()
+CLASS = np.array([_class_of(c) for c in _CHARS] + [BREAK], dtype=np.uint8)
+# Characters whose class is settled; of them, those that composing (NFC) leaves alone in any text.
+SETTLED = np.array([_settled(c) for c in _CHARS] + [False])
+COMPOSED = SETTLED & np.array(
+    [
+        unicodedata.category(c)[0] != "M" and c not in _SECONDS and unicodedata.normalize("NFC", c) == c
+        for c in _CHARS
+    ]
+    + [False]
+)
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -44,10 +67,10 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return points, np.concatenate([[0], ends])
 
 
-def seal_odd_rows(points: np.ndarray, bounds: np.ndarray, odd: list[bool]) -> np.ndarray:
-    """Mark the rows that are served here; the others (``odd``, or a character beyond the limit)
-    become all seam, so no piece comes from them."""
-    strange = points >= PLAIN_LIMIT
+def seal_odd_rows(points: np.ndarray, bounds: np.ndarray, odd: list[bool], served: np.ndarray) -> np.ndarray:
+    """Mark the rows that are served here; the others (``odd``, or a character that is not
+    ``served``) become all seam, so no piece comes from them."""
+    strange = ~served[np.minimum(points, PLAIN_LIMIT)]
     strange[bounds[1:] - 1] = False
     plain = ~np.asarray(odd, dtype=bool)
     plain[np.searchsorted(bounds, np.flatnonzero(strange), side="right") - 1] = False

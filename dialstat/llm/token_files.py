@@ -22,8 +22,9 @@ document's global start is its start inside the partition plus the tokens of the
 before, which the containers name.
 
 Texts are encoded by the tokenizers library.  Merges never cross the pieces of the file's
-splitter, so a task gives the library each distinct piece once; a text with characters beyond
-U+024F or with a special token's string goes to the library whole.
+splitter, so a worker gives the library each distinct piece once; a text with characters outside
+the basic plane or newer than Unicode 3.2, or with a special token's string, goes to the library
+whole.
 
 Defined results for odd rows: a null or empty text is the end id alone; null ids come first;
 rows with equal ids follow each other in order of their texts' crc32, equal rows in any order;
@@ -47,6 +48,7 @@ from pyspark.sql import functions as F
 from dialstat.llm.bpe import text_groups, tokenizer_source
 from dialstat.llm.pretokens import (
     CLASS,
+    SETTLED,
     SPACE,
     IdPool,
     PieceTable,
@@ -217,7 +219,7 @@ class TextEncoder:
         if len(self.pieces) > KEPT_PIECES:
             self._clear()
         points, bounds = code_points(texts)
-        easy = seal_odd_rows(points, bounds, [self.cut.search(t) is not None for t in texts])
+        easy = seal_odd_rows(points, bounds, [self.cut.search(t) is not None for t in texts], SETTLED)
         begin, stop = split_blank_prefixed(points)
         numbers, new = self.pieces.number(points, begin, stop)
         if len(new):

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from dialstat.llm import bytescan as B
-from dialstat.llm.pretokens import KeyNumbers, PieceTable, code_points, joined_lines, seal_odd_rows
+from dialstat.llm.pretokens import SETTLED, KeyNumbers, PieceTable, code_points, joined_lines, seal_odd_rows
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 TEXTS = st.lists(st.text(alphabet="aBcé ß\t\n\x0b\x85\x1f'-.0日", max_size=40), max_size=8)
@@ -58,7 +58,7 @@ def test_piece_numbers_survive_batches():
     for _ in range(5):
         texts = ["".join(rng.choice("ab' \ns1") for _ in range(rng.randrange(30))) for _ in range(9)]
         points, bounds = code_points(texts)
-        assert seal_odd_rows(points, bounds, [False] * 9).all()
+        assert seal_odd_rows(points, bounds, [False] * 9, SETTLED).all()
         begin, end = split_blank_prefixed(points)
         numbers, new = table.number(points, begin, end)
         names += [joined_lines(points, begin[[k]], end[[k]])[0][:-1] for k in new]

@@ -17,11 +17,16 @@ ALPHABET = "aabcdeefghilmnoprstuvwxyzABCDEİÉéèñßüµªº²½0123456789   \
 FIXED = ["", "a", " ", "aaaaaaa", "it's 'stuff  'll we've  \"'s' ''s x''t", " 's a  's\n's", "Hello<|endoftext|> World <|startoftext|>x", "x" * 5000, "ΑΣ ΣΑΣ", "don't\n've 've\n'd", "ab12 3²½ 4", "İstanbul"]
 
 
+PLANE = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+
+
 def random_texts(seed, count=1500):
     rng = random.Random(seed)
     out = list(FIXED)
-    for _ in range(count):
-        letters = rng.choice([ALPHABET, "ab's tdmrevl 1.\n  "])
+    for k in range(count):
+        block = rng.randrange(0, len(PLANE) - 256)
+        scripts = [PLANE[block : block + 256] + [" "] * 40, rng.choices(PLANE, k=30) + [" ", "'", "s", "\n"]]
+        letters = rng.choice([ALPHABET, "ab's tdmrevl 1.\n  ", *scripts])
         out.append("".join(rng.choice(letters) for _ in range(rng.randint(0, 40))))
     return out
 
@@ -39,6 +44,16 @@ def test_word_ids_and_tokens_match_the_library():
             assert coder.decode(ids[a:b]) == library.decode(want, skip_special_tokens=False)
 
 
+def test_most_scripts_need_no_library():
+    from dialstat.llm.pretokens import COMPOSED, SETTLED, code_points, seal_odd_rows
+
+    texts = ["Привет, мир", "你好,世界", "こんにちは", "αβγ", "สวัสดี", "שלום", "مرحبا", "Å", "é", "e\u0301", "𝔘"]
+    points, bounds = code_points(texts)
+    assert seal_odd_rows(points.copy(), bounds, [False] * 11, SETTLED).tolist() == [True] * 10 + [False]
+    composed = seal_odd_rows(points, bounds, [False] * 11, COMPOSED).tolist()
+    assert composed[:4] == [True] * 4 and composed[5:7] == [True] * 2 and composed[8:] == [True, False, False]
+
+
 def test_kept_words_start_afresh(monkeypatch):
     monkeypatch.setattr(bpe, "KEPT_WORDS", 5)
     path = P.path("word_bpe_49k.json")
