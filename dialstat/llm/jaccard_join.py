@@ -64,7 +64,7 @@ PROFILE = pa.schema(
 )
 
 
-def size_classes(num: int, den: int, upto: int = 1 << 26) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def size_classes(num: int, den: int, upto: int = 1 << 31) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(lower size, number of ranges, ranges that linked sets agree on) of each class; a class
     without ranges has only equal sets that link.
 
