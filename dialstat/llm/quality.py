@@ -39,7 +39,7 @@ from dialstat.llm.staging import broadcast_within, stage
 FEATURES = [
     ("f_length", "ln(n_words)", 0.5),
     ("f_word", "word_chars / n_words", 0.5),
-    ("f_symbols", "ln(1 + 100.0 * n_symbols / word_chars)", 0.25),
+    ("f_symbols", "ln(1 + 100e0 * n_symbols / word_chars)", 0.25),
     ("f_lines", "n_dup_lines / n_lines", 0.15),
     ("f_repeat", "n_repeat_words / n_words", 0.15),
 ]
@@ -164,31 +164,42 @@ def _distance() -> Column:
     return sum((r * r for r in rows), F.lit(0.0))
 
 
-def _factored(covariances: DataFrame, keys: list[str]) -> DataFrame:
-    """Centre m, inverse Cholesky factor w and log determinant of n, s and p columns per row."""
-    p, df = len(NAMES), covariances
-    mean = [f"s{i} / n" for i in range(p)]
-    cov = {
-        (i, j): f"{CONSISTENCY} * (p{i}{j} / n - ({mean[i]}) * ({mean[j]}))" + (f" + {FLOORS[i] ** 2}" if i == j else "")
-        for i, j in _PAIRS
-    }
-    df = df.selectExpr(*keys, *[f"{m} AS m{i}" for i, m in enumerate(mean)], *[f"{c} AS c{j}{i}" for (i, j), c in cov.items()])
-    for j in range(p):  # Cholesky: c = l l'
+def _factor_layers() -> list[dict[str, str]]:
+    """Centre m, covariance c, its Cholesky factor l and the factor's inverse w from the columns n,
+    s and p, as SQL expressions; each layer refers to those before it."""
+    p = len(NAMES)
+    layers = [{f"m{i}": f"s{i} / n" for i in range(p)}]
+    layers.append(
+        {
+            f"c{j}{i}": f"{CONSISTENCY} * (p{i}{j} / n - m{i} * m{j})" + (f" + {FLOORS[i] ** 2}" if i == j else "")
+            for i, j in _PAIRS
+        }
+    )
+    for j in range(p):  # c = l l'
         minus = "".join(f" - l{j}{k} * l{j}{k}" for k in range(j))
-        df = df.withColumn(f"l{j}{j}", F.expr(f"sqrt(greatest(c{j}{j}{minus}, 1e-12))"))
+        layers.append({f"l{j}{j}": f"sqrt(greatest(c{j}{j}{minus}, 1e-12))"})
         below = {
-            f"l{i}{j}": F.expr(f"(c{i}{j}" + "".join(f" - l{i}{k} * l{j}{k}" for k in range(j)) + f") / l{j}{j}")
+            f"l{i}{j}": f"(c{i}{j}" + "".join(f" - l{i}{k} * l{j}{k}" for k in range(j)) + f") / l{j}{j}"
             for i in range(j + 1, p)
         }
-        df = df.withColumns(below) if below else df
-    for i in range(p):  # w = inverse of l
-        row = {f"w{i}{i}": F.expr(f"1 / l{i}{i}")}
-        for j in range(i):
-            row[f"w{i}{j}"] = F.expr("-(" + " + ".join(f"l{i}{k} * w{k}{j}" for k in range(j, i)) + f") / l{i}{i}")
-        df = df.withColumns(row)
-    det = F.expr(" + ".join(f"2 * ln(l{i}{i})" for i in range(p)))
-    kept = [f"m{i}" for i in range(p)] + [f"w{i}{j}" for i in range(p) for j in range(i + 1)]
-    return df.select(*keys, *kept, det.alias("log_det"))
+        layers += [below] if below else []
+    for i in range(p):
+        layers.append({f"w{i}{i}": f"1 / l{i}{i}"})
+        row = {f"w{i}{j}": "-(" + " + ".join(f"l{i}{k} * w{k}{j}" for k in range(j, i)) + f") / l{i}{i}" for j in range(i)}
+        layers += [row] if row else []
+    layers.append({"log_det": " + ".join(f"2 * ln(l{i}{i})" for i in range(p))})
+    return layers
+
+
+_ESTIMATE = [f"m{i}" for i in range(len(NAMES))] + [f"w{i}{j}" for i in range(len(NAMES)) for j in range(i + 1)] + ["log_det"]
+
+
+def _factored(covariances: DataFrame, keys: list[str]) -> DataFrame:
+    """The estimate (centre, inverse Cholesky factor, log determinant) of each row's moments."""
+    df = covariances
+    for layer in _factor_layers():
+        df = df.withColumns({name: F.expr(e) for name, e in layer.items()})
+    return df.select(*keys, *_ESTIMATE)
 
 
 def _start_medians(rows: DataFrame) -> DataFrame:
@@ -294,3 +305,87 @@ def judge_quality(
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and verdict of every document."""
     return judge_quality(spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")).drop("distance")
+
+
+def _op6_sql() -> str:
+    """The query in DuckDB SQL; every step a table of its own, as in Spark."""
+    p = len(NAMES)
+    moments = ", ".join(
+        ["count(*) AS n", *(f"sum({a}) AS s{i}" for i, a in enumerate(NAMES)), *(f"sum({NAMES[i]} * {NAMES[j]}) AS p{i}{j}" for i, j in _PAIRS)]
+    )
+    sums = ", ".join(f"sum({c}) AS {c}" for c in ["n", *(f"s{i}" for i in range(p)), *(f"p{i}{j}" for i, j in _PAIRS)])
+
+    def factored(table: str) -> str:
+        for layer in _factor_layers():
+            table = f"(SELECT *, {', '.join(f'{e} AS {name}' for name, e in layer.items())} FROM {table})"
+        return table
+
+    kept = ", ".join(_ESTIMATE)
+    rows = [" + ".join(f"w{i}{j} * ({NAMES[j]} - m{j})" for j in range(i + 1)) for i in range(p)]
+    distance = " + ".join(f"({r}) * ({r})" for r in rows)
+    space = r"[\x20\x09-\x0D]"
+    starts = ", ".join(
+        [f"max(CASE WHEN feature = {i} THEN (bin + 0.5) * {FLOORS[i] / 4} END) AS m{i}" for i in range(p)]
+        + [f"{1 / FLOORS[i] if i == j else 0.0}e0 AS w{i}{j}" for i in range(p) for j in range(i + 1)]
+    )
+    features = " UNION ALL ".join(f"SELECT grp, {i} AS feature, floor({a} / {f / 4}) AS bin FROM r" for i, (a, f) in enumerate(zip(NAMES, FLOORS)))
+    steps, last = [], "e0"
+    for k in range(1, STEPS + 1):
+        steps.append(f"""
+b{k} AS MATERIALIZED (SELECT grp, start, floor(log2({distance} + 1e-6) * {_BINS_PER_OCTAVE}) AS bin, {moments}
+  FROM r JOIN {last} USING (grp) GROUP BY ALL),
+c{k} AS MATERIALIZED (SELECT grp, start, {sums} FROM (
+    SELECT *, sum(n) OVER (PARTITION BY grp, start ORDER BY bin) - n AS before, sum(n) OVER (PARTITION BY grp, start) AS whole FROM b{k})
+  WHERE before < {SHARE} * whole GROUP BY grp, start),
+e{k} AS MATERIALIZED (SELECT grp, start, {kept} FROM {factored(f"c{k}")}),""")
+        last = f"e{k}"
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS id, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT *, list_filter(regexp_split_to_array(text, '{space}+'), lambda x: x <> '') AS words,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM t),
+win AS (
+  SELECT id, unnest(range(1, len(words) - 1)) AS i,
+         unnest(list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' '))) AS g
+  FROM w WHERE len(words) >= 3),
+rep AS (
+  SELECT id, count(DISTINCT pos) AS n_repeat_words
+  FROM (SELECT id, unnest([i, i + 1, i + 2]) AS pos FROM (SELECT *, count(*) OVER (PARTITION BY id, g) AS k FROM win) WHERE k > 1)
+  GROUP BY id),
+st AS MATERIALIZED (
+  SELECT doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, len(lines) AS n_lines,
+         CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN rep USING (id)),
+f AS MATERIALIZED (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         count(*) FILTER (WHERE NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)) OVER (PARTITION BY lang, source) AS many
+  FROM st),
+g AS MATERIALIZED (
+  SELECT *, CASE WHEN many >= {LEAST_ROWS} THEN [lang, source] ELSE ['pooled'] END AS grp FROM f),
+r AS MATERIALIZED (SELECT grp, {", ".join(f"{e} AS {name}" for name, e, _ in FEATURES)} FROM g WHERE NOT base_failed),
+bins AS (SELECT grp, feature, bin, count(*) AS n FROM ({features}) GROUP BY ALL),
+mid AS (SELECT grp, feature, min(bin) AS bin FROM (
+  SELECT *, sum(n) OVER (PARTITION BY grp, feature ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY grp, feature) AS whole FROM bins)
+  WHERE 2 * upto >= whole GROUP BY grp, feature),
+e0 AS MATERIALIZED (
+  SELECT grp, 0 AS start, {starts}, 0e0 AS log_det FROM mid GROUP BY grp
+  UNION ALL
+  SELECT grp, 1 AS start, {kept} FROM {factored(f"(SELECT grp, {moments} FROM r GROUP BY grp)")}),
+{"".join(steps)}
+best AS (
+  SELECT * FROM {last} WHERE grp IN (SELECT grp FROM r GROUP BY grp HAVING count(*) >= {LEAST_ROWS})
+  QUALIFY row_number() OVER (PARTITION BY grp ORDER BY log_det, start) = 1)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(d <= {BOUND}, TRUE) AS kept
+FROM (
+  SELECT g.*, CASE WHEN NOT base_failed THEN {distance} END AS d
+  FROM (SELECT *, {", ".join(f"CASE WHEN NOT base_failed THEN {e} END AS {name}" for name, e, _ in FEATURES)} FROM g) g
+  LEFT JOIN best USING (grp)) g
+"""
+
+
+OP6_SQL = _op6_sql()

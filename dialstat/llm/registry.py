@@ -8,7 +8,7 @@ from dialstat.llm.jaccard_join import OP1_SQL, op1_jaccard_join
 from dialstat.llm.language_id import op9_language_id
 from dialstat.llm.language_model import op5_language_model
 from dialstat.llm.licenses import op4_licenses
-from dialstat.llm.quality import op6_quality
+from dialstat.llm.quality import OP6_SQL, op6_quality
 from dialstat.llm.sharding import OP2_SQL, op2_sharding
 from dialstat.llm.token_files import op10_token_files
 from dialstat.llm.warc import OP3_SQL, op3_warc
@@ -19,7 +19,7 @@ QUERIES = {
     "op3_warc": (op3_warc, OP3_SQL),
     "op4_licenses": (op4_licenses, None),
     "op5_language_model": (op5_language_model, None),
-    "op6_quality": (op6_quality, None),
+    "op6_quality": (op6_quality, OP6_SQL),
     "op7_bpe": (op7_bpe, None),
     "op8_decontaminate": (op8_decontaminate, OP8_SQL),
     "op9_language_id": (op9_language_id, None),
