@@ -56,7 +56,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang-independent token ids and their count."""
+    """doc_id, token ids and their count."""
     encoded = bpe_encode(docs, public_tokenizers.path("word_bpe_49k.json"))
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
@@ -78,6 +78,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-# Robust covariances and a trained network are beyond SQL; tests hold the stages against
-# brute force.
+# A trained network is beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
