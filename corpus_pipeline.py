@@ -1,14 +1,18 @@
 """A corpus pipeline over ``documents`` from five of the training-data operators.
 
 Each stage is a function ``(spark, docs, sf_dir) -> DataFrame``; all but the last return the rows
-they keep with the columns of ``documents``.  Decisions are made per id: rows with equal ids
-stay or go together (they go if one of them does), a null id is an id.  Ids that go are
-broadcast while their number is checked to be small; beyond that Spark joins by shuffle.
+they keep with the columns of ``documents``.  Of near duplicates one row of each group is kept,
+also when ids repeat or are null.  The other decisions are made per id: rows with equal ids
+stay or go together (they go if one of them does), a null id is an id.  What goes is
+broadcast while its number is checked to be small; beyond that Spark joins by shuffle.
+
+Row numbers come from written files (file, place in the file), so every read of a stage's input
+gives a row the same number; a table that is no plain Parquet scan is written first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import public_tokenizers
@@ -18,18 +22,32 @@ from dialstat.llm.decontaminate import decontaminate
 from dialstat.llm.jaccard_join import jaccard_components
 from dialstat.llm.language_id import UNKNOWN, identify_languages
 from dialstat.llm.quality import judge_quality
-from dialstat.llm.staging import rows_within, stage
+from dialstat.llm.staging import broadcast_within, rows_within, stage
 
 BROADCAST_IDS = 1_000_000  # 8 MB
+BROADCAST_FILES = 50_000  # paths of 200 bytes: 10 MB
+ROW = "pipeline_row"
 LEAST_SCORE = 0.3  # language scores below are no language that was learned
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` but for the rows whose doc_id is in ``gone(doc_id)``."""
-    gone = stage(gone.select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with the distinct number :data:`ROW` of every row, the same in every read."""
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        docs = stage(docs, "numbered")
+    files = docs.select(F.col("_metadata.file_path").alias("pipeline_file")).distinct()
+    files = files.withColumn("pipeline_nth", F.row_number().over(Window.orderBy("pipeline_file")).cast("long"))
+    files = broadcast_within(stage(files, "files"), BROADCAST_FILES)
+    placed = docs.select("*", F.col("_metadata.file_path").alias("pipeline_file"), F.col("_metadata.row_index").alias("pipeline_at"))
+    number = F.shiftleft("pipeline_nth", 40) + F.col("pipeline_at")  # 40 bits for a file's rows
+    return placed.join(files, "pipeline_file").select(*docs.columns, number.alias(ROW))
+
+
+def without(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` but for the rows whose ``key`` is in ``gone(key)``."""
+    gone = stage(gone.select(F.col(key).alias("gone_key")).distinct(), "gone")
     if rows_within(gone, BROADCAST_IDS):
         gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+    return docs.join(gone, docs[key].eqNullSafe(gone["gone_key"]), "left_anti")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +62,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: five-word shingles, similarity 0.8 or more, smallest id."""
-    rows, _ = jaccard_components(docs, n=5, num=80, den=100)
-    return without(docs, rows.filter(F.col("doc_id") != F.col("component_id")))
+    """One row of each group: five-word shingles, similarity 0.8 or more; the smallest id, nulls
+    last, and of rows with that id the first."""
+    docs = numbered(docs)
+    rows, _ = jaccard_components(docs, id_col=ROW, n=5, num=80, den=100)
+    rows = stage(rows.select(ROW, "component_id").join(docs.select(ROW, "doc_id"), ROW), "members")
+    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first"))
+    kept = first.select(F.col("first")[ROW].alias(ROW))
+    return without(docs, rows.join(kept, ROW, "left_anti"), ROW).drop(ROW)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import corpus_pipeline as C
 from dialstat.llm.registry import QUERIES
 from dialstat.llm.staging import release, stage
 from conftest import SF
-from odd import SCHEMA, odd_documents, rows_of
+from odd import SCHEMA, odd_documents, rows_of, words
 from test_decontaminate import expected as hits
 from test_jaccard_join import components, sets_of
 from test_quality import base_failed, statistics
@@ -68,6 +68,35 @@ def test_odd_tables_pass_every_stage(spark, odd, nothing, empty):
         assert sorted(r["doc_id"] for r in rows_of(gone)) == sorted(r[0] for r in odd_documents() if r[0] not in (None, 15))
 
 
+def repeated_documents():
+    """Groups of copies and near copies with repeated and null ids, and rows like no other."""
+    texts = [words(120, k) for k in range(50, 57)]
+    near = texts[0] + " and more"
+    rows = [(7, texts[0]), (7, texts[0]), (3, near), (None, texts[0]), (None, near), (3, near)]
+    rows += [(None, texts[1]), (None, texts[1]), (None, texts[1] + " end")]  # no id at all
+    rows += [(9, texts[2]), (9, texts[3]), (9, texts[3])]  # one id, two texts
+    rows += [(None, texts[4]), (5, texts[4]), (None, texts[5]), (11, texts[6]), (12, None), (12, None), (None, "")]
+    return [(i, t, "en", "a", None if t is None else len(t), "n", 0, k, "l", 1, "w") for k, (i, t) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("written", [False, True])
+def test_one_row_of_each_group_stays(spark, written):
+    rows = repeated_documents()
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    docs = stage(docs, "repeated") if written else docs
+    got = rows_of(stage(C.near_duplicates(spark, docs, SF), "kept"))
+    sets = sets_of([r[1] for r in rows], 5)
+    roots = components(sets, 80, 100)
+    groups = {}
+    for k, (r, root) in enumerate(zip(rows, roots)):
+        groups.setdefault(root if sets[k] else ("alone", k), []).append(r[0])
+    want = [min(ids, key=lambda i: (i is None, i or 0)) for ids in groups.values()]
+    assert sorted(map(str, (r["doc_id"] for r in got))) == sorted(map(str, want))
+    # every row that stays is an input row, and no two of a group stay
+    by_row = {r[7]: roots[k] if sets[k] else ("alone", k) for k, r in enumerate(rows)}
+    assert len({by_row[r["row"]] for r in got}) == len(got) == len(groups)
+
+
 def test_registry_names_every_operator():
     assert sorted(int(name[2 : name.index("_")]) for name in QUERIES) == list(range(1, 11))
     assert {n for n, (_, sql) in QUERIES.items() if sql} >= {"op1_jaccard_join", "op2_sharding", "op3_warc", "op8_decontaminate"}
