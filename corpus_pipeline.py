@@ -1,10 +1,9 @@
 """A corpus pipeline over ``documents`` from five of the training-data operators.
 
 Each stage is a function ``(spark, docs, sf_dir) -> DataFrame``; all but the last return the rows
-they keep with the columns of ``documents``.  Of near duplicates one row of each group is kept,
-also when ids repeat or are null.  The other decisions are made per id: rows with equal ids
-stay or go together (they go if one of them does), a null id is an id.  What goes is
-broadcast while its number is checked to be small; beyond that Spark joins by shuffle.
+they keep with the columns of ``documents``.  Decisions are made per row, so rows with equal or
+null ids stay or go each by itself.  Numbers of rows that go are broadcast while there are
+few of them, which is checked; beyond that Spark joins by shuffle.
 
 Row numbers come from written files (file, place in the file), so every read of a stage's input
 gives a row the same number; a table that is no plain Parquet scan is written first.
@@ -52,13 +51,15 @@ def without(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are no outliers of their language and source."""
-    return without(docs, judge_quality(docs).filter(~F.col("kept")))
+    docs = numbered(docs)
+    return without(docs, judge_quality(docs, id_col=ROW).filter(~F.col("kept")), ROW).drop(ROW)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the network has learned."""
-    found = identify_languages(docs)
-    return without(docs, found.filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_SCORE)))
+    docs = numbered(docs)
+    found = identify_languages(docs, row_col=ROW)
+    return without(docs, found.filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_SCORE)), ROW).drop(ROW)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,7 +76,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than 5 % stands in benchmark windows."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    return without(docs, decontaminate(docs, benchmark).filter("contaminated"))
+    docs = numbered(docs)
+    return without(docs, decontaminate(docs, benchmark, id_col=ROW).filter("contaminated"), ROW).drop(ROW)
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

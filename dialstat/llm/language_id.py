@@ -176,7 +176,7 @@ def _predict(model):
         languages, parameters = model.value
         predictor = Predictor(parameters) if languages else None
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
+            ids, texts, rows = batch.column(0), batch.column(1), batch.columns[2:]
             for lo, hi, raw, bounds in B.chunks(texts):
                 named, scores = [UNKNOWN] * (hi - lo), [0.0] * (hi - lo)
                 if predictor:
@@ -190,8 +190,9 @@ def _predict(model):
                         if has_letter(texts[lo + k].as_py()):
                             named[k], scores[k] = languages[best[k]], min(1.0, float(share[k, best[k]]))
                 yield pa.record_batch(
-                    [ids.slice(lo, hi - lo), pa.array(named, pa.string()), pa.array(scores, pa.float64())],
-                    names=["doc_id", "lang_pred", "score"],
+                    [ids.slice(lo, hi - lo), pa.array(named, pa.string()), pa.array(scores, pa.float64())]
+                    + [c.slice(lo, hi - lo) for c in rows],
+                    names=["doc_id", "lang_pred", "score", *["row"] * len(rows)],
                 )
 
     return run
@@ -237,14 +238,24 @@ def identify_languages(
     held_fold: int = 1,
     per_language: int = PER_LANGUAGE,
     seed: int = 11,
+    row_col: str | None = None,
 ) -> DataFrame:
-    """One row per document: held_out, lang_pred and score; see the module's notes."""
+    """One row per document: held_out, lang_pred and score; see the module's notes.
+
+    :param row_col: a column of row numbers that the result has too
+    """
     model = fit_languages(docs, id_col, text_col, lang_col, folds, held_fold, per_language, seed)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = [F.col(row_col).cast("long").alias("row")] if row_col else []
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *rows)
+    schema = "doc_id long, lang_pred string, score double" + (", row long" if row_col else "")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held_fold, F.lit(True))
-    return texts.mapInArrow(_predict(shared), "doc_id long, lang_pred string, score double").select(
-        F.col("doc_id").alias(id_col), held.alias("held_out"), "lang_pred", "score"
+    return texts.mapInArrow(_predict(shared), schema).select(
+        F.col("doc_id").alias(id_col),
+        held.alias("held_out"),
+        "lang_pred",
+        "score",
+        *([F.col("row").alias(row_col)] if row_col else []),
     )
 
 

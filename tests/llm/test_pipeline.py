@@ -97,6 +97,19 @@ def test_one_row_of_each_group_stays(spark, written):
     assert len({by_row[r["row"]] for r in got}) == len(got) == len(groups)
 
 
+def test_a_row_that_goes_takes_no_other_row_of_its_id(spark):
+    """Clean rows without ids or with the id of a bad row stay in each of the filter stages."""
+    (item,) = {r["text"] for r in rows_of(spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").limit(1))}
+    filtered = [(C.quality_rules, "too short"), (C.language_id, "12 34 !?"), (C.benchmark_decontamination, item)]
+    for function, bad in filtered:
+        rows = [(i, t) for i in (None, 4, 5) for t in (words(80, 60 + (i or 0)), bad)] + [(k, words(80, k)) for k in range(70, 90)]
+        docs = spark.createDataFrame(
+            [(i, t, "en", "a", len(t), "n", 0, k, "l", 1, "w") for k, (i, t) in enumerate(rows)], SCHEMA
+        ).repartition(3)
+        got = sorted(r["row"] for r in rows_of(stage(function(spark, docs, SF), "by-row")))
+        assert got == [k for k, (_, t) in enumerate(rows) if t != bad], function.__name__
+
+
 def test_registry_names_every_operator():
     assert sorted(int(name[2 : name.index("_")]) for name in QUERIES) == list(range(1, 11))
     assert {n for n, (_, sql) in QUERIES.items() if sql} >= {"op1_jaccard_join", "op2_sharding", "op3_warc", "op8_decontaminate"}
