@@ -52,7 +52,7 @@ def without(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are no outliers of their language and source."""
     docs = numbered(docs)
-    return without(docs, judge_quality(docs, id_col=ROW).filter(~F.col("kept")), ROW).drop(ROW)
+    return without(docs, judge_quality(docs, id_col=ROW, half=True).filter(~F.col("kept")), ROW).drop(ROW)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

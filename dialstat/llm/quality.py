@@ -18,6 +18,11 @@ moments (count, sums, products), and the bins up to the wanted share are added u
 with a third of all rows is summed map-side, and nothing but a few hundred rows per group is
 shuffled.  Groups of fewer than ``LEAST_ROWS`` rows are judged together as one.
 
+With ``half`` the estimates stand against junk or copies that fill much of a group: equal vectors
+count once in a group (also in its size), and a step takes the nearest (rows + features + 1) / 2
+of them with the consistency factor of the share that it took.  The pipeline judges so;
+``op6_quality`` is the estimate over ``SHARE`` of the rows that its SQL states.
+
 Windows that repeat are found by sorting hashes with their positions packed below them, then
 compared as words, so a hash collision cannot count.
 
@@ -55,6 +60,11 @@ BROADCAST_GROUPS = 50_000  # rows of estimates, 200 bytes each: 10 MB; beyond, j
 # than that of all by this factor; the bound is the chi-square quantile of 1 - 1e-9.
 CONSISTENCY = 1.41
 BOUND = 50.8
+# The factor for other shares of the rows, linear in between.
+CONSISTENCY_OF_SHARE = [
+    (0.5, 1.9122), (0.55, 1.7924), (0.6, 1.6848), (0.65, 1.5869), (0.7, 1.4965), (0.75, 1.4121),
+    (0.8, 1.332), (0.85, 1.2547), (0.9, 1.1782), (0.95, 1.099), (0.99, 1.0258), (1.0, 1.0),
+]
 _BINS_PER_OCTAVE = 8
 _PAIRS = list(itertools.combinations_with_replacement(range(len(NAMES)), 2))
 
@@ -164,14 +174,23 @@ def _distance() -> Column:
     return sum((r * r for r in rows), F.lit(0.0))
 
 
-def _factor_layers() -> list[dict[str, str]]:
+def _half_consistency() -> Column:
+    """The consistency factor for ``n`` rows taken of ``whole``."""
+    share = F.greatest(F.col("n") / F.col("whole"), F.lit(CONSISTENCY_OF_SHARE[0][0]))
+    out = F.lit(CONSISTENCY_OF_SHARE[-1][1])
+    for (a, at_a), (b, at_b) in reversed(list(itertools.pairwise(CONSISTENCY_OF_SHARE))):
+        out = F.when(share < b, at_a + (share - a) * ((at_b - at_a) / (b - a))).otherwise(out)
+    return out
+
+
+def _factor_layers(consistency: float | str = CONSISTENCY) -> list[dict[str, str]]:
     """Centre m, covariance c, its Cholesky factor l and the factor's inverse w from the columns n,
     s and p, as SQL expressions; each layer refers to those before it."""
     p = len(NAMES)
     layers = [{f"m{i}": f"s{i} / n" for i in range(p)}]
     layers.append(
         {
-            f"c{j}{i}": f"{CONSISTENCY} * (p{i}{j} / n - m{i} * m{j})" + (f" + {FLOORS[i] ** 2}" if i == j else "")
+            f"c{j}{i}": f"{consistency} * (p{i}{j} / n - m{i} * m{j})" + (f" + {FLOORS[i] ** 2}" if i == j else "")
             for i, j in _PAIRS
         }
     )
@@ -194,10 +213,10 @@ def _factor_layers() -> list[dict[str, str]]:
 _ESTIMATE = [f"m{i}" for i in range(len(NAMES))] + [f"w{i}{j}" for i in range(len(NAMES)) for j in range(i + 1)] + ["log_det"]
 
 
-def _factored(covariances: DataFrame, keys: list[str]) -> DataFrame:
+def _factored(covariances: DataFrame, keys: list[str], half: bool = False) -> DataFrame:
     """The estimate (centre, inverse Cholesky factor, log determinant) of each row's moments."""
-    df = covariances
-    for layer in _factor_layers():
+    df = covariances.withColumn("consistency", _half_consistency()) if half else covariances
+    for layer in _factor_layers("consistency") if half else _factor_layers():
         df = df.withColumns({name: F.expr(e) for name, e in layer.items()})
     return df.select(*keys, *_ESTIMATE)
 
@@ -228,8 +247,9 @@ def _start_medians(rows: DataFrame) -> DataFrame:
     return medians.select("grp", F.lit(0).alias("start"), *[f"m{i}" for i in range(p)], *axes, F.lit(0.0).alias("log_det"))
 
 
-def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """One concentration step for every (group, start): estimates from the nearest SHARE of rows."""
+def _concentrate(rows: DataFrame, estimates: DataFrame, half: bool = False) -> DataFrame:
+    """One concentration step for every (group, start): estimates from the nearest SHARE of rows,
+    or from about half of them."""
     near = rows.join(broadcast_within(estimates, BROADCAST_GROUPS), "grp").withColumn(
         "bin", F.floor(F.log2(_distance() + 1e-6) * _BINS_PER_OCTAVE).cast("long")
     )
@@ -241,19 +261,20 @@ def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
         }
     )
     names = ["n", *[f"s{i}" for i in range(len(NAMES))], *[f"p{i}{j}" for i, j in _PAIRS]]
-    chosen = ranked.filter(F.col("before") < SHARE * F.col("whole")).groupBy("grp", "start").agg(
-        *[F.sum(c).alias(c) for c in names]
+    wanted = (F.col("whole") + len(NAMES) + 1) / 2 if half else SHARE * F.col("whole")
+    chosen = ranked.filter(F.col("before") < wanted).groupBy("grp", "start").agg(
+        *[F.sum(c).alias(c) for c in names], F.max("whole").alias("whole")
     )
-    return _factored(chosen, ["grp", "start"])
+    return _factored(chosen, ["grp", "start"], half)
 
 
-def robust_estimates(rows: DataFrame) -> DataFrame:
+def robust_estimates(rows: DataFrame, half: bool = False) -> DataFrame:
     """Centre and inverse factor of every group ``grp`` of feature rows."""
-    whole = rows.groupBy("grp").agg(*_moments()).withColumn("start", F.lit(1))
-    estimates = _start_medians(rows).unionByName(_factored(whole, ["grp", "start"]))
+    whole = rows.groupBy("grp").agg(*_moments()).withColumns({"start": F.lit(1), "whole": F.col("n")})
+    estimates = _start_medians(rows).unionByName(_factored(whole, ["grp", "start"], half))
     estimates = stage(estimates, "estimates")
     for _ in range(STEPS):
-        estimates = stage(_concentrate(rows, estimates), "estimates")
+        estimates = stage(_concentrate(rows, estimates, half), "estimates")
     best = estimates.groupBy("grp").agg(F.min(F.struct("log_det", "start")).alias("best"))
     return estimates.join(best, "grp").filter("start = best.start").drop("best", "start", "log_det")
 
@@ -266,8 +287,13 @@ def judge_quality(
     source_col: str = "source",
     least_words: int = 50,
     bound: float = BOUND,
+    half: bool = False,
 ) -> DataFrame:
-    """Base statistics, squared distance (null for texts that fail) and verdict of every row."""
+    """Base statistics, squared distance (null for texts that fail) and verdict of every row.
+
+    :param half: estimates from half of the different vectors; see the module's notes
+    """
+    once = lambda rows: stage(rows.distinct(), "vectors") if half else rows
     part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
     read = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -281,11 +307,12 @@ def judge_quality(
     passed = ~F.col("base_failed")
     stats = stage(stats.withColumns({name: F.when(passed, F.expr(e)) for name, e, _ in FEATURES}), "quality")
     # Groups that are too small are judged together.
-    large = stats.filter(passed).groupBy("own_group").count().filter(F.col("count") >= LEAST_ROWS).select("own_group")
+    members = once(stats.filter(passed).select("own_group", *NAMES))
+    large = members.groupBy("own_group").count().filter(F.col("count") >= LEAST_ROWS).select("own_group")
     large = broadcast_within(stage(large.withColumn("grp", F.col("own_group")), "groups"), BROADCAST_GROUPS)
     grouped = stats.join(large, "own_group", "left").withColumn("grp", F.coalesce("grp", F.lit("pooled")))
-    rows = grouped.filter(passed).select("grp", *NAMES)
-    estimates = stage(robust_estimates(rows), "robust")
+    rows = once(grouped.filter(passed).select("grp", *NAMES))
+    estimates = stage(robust_estimates(rows, half), "robust")
     pool = rows.groupBy("grp").count().filter(F.col("count") >= LEAST_ROWS).select("grp")
     trusted = stage(estimates.join(pool, "grp", "left_semi"), "trusted")
     judged = grouped.join(broadcast_within(trusted, BROADCAST_GROUPS), "grp", "left").withColumn("distance", _distance())

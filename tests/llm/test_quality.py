@@ -124,6 +124,36 @@ def test_distances_match_numpy(spark, documents):
         assert rows[i]["kept"] == (not junk)
 
 
+def clean_text(rng, count):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(count))
+
+
+@pytest.mark.parametrize("junk", [0.0, 0.26, 0.35, 0.45])
+def test_half_estimates_reject_junk_beyond_a_quarter(spark, junk):
+    """Texts with symbols at 10 % of their characters go, whatever share of the group they fill."""
+    rng = random.Random(1)
+    rows = []
+    for k in range(300):
+        text = clean_text(rng, rng.randrange(100, 400))
+        bad = k < junk * 300
+        rows.append((k, text + " " + "#" * (len(text) // 8) if bad else text, "en", "a"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    got = {r["doc_id"] for r in rows_of(Q.judge_quality(docs, half=True)) if r["kept"]}
+    assert got == {k for k in range(300) if k >= junk * 300}
+
+
+def test_half_estimates_count_copies_once(spark):
+    """Copies of one text fill 90 % of a group: its other texts stay, its junk goes."""
+    rng = random.Random(2)
+    copy = clean_text(rng, 60)
+    others = [clean_text(rng, round(60 * 60 ** rng.random())) for _ in range(96)] + [clean_text(rng, 60 * 60)]
+    rubbish = [t + " " + "#" * (len(t) // 2) for t in others[:3]]
+    rows = [(k, t, "en", "a") for k, t in enumerate([copy] * 900 + others + rubbish)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    got = {r["doc_id"] for r in rows_of(Q.judge_quality(docs, half=True)) if r["kept"]}
+    assert got == set(range(997))
+
+
 def test_odd_rows(spark, odd, nothing):
     got = rows_of(Q.judge_quality(odd))
     want = [(r[0], statistics(r[1])) for r in odd_documents()]
