@@ -19,7 +19,7 @@ import public_tokenizers
 from dialstat.llm.bpe import bpe_encode
 from dialstat.llm.decontaminate import decontaminate
 from dialstat.llm.jaccard_join import jaccard_components
-from dialstat.llm.language_id import UNKNOWN, identify_languages
+from dialstat.llm.language_id import UNKNOWN, has_letter, identify_languages
 from dialstat.llm.quality import judge_quality
 from dialstat.llm.staging import broadcast_within, rows_within, stage
 
@@ -56,9 +56,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the network has learned."""
+    """Documents in a language that the network has learned; without a learned language, those
+    with a letter."""
     docs = numbered(docs)
-    found = identify_languages(docs, row_col=ROW)
+    found = stage(identify_languages(docs, row_col=ROW), "languages")
+    if found.filter(F.col("lang_pred") != UNKNOWN).isEmpty():
+        return docs.drop(ROW).filter(F.udf(has_letter, "boolean")(F.col("text").cast("string")))
     return without(docs, found.filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_SCORE)), ROW).drop(ROW)
 
 

@@ -2,7 +2,8 @@
 
 A window of ``WINDOW`` bytes is read through byte embeddings and filters of widths 2, 3 and 4;
 each filter keeps its largest response in the window and a softmax over the learned languages
-follows.  The network is trained in numpy with Adam.
+follows.  The network is trained in numpy with Adam, in ``STEPS`` steps or one pass over the
+sample, whichever is longer.
 
 Learning uses a bounded sample: of each language's learnable rows, the ``per_language`` ones with
 the smallest hash of their id, and of each of these up to ``WINDOWS_PER_TEXT`` windows spread
@@ -15,7 +16,7 @@ position costs two table reads.
 
 Defined results for odd rows: a null text, a text without a letter and any text when nothing
 could be learned are ``und`` with score 0; a null id is held out of learning; ids may repeat.
-Other columns are ignored.
+More than ``MOST_LANGUAGES`` labels are an error.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ PER_LANGUAGE = 400  # sampled rows of each language
 WINDOWS_PER_TEXT = 6
 BROADCAST_ROWS = 1_000_000
 STEPS, BATCH, RATE = 900, 64, 0.004
+MOST_LANGUAGES = 500  # the sample of each is 600 KB on the driver
 UNKNOWN = "und"
 
 
@@ -111,7 +113,7 @@ class Network:
         mean = {k: np.zeros_like(v) for k, v in self.p.items()}
         square = {k: np.zeros_like(v) for k, v in self.p.items()}
         order = np.zeros(0, dtype=np.int64)
-        for step in range(1, STEPS + 1):
+        for step in range(1, max(STEPS, -(-len(x) // BATCH)) + 1):
             if len(order) < BATCH:  # the rows again and again, in a new order each time
                 order = np.concatenate([order, rng.permutation(len(x))])
             part, order = order[:BATCH], order[BATCH:]
@@ -204,6 +206,8 @@ def fit_languages(
     """(languages, parameters) learned from the bounded sample; empty without labelled rows."""
     held = F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == held_fold, F.lit(True))
     learnable = docs.filter(~held & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    if learnable.select(lang_col).distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} distinct labels in {lang_col}: languages are expected")
     # The first of each language in order of hash, level by level: ever fewer ranges of the hash,
     # so no task ranks more than a range's rows or 64 times the sample.
     chosen = learnable.select(

@@ -139,6 +139,22 @@ def test_gradients_match_differences():
             assert (up - down) / (2 * h) == pytest.approx(grad[i], rel=1e-3, abs=1e-6)
 
 
+def test_training_sees_the_whole_sample(monkeypatch):
+    """Also a sample of more windows than the fixed number of steps takes."""
+    monkeypatch.setattr(I, "STEPS", 5)
+    x = np.arange(1000, dtype=np.uint32).view(np.uint8).reshape(1000, 4)
+    seen = set()
+    monkeypatch.setattr(I.Network, "gradients", lambda self, x, y: seen.update(map(bytes, x)) or {})
+    I.Network(2, 1).train(x, np.zeros(1000, int), 2)
+    assert len(seen) >= 1000 // I.BATCH * I.BATCH and seen == set(map(bytes, x))
+
+
+def test_too_many_labels_are_an_error(spark, odd, monkeypatch):
+    monkeypatch.setattr(I, "MOST_LANGUAGES", 1)
+    with pytest.raises(ValueError, match="more than 1 "):
+        I.identify_languages(odd, folds=1, held_fold=1)
+
+
 def test_windows_cover_every_byte():
     sizes = [0, 1, 3, 255, 256, 257, 600]
     raw = np.random.default_rng(4).integers(1, 256, sum(sizes)).astype(np.uint8)

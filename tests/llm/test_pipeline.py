@@ -110,6 +110,13 @@ def test_a_row_that_goes_takes_no_other_row_of_its_id(spark):
         assert got == [k for k, (_, t) in enumerate(rows) if t != bad], function.__name__
 
 
+def test_documents_stay_when_no_language_can_be_learned(spark, odd):
+    unlabelled = odd.withColumn("lang", C.F.lit(None).cast("string"))
+    got = rows_of(C.language_id(spark, unlabelled, SF))
+    want = [r[1] for r in odd_documents() if any(map(str.isalpha, r[1] or ""))]
+    assert sorted(r["text"] for r in got) == sorted(want)
+
+
 def test_registry_names_every_operator():
     assert sorted(int(name[2 : name.index("_")]) for name in QUERIES) == list(range(1, 11))
     assert {n for n, (_, sql) in QUERIES.items() if sql} >= {"op1_jaccard_join", "op2_sharding", "op3_warc", "op8_decontaminate"}
