@@ -8,6 +8,7 @@ from dialstat.llm.jaccard_join import OP1_SQL, op1_jaccard_join
 from dialstat.llm.language_id import op9_language_id
 from dialstat.llm.language_model import op5_language_model
 from dialstat.llm.licenses import op4_licenses
+from dialstat.llm.merkle import OP11_SQL, op11_merkle_manifest
 from dialstat.llm.quality import OP6_SQL, op6_quality
 from dialstat.llm.sharding import OP2_SQL, op2_sharding
 from dialstat.llm.token_files import op10_token_files
@@ -24,4 +25,5 @@ QUERIES = {
     "op8_decontaminate": (op8_decontaminate, OP8_SQL),
     "op9_language_id": (op9_language_id, None),
     "op10_token_files": (op10_token_files, None),
+    "op11_merkle_manifest": (op11_merkle_manifest, OP11_SQL),
 }
