@@ -7,33 +7,35 @@ words repeat.
 
 The others are judged by source.  Five transformed statistics (:data:`FEATURES`) make a vector;
 for each language and source the minimum covariance determinant gives a robust centre and
-covariance: from two starts, concentration steps take the ``SHARE`` of rows nearest by
-Mahalanobis distance and estimate anew from them; the start with the smaller determinant wins.
-A row farther than the chi-square bound is rejected.  Every feature has a floor, the deviation
-that is never held against a text; its square is added to the variance, which also keeps a
-constant feature from making the covariance singular.
-
-A step is one aggregation: rows fall into bins of their squared distance, each bin keeps its
+covariance: from two starts, concentration steps take the nearest (vectors + features + 1) / 2 by
+Mahalanobis distance and estimate anew from them, with the consistency factor of the share that
+they took; the start with the smaller determinant wins.  A row farther than the chi-square bound is
+rejected.  Texts with equal statistics count once in a group.  So the estimates stand against junk
+that fills nearly half of a group, and against copies that fill any part of it.  Every feature
+has a floor, the deviation that is never held against a text; its square is added to the
+variance, which also keeps a constant feature from making the covariance singular.
+
+A step is one aggregation: vectors fall into bins of their squared distance, each bin keeps its
 moments (count, sums, products), and the bins up to the wanted share are added up; so a group
 with a third of all rows is summed map-side, and nothing but a few hundred rows per group is
-shuffled.  Groups of fewer than ``LEAST_ROWS`` rows are judged together as one.
+shuffled.
 
-With ``half`` the estimates stand against junk or copies that fill much of a group: equal vectors
-count once in a group (also in its size), and a step takes the nearest (rows + features + 1) / 2
-of them with the consistency factor of the share that it took.  The pipeline judges so;
-``op6_quality`` is the estimate over ``SHARE`` of the rows that its SQL states.
+An estimate needs ``LEAST_ROWS`` different vectors.  A source with fewer is judged by the estimate over
+its whole language, and where the language has fewer by the one over all rows.
 
 Windows that repeat are found by sorting hashes with their positions packed below them, then
 compared as words, so a hash collision cannot count.
 
 Defined results for odd rows: a null text has no words and fails; null languages or sources are a
-group of their own; ids may be null or repeated, each input row gives one row; if the pooled
-rest is itself smaller than ``LEAST_ROWS`` its rows are kept.  Other columns are ignored.
+group of their own; ids may be null or repeated, each input row gives one row; a table with fewer
+than ``LEAST_ROWS`` different vectors in all has no estimate, and its rows that pass the base
+rules are kept.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import itertools
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,15 +54,12 @@ NAMES = [f[0] for f in FEATURES]
 FLOORS = [f[2] for f in FEATURES]
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words")
 _WORKING = ("words", "lines", "bits", "packed", "pairs", "maybe", "keyed", "starts")
-SHARE = 0.75
 STEPS = 4
 LEAST_ROWS = 50
 BROADCAST_GROUPS = 50_000  # rows of estimates, 200 bytes each: 10 MB; beyond, joins by shuffle
-# Fixed values for five features: the covariance of the nearest 75 % of normal data is smaller
-# than that of all by this factor; the bound is the chi-square quantile of 1 - 1e-9.
-CONSISTENCY = 1.41
+# Fixed values for five features: the bound is the chi-square quantile of 1 - 1e-9; the covariance of
+# the nearest share of normal data is smaller than that of all by these factors, linear in between.
 BOUND = 50.8
-# The factor for other shares of the rows, linear in between.
 CONSISTENCY_OF_SHARE = [
     (0.5, 1.9122), (0.55, 1.7924), (0.6, 1.6848), (0.65, 1.5869), (0.7, 1.4965), (0.75, 1.4121),
     (0.8, 1.332), (0.85, 1.2547), (0.9, 1.1782), (0.95, 1.099), (0.99, 1.0258), (1.0, 1.0),
@@ -174,23 +173,24 @@ def _distance() -> Column:
     return sum((r * r for r in rows), F.lit(0.0))
 
 
-def _half_consistency() -> Column:
-    """The consistency factor for ``n`` rows taken of ``whole``."""
-    share = F.greatest(F.col("n") / F.col("whole"), F.lit(CONSISTENCY_OF_SHARE[0][0]))
-    out = F.lit(CONSISTENCY_OF_SHARE[-1][1])
-    for (a, at_a), (b, at_b) in reversed(list(itertools.pairwise(CONSISTENCY_OF_SHARE))):
-        out = F.when(share < b, at_a + (share - a) * ((at_b - at_a) / (b - a))).otherwise(out)
-    return out
+def _consistency() -> str:
+    """The consistency factor for ``n`` vectors taken of ``whole``, as SQL."""
+    share = f"greatest(CAST(n AS DOUBLE) / whole, {CONSISTENCY_OF_SHARE[0][0]}e0)"
+    lines = [
+        f"WHEN {share} < {b}e0 THEN {at_a}e0 + ({share} - {a}e0) * ({(at_b - at_a) / (b - a)!r})"
+        for (a, at_a), (b, at_b) in itertools.pairwise(CONSISTENCY_OF_SHARE)
+    ]
+    return f"CASE {' '.join(lines)} ELSE {CONSISTENCY_OF_SHARE[-1][1]}e0 END"
 
 
-def _factor_layers(consistency: float | str = CONSISTENCY) -> list[dict[str, str]]:
+def _factor_layers() -> list[dict[str, str]]:
     """Centre m, covariance c, its Cholesky factor l and the factor's inverse w from the columns n,
-    s and p, as SQL expressions; each layer refers to those before it."""
+    whole, s and p, as SQL expressions; each layer refers to those before it."""
     p = len(NAMES)
-    layers = [{f"m{i}": f"s{i} / n" for i in range(p)}]
+    layers = [{"consistency": _consistency(), **{f"m{i}": f"s{i} / n" for i in range(p)}}]
     layers.append(
         {
-            f"c{j}{i}": f"{consistency} * (p{i}{j} / n - m{i} * m{j})" + (f" + {FLOORS[i] ** 2}" if i == j else "")
+            f"c{j}{i}": f"consistency * (p{i}{j} / n - m{i} * m{j})" + (f" + {FLOORS[i] ** 2}" if i == j else "")
             for i, j in _PAIRS
         }
     )
@@ -213,10 +213,10 @@ def _factor_layers(consistency: float | str = CONSISTENCY) -> list[dict[str, str
 _ESTIMATE = [f"m{i}" for i in range(len(NAMES))] + [f"w{i}{j}" for i in range(len(NAMES)) for j in range(i + 1)] + ["log_det"]
 
 
-def _factored(covariances: DataFrame, keys: list[str], half: bool = False) -> DataFrame:
+def _factored(covariances: DataFrame, keys: list[str]) -> DataFrame:
     """The estimate (centre, inverse Cholesky factor, log determinant) of each row's moments."""
-    df = covariances.withColumn("consistency", _half_consistency()) if half else covariances
-    for layer in _factor_layers("consistency") if half else _factor_layers():
+    df = covariances
+    for layer in _factor_layers():
         df = df.withColumns({name: F.expr(e) for name, e in layer.items()})
     return df.select(*keys, *_ESTIMATE)
 
@@ -247,9 +247,9 @@ def _start_medians(rows: DataFrame) -> DataFrame:
     return medians.select("grp", F.lit(0).alias("start"), *[f"m{i}" for i in range(p)], *axes, F.lit(0.0).alias("log_det"))
 
 
-def _concentrate(rows: DataFrame, estimates: DataFrame, half: bool = False) -> DataFrame:
-    """One concentration step for every (group, start): estimates from the nearest SHARE of rows,
-    or from about half of them."""
+def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """One concentration step for every (group, start): estimates from the nearest half of its
+    vectors."""
     near = rows.join(broadcast_within(estimates, BROADCAST_GROUPS), "grp").withColumn(
         "bin", F.floor(F.log2(_distance() + 1e-6) * _BINS_PER_OCTAVE).cast("long")
     )
@@ -261,24 +261,48 @@ def _concentrate(rows: DataFrame, estimates: DataFrame, half: bool = False) -> D
         }
     )
     names = ["n", *[f"s{i}" for i in range(len(NAMES))], *[f"p{i}{j}" for i, j in _PAIRS]]
-    wanted = (F.col("whole") + len(NAMES) + 1) / 2 if half else SHARE * F.col("whole")
+    wanted = (F.col("whole") + len(NAMES) + 1) / 2
     chosen = ranked.filter(F.col("before") < wanted).groupBy("grp", "start").agg(
         *[F.sum(c).alias(c) for c in names], F.max("whole").alias("whole")
     )
-    return _factored(chosen, ["grp", "start"], half)
+    return _factored(chosen, ["grp", "start"])
 
 
-def robust_estimates(rows: DataFrame, half: bool = False) -> DataFrame:
+def robust_estimates(rows: DataFrame) -> DataFrame:
     """Centre and inverse factor of every group ``grp`` of feature rows."""
     whole = rows.groupBy("grp").agg(*_moments()).withColumns({"start": F.lit(1), "whole": F.col("n")})
-    estimates = _start_medians(rows).unionByName(_factored(whole, ["grp", "start"], half))
+    estimates = _start_medians(rows).unionByName(_factored(whole, ["grp", "start"]))
     estimates = stage(estimates, "estimates")
     for _ in range(STEPS):
-        estimates = stage(_concentrate(rows, estimates, half), "estimates")
+        estimates = stage(_concentrate(rows, estimates), "estimates")
     best = estimates.groupBy("grp").agg(F.min(F.struct("log_det", "start")).alias("best"))
     return estimates.join(best, "grp").filter("start = best.start").drop("best", "start", "log_det")
 
 
+def _judging_groups(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Different vectors of every (own_group, language) -> (the vectors of every group that judges
+    somebody, the group that judges each own_group)."""
+    enough = F.col("count") >= LEAST_ROWS
+    own = stage(vectors.groupBy("own_group", "language").count(), "group_sizes")
+    small = own.filter(~enough).select("language").distinct()
+    of_language = vectors.join(broadcast_within(small, BROADCAST_GROUPS), "language").select("language", *STATISTICS).distinct()
+    languages = of_language.groupBy("language").agg(F.count("*").alias("speakers"))
+    judged_by = own.join(languages, "language", "left").withColumn(
+        "grp",
+        F.when(enough, F.concat(F.lit("own "), "own_group"))
+        .when(F.col("speakers") >= LEAST_ROWS, F.concat(F.lit("language "), "language"))
+        .otherwise(F.lit("all")),
+    )
+    judged_by = stage(judged_by.select("own_group", "grp"), "judged_by")
+    used = judged_by.select("grp").distinct()
+    members = vectors.select(F.concat(F.lit("own "), "own_group").alias("grp"), *STATISTICS)
+    members = members.union(of_language.select(F.concat(F.lit("language "), "language"), *STATISTICS))
+    if not judged_by.filter("grp = 'all'").isEmpty():
+        members = members.union(vectors.select(F.lit("all"), *STATISTICS).distinct())
+    rows = members.join(broadcast_within(used, BROADCAST_GROUPS), "grp", "left_semi")
+    return stage(rows.select("grp", *[F.expr(e).alias(name) for name, e, _ in FEATURES]), "vectors"), judged_by
+
+
 def judge_quality(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -287,35 +311,35 @@ def judge_quality(
     source_col: str = "source",
     least_words: int = 50,
     bound: float = BOUND,
-    half: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Base statistics, squared distance (null for texts that fail) and verdict of every row.
 
-    :param half: estimates from half of the different vectors; see the module's notes
+    :param carry: columns of ``docs`` that stay in the result, as carried_0, ...; the text may be one
     """
-    once = lambda rows: stage(rows.distinct(), "vectors") if half else rows
     part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
+    carried = [F.col(c).alias(f"carried_{i}") for i, c in enumerate(carry)]
     read = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(text_col).alias("text"),
         F.to_json(F.array(part(lang_col), part(source_col))).alias("own_group"),
+        part(lang_col).alias("language"),
+        *carried,
     )
     stats = text_statistics(read).withColumn(
         "base_failed",
         (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
     )
     passed = ~F.col("base_failed")
-    stats = stage(stats.withColumns({name: F.when(passed, F.expr(e)) for name, e, _ in FEATURES}), "quality")
-    # Groups that are too small are judged together.
-    members = once(stats.filter(passed).select("own_group", *NAMES))
-    large = members.groupBy("own_group").count().filter(F.col("count") >= LEAST_ROWS).select("own_group")
-    large = broadcast_within(stage(large.withColumn("grp", F.col("own_group")), "groups"), BROADCAST_GROUPS)
-    grouped = stats.join(large, "own_group", "left").withColumn("grp", F.coalesce("grp", F.lit("pooled")))
-    rows = once(grouped.filter(passed).select("grp", *NAMES))
-    estimates = stage(robust_estimates(rows, half), "robust")
-    pool = rows.groupBy("grp").count().filter(F.col("count") >= LEAST_ROWS).select("grp")
-    trusted = stage(estimates.join(pool, "grp", "left_semi"), "trusted")
-    judged = grouped.join(broadcast_within(trusted, BROADCAST_GROUPS), "grp", "left").withColumn("distance", _distance())
+    stats = stage(stats, "quality")
+    vectors = stage(stats.filter(passed).select("own_group", "language", *STATISTICS).distinct(), "different")
+    rows, judged_by = _judging_groups(vectors)
+    estimates = stage(robust_estimates(rows), "robust")
+    whole = rows.groupBy("grp").count().filter(F.col("count") >= LEAST_ROWS).select("grp")
+    trusted = judged_by.join(estimates.join(whole, "grp", "left_semi"), "grp")
+    trusted = stage(trusted.drop("grp"), "trusted")
+    stats = stats.withColumns({name: F.when(passed, F.expr(e)) for name, e, _ in FEATURES})
+    judged = stats.join(broadcast_within(trusted, BROADCAST_GROUPS), "own_group", "left").withColumn("distance", _distance())
     return judged.select(
         F.col("doc_id").alias(id_col),
         "n_words",
@@ -326,6 +350,7 @@ def judge_quality(
         "base_failed",
         F.when(passed, F.col("distance")).alias("distance"),
         (passed & F.coalesce(F.col("distance") <= bound, F.lit(True))).alias("kept"),
+        *[F.col(f"carried_{i}") for i in range(len(carried))],
     )
 
 
@@ -361,9 +386,9 @@ def _op6_sql() -> str:
         steps.append(f"""
 b{k} AS MATERIALIZED (SELECT grp, start, floor(log2({distance} + 1e-6) * {_BINS_PER_OCTAVE}) AS bin, {moments}
   FROM r JOIN {last} USING (grp) GROUP BY ALL),
-c{k} AS MATERIALIZED (SELECT grp, start, {sums} FROM (
+c{k} AS MATERIALIZED (SELECT grp, start, {sums}, max(whole) AS whole FROM (
     SELECT *, sum(n) OVER (PARTITION BY grp, start ORDER BY bin) - n AS before, sum(n) OVER (PARTITION BY grp, start) AS whole FROM b{k})
-  WHERE before < {SHARE} * whole GROUP BY grp, start),
+  WHERE before < (whole + {p} + 1) / 2e0 GROUP BY grp, start),
 e{k} AS MATERIALIZED (SELECT grp, start, {kept} FROM {factored(f"c{k}")}),""")
         last = f"e{k}"
     return f"""
@@ -388,12 +413,22 @@ st AS MATERIALIZED (
          CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
   FROM w LEFT JOIN rep USING (id)),
 f AS MATERIALIZED (
-  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-         count(*) FILTER (WHERE NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)) OVER (PARTITION BY lang, source) AS many
-  FROM st),
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM st),
+v AS MATERIALIZED (SELECT DISTINCT lang, source, {", ".join(STATISTICS)} FROM f WHERE NOT base_failed),
+lv AS MATERIALIZED (SELECT DISTINCT lang, {", ".join(STATISTICS)} FROM v),
+av AS (SELECT DISTINCT {", ".join(STATISTICS)} FROM v),
+sizes AS (SELECT lang, source, count(*) AS own FROM v GROUP BY ALL),
+speakers AS (SELECT lang, count(*) AS many FROM lv GROUP BY ALL),
+judge AS MATERIALIZED (
+  SELECT s.lang, s.source, CASE WHEN own >= {LEAST_ROWS} THEN ['own', s.lang, s.source]
+    WHEN many >= {LEAST_ROWS} THEN ['language', s.lang] ELSE ['all'] END AS grp
+  FROM sizes s JOIN speakers l ON l.lang IS NOT DISTINCT FROM s.lang),
 g AS MATERIALIZED (
-  SELECT *, CASE WHEN many >= {LEAST_ROWS} THEN [lang, source] ELSE ['pooled'] END AS grp FROM f),
-r AS MATERIALIZED (SELECT grp, {", ".join(f"{e} AS {name}" for name, e, _ in FEATURES)} FROM g WHERE NOT base_failed),
+  SELECT f.*, judge.grp FROM f LEFT JOIN judge ON judge.lang IS NOT DISTINCT FROM f.lang AND judge.source IS NOT DISTINCT FROM f.source),
+r AS MATERIALIZED (
+  SELECT grp, {", ".join(f"{e} AS {name}" for name, e, _ in FEATURES)}
+  FROM (SELECT ['own', lang, source] AS grp, * EXCLUDE (lang, source) FROM v UNION ALL SELECT ['language', lang], * EXCLUDE (lang) FROM lv
+        UNION ALL SELECT ['all'], * FROM av) WHERE grp IN (SELECT grp FROM judge)),
 bins AS (SELECT grp, feature, bin, count(*) AS n FROM ({features}) GROUP BY ALL),
 mid AS (SELECT grp, feature, min(bin) AS bin FROM (
   SELECT *, sum(n) OVER (PARTITION BY grp, feature ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY grp, feature) AS whole FROM bins)
@@ -401,7 +436,7 @@ mid AS (SELECT grp, feature, min(bin) AS bin FROM (
 e0 AS MATERIALIZED (
   SELECT grp, 0 AS start, {starts}, 0e0 AS log_det FROM mid GROUP BY grp
   UNION ALL
-  SELECT grp, 1 AS start, {kept} FROM {factored(f"(SELECT grp, {moments} FROM r GROUP BY grp)")}),
+  SELECT grp, 1 AS start, {kept} FROM {factored(f"(SELECT *, n AS whole FROM (SELECT grp, {moments} FROM r GROUP BY grp))")}),
 {"".join(steps)}
 best AS (
   SELECT * FROM {last} WHERE grp IN (SELECT grp FROM r GROUP BY grp HAVING count(*) >= {LEAST_ROWS})

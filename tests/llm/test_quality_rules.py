@@ -43,9 +43,10 @@ def features(s):
     ]
 
 
-def estimate(x):
+def estimate(x, whole):
+    shares, factors = zip(*Q.CONSISTENCY_OF_SHARE)
     mean = x.mean(0)
-    cov = Q.CONSISTENCY * ((x.T @ x) / len(x) - np.outer(mean, mean)) + np.diag(np.square(Q.FLOORS))
+    cov = np.interp(len(x) / whole, shares, factors) * ((x.T @ x) / len(x) - np.outer(mean, mean)) + np.diag(np.square(Q.FLOORS))
     return mean, cov
 
 
@@ -54,21 +55,22 @@ def distances(x, mean, cov):
     return np.einsum("ij,jk,ik->i", away, np.linalg.inv(cov), away)
 
 
-def robust_distances(x):
-    """The minimum covariance determinant of one group, in numpy."""
+def robust_distances(x, known):
+    """Distances by the minimum covariance determinant of the first ``known`` rows, in numpy."""
+    every, x = x, x[:known]
     quarter = np.array(Q.FLOORS) / 4
     bins = np.sort(np.floor(x / quarter), axis=0)
     median = (bins[(len(x) + 1) // 2 - 1] + 0.5) * quarter
     best = None
-    for mean, cov in ((median, np.diag(np.square(Q.FLOORS))), estimate(x)):
+    for mean, cov in ((median, np.diag(np.square(Q.FLOORS))), estimate(x, len(x))):
         for _ in range(Q.STEPS):
             bin_of = np.floor(np.log2(distances(x, mean, cov) + 1e-6) * Q._BINS_PER_OCTAVE)
             values, counts = np.unique(bin_of, return_counts=True)
             before = np.cumsum(counts) - counts
-            mean, cov = estimate(x[np.isin(bin_of, values[before < Q.SHARE * len(x)])])
+            mean, cov = estimate(x[np.isin(bin_of, values[before < (len(x) + x.shape[1] + 1) / 2])], len(x))
         found = (np.linalg.slogdet(cov)[1], mean, cov)
         best = found if best is None or found[0] < best[0] else best
-    return distances(x, best[1], best[2])
+    return distances(every, best[1], best[2])
 
 
 def random_texts(count):
@@ -99,27 +101,28 @@ def test_hash_collisions_cannot_count(spark, monkeypatch):
 
 def test_distances_match_numpy(spark, documents):
     df = spark.createDataFrame([d[:4] for d in documents], "doc_id long, text string, lang string, source string")
-    df = df.withColumn("source", Q.F.expr("if(doc_id % 2 = 0, 'x', source)")).repartition(3)
+    df = df.withColumn("source", Q.F.expr("if(doc_id % 5 > 0, 'x', source)")).repartition(3)
     rows = {r["doc_id"]: r for r in rows_of(Q.judge_quality(df))}
     stats = {d[0]: statistics(d[1]) for d in documents}
     passed = [d for d in documents if not base_failed(stats[d[0]])]
-    group = {d[0]: (d[2], "x" if d[0] % 2 == 0 else d[3]) for d in passed}
-    sizes = collections.Counter(group.values())
-    group = {i: g if sizes[g] >= Q.LEAST_ROWS else None for i, g in group.items()}
-    sizes = collections.Counter(group.values())
-    assert len(sizes) > 1
-    for g in sizes:
-        own = [i for i, x in group.items() if x == g]
-        if sizes[g] < Q.LEAST_ROWS:
-            assert all(rows[i]["distance"] is None and rows[i]["kept"] for i in own)
-            continue
-        want = robust_distances(np.array([features(stats[i]) for i in own]))
-        assert [rows[i]["distance"] for i in own] == pytest.approx(want.tolist(), rel=1e-6, abs=1e-9)
-        assert [rows[i]["kept"] for i in own] == [d <= Q.BOUND for d in want]
+    own = {d[0]: (d[2], "x" if d[0] % 5 > 0 else d[3]) for d in passed}
+    vector = {i: tuple(features(stats[i])) for i in own}
+    different = lambda ids: sorted({vector[i] for i in ids})
+    levels = collections.Counter()
+    for g in set(own.values()):
+        ids = [i for i in own if own[i] == g]
+        judges = [ids, [i for i in own if own[i][0] == g[0]], list(own)]
+        level = next(k for k, j in enumerate(judges) if len(different(j)) >= Q.LEAST_ROWS)
+        levels[level] += 1
+        x = np.array(different(judges[level]) + [vector[i] for i in ids])
+        want = robust_distances(x, len(different(judges[level])))[-len(ids) :]
+        assert [rows[i]["distance"] for i in ids] == pytest.approx(want.tolist(), rel=1e-6, abs=1e-9)
+        assert [rows[i]["kept"] for i in ids] == [d <= Q.BOUND for d in want]
+    assert set(levels) == {0, 1, 2}
     for i, s in stats.items():
         assert rows[i]["base_failed"] == base_failed(s) and not (rows[i]["kept"] and base_failed(s))
     # documents full of symbols go, others stay
-    for i in group:
+    for i in own:
         junk = stats[i]["n_symbols"] > 0.05 * stats[i]["word_chars"]
         assert rows[i]["kept"] == (not junk)
 
@@ -129,7 +132,7 @@ def clean_text(rng, count):
 
 
 @pytest.mark.parametrize("junk", [0.0, 0.26, 0.35, 0.45])
-def test_half_estimates_reject_junk_beyond_a_quarter(spark, junk):
+def test_junk_beyond_a_quarter_is_rejected(spark, junk):
     """Texts with symbols at 10 % of their characters go, whatever share of the group they fill."""
     rng = random.Random(1)
     rows = []
@@ -138,11 +141,11 @@ def test_half_estimates_reject_junk_beyond_a_quarter(spark, junk):
         bad = k < junk * 300
         rows.append((k, text + " " + "#" * (len(text) // 8) if bad else text, "en", "a"))
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
-    got = {r["doc_id"] for r in rows_of(Q.judge_quality(docs, half=True)) if r["kept"]}
+    got = {r["doc_id"] for r in rows_of(Q.judge_quality(docs)) if r["kept"]}
     assert got == {k for k in range(300) if k >= junk * 300}
 
 
-def test_half_estimates_count_copies_once(spark):
+def test_copies_count_once(spark):
     """Copies of one text fill 90 % of a group: its other texts stay, its junk goes."""
     rng = random.Random(2)
     copy = clean_text(rng, 60)
@@ -150,7 +153,7 @@ def test_half_estimates_count_copies_once(spark):
     rubbish = [t + " " + "#" * (len(t) // 2) for t in others[:3]]
     rows = [(k, t, "en", "a") for k, t in enumerate([copy] * 900 + others + rubbish)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
-    got = {r["doc_id"] for r in rows_of(Q.judge_quality(docs, half=True)) if r["kept"]}
+    got = {r["doc_id"] for r in rows_of(Q.judge_quality(docs)) if r["kept"]}
     assert got == set(range(997))
 
 
