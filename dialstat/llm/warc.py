@@ -42,6 +42,7 @@ from dialstat.llm.staging import broadcast_within, stage, stage_path
 SEGMENT_BYTES = 32 << 10
 CHUNK_BYTES = 8 << 10
 RECORDS_PER_FILE = 4096
+REPEATS = 4096  # revisits of one repeated row that a task makes at a time
 BROADCAST_PAYLOADS = 500_000  # digests that occur more than once: 60 bytes each, 30 MB
 RECORD_END = "\r\n\r\n"
 DATE = "2000-01-01T00:00:00Z"
@@ -205,8 +206,12 @@ def _twin_records(twins: DataFrame) -> DataFrame:
         counts.join(heads.select("sha1", "head"), "sha1")
         .withColumn("n", F.col("n") - F.when(first, 1).otherwise(0))
         .filter("n > 0")
-        .select("page_id", "url", "sha1", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("nth"))
     )
+    # The repeats of a row in pieces of bounded size, dealt out to the tasks before they are made.
+    last = F.expr(f"(n - 1) div {REPEATS}L")
+    pieces = rest.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last))).repartition("sha1", "page_id", "url", "piece")
+    own = F.least(F.lit(REPEATS).cast("long"), F.col("n") - F.col("piece") * REPEATS)
+    rest = pieces.select("page_id", "url", "sha1", F.explode(F.sequence(F.lit(1).cast("long"), own)).alias("nth"))
     yes, no = F.lit(True), F.lit(False)
     return heads.select(
         "page_id", F.col("head.url").alias("url"), "html", "sha1", yes.alias("named"), no.alias("revisit")
