@@ -12,8 +12,9 @@ numbers, not items.  Item lists are made once per distinct combination of set nu
 
 Up to ``BROADCAST_WINDOWS`` windows the table goes to every task and a document
 is decided where it is read, without a shuffle.  Beyond that the tasks keep a bit map of the
-benchmark's hashes (fixed size) and emit the windows that pass; these are joined with the window
-table by hash and merged per document.
+benchmark's hashes, of sixteen bits a window up to 128 MB, and emit the windows that pass; these
+are joined with the window table by hash and merged per document.  Documents without a hit take
+part in no join.
 
 Defined results for odd rows: null and wordless texts have no words, no hits and no items; an
 item without words has no window; rows with the same item id are one item, an item with a null
@@ -23,7 +24,7 @@ ids are judged each by itself.  Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from dialstat.llm.staging import rows_within, stage
 GRAM, SPAN = 5, 9  # GRAM + SPAN - 1 = 13 words: the shortest shared span that is always found
 WINDOW = GRAM + SPAN - 1
 BROADCAST_WINDOWS = 2_000_000  # 24 bytes each: 48 MB
-MAP_BITS = 26  # the bit map of the join path: 8 MB, whatever the benchmark's size
+LEAST_MAP, MOST_MAP = 20, 30  # the bit map of the join path has 2 ** 20 to 2 ** 30 bits: 128 KB to 128 MB
 _U = np.uint64
 _NO = _U(0xFFFFFFFFFFFFFFFF)
 
@@ -124,12 +125,13 @@ class Lookup:
 class BitMap:
     """Which hashes may be in the benchmark; ``find`` gives 0 for maybe, -1 for no."""
 
-    def __init__(self, bits: np.ndarray, lengths: list[int]):
-        self.bits, self.tables = bits, dict.fromkeys(lengths)
+    def __init__(self, words: np.ndarray, lengths: list[int]):
+        self.words, self.tables = words, dict.fromkeys(lengths)
+        self.mask = _U(64 * len(words) - 1)
 
     def marked(self, hashes: np.ndarray) -> np.ndarray:
-        slot = hashes & _U((1 << MAP_BITS) - 1)
-        return (self.bits[(slot >> _U(3)).astype(np.int64)] >> (slot & _U(7)).astype(np.uint8)) & 1 == 1
+        slot = hashes & self.mask
+        return (self.words[(slot >> _U(6)).astype(np.int64)] >> (slot & _U(63))) & _U(1) == _U(1)
 
     def find(self, length: int, hashes: np.ndarray) -> np.ndarray:
         return np.where(self.marked(hashes), 0, -1)
@@ -164,11 +166,12 @@ def window_hits(words: np.ndarray, at: np.ndarray, lookup) -> tuple[np.ndarray,
 
 
 def _judge(lookup):
-    """Rows (doc_id, n_words, n_hit, sets) decided where they are read."""
+    """Rows (n_words, n_hit, sets and what is carried) decided where they are read."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Lookup(lookup.value)
         for batch in batches:
-            for lo, hi, raw, bounds in B.chunks(batch.column(1)):
+            for lo, hi, raw, bounds in B.chunks(batch.column(0)):
                 words, at = B.lowered_words(raw, bounds, B.ALNUM)
                 starts, lengths, _, sets = window_hits(words, at, table)
                 covered = np.zeros(len(words) + 1, dtype=bool)
@@ -181,19 +184,19 @@ def _judge(lookup):
                     named[row] = np.unique(sets[rows == row])
                 yield pa.record_batch(
                     [
-                        batch.column(0).slice(lo, hi - lo),
                         pa.array(np.diff(at)),
                         pa.array(so_far[at[1:]] - so_far[at[:-1]]),
                         pa.array(named, pa.list_(pa.int64())),
+                        *(c.slice(lo, hi - lo) for c in batch.columns[1:]),
                     ],
-                    names=["doc_id", "n_words", "n_hit", "sets"],
+                    names=["n_words", "n_hit", "sets", *batch.schema.names[1:]],
                 )
 
     return run
 
 
-_HITS = "doc_id long, n_words long, n_hit long, sets array<bigint>"
-_MAYBE = "row long, doc_id long, n_words long, hits array<struct<start:bigint,length:bigint,window:bigint>>"
+_HITS = "n_words long, n_hit long, sets array<bigint>"
+_MAYBE = "n_words long, hits array<struct<start:bigint,length:bigint,window:bigint>>, row long"
 
 
 def _maybe(lookup):
@@ -202,7 +205,7 @@ def _maybe(lookup):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = BitMap(*lookup.value)
         for batch in batches:
-            for lo, hi, raw, bounds in B.chunks(batch.column(1)):
+            for lo, hi, raw, bounds in B.chunks(batch.column(0)):
                 words, at = B.lowered_words(raw, bounds, B.ALNUM)
                 starts, lengths, hashes, _ = window_hits(words, at, table)
                 rows = np.searchsorted(at, starts, side="right") - 1
@@ -215,40 +218,38 @@ def _maybe(lookup):
                 cuts = np.searchsorted(rows, np.arange(hi - lo + 1)).astype(np.int32)
                 yield pa.record_batch(
                     [
-                        batch.column(2).slice(lo, hi - lo),
-                        batch.column(0).slice(lo, hi - lo),
                         pa.array(np.diff(at)),
                         pa.ListArray.from_arrays(pa.array(cuts), hits),
+                        *(c.slice(lo, hi - lo) for c in batch.columns[1:]),
                     ],
-                    names=["row", "doc_id", "n_words", "hits"],
+                    names=["n_words", "hits", *batch.schema.names[1:]],
                 )
 
     return run
 
 
-def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct bit map bytes that a task's hashes touch: (byte, bits)."""
-    bits = np.zeros(1 << (MAP_BITS - 3), dtype=np.uint8)
-    for batch in batches:
-        for column in (0, 1):
-            slot = batch.column(column).to_numpy().view(np.uint64) & _U((1 << MAP_BITS) - 1)
-            np.bitwise_or.at(bits, (slot >> _U(3)).astype(np.int64), np.uint8(1) << (slot & _U(7)).astype(np.uint8))
-    used = np.flatnonzero(bits)
-    yield pa.record_batch([pa.array(used), pa.array(bits[used].astype(np.int32))], names=["byte", "bits"])
+def bit_map(windows: DataFrame, rows: int) -> np.ndarray:
+    """The 64-bit words of the map of all window and fingerprint hashes, its size by their number."""
+    bits = min(MOST_MAP, max(LEAST_MAP, (16 * rows - 1).bit_length()))
+    slot = F.col("hash").bitwiseAND(F.lit((1 << bits) - 1))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))
+    hashes = windows.select(F.explode(F.array("window", "mark")).alias("hash"))
+    touched = hashes.select(F.shiftright(slot, 6).alias("word"), one.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    held = touched.toPandas()  # at most a sixty-fourth of the map's bits
+    out = np.zeros(1 << (bits - 6), dtype=np.uint64)
+    out[held["word"].to_numpy()] = held["bits"].to_numpy().view(np.uint64)
+    return out
 
 
 def _joined(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """The join path: candidate windows of all documents against the window table, by hash."""
     spark = docs.sparkSession
     lengths = sorted(r[0] for r in windows.select("length").distinct().collect())  # 13 values at most
-    touched = windows.select("window", "mark").mapInArrow(_bits, "byte long, bits int")
-    bits = np.zeros(1 << (MAP_BITS - 3), dtype=np.uint8)
-    for row in touched.groupBy("byte").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
-        bits[row["byte"]] = row["bits"]
+    bits = bit_map(windows, windows.count())
     table = spark.sparkContext.broadcast((bits, lengths))
-    maybe = stage(
-        docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_maybe(table), _MAYBE), "maybe_hits"
-    )
+    kinds = _kinds(docs)
+    numbered = docs.select("text", F.monotonically_increasing_id().alias("row"), *docs.columns[1:])
+    maybe = stage(numbered.mapInArrow(_maybe(table), _MAYBE + kinds), "maybe_hits")
     found = (
         maybe.select("row", F.inline("hits"))
         .join(windows.select("window", F.col("length").cast("long").alias("length"), "set_id"), ["window", "length"])
@@ -268,28 +269,24 @@ def _joined(docs: DataFrame, windows: DataFrame) -> DataFrame:
         ),
         lambda s: s["n"],
     )
-    return maybe.join(found.select("row", covered.alias("n_hit"), "sets"), "row", "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), "sets"
+    found = found.select("row", covered.alias("n_hit"), "sets")
+    carried = docs.columns[1:]
+    # Only rows with candidate windows are joined.
+    candidates = maybe.filter(F.size("hits") > 0).join(found, "row", "left")
+    met = candidates.select("n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), "sets", *carried)
+    clean = maybe.filter(F.size("hits") == 0)
+    return met.union(
+        clean.select("n_words", F.lit(0).cast("long").alias("n_hit"), F.lit(None).cast("array<bigint>").alias("sets"), *carried)
     )
 
 
-def decontaminate(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_col: str = "item_id",
-    item_text_col: str = "text",
-    share: int = 20,
-    broadcast_windows: int = BROADCAST_WINDOWS,
-) -> DataFrame:
-    """One row per document: words, words hit, benchmark items met and the verdict.
+def _kinds(docs: DataFrame) -> str:
+    """The carried columns of ``docs``, those after its text, as part of a schema."""
+    return "".join(f", {f.name} {f.dataType.simpleString()}" for f in docs.schema.fields[1:])
 
-    :param share: contaminated if ``share * n_hit >= n_words`` and there is a hit
-    :param broadcast_windows: most benchmark windows that go to every task; beyond, a join
-    """
-    spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+def _benchmark_windows(benchmark: DataFrame, item_col: str, item_text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(windows with the items in which they stand, distinct windows with their set numbers)."""
     items = benchmark.select(
         F.col(item_col).cast("string").alias("item_id"), F.col(item_text_col).cast("string").alias("text")
     )
@@ -306,13 +303,57 @@ def decontaminate(
         sets.select("window", "length", "mark", F.xxhash64("x", "s", "c").bitwiseAND(F.lit((1 << 63) - 1)).alias("set_id")),
         "windows",
     )
-    if rows_within(windows, broadcast_windows):
+    return standing, windows
+
+
+def _hit_rows(docs: DataFrame, windows: DataFrame, text_col: str, carry: Sequence[str], share: int, most: int) -> DataFrame:
+    """n_words, n_hit, sets and contaminated of every row, then carried_0, ... as they are."""
+    carried = [F.col(c).alias(f"carried_{i}") for i, c in enumerate(carry)]
+    texts = docs.select(F.col(text_col).cast("string").alias("text"), *carried)
+    if rows_within(windows, most):
         rows = windows.toPandas()
-        lookup = spark.sparkContext.broadcast({c: rows[c].to_numpy() for c in rows.columns})
-        judged = texts.mapInArrow(_judge(lookup), _HITS)
+        lookup = docs.sparkSession.sparkContext.broadcast({c: rows[c].to_numpy() for c in rows.columns})
+        judged = texts.mapInArrow(_judge(lookup), _HITS + _kinds(texts))
     else:
         judged = _joined(texts, windows)
-    judged = stage(judged, "judged")
+    contaminated = (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
+    return judged.withColumn("contaminated", contaminated)
+
+
+def clean_documents(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    share: int = 20,
+    broadcast_windows: int = BROADCAST_WINDOWS,
+) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, as they are; the text stays beside its verdict,
+    so nothing is joined back."""
+    _, windows = _benchmark_windows(benchmark, item_col, item_text_col)
+    judged = _hit_rows(docs, windows, text_col, docs.columns, share, broadcast_windows).filter(~F.col("contaminated"))
+    return judged.select(*[F.col(f"carried_{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def decontaminate(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    share: int = 20,
+    broadcast_windows: int = BROADCAST_WINDOWS,
+) -> DataFrame:
+    """One row per document: words, words hit, benchmark items met and the verdict.
+
+    :param share: contaminated if ``share * n_hit >= n_words`` and there is a hit
+    :param broadcast_windows: most benchmark windows that go to every task; beyond, a join
+    """
+    standing, windows = _benchmark_windows(benchmark, item_col, item_text_col)
+    judged = _hit_rows(docs, windows, text_col, [id_col], share, broadcast_windows)
+    judged = stage(judged.withColumnRenamed("carried_0", "doc_id"), "judged")
     # Items of each distinct combination of set numbers, listed once.
     lists = judged.filter(F.col("sets").isNotNull()).select("sets").distinct()
     one = windows.groupBy("set_id").agg(F.min(F.struct("window", "length")).alias("w")).select("set_id", "w.*")
@@ -323,14 +364,16 @@ def decontaminate(
         .groupBy("sets")
         .agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     )
-    listed = judged.join(named, "sets", "left")
     none = F.array().cast("array<string>")
+    listed = judged.filter(F.col("sets").isNotNull()).join(named, "sets", "left").unionByName(
+        judged.filter(F.col("sets").isNull()).withColumn("items", none)
+    )
     return listed.select(
         F.col("doc_id").alias(id_col),
         "n_words",
         "n_hit",
         F.coalesce("items", none).alias("items"),
-        ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        "contaminated",
     )
 
 
