@@ -21,15 +21,16 @@ More than ``MOST_LANGUAGES`` labels are an error.  Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialstat.llm import bytescan as B
 from dialstat.llm.staging import rows_within
+from dialstat.operators.ranking import top_n_per_group, within_cutoffs
 
 WINDOW = 256
 STEP = WINDOW - 3
@@ -169,8 +170,8 @@ def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             )
 
 
-def has_letter(text: str | None) -> bool:
-    return text is not None and any(map(str.isalpha, text))
+def has_letter(text: Column) -> Column:
+    return F.coalesce(text.cast("string").rlike(r"\p{L}"), F.lit(False))
 
 
 def _predict(model):
@@ -178,7 +179,7 @@ def _predict(model):
         languages, parameters = model.value
         predictor = Predictor(parameters) if languages else None
         for batch in batches:
-            ids, texts, rows = batch.column(0), batch.column(1), batch.columns[2:]
+            texts, letters, carried = batch.column(0), batch.column(1).to_pylist(), batch.columns[2:]
             for lo, hi, raw, bounds in B.chunks(texts):
                 named, scores = [UNKNOWN] * (hi - lo), [0.0] * (hi - lo)
                 if predictor:
@@ -189,34 +190,41 @@ def _predict(model):
                     share /= np.maximum(share.sum(1, keepdims=True), 1e-12)
                     best = share.argmax(1).tolist()
                     for k in range(hi - lo):
-                        if has_letter(texts[lo + k].as_py()):
+                        if letters[lo + k]:
                             named[k], scores[k] = languages[best[k]], min(1.0, float(share[k, best[k]]))
                 yield pa.record_batch(
-                    [ids.slice(lo, hi - lo), pa.array(named, pa.string()), pa.array(scores, pa.float64())]
-                    + [c.slice(lo, hi - lo) for c in rows],
-                    names=["doc_id", "lang_pred", "score", *["row"] * len(rows)],
+                    [pa.array(named, pa.string()), pa.array(scores, pa.float64()), *(c.slice(lo, hi - lo) for c in carried)],
+                    names=["lang_pred", "score", *batch.schema.names[2:]],
                 )
 
     return run
 
 
 def fit_languages(
-    docs: DataFrame, id_col: str, text_col: str, lang_col: str, folds: int, held_fold: int, per_language: int, seed: int
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    folds: int = 3,
+    held_fold: int = 1,
+    per_language: int = PER_LANGUAGE,
+    seed: int = 11,
 ) -> tuple[list[str], dict[str, np.ndarray]]:
     """(languages, parameters) learned from the bounded sample; empty without labelled rows."""
     held = F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == held_fold, F.lit(True))
     learnable = docs.filter(~held & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     if learnable.select(lang_col).distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} distinct labels in {lang_col}: languages are expected")
-    # The first of each language in order of hash, level by level: ever fewer ranges of the hash,
-    # so no task ranks more than a range's rows or 64 times the sample.
+    # The first of each language in order of hash.  Rows beyond a language's cut-off, taken from a
+    # histogram of its hashes, leave where they are read; what is left to be ranked is little
+    # more than the sample.
     chosen = learnable.select(
-        F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("hash")
+        F.col(id_col).alias("doc_id"),
+        F.col(lang_col).alias("lang"),
+        F.xxhash64(id_col).bitwiseAND(F.lit((1 << 63) - 1)).alias("hash"),
     )
-    for salts in (4096, 64, 1):
-        rank = F.row_number().over(Window.partitionBy("lang", F.pmod("hash", F.lit(salts))).orderBy("hash", "doc_id"))
-        chosen = chosen.withColumn("nth", rank).filter(F.col("nth") <= per_language).drop("nth")
-    chosen = chosen.select("doc_id").distinct()
+    chosen = within_cutoffs(chosen, ["lang"], ["hash"], per_language)
+    chosen = top_n_per_group(chosen, "lang", ["hash"], per_language, ["doc_id"]).select("doc_id").distinct()
     if rows_within(chosen, BROADCAST_ROWS):
         chosen = F.broadcast(chosen)
     sample = learnable.join(chosen, learnable[id_col] == chosen["doc_id"], "left_semi")
@@ -233,6 +241,19 @@ def fit_languages(
     return languages, network.p
 
 
+def predict_languages(
+    docs: DataFrame, model: tuple[list[str], dict[str, np.ndarray]], text_col: str = "text", carry: Sequence[str] = ()
+) -> DataFrame:
+    """lang_pred and score of every row, then the ``carry`` columns of ``docs`` as carried_0, ..."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    text = F.col(text_col).cast("string")
+    carried = [F.col(c).alias(f"carried_{i}") for i, c in enumerate(carry)]
+    rows = docs.select(text.alias("text"), has_letter(F.col(text_col)).alias("letter"), *carried)
+    kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+    found = rows.mapInArrow(_predict(shared), "lang_pred string, score double" + kinds)
+    return found
+
+
 def identify_languages(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -242,25 +263,12 @@ def identify_languages(
     held_fold: int = 1,
     per_language: int = PER_LANGUAGE,
     seed: int = 11,
-    row_col: str | None = None,
 ) -> DataFrame:
-    """One row per document: held_out, lang_pred and score; see the module's notes.
-
-    :param row_col: a column of row numbers that the result has too
-    """
+    """One row per document: held_out, lang_pred and score; see the module's notes."""
     model = fit_languages(docs, id_col, text_col, lang_col, folds, held_fold, per_language, seed)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = [F.col(row_col).cast("long").alias("row")] if row_col else []
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *rows)
-    schema = "doc_id long, lang_pred string, score double" + (", row long" if row_col else "")
-    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held_fold, F.lit(True))
-    return texts.mapInArrow(_predict(shared), schema).select(
-        F.col("doc_id").alias(id_col),
-        held.alias("held_out"),
-        "lang_pred",
-        "score",
-        *([F.col("row").alias(row_col)] if row_col else []),
-    )
+    held = F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == held_fold, F.lit(True))
+    found = predict_languages(docs, model, text_col, [id_col]).withColumnRenamed("carried_0", id_col)
+    return found.select(id_col, held.alias("held_out"), "lang_pred", "score")
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
