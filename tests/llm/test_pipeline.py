@@ -13,7 +13,7 @@ from conftest import SF
 from odd import SCHEMA, odd_documents, rows_of, words
 from test_decontaminate import expected as hits
 from test_jaccard_join import components, sets_of
-from test_quality import base_failed, statistics
+from test_quality_rules import base_failed, statistics
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
@@ -117,8 +117,59 @@ def test_documents_stay_when_no_language_can_be_learned(spark, odd):
     assert sorted(r["text"] for r in got) == sorted(want)
 
 
+def test_columns_of_any_name_pass(spark):
+    """Names that stages use for themselves are no clash in the input."""
+    names = ["row_number", "row_number_", "component_id", "carried_0", "kept", "lang_pred", "score", "sets", "hits", "row", "gone_key", "pipeline_row"]
+    rows = [(k, words(80, 200 + k), "en", "a") for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs = docs.withColumns({n: C.F.lit(i) for i, n in enumerate(names)})
+    for _, function in C.STAGES[:-1]:
+        docs = stage(function(spark, docs, SF), "names")
+        assert docs.columns == ["doc_id", "text", "lang", "source", *names]
+    assert sorted(tuple(r)[:2] for r in docs.collect()) == [r[:2] for r in rows]
+    assert {tuple(r)[4:] for r in docs.collect()} == {tuple(range(len(names)))}
+
+
+def test_texts_are_shuffled_by_the_duplicate_stage_only(spark, documents, monkeypatch):
+    """With nothing small enough to be broadcast by Spark, no exchange of the other stages has the text."""
+    import re
+
+    from dialstat.llm import staging
+
+    plans = []
+    written = staging.stage
+
+    def watched(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return written(df, name)
+
+    for module in ("quality", "decontaminate", "language_id", "jaccard_join", "components"):
+        m = __import__(f"dialstat.llm.{module}", fromlist=["x"])
+        if hasattr(m, "stage"):
+            monkeypatch.setattr(m, "stage", watched)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.maxMetadataStringLength")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.read.parquet(f"{SF}/documents.parquet")
+        for name, function in C.STAGES[:-1]:
+            if name == "n-gram jaccard join":
+                continue
+            watched(function(spark, docs, SF), name)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    for name, plan in plans:
+        tree = plan.split("\n")
+        for i, line in enumerate(tree):
+            if "Exchange " in line:
+                # what an exchange moves is the output of the operator below it
+                below = next((x for x in tree[i + 1 :] if "Project [" in x or "HashAggregate(" in x or "Sort" not in x), "")
+                assert not re.search(r"\btext#|carried_1#", below), (name, line, below)
+    assert len(plans) > 5
+
+
 def test_registry_names_every_operator():
-    assert sorted(int(name[2 : name.index("_")]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2 : name.index("_")]) for name in QUERIES) == list(range(1, 14))
     assert {n for n, (_, sql) in QUERIES.items() if sql} >= {"op1_jaccard_join", "op2_sharding", "op3_warc", "op8_decontaminate"}
     assert len(C.STAGES) == 5 and SCHEMA
 
@@ -128,7 +179,7 @@ def test_queries_match_their_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     function, sql = QUERIES[name]
     got = function(spark, SF)
