@@ -5,40 +5,35 @@ they keep with the columns of ``documents``.  Decisions are made per row, so row
 null ids stay or go each by itself.  Numbers of rows that go are broadcast while there are
 few of them, which is checked; beyond that Spark joins by shuffle.
 
-Row numbers come from written files (file, place in the file), so every read of a stage's input
-gives a row the same number; a table that is no plain Parquet scan is written first.
+Three of the four filter stages have a row's verdict where its text is, and filter in place.  The
+near-duplicate stage writes its input with row numbers, since a number must be the same in every read;
+only what it removes is joined back to the texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
 
 from dialstat.llm.bpe import bpe_encode
-from dialstat.llm.decontaminate import decontaminate
+from dialstat.llm.decontaminate import clean_documents
 from dialstat.llm.jaccard_join import jaccard_components
-from dialstat.llm.language_id import UNKNOWN, has_letter, identify_languages
+from dialstat.llm.language_id import UNKNOWN, fit_languages, has_letter, predict_languages
 from dialstat.llm.quality import judge_quality
-from dialstat.llm.staging import broadcast_within, rows_within, stage
+from dialstat.llm.staging import rows_within, stage
 
 BROADCAST_IDS = 1_000_000  # 8 MB
-BROADCAST_FILES = 50_000  # paths of 200 bytes: 10 MB
-ROW = "pipeline_row"
 LEAST_SCORE = 0.3  # language scores below are no language that was learned
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with the distinct number :data:`ROW` of every row, the same in every read."""
-    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
-        docs = stage(docs, "numbered")
-    files = docs.select(F.col("_metadata.file_path").alias("pipeline_file")).distinct()
-    files = files.withColumn("pipeline_nth", F.row_number().over(Window.orderBy("pipeline_file")).cast("long"))
-    files = broadcast_within(stage(files, "files"), BROADCAST_FILES)
-    placed = docs.select("*", F.col("_metadata.file_path").alias("pipeline_file"), F.col("_metadata.row_index").alias("pipeline_at"))
-    number = F.shiftleft("pipeline_nth", 40) + F.col("pipeline_at")  # 40 bits for a file's rows
-    return placed.join(files, "pipeline_file").select(*docs.columns, number.alias(ROW))
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written with a distinct number for every row, and the number's column."""
+    row = "row_number"
+    while row in docs.columns:
+        row += "_"
+    return stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
 
 
 def without(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -49,38 +44,42 @@ def without(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
     return docs.join(gone, docs[key].eqNullSafe(gone["gone_key"]), "left_anti")
 
 
+def _carried(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """The columns of ``docs`` that went along as carried_0, carried_1, ..."""
+    return judged.select(*[F.col(f"carried_{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are no outliers of their language and source."""
-    docs = numbered(docs)
-    return without(docs, judge_quality(docs, id_col=ROW, half=True).filter(~F.col("kept")), ROW).drop(ROW)
+    return _carried(docs, judge_quality(docs, carry=docs.columns).filter("kept"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the network has learned; without a learned language, those
     with a letter."""
-    docs = numbered(docs)
-    found = stage(identify_languages(docs, row_col=ROW), "languages")
-    if found.filter(F.col("lang_pred") != UNKNOWN).isEmpty():
-        return docs.drop(ROW).filter(F.udf(has_letter, "boolean")(F.col("text").cast("string")))
-    return without(docs, found.filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_SCORE)), ROW).drop(ROW)
+    model = fit_languages(docs)
+    if not model[0]:
+        return docs.filter(has_letter(F.col("text")))
+    found = predict_languages(docs, model, carry=docs.columns)
+    return _carried(docs, found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group: five-word shingles, similarity 0.8 or more; the smallest id, nulls
     last, and of rows with that id the first."""
-    docs = numbered(docs)
-    rows, _ = jaccard_components(docs, id_col=ROW, n=5, num=80, den=100)
-    rows = stage(rows.select(ROW, "component_id").join(docs.select(ROW, "doc_id"), ROW), "members")
-    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first"))
-    kept = first.select(F.col("first")[ROW].alias(ROW))
-    return without(docs, rows.join(kept, ROW, "left_anti"), ROW).drop(ROW)
+    columns = docs.columns
+    docs, row = numbered(docs)
+    rows, _ = jaccard_components(docs, id_col=row, n=5, num=80, den=100)
+    rows = stage(rows.select(row, "component_id").join(docs.select(row, "doc_id"), row), "members")
+    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("first"))
+    kept = first.select(F.col("first")[row].alias(row))
+    return without(docs, rows.join(kept, row, "left_anti"), row).select(*columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than 5 % stands in benchmark windows."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    docs = numbered(docs)
-    return without(docs, decontaminate(docs, benchmark, id_col=ROW).filter("contaminated"), ROW).drop(ROW)
+    return clean_documents(docs, benchmark)
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
