@@ -7,6 +7,7 @@ from dialstat.operators.aggregate import (
     row_counts,
     sums_by,
 )
+from dialstat.operators.keyfilter import key_filter, may_match
 from dialstat.operators.lookup import broadcast_if_small, lookup
 from dialstat.operators.quality import (
     Gate,
@@ -21,6 +22,8 @@ from dialstat.operators.ranking import ordering, top_k, top_n_per_group
 __all__ = [
     "Gate",
     "broadcast_if_small",
+    "key_filter",
+    "may_match",
     "GateError",
     "check",
     "distinct_values",

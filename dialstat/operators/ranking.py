@@ -12,8 +12,11 @@ Plans at scale:
   (WindowGroupLimit) before the shuffle, so each task ships at most n rows per group; a group
   holding a third of all rows is cut down where it is read.  Spark applies that rule up to
   ``spark.sql.optimizer.windowGroupLimitThreshold``; raise it where n is larger and n rows per
-  group and task are still few.  Above it we keep the top n level by level: first inside
-  salted sub-groups, then inside ever fewer sub-groups, each made of ``FAN_IN`` of those below.
+  group and task are still few.  Above it the rows are cut twice.  First, before any shuffle, by
+  cut-offs: one aggregate with map-side partial counts makes a histogram of the leading sort key of
+  every group, on bins that keep its order, and a row whose bin lies behind the bins that already
+  hold n rows cannot be among the first n (:func:`within_cutoffs`).  Then we keep the top n level by
+  level: first inside salted sub-groups, then inside ever fewer sub-groups, each made of ``FAN_IN`` of those below.
   Every level is an exact superset of the group's top n, and no task sorts more than a
   sub-group's share of the rows or ``FAN_IN`` x n rows of a group.  The salt mixes the input
   partition into a hash of the row, so even identical rows spread out; there are at least as
@@ -26,9 +29,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 FAN_IN = 8
 SALT_BUCKETS = 64  # at least so many sub-groups on the first level; a power of the fan-in
+BINS_PER_OCTAVE = 1024  # bins of the leading sort key: 0.07 % wide
+CUTOFF_CELLS = 1 << 16  # groups share cut-offs by hash, so that no more than these are broadcast
+_LAST = 1 << 40  # beyond every bin
 _RANK = "__rank"
 _SALT = "__salt"
 
@@ -76,6 +83,48 @@ def _group_limit_threshold(df: DataFrame) -> int:
     return int(value)
 
 
+def _leading_bin(df: DataFrame, item: Column | str) -> Column | None:
+    """A number that is greater the earlier a row comes by ``item``, equal for equal values, null for
+    none; or None where ``item`` is no plain number, date or time column.
+
+    The bin of a number grows with its logarithm, so it keeps the numbers' order: a greater bin
+    means strictly earlier.
+    """
+    if not isinstance(item, str):
+        return None
+    descending, name = item.startswith("-"), item.lstrip("-")
+    kind, value = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.DateType):
+        value = F.unix_date(value)
+    elif not isinstance(kind, (T.NumericType, T.TimestampType)):
+        return None
+    value = value.cast("double")
+    size = F.floor(F.log2(F.least(F.abs(value), F.lit(1e300)) + 1) * BINS_PER_OCTAVE).cast("long")
+    place = F.when(F.isnan(value), _LAST).when(value < 0, -size).when(value >= 0, size)  # NaN is the greatest
+    return F.coalesce(place, F.lit(-_LAST - 1)) if descending else F.coalesce(-place, F.lit(_LAST + 1))
+
+
+def within_cutoffs(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], n: int) -> DataFrame:
+    """The rows of ``df`` that can be among the first ``n`` of their group; the others leave where
+    they are read.
+
+    Cut-offs are broadcast: a table of at most ``CUTOFF_CELLS`` rows however many groups there are.
+    Groups that share a cell share the weakest of their cut-offs.  Rows whose leading keys fall into
+    one bin with the n-th stay, so a group of equal keys is not cut; ``df`` as it is where the
+    leading key has no bins.
+    """
+    place = _leading_bin(df, order[0]) if order else None
+    if place is None:
+        return df
+    counts = df.groupBy(*by, place.alias("__bin")).agg(F.count(F.lit(1)).alias("__rows"))
+    earlier = Window.partitionBy(*by).orderBy(F.desc("__bin"))
+    enough = counts.withColumn("__upto", F.sum("__rows").over(earlier))
+    cell = F.pmod(F.xxhash64(*by), F.lit(CUTOFF_CELLS))
+    cutoff = F.coalesce(F.max(F.when(F.col("__upto") >= n, F.col("__bin"))), F.lit(-_LAST - 1))
+    cells = enough.groupBy(*by).agg(cutoff.alias("__cutoff")).groupBy(cell.alias("__cell")).agg(F.min("__cutoff").alias("__cutoff"))
+    return df.join(F.broadcast(cells), (cell == cells["__cell"]) & (place >= cells["__cutoff"]), "left_semi")
+
+
 def top_n_per_group(
     df: DataFrame,
     by: str | Sequence[str],
@@ -95,6 +144,7 @@ def top_n_per_group(
     by = [by] if isinstance(by, str) else list(by)
     sort = ordering(df, order, tie_break, exclude=by)
     if n > _group_limit_threshold(df):
+        df = within_cutoffs(df, by, order, n)
         buckets = SALT_BUCKETS
         while buckets < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
             buckets *= FAN_IN
@@ -107,7 +157,7 @@ def top_n_per_group(
             df = df.withColumn(_SALT, F.col(_SALT) % buckets)
         df = df.drop(_SALT)
     window = Window.partitionBy(*by).orderBy(*sort)
-    ranked = df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) <= n)
+    ranked = df.withColumn(_RANK, F.row_number().over(window)).filter(f"{_RANK} <= {n}")
     if rank_column:
         return ranked.withColumnRenamed(_RANK, rank_column)
     return ranked.drop(_RANK)
