@@ -3,7 +3,8 @@
 Order of work, chosen so a failure leaves the previous output untouched and so the report's
 plan runs once:
 
-1. read inputs with declared types; a value that does not fit raises before anything is built;
+1. read inputs with declared types (CSV files once, into staged columns that are deleted after
+   step 3); a value that does not fit raises before anything is built;
 2. build the report plan;
 3. write the result to the session's shared scratch folder: later steps read the written rows,
    and a lost executor costs a re-read, not a re-run of the plan;
@@ -41,15 +42,21 @@ class ReportsError(GateError):
 
 
 def load_inputs(
-    spark: SparkSession, inputs: Mapping[str, DataFrame | str], formats: Mapping[str, str] | None = None
+    spark: SparkSession,
+    inputs: Mapping[str, DataFrame | str],
+    formats: Mapping[str, str] | None = None,
+    scratch: list[str] | None = None,
 ) -> dict[str, DataFrame]:
     """The named report inputs (``calls``, ``people``, ``sales``): paths are read from CSV or
     parquet with declared types, DataFrames are used as given.
 
     :param formats: ``csv`` or ``parquet`` by input name, where the files' names do not tell
+    :param scratch: gets the paths of staged copies
     """
     return {
-        name: read_table(spark, value, INPUT_COLUMNS[name], (formats or {}).get(name)) if isinstance(value, str) else value
+        name: read_table(spark, value, INPUT_COLUMNS[name], (formats or {}).get(name), scratch=scratch)
+        if isinstance(value, str)
+        else value
         for name, value in inputs.items()
     }
 
@@ -89,11 +96,15 @@ def run_report(
         raise ValueError("output folder required when write=True")
     if single_file and not report.single_file:
         raise ValueError(f"{name}: its rows grow with the input; it is not written as one file")
-    tables = load_inputs(spark, {key: inputs[key] for key in report.inputs}, formats)
-
+    copies: list[str] = []
     staged = shared_scratch_path(spark, f"report-{name}")
-    built = report.build(**tables, **merged)
-    built.write.parquet(staged)
+    try:
+        tables = load_inputs(spark, {key: inputs[key] for key in report.inputs}, formats, copies)
+        built = report.build(**tables, **merged)
+        built.write.parquet(staged)
+    finally:
+        for path in copies:
+            delete_path(spark, path)
     result = spark.read.schema(built.schema).parquet(staged)
     try:
         counts = check(result, report.gate(merged), what=name)
@@ -109,8 +120,7 @@ def run_report(
     write_result(final, output, single_file=one_file, order=report.order)
     delete_path(spark, staged)
     log.info("%s: written to %s", name, output)
-    types = {f.name: f.dataType.simpleString() for f in final.schema}
-    return read_table(spark, output, types, fmt="csv")
+    return spark.read.option("header", True).schema(final.schema).csv(output)  # what was just written
 
 
 def run_reports(
@@ -129,7 +139,8 @@ def run_reports(
     Each report is gated and written on its own: whatever stops one report, the others run, and
     the failures are raised together at the end as ``ReportsError``.
     """
-    loaded = load_inputs(spark, inputs, formats)
+    copies: list[str] = []
+    loaded = load_inputs(spark, inputs, formats, copies)
     results: dict[str, DataFrame] = {}
     errors: dict[str, Exception] = {}
     for name in names or list(REPORTS):
@@ -142,6 +153,8 @@ def run_reports(
         except Exception as err:  # kept and raised below, with the other reports' errors
             log.error("%s: %s", name, err)
             errors[name] = err
+    for path in copies:
+        delete_path(spark, path)
     if errors:
         raise ReportsError(errors, results)
     return results

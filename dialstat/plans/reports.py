@@ -20,15 +20,13 @@ from pyspark.sql import functions as F
 
 from dialstat.functions.scalars import money_sum, money_text, percentage, postcode
 from dialstat.operators.aggregate import sums_by
+from dialstat.operators.keyfilter import may_match
 from dialstat.operators.lookup import lookup
 from dialstat.operators.quality import Gate
 from dialstat.operators.ranking import top_k, top_n_per_group
 
 RATE = "percentage_of_successful_calls"
 
-# Most ids that R4 broadcasts: 8 MB.
-RANKED_BROADCAST_ROWS = 1_000_000
-
 
 def with_success_rate(calls: DataFrame, digits: int = 2) -> DataFrame:
     """Add the rounded success rate of each caller (X1, X2, P4); null for zero calls."""
@@ -41,7 +39,8 @@ def segment_top_k(calls: DataFrame, people: DataFrame, area: str = "IT", k: int
     Callers without a person row stay, with nulls, and sort last.  Rows of one id differ only
     in their person data, so an id's ``k`` best person rows and ``k`` copies of a caller are all
     that can reach the result: both sides are cut to that before the join (where they are read,
-    for any ``k`` under the group limit threshold), each is read once and no id is hot.
+    for any ``k`` under the group limit threshold), and no id is hot.  Person rows of other
+    departments leave where they are read, by a filter of the department's ids.
     Columns: id, area, name, address, sales_amount.
     """
     staff = (
@@ -49,9 +48,9 @@ def segment_top_k(calls: DataFrame, people: DataFrame, area: str = "IT", k: int
         .groupBy("id")
         .agg(F.lit(area).alias("area"), F.least(F.count(F.lit(1)), F.lit(k).cast("long")).cast("int").alias("copies"))
     )
-    persons = top_n_per_group(
-        people.select("id", "name", "address", "sales_amount"), "id", ["-sales_amount"], max(k, 1), ["name", "address"]
-    )
+    # The condition holds for every row; it makes the filter read the counts that the lookup reads.
+    wanted = may_match(people.select("id", "name", "address", "sales_amount"), staff.filter("copies >= 0"), "id")
+    persons = top_n_per_group(wanted, "id", ["-sales_amount"], max(k, 1), ["name", "address"])
     enriched = lookup(staff, persons, "id", how="left")
     # The first k of the joined rows hold the first k of their copies.
     best = top_k(enriched, ["-sales_amount"], k, tie_break=["id", "name", "address"])
@@ -63,10 +62,11 @@ def postcodes(calls: DataFrame, people: DataFrame, area: str = "Marketing") -> D
     """R2: address and postcode of everyone in one department.
 
     Columns: id, address, zip_code (``''`` when the address has no postcode, null when there
-    is no address).
+    is no address).  Where the people table is not small, its heavy ids are looked for when the
+    report is built (see ``lookup``).
     """
     staff = calls.filter(F.col("area") == area).select("id")
-    enriched = lookup(staff, people, "id", how="left", columns=["address"], split_hot_keys=True)
+    enriched = lookup(staff, people, "id", how="left", columns=["address"], salt_hot_keys=True)
     return enriched.withColumn("zip_code", postcode("address"))
 
 
@@ -116,8 +116,9 @@ def top_performers(
 
     Order: sales amount descending, then rate ascending, then id (and the remaining columns).
     Units do not affect the ranking, so they are summed only for the ranked callers: the
-    sales table is semi-joined to them first (Catalyst pushes that filter below the sales
-    joins) instead of aggregating every caller's units.
+    sales table first goes through a filter of their ids (Catalyst pushes it below the sales
+    joins) instead of aggregating every caller's units.  Whoever passes it without being ranked is
+    dropped by the lookup.
     Columns: id, name, sales_amount, area, calls_made, calls_successful,
     percentage_of_successful_calls, caller_id, count_products_sold.
     """
@@ -126,18 +127,8 @@ def top_performers(
     # Tie-break on every remaining column: both uses of ``ranked`` below then need the same
     # columns under the window, so Spark reuses its shuffle instead of running it twice.
     ranked = top_n_per_group(eligible, "area", ["-sales_amount", RATE], n)
-    ranked_ids = ranked.select(F.col("id").alias("caller_id"))
-    # At most n ranked rows per department.  Departments are counted here, for every report
-    # anew (a scan of one column), and nobody can claim fewer; under the bound the ids (8 bytes
-    # each) are broadcast, so the sales side is filtered where it is read instead of being
-    # shuffled to meet them.  Beyond it Spark joins by shuffle.
-    if n * calls.select("area").distinct().count() <= RANKED_BROADCAST_ROWS:
-        ranked_ids = F.broadcast(ranked_ids)
-    units = sums_by(
-        sales.select("caller_id", "quantity").join(ranked_ids, "caller_id", "left_semi"),
-        "caller_id",
-        {"count_products_sold": "quantity"},
-    )
+    of_ranked = may_match(sales.select("caller_id", "quantity"), ranked, "caller_id", "id")
+    units = sums_by(of_ranked, "caller_id", {"count_products_sold": "quantity"})
     return lookup(ranked, units, "id", right_on="caller_id", how="left", keep_right_key=True)
 
 

@@ -14,24 +14,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialstat.operators.lookup import broadcast_if_small
+from dialstat.session import parquet_rows
 
 # Nations are a fixed, tiny dimension; joined on a key of few values, a shuffle join would
 # put all line items into as many tasks as there are nations, so it is broadcast once its
-# size is checked.
+# row count, which its files' footers tell, is checked.
 NATION_MAX_ROWS = 10_000
 
+# The tables' declared columns: a declared table is read without a job that infers them.
+TABLE_COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table as it is now: files are listed anew for every query."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(TABLE_COLUMNS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def nation_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nation table, marked for broadcast when its size check passes."""
-    return broadcast_if_small(
-        driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), NATION_MAX_ROWS
-    )
+    nation = driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    rows = parquet_rows(spark, f"{sf_dir.rstrip('/')}/nation.parquet")
+    return F.broadcast(nation) if rows is not None and rows <= NATION_MAX_ROWS else nation
 
 
 def calls_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,21 +53,18 @@ def calls_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     Orders are aggregated per customer *before* the join (map-side partial counts), so the
     join sees one row per customer instead of one per order.
     """
-    customer = driver_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    customer = driver_table(spark, sf_dir, "customer")
     per_customer = (
         driver_table(spark, sf_dir, "orders")
         .groupBy("o_custkey")
-        .agg(
-            F.count("o_orderkey").alias("calls_made"),
-            F.count_if(F.col("o_orderstatus") != "F").alias("calls_successful"),
-        )
+        .agg(F.expr("count(o_orderkey) AS made"), F.expr("count_if(o_orderstatus <> 'F') AS successful"))
     )
-    joined = customer.join(per_customer, customer["c_custkey"] == per_customer["o_custkey"], "left")
-    return joined.select(
-        F.col("c_custkey").alias("id"),
-        F.col("c_mktsegment").alias("area"),
-        F.coalesce("calls_made", F.lit(0)).alias("calls_made"),
-        F.coalesce("calls_successful", F.lit(0)).alias("calls_successful"),
+    joined = customer.join(per_customer, F.expr("c_custkey = o_custkey"), "left")
+    return joined.selectExpr(
+        "c_custkey AS id",
+        "c_mktsegment AS area",
+        "coalesce(made, 0L) AS calls_made",
+        "coalesce(successful, 0L) AS calls_successful",
     )
 
 
@@ -64,24 +74,13 @@ def people_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every seventh customer has an address without a postcode; the others carry a postcode of
     four digits, a blank and two capitals.
     """
-    customer = driver_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", "c_nationkey", "c_acctbal"
-    )
-    nation = nation_table(spark, sf_dir)
-    key = F.col("c_custkey")
-    postcode = F.concat(
-        (F.lit(1000) + key % 9000).cast("string"),
-        F.lit(" "),
-        F.when(key % 2 == 0, F.lit("AB")).otherwise(F.lit("XZ")),
-    )
-    address = F.when(key % 7 == 0, F.lit("no code")).otherwise(
-        F.concat(F.col("c_name"), F.lit(", "), postcode, F.lit(", "), F.col("n_name"))
-    )
-    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"], "inner").select(
-        key.alias("id"),
-        F.col("c_name").alias("name"),
-        address.alias("address"),
-        F.col("c_acctbal").alias("sales_amount"),
+    customer, nation = driver_table(spark, sf_dir, "customer"), nation_table(spark, sf_dir)
+    postcode = "CAST(1000 + c_custkey % 9000 AS STRING) || ' ' || CASE WHEN c_custkey % 2 = 0 THEN 'AB' ELSE 'XZ' END"
+    return customer.join(nation, F.expr("c_nationkey = n_nationkey")).selectExpr(
+        "c_custkey AS id",
+        "c_name AS name",
+        f"CASE WHEN c_custkey % 7 = 0 THEN 'no code' ELSE concat(c_name, ', ', {postcode}, ', ', n_name) END AS address",
+        "c_acctbal AS sales_amount",
     )
 
 
@@ -92,29 +91,18 @@ def sales_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     The supplier and nation joins come first, so a country filter (pushed into the nation
     scan) shrinks the line items before the large join with orders.
     """
-    lineitem = driver_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity"
-    )
-    supplier = driver_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    nation = nation_table(spark, sf_dir)
-    part = driver_table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    orders = driver_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-
+    table = lambda name: driver_table(spark, sf_dir, name)
     # A left-deep chain: every right side is a base table, so the planner's size estimate of
     # each right side is its scan size, and only genuinely small tables get broadcast (a
     # joined subtree is estimated as the product of its inputs and would lose to lineitem).
     rows = (
-        lineitem.join(supplier, lineitem["l_suppkey"] == supplier["s_suppkey"], "inner")
-        .join(nation, supplier["s_nationkey"] == nation["n_nationkey"], "inner")
-        .join(part, lineitem["l_partkey"] == part["p_partkey"], "inner")
-        .join(orders, lineitem["l_orderkey"] == orders["o_orderkey"], "inner")
-    )
-    return rows.select(
-        F.col("o_custkey").alias("caller_id"),
-        F.col("n_name").alias("country"),
-        F.col("p_type").alias("product_sold"),
-        F.col("l_quantity").alias("quantity"),
+        table("lineitem")
+        .join(table("supplier"), F.expr("l_suppkey = s_suppkey"))
+        .join(nation_table(spark, sf_dir), F.expr("s_nationkey = n_nationkey"))
+        .join(table("part"), F.expr("l_partkey = p_partkey"))
+        .join(table("orders"), F.expr("l_orderkey = o_orderkey"))
     )
+    return rows.selectExpr("o_custkey AS caller_id", "n_name AS country", "p_type AS product_sold", "l_quantity AS quantity")
 
 
 def report_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -5,8 +5,12 @@ Inputs are read with *declared* column types, wide ones: ids and counts as ``big
 ``double`` otherwise.  Columns are matched by name, without regard to case, as Spark does; other
 columns of the file are skipped.
 
-Nothing is lost in reading: one pass over the wanted columns counts the values that do not fit
-their declared type, and any such value raises :class:`InputError` with the counts.  The header of
+Nothing is lost in reading: values that do not fit their declared type are counted, and any such
+value raises :class:`InputError` with the counts.  A CSV table is read once: its wanted columns are
+staged as Parquet in the shared scratch folder, and the counts are observed while they are
+written; what is built on the table then reads the staged columns.  A Parquet table is counted by
+one aggregate over the columns whose types differ from the declared ones; where none does, nothing
+is read.  The header of
 every CSV file of a folder is compared with that of the first: a file with other columns or
 another order of columns fails the read instead of being read by position.
 """
@@ -15,11 +19,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dialstat.session import file_names
+from dialstat.session import file_paths, shared_scratch_path
 
 # Declared types of the three report inputs (column -> Spark SQL type or ``number``).
 CALLS_COLUMNS = {"id": "bigint", "area": "string", "calls_made": "bigint", "calls_successful": "bigint"}
@@ -34,12 +38,16 @@ class InputError(ValueError):
 
 
 def format_of(spark: SparkSession, path: str, fmt: str | None = None) -> str:
-    """``csv`` or ``parquet``: as given, by the path's ending, or by the files below it."""
+    """``csv`` or ``parquet``: as given, by the path's ending, or by all files below it; a folder with
+    both kinds raises."""
     if fmt:
         return fmt
     if path.rstrip("/").lower().endswith(".parquet"):
         return "parquet"
-    return "parquet" if any(name.endswith(".parquet") for name in file_names(spark, path)) else "csv"
+    kinds = {"parquet" if file.endswith(".parquet") else "csv" for file in file_paths(spark, path)}
+    if len(kinds) > 1:
+        raise ValueError(f"{path}: holds parquet files and others; name the format")
+    return kinds.pop() if kinds else "csv"
 
 
 def _resolve(columns: Mapping[str, str], found: list[str], path: str) -> dict[str, str]:
@@ -72,8 +80,13 @@ def _as_whole(c: str) -> Column:
     return F.coalesce(F.when(exact, number.try_cast("bigint")), F.col(c).cast("string").try_cast("bigint"))
 
 
-def _typed(df: DataFrame, columns: Mapping[str, str], path: str) -> DataFrame:
-    """``df``'s columns (already named as wanted) as the declared types; raises on loss."""
+def _typed(
+    df: DataFrame, columns: Mapping[str, str], path: str, staged: bool, scratch: list[str] | None
+) -> DataFrame:
+    """``df``'s columns (already named as wanted) as the declared types; raises on loss.
+
+    :param staged: write ``df`` once, count while it is written, and go on with the written table
+    """
     kinds = {c: df.schema[c].dataType for c in columns}
     whole = ("tinyint", "smallint", "int", "bigint")
     counts = {}
@@ -83,7 +96,17 @@ def _typed(df: DataFrame, columns: Mapping[str, str], path: str) -> DataFrame:
             counts[f"{c} as {target}"] = F.count_if(_lost(F.col(c), kinds[c], "double" if target == NUMBER else target))
             if target == NUMBER:
                 counts[f"{c} not whole"] = F.count_if(_as_whole(c).isNull() & F.col(c).isNotNull())
-    found = df.agg(*[e.alias(n) for n, e in counts.items()]).first().asDict() if counts else {}
+    found: Mapping[str, int] = {}
+    if counts and staged:
+        observation = Observation()
+        target_path = shared_scratch_path(df.sparkSession, "input")
+        if scratch is not None:
+            scratch.append(target_path)
+        df.observe(observation, *[e.alias(n) for n, e in counts.items()]).write.parquet(target_path)
+        found = observation.get
+        df = df.sparkSession.read.schema(df.schema).parquet(target_path)
+    elif counts:
+        found = df.agg(*[e.alias(n) for n, e in counts.items()]).first().asDict()
     lost = {n: k for n, k in found.items() if k and not n.endswith(" not whole")}
     if lost:
         raise InputError(f"{path}: values that do not fit: " + ", ".join(f"{k} of {n}" for n, k in lost.items()))
@@ -105,6 +128,7 @@ def read_table(
     columns: Mapping[str, str] | None = None,
     fmt: str | None = None,
     infer: bool = False,
+    scratch: list[str] | None = None,
 ) -> DataFrame:
     """Read one input table.
 
@@ -112,6 +136,8 @@ def read_table(
     :param columns: wanted columns and their types; other columns in the file are skipped
     :param fmt: force ``csv`` or ``parquet``
     :param infer: CSV only: infer types from the data when no columns are given
+    :param scratch: gets the path of a staged copy, which the caller may delete once it has read the
+        table (``release_scratch`` deletes it otherwise)
     :return: DataFrame with the wanted columns, in the given order
     """
     kind = format_of(spark, path, fmt)
@@ -131,4 +157,4 @@ def read_table(
     if columns is None:
         return df
     spelled = _resolve(columns, df.columns, path)
-    return _typed(df.select(*[F.col(f"`{s}`").alias(c) for c, s in spelled.items()]), columns, path)
+    return _typed(df.select(*[F.col(f"`{s}`").alias(c) for c, s in spelled.items()]), columns, path, kind == "csv", scratch)
