@@ -5,10 +5,13 @@ Two automata run over every text.  One reads the text's words (A-Z lower-cased,
 consecutive whole words.  The other reads the lower-cased text itself and finds identifier tags;
 what follows a tag on its line is read as a licence expression: a shunting-yard pass orders ids,
 ``and``, ``or`` and ``with`` (``with`` binds closest, then ``and``), and the postfix form is
-evaluated twice, to labels and to whether the terms are permissive.
+evaluated twice, to labels and to whether the terms are permissive.  Identifiers that are no known
+licence (:func:`known_identifiers`) and no reference of a document's own (``licenseref-...``) give no
+label and are not permissive.
 
-Labels: those of the base phrases, those of further notice phrases, and the licences of every
-expression.  Score: the strongest evidence (1.0 tag, 0.9 base phrase, 0.7 other notice, 0 none).
+Labels: those of the base phrases, those of further notice phrases, and the known licences of every
+expression.  Score: the strongest evidence (1.0 tag with a known licence, 0.9 base phrase, 0.7 other
+notice, 0.3 tag with unknown identifiers only, 0 none).
 ``permissive`` is null without a label; otherwise every expression and every phrase must be
 permissive.
 
@@ -64,6 +67,30 @@ NOTICE_PHRASES = {
     "creative commons attribution non commercial": "cc-by-nc",
     "cc by sa": "cc-by-sa",
     "cc by nd": "cc-by-nd",
+    "gnu general public license v2": "gpl-2",
+    "gnu general public license v3": "gpl-3",
+    "gnu library general public license": "lgpl",
+    "bsd license": "bsd",
+    "bsd style license": "bsd",
+    "isc license": "isc",
+    "zlib license": "zlib",
+    "python software foundation license": "psf",
+    "artistic license": "artistic",
+    "academic free license": "afl",
+    "common development and distribution license": "cddl",
+    "common public license": "cpl",
+    "european union public licence": "eupl",
+    "open software license": "osl",
+    "microsoft public license": "ms-pl",
+    "sil open font license": "ofl",
+    "open database license": "odbl",
+    "do what the fuck you want to public license": "wtfpl",
+    "this is free and unencumbered software released into the public domain": "unlicense",
+    "creative commons attribution noderivatives": "cc-by-nd",
+    "creative commons attribution no derivatives": "cc-by-nd",
+    "creative commons legal code cc0 1 0 universal": "cc0",
+    "server side public license": "sspl",
+    "business source license": "busl",
     "all rights reserved": "all-rights-reserved",
 }
 
@@ -73,7 +100,26 @@ ID_LABELS = {"apache-2.0": "apache-2", "cc-by-nc-4.0": "cc-by-nc", "cc0-1.0": "c
 RESTRICTED = ("agpl", "all-rights-reserved", "cc-by-nc", "cc-by-nd", "cc-by-sa", "epl", "gfdl", "gpl", "lgpl", "mpl")
 LIFTING = ("autoconf-exception", "classpath-exception", "gcc-exception", "llvm-exception", "openssl-exception")
 
-TAG_SCORE, BASE_SCORE, NOTICE_SCORE = 1.0, 0.9, 0.7
+# Identifiers of the public list of licences, those that go by a rule as family and
+# versions.
+SINGLE_IDS = (
+    "0bsd aal adsl afl-1.1 afl-1.2 afl-2.0 afl-2.1 afl-3.0 apache-1.0 apache-1.1 apache-2.0 apsl-1.0 apsl-1.1 apsl-1.2 "
+    "apsl-2.0 artistic-1.0 artistic-1.0-perl artistic-2.0 beerware blueoak-1.0.0 bsd-1-clause bsd-2-clause "
+    "bsd-2-clause-patent bsd-2-clause-views bsd-3-clause bsd-3-clause-clear bsd-3-clause-lbnl bsd-4-clause bsd-4-clause-uc "
+    "bsl-1.0 busl-1.1 bzip2-1.0.6 cc0-1.0 cddl-1.0 cddl-1.1 cecill-2.0 cecill-2.1 cecill-b cecill-c cpal-1.0 cpl-1.0 curl "
+    "ecl-2.0 efl-2.0 epl-1.0 epl-2.0 eupl-1.1 eupl-1.2 fsfap fsful ftl hpnd icu ijg imagemagick ipl-1.0 isc json libpng "
+    "libpng-2.0 libtiff lpl-1.02 lppl-1.3c mit mit-0 mit-cmu mit-modern-variant mpl-1.0 mpl-1.1 mpl-2.0 "
+    "mpl-2.0-no-copyleft-exception ms-pl ms-rl mulanpsl-2.0 ncsa nlod-1.0 odbl-1.0 odc-by-1.0 ofl-1.0 ofl-1.1 oldap-2.8 "
+    "openssl osl-2.0 osl-2.1 osl-3.0 pddl-1.0 php-3.0 php-3.01 postgresql psf-2.0 python-2.0 qpl-1.0 ruby sgi-b-2.0 sspl-1.0 "
+    "tcl unicode-dfs-2016 unlicense upl-1.0 vim w3c wtfpl x11 zlib zpl-2.0 zpl-2.1"
+).split()
+GNU_VERSIONS = {"gpl": "1.0 2.0 3.0", "lgpl": "2.0 2.1 3.0", "agpl": "1.0 3.0", "gfdl": "1.1 1.2 1.3"}
+GNU_ENDINGS = ("", "+", "-only", "-or-later")
+CC_KINDS = ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd")
+CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
+OWN_REFERENCE = "licenseref-"
+
+TAG_SCORE, BASE_SCORE, NOTICE_SCORE, UNKNOWN_TAG_SCORE = 1.0, 0.9, 0.7, 0.3
 BINDING = {"or": 1, "and": 2, "with": 3}
 
 _TOKEN = re.compile(r"[ \t]*(?:([()])|([a-z0-9][a-z0-9.+\-]*))")
@@ -125,32 +171,47 @@ def label_of(identifier: str) -> str:
     return ID_LABELS.get(identifier, identifier)
 
 
+def known_identifiers() -> frozenset[str]:
+    """Identifiers of licences, and the labels of all phrases, which are used as identifiers too."""
+    gnu = {f"{name}-{v}{end}" for name, versions in GNU_VERSIONS.items() for v in versions.split() for end in GNU_ENDINGS}
+    cc = {f"cc-{kind}-{v}" for kind in CC_KINDS for v in CC_VERSIONS}
+    short = {f"{name}-{v.split('.')[0]}" for name, versions in GNU_VERSIONS.items() for v in versions.split()}
+    return frozenset({*SINGLE_IDS, *gnu, *cc, *short, *BASE_PHRASES.values(), *NOTICE_PHRASES.values()})
+
+
+KNOWN = known_identifiers()
+
+
+def is_known(identifier: str) -> bool:
+    return identifier in KNOWN or identifier.startswith(OWN_REFERENCE)
+
+
 def is_permissive(label: str) -> bool:
     return not label.startswith(RESTRICTED)
 
 
 def evaluate(postfix: list[str]) -> tuple[set[str], bool]:
-    """(labels, permissive) of a postfix expression.
+    """(labels, permissive) of a postfix expression; identifiers that are not known give no label and
+    are not permissive.
 
     ``or`` leaves the choice, ``and`` binds to both, ``with`` names an exception that lifts a
     restriction if it is one of the linking exceptions.
     """
-    stack: list[tuple[set[str], bool]] = []
+    stack: list[tuple[set[str], bool, str]] = []  # the last: what stands there, as an exception's name
     for token in postfix:
         if token not in BINDING:
-            label = label_of(token)
-            stack.append(({label}, is_permissive(label)))
+            label, known = label_of(token), is_known(token)
+            stack.append(({label} if known else set(), known and is_permissive(label), token))
             continue
-        (right, right_ok), (left, left_ok) = stack.pop(), stack.pop()
+        (right, right_ok, name), (left, left_ok, first) = stack.pop(), stack.pop()
         if token == "or":
-            stack.append((left | right, left_ok or right_ok))
+            stack.append((left | right, left_ok or right_ok, f"{first}-{name}"))
         elif token == "and":
-            stack.append((left | right, left_ok and right_ok))
+            stack.append((left | right, left_ok and right_ok, f"{first}-{name}"))
         else:
-            exception = "-".join(sorted(right))
-            lifted = exception.startswith(LIFTING)
-            stack.append(({f"{x}-with-{exception}" for x in left}, left_ok or lifted))
-    return stack.pop()
+            lifted = bool(left) and name.startswith(LIFTING)
+            stack.append(({f"{x}-with-{name}" for x in left}, left_ok or lifted, first))
+    return stack.pop()[:2]
 
 
 def _automaton(keys) -> ahocorasick.Automaton:
@@ -200,7 +261,13 @@ def scan_text(text: bytes, phrases: ahocorasick.Automaton, tags: ahocorasick.Aut
         "last_word": max(starts, default=None),
         "base_labels": ",".join(sorted(base)),
         "labels": ",".join(sorted(labels)),
-        "score": max([0.0] + [TAG_SCORE] * bool(tagged) + [BASE_SCORE] * bool(base) + [NOTICE_SCORE] * bool(notices)),
+        "score": max(
+            [0.0]
+            + [UNKNOWN_TAG_SCORE] * bool(expressions)
+            + [TAG_SCORE] * bool(tagged)
+            + [BASE_SCORE] * bool(base)
+            + [NOTICE_SCORE] * bool(notices)
+        ),
         "permissive": allowed and all(map(is_permissive, base | notices)) if labels else None,
         "expressions": expressions,
     }

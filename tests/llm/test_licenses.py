@@ -74,6 +74,20 @@ def test_tags_and_evidence():
     assert scan("all rights reserved")["score"] == 0.7 and scan("plain")["permissive"] is None
 
 
+@pytest.mark.parametrize("line", ["SPDX-License-Identifier: hello", "the license-expression: field is optional"])
+def test_unknown_identifiers_are_weak_evidence_and_no_licence(line):
+    got = scan(line)
+    assert got["labels"] == "" and got["score"] == 0.3 and got["permissive"] is None and got["expressions"]
+
+
+def test_known_and_unknown_identifiers_in_one_expression():
+    got = scan("SPDX-License-Identifier: mit or hello\nSPDX-License-Identifier: LicenseRef-own-terms and AGPL-3.0-only")
+    assert got["labels"] == "agpl-3.0-only,licenseref-own-terms,mit" and got["score"] == 1.0 and got["permissive"] is False
+    assert L.evaluate("mit hello and".split()) == ({"mit"}, False) and L.evaluate("mit hello or".split()) == ({"mit"}, True)
+    assert L.evaluate("hello classpath-exception-2.0 with".split()) == (set(), False)
+    assert {"gpl-3.0-or-later", "lgpl-2.1+", "cc-by-nd-4.0", "mpl-2.0", "gpl-2"} <= L.KNOWN and "hello" not in L.KNOWN
+
+
 def test_odd_rows(spark, odd, nothing):
     got = rows_of(L.scan_licenses(odd))
     want = [(r[0], *places(r[1], L.BASE_PHRASES)[:2]) for r in odd_documents()]
