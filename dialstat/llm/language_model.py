@@ -13,9 +13,13 @@ of class w is ``(c1*r[w1] + c2*r[w2]) . r[w] + b[w]``.  A word of a rare class h
 probability (c+0.1)/(N_k + 0.1*(V_k+1)), with the class's own tokens and distinct words and one
 unseen word of c = 0: all probabilities after a context sum to one.
 
-Training.  Each task runs noise-contrastive estimation (Adagrad steps in numpy, noise from the
-class frequencies) over all training tokens of its rows, starting from one shared
-initialisation; Spark averages the parameters, weighted by tokens.
+Training.  Rows are dealt to shards of about ``SHARD_TOKENS`` tokens and to ``ROUNDS`` rounds by the
+hash of their id and text.  In a round every shard runs noise-contrastive estimation (Adagrad steps
+in numpy, noise from the class frequencies) over its rows of that round in order of their hash,
+starting from the parameters and the Adagrad sums that the round before left; Spark averages what
+the shards made of them, weighted by tokens, and sends it to the next round.  So every training
+token is learned from once, and the model depends on the rows alone, not on how the input is cut
+into partitions.  Between the rounds lies a written table of classes, two bytes a token.
 
 Scoring.  ``exp`` of a bilinear score is a product over the two positions, so the normalisers of
 *all* contexts are one matrix product, done once; a token then costs a few table reads.
@@ -48,6 +52,9 @@ RARE = 64  # of them, classes of rare words
 WIDTH = 16
 HEAD = 1 << 18  # words whose counts go to every task: 4 MB
 NOISE = 32  # noise classes drawn for each step
+SHARD_TOKENS = 4_000_000
+ROUNDS = 4
+PIECE_TOKENS = 1 << 18  # tokens that a shard learns from at a time; a longer text is cut
 STEP_ROWS = 8192
 LEARNING_RATE = 0.1
 SMOOTH = 0.1
@@ -137,13 +144,23 @@ def initial(frequencies: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray,
 class Trainer:
     """Noise-contrastive estimation of the log-bilinear model with Adagrad."""
 
-    def __init__(self, frequencies: np.ndarray, seed: int):
+    def __init__(self, frequencies: np.ndarray, seed: int, state: np.ndarray | None = None):
         self.q = frequencies
         self.r, self.c, self.b = initial(frequencies, seed)
         self.squares = [np.full(x.shape, 1e-2, dtype=np.float32) for x in (self.r, self.c, self.b)]
+        if state is not None:
+            cuts = np.cumsum([x.size for x in self.parts()])[:-1]
+            for x, values in zip(self.parts(), np.split(state, cuts)):
+                x[...] = values.reshape(x.shape)
         self.rng = np.random.default_rng(seed + 1)
         self.tokens = 0
 
+    def parts(self) -> list[np.ndarray]:
+        return [self.r, self.c, self.b, *self.squares]
+
+    def state(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in self.parts()]).astype(np.float64)
+
     def _move(self, k: int, x: np.ndarray, grad: np.ndarray) -> None:
         self.squares[k] += grad * grad
         x += LEARNING_RATE * grad / np.sqrt(self.squares[k])
@@ -185,25 +202,89 @@ class Trainer:
             self.step(part // (k * k), part // k % k, part % k, times[lo : lo + STEP_ROWS])
 
 
-def _train(shared, seed: int):
+def _sequences(shared):
+    """(hash, text) -> (hash, the text's classes as 16-bit numbers)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, frequencies = shared.value
+        words, _ = shared.value
         find = _finder(words, np.arange(FIRST_WORD, FIRST_WORD + len(words)), -1)
-        trainer = Trainer(frequencies, seed)
         for batch in batches:
-            for lo, hi, raw, bounds in B.chunks(batch.column(0)):
+            for lo, hi, raw, bounds in B.chunks(batch.column(1)):
                 classes, _, at = class_tokens(raw, bounds, find)
-                trainer.learn(classes, at[1:] + np.arange(1, hi - lo + 1))
-        flat = np.concatenate([x.ravel() for x in (trainer.r, trainer.c, trainer.b)]).astype(np.float64)
-        if trainer.tokens:
+                cuts = (2 * (at + np.arange(hi - lo + 1))).astype(np.int32)
+                data = [None, pa.py_buffer(cuts), pa.py_buffer(classes.astype("<u2"))]
+                texts = pa.Array.from_buffers(pa.binary(), hi - lo, data)
+                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), texts], names=["hash", "classes"])
+
+    return run
+
+
+def _train(shared, model, seed: int):
+    """One round: (shard, classes) in order -> sums over the task's shards of tokens x state."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, frequencies = shared.value
+        total, tokens = 0.0, 0
+        trainer, own, held, size = None, None, [], 0
+
+        def learn():
+            if held:
+                trainer.learn(np.concatenate(held).astype(np.int64), np.cumsum([len(x) for x in held]))
+                held.clear()
+
+        def close():
+            nonlocal total, tokens
+            if trainer is not None:
+                learn()
+                total, tokens = total + trainer.state() * trainer.tokens, tokens + trainer.tokens
+
+        for batch in batches:
+            for shard, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if shard != own:
+                    close()
+                    trainer, own, size = Trainer(frequencies, seed, model.value), shard, 0
+                    trainer.rng = np.random.default_rng([seed, shard])
+                classes = np.frombuffer(text.as_buffer(), "<u2")
+                for lo in range(0, len(classes), PIECE_TOKENS):
+                    part = classes[lo : lo + PIECE_TOKENS]
+                    held.append(part)
+                    size += len(part)
+                    if size >= PIECE_TOKENS:
+                        learn()
+                        size = 0
+        close()
+        if tokens:
             yield pa.record_batch(
-                [pa.array(np.arange(len(flat))), pa.array(flat * trainer.tokens), pa.array(np.full(len(flat), float(trainer.tokens)))],
+                [pa.array(np.arange(len(total))), pa.array(total), pa.array(np.full(len(total), float(tokens)))],
                 names=["place", "total", "tokens"],
             )
 
     return run
 
 
+def _trained(spark: SparkSession, rows: DataFrame, shared, frequencies: np.ndarray, tokens: int, seed: int):
+    """(r, c, b) learned from rows (hash, text) in ROUNDS rounds over all shards."""
+    shards = max(1, -(-tokens // SHARD_TOKENS))
+    dealt = rows.mapInArrow(_sequences(shared), "hash long, classes binary").select(
+        F.pmod("hash", F.lit(shards)).alias("shard"), F.pmod(F.expr(f"hash div {shards}L"), F.lit(ROUNDS)).alias("round"), "hash", "classes"
+    )
+    order = ["shard", "round", "hash", "classes"]
+    # whole shards in order: each is far smaller than a row group, which is read by one task
+    dealt = stage(dealt.repartition(shards, "shard").sortWithinPartitions(*order), "shards")
+    trainer = Trainer(frequencies, seed)
+    state = trainer.state()
+    for k in range(ROUNDS):
+        model = spark.sparkContext.broadcast(state)
+        made = dealt.filter(F.col("round") == k).select("shard", "classes")
+        made = made.mapInArrow(_train(shared, model, seed + 1 + k), "place long, total double, tokens double")
+        # one row per parameter
+        made = made.groupBy("place").agg((F.sum("total") / F.sum("tokens")).alias("value")).toPandas().sort_values("place")
+        state = made["value"].to_numpy() if len(made) else state
+        model.unpersist()
+    trainer = Trainer(frequencies, seed, state)
+    return trainer.r, trainer.c, trainer.b
+
+
 class Scorer:
     """Log10 probabilities of classes after contexts, from the normalisers of all contexts."""
 
@@ -340,20 +421,8 @@ def score_documents(
     frequencies /= frequencies.sum()
 
     shared = spark.sparkContext.broadcast((named, frequencies))
-    rows = (
-        training.mapInArrow(_train(shared, seed), "place long, total double, tokens double")
-        .groupBy("place")
-        .agg((F.sum("total") / F.sum("tokens")).alias("value"))
-        .toPandas()  # one row per parameter
-        .sort_values("place")
-    )
-    flat = rows["value"].to_numpy()
-    k = len(frequencies)
-    model = (
-        (flat[: k * WIDTH].reshape(k, WIDTH), flat[k * WIDTH : (k + 2) * WIDTH].reshape(2, WIDTH), flat[(k + 2) * WIDTH :])
-        if len(flat)
-        else initial(frequencies, seed)
-    )
+    rows = texts.filter(~held).select(F.xxhash64("doc_id", "text").alias("hash"), "text")
+    model = _trained(spark, rows, shared, frequencies, n_all, seed)
     table = spark.sparkContext.broadcast((named, hashes, amounts, rare_logs, model))
     scored = stage(
         texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(_score(table), _ROW), "scored"

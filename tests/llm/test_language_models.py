@@ -54,6 +54,82 @@ def test_counts_and_base_scores(spark, documents, head):
         assert all(r[6] < 0 for r in got)
 
 
+def plain_scores(rows, seed=7):
+    """The model's scores of (doc_id, text, hash) rows: rounds over shards in one process, and a softmax
+    written out for every token."""
+    import pyarrow as pa
+
+    from dialstat.llm import bytescan as B
+
+    raw, bounds = B.text_bytes(pa.array([t or "" for _, t, _ in rows]))
+    words, at = B.lowered_words(raw, bounds, B.SPACED)
+    tails = B.word_tails(raw, bounds, B.SPACED, M.RARE)
+    of_row = lambda x, k: x[at[k] : at[k + 1]].tolist()
+    training = [k for k, r in enumerate(rows) if not held(r[0])]
+    counts = collections.Counter(w for k in training for w in of_row(words, k))
+    kind = {w: t for k in range(len(rows)) for w, t in zip(of_row(words, k), of_row(tails, k))}
+    signed = lambda w: w - 2**64 if w >= 2**63 else w
+    named = sorted(counts, key=lambda w: (-counts[w], signed(w)))[: M.CLASSES - M.FIRST_WORD]
+    number = {w: M.FIRST_WORD + i for i, w in enumerate(named)}
+    rare, kinds = collections.Counter(), collections.Counter()
+    for w, n in counts.items():
+        if w not in number:
+            rare[kind[w]] += n
+            kinds[kind[w]] += 1
+    frequencies = np.array([len(training)] + [rare[k] for k in range(M.RARE)] + [counts[w] for w in named], dtype=float) + 1
+    frequencies /= frequencies.sum()
+    classes = [np.array([number.get(w, 1 + kind[w]) for w in of_row(words, k)] + [M.END]) for k in range(len(rows))]
+    n_all = sum(counts.values()) + len(training)
+    shards = max(1, -(-n_all // M.SHARD_TOKENS))
+    state = M.Trainer(frequencies, seed).state()
+    place = lambda h: (h % shards, (abs(h) // shards * (1 if h >= 0 else -1)) % M.ROUNDS)
+    for k in range(M.ROUNDS):
+        total = tokens = 0
+        for shard in range(shards):
+            own = sorted((rows[i][2], classes[i].astype("<u2").tobytes(), i) for i in training if place(rows[i][2]) == (shard, k))
+            trainer = M.Trainer(frequencies, seed + 1 + k, state)
+            trainer.rng = np.random.default_rng([seed + 1 + k, shard])
+            if own:  # less than one piece
+                parts = [classes[i] for _, _, i in own]
+                trainer.learn(np.concatenate(parts), np.cumsum([len(x) for x in parts]))
+            total, tokens = total + trainer.state() * trainer.tokens, tokens + trainer.tokens
+        state = total / tokens if tokens else state
+    model = M.Trainer(frequencies, seed, state)
+    r, c, b = (x.astype(float) for x in (model.r, model.c, model.b))
+    out = []
+    for k in range(len(rows)):
+        own = classes[k]
+        one, two = np.append(M.END, own[:-1]), np.append([M.END, M.END], own)[: len(own)]
+        logits = (c[0] * r[one] + c[1] * r[two]) @ r.T + b
+        top = logits.max(1, keepdims=True)
+        logs = logits - top - np.log(np.exp(logits - top).sum(1, keepdims=True))
+        score = logs[np.arange(len(own)), own].sum() / np.log(10)
+        for w in of_row(words, k):
+            if w not in number:
+                score += math.log10((counts[w] + 0.1) / (rare[kind[w]] + 0.1 * (kinds[kind[w]] + 1)))
+        out.append(score)
+    return out
+
+
+def test_scores_match_a_model_in_one_process(spark, documents, monkeypatch):
+    """Four shards and four rounds by Spark, from inputs cut in two ways, against plain numpy."""
+    monkeypatch.setattr(M, "SHARD_TOKENS", 12_000)
+    rows = [(r[0], r[1]) for r in documents]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    hashes = [tuple(r) for r in df.select("doc_id", "text", M.F.xxhash64("doc_id", "text")).collect()]
+    want = dict(zip([r[0] for r in hashes], plain_scores(hashes)))
+    for partitions in (2, 64):
+        got = {r["doc_id"]: r["score"] for r in rows_of(M.score_documents(df.repartition(partitions)))}
+        assert got.keys() == want.keys()
+        assert all(got[i] == pytest.approx(want[i], rel=1e-4, abs=1e-3) for i in want)
+
+
+def test_held_out_text_gains_over_the_base(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = M.score_documents(docs).filter("held_out").agg({"score": "sum", "base_score": "sum", "n_tokens": "sum"}).first().asDict()
+    assert (out["sum(score)"] - out["sum(base_score)"]) / out["sum(n_tokens)"] > 0.1
+
+
 def test_class_probabilities_sum_to_one_after_every_context():
     rng = np.random.default_rng(1)
     k = 40
