@@ -21,7 +21,8 @@ the overlap to the bound.
    (smallest node of a key, other node of the key).  Links lie inside clusters.
 2. A cluster of up to ``BLOCK_ELEMENTS`` elements is one prefix tree in one task; a set travels
    once.  Pairs that other links connect already are skipped, and so are pairs that differ in
-   more ranges than linked sets can (:class:`Agreement`, one numpy comparison per probe).
+   more ranges than linked sets can (:class:`Agreement`, which looks only at members listed under
+   one of a probe's rarest ranges).
 3. Larger clusters are taken key by key: a key's smallest node probes the key's others, in
    blocks of bounded size; then, for keys whose members are still in different components, all
    members in pairs of blocks, skipping connected pairs.  No step writes all pairs of a group.
@@ -246,6 +247,40 @@ def _probe_block(num: int, den: int):
     return run
 
 
+class Postings:
+    """An index of a matrix of range hashes, one row for each set: the rows that have a hash in a column.
+
+    Linked sets differ in at most ``most`` columns, so among any ``most + 1`` there is one in which they
+    agree: a row's candidates are the rows listed under its hashes in the columns where the lists
+    are shortest.
+    """
+
+    def __init__(self, matrix: np.ndarray):
+        self.matrix = matrix
+        self.order = matrix.argsort(axis=0, kind="stable").astype(np.int32)
+        ranked = np.take_along_axis(matrix, self.order, 0)
+        at = np.arange(len(matrix), dtype=np.int32)[:, None]
+        new = np.ones(matrix.shape, dtype=bool)
+        new[1:] = ranked[1:] != ranked[:-1]
+        first = np.maximum.accumulate(np.where(new, at, 0), axis=0)
+        ends = np.ones(matrix.shape, dtype=bool)
+        ends[:-1] = new[1:]
+        last = np.minimum.accumulate(np.where(ends, at, len(matrix))[::-1], axis=0)[::-1]
+        self.starts, self.stops = np.empty_like(self.order), np.empty_like(self.order)
+        np.put_along_axis(self.starts, self.order, first.astype(np.int32), 0)
+        np.put_along_axis(self.stops, self.order, last.astype(np.int32) + 1, 0)
+
+    def candidates(self, r: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """(rows that may differ from row r in ``most`` columns or fewer, columns in which each does)."""
+        starts, stops = self.starts[r], self.stops[r]
+        lengths = stops - starts
+        needed = most + 1
+        columns = np.argpartition(lengths, needed - 1)[:needed] if needed < len(lengths) else np.arange(len(lengths))
+        lists = [self.order[starts[c] : stops[c], c] for c in columns[lengths[columns] > 1].tolist()]
+        rows = np.unique(np.concatenate(lists)) if lists else np.zeros(0, np.int32)
+        return rows, (self.matrix[rows] != self.matrix[r]).sum(1)
+
+
 class Agreement:
     """Which members of a block may link, from hashes of the runs in ranges of the order.
 
@@ -257,22 +292,25 @@ class Agreement:
         self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
         self.num, self.den = num, den
         self.own = np.searchsorted(classes[0], self.sizes, side="right") - 1
-        self.schemes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.schemes: dict[int, tuple[np.ndarray, Postings]] = {}
         for c in set(self.own.tolist()) | set((self.own - 1).tolist()):
             rows = np.flatnonzero((self.own == c) | (self.own == c + 1))
             m = 2 * int(classes[1][c]) if c >= 0 else 0
             if m and len(rows) > 1:
-                self.schemes[c] = (rows, np.stack([range_hashes(sets[r], m) for r in rows.tolist()]))
+                self.schemes[c] = (rows, Postings(np.stack([range_hashes(sets[r], m) for r in rows.tolist()])))
 
     def candidates(self, p: int) -> np.ndarray:
         """Members, in ascending order, that are not ruled out against member p."""
         found = []
         own = int(self.own[p])
         for c in (own, own - 1):
-            rows, matrix = self.schemes.get(c, (None, None))
+            rows, postings = self.schemes.get(c, (None, None))
             if rows is None:
                 continue
-            differ = (matrix != matrix[np.searchsorted(rows, p)]).sum(1)
+            largest = int(self.sizes[p] + self.sizes[rows].max())
+            most = largest - 2 * -(-self.num * largest // (self.num + self.den)) + 1  # grows with the sizes, but for 1
+            listed, differ = postings.candidates(int(np.searchsorted(rows, p)), most)
+            rows = rows[listed]
             both = self.sizes[rows] + self.sizes[p]
             may = differ <= both - 2 * -(-self.num * both // (self.num + self.den))
             # the scheme of a class serves pairs whose smaller set lies in it

@@ -119,3 +119,44 @@ def test_components_of_a_path_and_a_star(spark):
     got = {r["node"]: r["label"] for r in rows_of(connected_components(spark.createDataFrame(links, "a long, b long")))}
     assert got == {**{i: 0 for i in range(31)}, **{x: 100 for x in range(100, 140)}}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def near_and_far_sets(count, seed):
+    """Random sets, some of them near copies of others."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for _ in range(count):
+        if out and rng.random() < 0.4:
+            base = out[rng.integers(len(out))]
+            drop = rng.integers(0, max(1, len(base) // 6), 1)[0]
+            kept = np.delete(base, rng.choice(len(base), drop, replace=False))
+            out.append(np.unique(np.concatenate([kept, rng.integers(0, 2**63, rng.integers(0, 6)).astype(np.uint64)])))
+        else:
+            out.append(np.unique(rng.integers(0, 2**63, rng.integers(1, 300)).astype(np.uint64) * np.uint64(2)))
+    return out
+
+
+@pytest.mark.parametrize("num", [80, 90])
+def test_listed_candidates_hold_every_link(num):
+    sets = near_and_far_sets(300, num)
+    near = J.Agreement(sets, J.size_classes(num, 100), num, 100)
+    links = 0
+    for p, own in enumerate(sets):
+        got = set(near.candidates(p).tolist())
+        for q, other in enumerate(sets):
+            both = len(np.intersect1d(own, other, assume_unique=True))
+            if both < max(len(own), len(other)) and 100 * both >= num * (len(own) + len(other) - both):
+                assert q in got
+                links += 1
+    assert links > 100
+
+
+def test_sets_that_do_not_link_are_hardly_compared():
+    """Four times the sets are about four times the work: nobody is a candidate of anybody."""
+    rng = np.random.default_rng(3)
+    for count in (500, 2000):
+        sets = [np.unique(rng.integers(0, 2**63, 40).astype(np.uint64) * np.uint64(2)) for _ in range(count)]
+        near = J.Agreement(sets, J.size_classes(90, 100), 90, 100)
+        ranges = [postings for rows, postings in near.schemes.values() if len(rows) == count]
+        listed = [len(postings.candidates(r, 5)[0]) for postings in ranges for r in range(0, count, 50)]
+        assert ranges and max(listed) < 0.02 * count
