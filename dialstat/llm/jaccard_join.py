@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from dialstat.llm import bytescan as B
 from dialstat.llm.components import connected_components
 from dialstat.llm.staging import rows_within, stage
+from dialstat.operators.lookup import heavy_keys
 
 BLOCK_ELEMENTS = 4_000_000  # elements of the sets that meet in one task: 32 MB
 BROADCAST_IDS = 1_000_000  # ids of candidate texts: 8 MB at most
@@ -381,13 +382,24 @@ def _pruned(keyed: DataFrame, needs: DataFrame, rounds: int = 2) -> DataFrame:
     """keyed(key, node, side) -> (key, node, side, center): keys of two nodes and more, without
     the nodes that share too few of them to have a link.
 
+    The nodes of a key are looked at together by a window.  Heavy keys, which a sketch finds and of
+    which there are at most a thousand, are summed up map-side instead, and their smallest and
+    largest nodes are broadcast: no task gets a heavy key's rows.
+
     :param needs: (node, side, need): the keys that a node shares with any linked one, at least
     """
     low = F.expr("min(node) OVER (PARTITION BY key)")
     high = F.expr("max(node) OVER (PARTITION BY key)")
+    heavy = [(key,) for key in heavy_keys(keyed, "key")]
+    marks = F.broadcast(keyed.sparkSession.createDataFrame(heavy, "key long")) if heavy else None
 
     def shared(rows: DataFrame) -> DataFrame:
-        met = rows.select("key", "node", "side", low.alias("center"), high.alias("top"))
+        light = rows.join(marks, "key", "left_anti") if heavy else rows
+        met = light.select("key", "node", "side", low.alias("center"), high.alias("top"))
+        if heavy:
+            weighty = rows.join(marks, "key", "left_semi")
+            ends = weighty.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("top"))
+            met = met.union(weighty.join(F.broadcast(ends), "key").select("key", "node", "side", "center", "top"))
         return met.filter("center <> top").drop("top")
 
     rows = stage(shared(keyed).distinct(), "shared")

@@ -68,6 +68,23 @@ def test_components_match_all_pairs(spark, monkeypatch, n, num, block):
     assert links.count() >= 1
 
 
+def test_heavy_keys_are_summed_where_they_are_read(spark, monkeypatch):
+    """The same components when many keys are taken for heavy ones."""
+    asked = []
+
+    def many(df, key):
+        found = {r[0]: 2 for r in df.groupBy(key).count().filter("count > 2").orderBy(key).limit(300).collect()}
+        asked.append(len(found))
+        return found
+
+    monkeypatch.setattr(J, "heavy_keys", many)
+    texts = near_copies(3)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    rows, _ = J.jaccard_components(df)
+    want = components(sets_of(texts, 3), 90, 100)
+    assert {r["doc_id"]: r["component_id"] for r in rows_of(rows)} == dict(enumerate(want)) and asked[0] > 100
+
+
 def test_tree_finds_every_link():
     rng = np.random.default_rng(3)
     base = np.unique(rng.integers(0, 2**63, 300, dtype=np.uint64))
