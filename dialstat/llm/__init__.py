@@ -1,5 +1,6 @@
 """Operators of a training-data pipeline: near-duplicate joins, sharding, archives, licence
-scans, language models, quality rules, tokenising, decontamination, language ID, token files.
+scans, language models, quality rules, tokenising, decontamination, language ID, token files, Merkle
+manifests, conversation tries, chat formatting.
 
 Each module holds one operator with a general interface and a thin ``opN_<name>`` query over
 the driver tables.  :mod:`dialstat.llm.registry` lists the queries and their DuckDB SQL.
