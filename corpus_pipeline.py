@@ -6,12 +6,15 @@ null ids stay or go each by itself.  Numbers of rows that go are broadcast while
 few of them, which is checked; beyond that Spark joins by shuffle.
 
 Three of the four filter stages have a row's verdict where its text is, and filter in place.  The
-near-duplicate stage writes its input with row numbers, since a number must be the same in every read;
-only what it removes is joined back to the texts.
+near-duplicate stage numbers the rows of its input by file and place in the file, so every read gives
+a row the same number; a table that is no plain Parquet scan is written first.  Only what that
+stage removes is joined back to the texts.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,18 +25,44 @@ from dialstat.llm.decontaminate import clean_documents
 from dialstat.llm.jaccard_join import jaccard_components
 from dialstat.llm.language_id import UNKNOWN, fit_languages, has_letter, predict_languages
 from dialstat.llm.quality import judge_quality
+from dialstat.llm.sharding import number_rows
 from dialstat.llm.staging import rows_within, stage
 
 BROADCAST_IDS = 1_000_000  # 8 MB
+BROADCAST_FILES = 1_000_000  # 16 MB
 LEAST_SCORE = 0.3  # language scores below are no language that was learned
 
 
+def _free(name: str, columns: list[str]) -> str:
+    """``name``, with underscores until no column has it."""
+    while name in columns:
+        name += "_"
+    return name
+
+
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` written with a distinct number for every row, and the number's column."""
-    row = "row_number"
-    while row in docs.columns:
-        row += "_"
-    return stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+    """``docs`` with a distinct number for every row, the same in every read, and the number's column.
+
+    Files are numbered in order of their paths and meet their rows by a hash of the path, 16 bytes for
+    a file, so up to a million files nothing but the texts' own scan is read.
+    """
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        docs = stage(docs, "numbered")
+    path, row = F.col("_metadata.file_path"), _free("row_number", docs.columns)
+    for seed in itertools.count():
+        key = F.xxhash64(F.lit(seed), path)
+        files = stage(docs.select(key.alias("file_key"), path.alias("file_path")).distinct(), "files")
+        if files.groupBy("file_key").count().filter("count > 1").isEmpty():
+            break
+    files, _ = number_rows(files, "file_path")
+    files = stage(files.select("file_key", F.col("row_number").alias("file_number")), "files")
+    files = F.broadcast(files) if rows_within(files, BROADCAST_FILES) else files
+    own = [_free(n, docs.columns) for n in ("file_key", "file_number", "file_row")]
+    placed = docs.select("*", key.alias(own[0]), F.col("_metadata.row_index").alias(own[2]))
+    files = files.toDF("key_of_file", own[1])
+    number = F.shiftleft(F.col(own[1]), 40) + F.col(own[2])  # 40 bits for a file's rows
+    joined = placed.join(files, placed[own[0]] == files["key_of_file"])
+    return joined.select(*[placed[c] for c in docs.columns], number.alias(row)), row
 
 
 def without(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
